@@ -62,7 +62,7 @@ def field_at(fields, index: int) -> Column:
 
 def decode_key_millis(c) -> Column:
     """``<millis>-<seq>`` -> millis as bigint (null when not a number)."""
-    return F.split(_col(c), "-").getItem(0).try_cast("bigint")
+    return F.get(F.split(_col(c), "-"), 0).try_cast("bigint")
 
 
 def parse_record_key(c) -> Column:
@@ -70,8 +70,8 @@ def parse_record_key(c) -> Column:
     parts and both are whole numbers in the long range."""
     parts = F.split(_col(c), "-")
     number = r"^[+-]?[0-9]+$"
-    a = parts.getItem(0)
-    b = parts.getItem(1)
+    a = F.get(parts, 0)
+    b = F.get(parts, 1)
     a_num = a.try_cast("bigint")
     b_num = b.try_cast("bigint")
     ok = ((F.size(parts) == 2) & a.rlike(number) & b.rlike(number)
