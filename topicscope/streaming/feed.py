@@ -74,7 +74,7 @@ class LeaderboardFeed:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        updates = lb.latest_per_name(batch, F.struct("ts_ms", "ord"))
+        updates = lb.latest_per_name(batch, F.struct("ts_us", "ord"))
         hist_dir = _batch_dir(self.root, "histogram", batch_id)
         updates.write.mode("overwrite").parquet(hist_dir)
         updates = spark.read.parquet(hist_dir)

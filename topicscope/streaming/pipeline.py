@@ -30,7 +30,7 @@ def start_topic_stream(spark: SparkSession, records: DataFrame, root: str | None
     root = (root or scratch_path(spark, "topic_stream")).rstrip("/")
     changes = trailing_hour_updates(stream_names(records), window_ms, watermark)
     writer = (changes.writeStream
-              .outputMode("update")
+              .outputMode("append")
               .option("checkpointLocation", f"{root}/checkpoint")
               .foreachBatch(LeaderboardFeed(root, capacity)))
     writer = writer.trigger(**(trigger or {"processingTime": "1 second"}))

@@ -1,18 +1,18 @@
 """Trailing-hour count per name on a stream.
 
 Exact form (:func:`trailing_hour_updates`): a grouped state function keyed by
-name.  The state of a name is the list of distinct arrival times (ms) still
-inside the window with how many mentions arrived at each, and the current
+name.  The state of a name is the list of distinct arrival times still
+inside the window (microseconds) with how many mentions arrived at each, and the current
 total.  For every batch the arrivals of the name are handled in time order:
 entries more than one window older than the arrival leave first (-), then the
 arrival is added (+).  At the end of the call, and whenever the event-time
 timeout fires, entries more than a window older than the watermark leave.
 The timeout is re-armed at ``oldest + window``.  Every change is emitted as
-(name, ts_ms, delta, count, ord); ``ord`` numbers the changes of one call.
+(name, ts_us, delta, count, ord); ``ord`` numbers the changes of one call.
 
-Mentions of the same name and millisecond are merged into one change with
+Mentions of the same name and instant are merged into one change with
 their number as delta, which keeps the state per name bounded by distinct
-milliseconds, not by mentions.
+instants, not by mentions.
 
 Scalable approximate form (:func:`sliding_hour_counts`): built-in windowed
 aggregation, minute buckets summed over a sliding hour.
@@ -30,22 +30,24 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 HOUR_MS = 3_600_000
 
-CHANGE_SCHEMA = "name string, ts_ms long, delta long, count long, ord long"
+CHANGE_SCHEMA = "name string, ts_us long, delta long, count long, ord long"
 STATE_SCHEMA = "times array<long>, counts array<long>, total long"
 
 
-def _expire(name, times, counts, total, limit_ms, window_ms, out):
-    """Remove entries with ``t + window < limit_ms`` (oldest first)."""
-    k = bisect.bisect_left(times, limit_ms - window_ms)
+def _expire(name, times, counts, total, limit_us, window_us, out):
+    """Remove entries with ``t + window < limit_us`` (oldest first)."""
+    k = bisect.bisect_left(times, limit_us - window_us)
     for t, c in zip(times[:k], counts[:k]):
         total -= c
-        out.append((name, t + window_ms, -c, total))
+        out.append((name, t + window_us, -c, total))
     del times[:k]
     del counts[:k]
     return total
 
 
 def make_trailing_fn(window_ms: int = HOUR_MS):
+    window_us = window_ms * 1000
+
     def trailing(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
         name = key[0]
         if state.exists:
@@ -57,12 +59,12 @@ def make_trailing_fn(window_ms: int = HOUR_MS):
         if not state.hasTimedOut:
             arrivals = None
             for pdf in pdfs:
-                part = pdf.groupby("ts_ms").size()
+                part = pdf.groupby("ts_us").size()
                 arrivals = part if arrivals is None else arrivals.add(part, fill_value=0)
             if arrivals is not None:
                 for t, n in arrivals.sort_index().items():
                     t, n = int(t), int(n)
-                    total = _expire(name, times, counts, total, t, window_ms, out)
+                    total = _expire(name, times, counts, total, t, window_us, out)
                     i = bisect.bisect_left(times, t)
                     if i < len(times) and times[i] == t:
                         counts[i] += n
@@ -73,16 +75,17 @@ def make_trailing_fn(window_ms: int = HOUR_MS):
                     out.append((name, t, n, total))
         wm = state.getCurrentWatermarkMs()
         if wm and wm > 0:
-            total = _expire(name, times, counts, total, wm, window_ms, out)
+            total = _expire(name, times, counts, total, wm * 1000, window_us, out)
         if times:
             state.update((times, counts, total))
-            state.setTimeoutTimestamp(times[0] + window_ms)
+            # fires once the watermark passes the oldest entry's expiry
+            state.setTimeoutTimestamp(max(times[0] + window_us, 1000) // 1000)
         else:
             state.remove()
         if out:
             yield pd.DataFrame({
                 "name": [o[0] for o in out],
-                "ts_ms": [o[1] for o in out],
+                "ts_us": [o[1] for o in out],
                 "delta": [o[2] for o in out],
                 "count": [o[3] for o in out],
                 "ord": list(range(len(out))),
@@ -91,19 +94,20 @@ def make_trailing_fn(window_ms: int = HOUR_MS):
 
 
 def trailing_hour_updates(names: DataFrame, window_ms: int = HOUR_MS,
-                          watermark: str = "15 minutes") -> DataFrame:
+                          watermark: str = "15 minutes", mode: str = "append") -> DataFrame:
     """Changelog stream (name, ts, delta, count, ord) of trailing counts.
 
     ``names`` has (name, timestamp).  Rows later than the watermark delay are
     dropped by Spark; a larger delay accepts later rows and expires later.
+    Every change is emitted once, so the stream is append-only.
     """
     ev = (names.select("name", "timestamp")
           .withWatermark("timestamp", watermark)
-          .withColumn("ts_ms", F.unix_millis("timestamp")))
+          .withColumn("ts_us", F.unix_micros("timestamp")))
     changes = ev.groupBy("name").applyInPandasWithState(
-        make_trailing_fn(window_ms), CHANGE_SCHEMA, STATE_SCHEMA, "update",
+        make_trailing_fn(window_ms), CHANGE_SCHEMA, STATE_SCHEMA, mode,
         GroupStateTimeout.EventTimeTimeout)
-    return changes.select("name", F.timestamp_millis("ts_ms").alias("ts"), "ts_ms",
+    return changes.select("name", F.timestamp_micros("ts_us").alias("ts"), "ts_us",
                           "delta", "count", "ord")
 
 
