@@ -101,3 +101,19 @@ def test_exact_top_is_subset_of_ties(spark):
     assert cut <= inc
     mentions = topic_mentions(recs).count()
     assert topic_day_counts(topic_mentions(recs)).agg(F.sum("count")).first()[0] == mentions
+
+
+def test_tolerant_decode(spark, scratch):
+    path = os.path.join(scratch, "bad.txt")
+    with open(path, "wb") as f:
+        f.write(b"ab\xffcd\tx\n" + "été\n".encode())
+    got = [r["value"] for r in read_lines(spark, path).collect()]
+    assert got == ["abcd\tx", "été"]
+
+
+def test_top_k_array(spark):
+    from topicscope.operators.topics import top_k_array
+    rows = [("d", c, n) for c, n in zip("abcdefghijkl", range(12, 0, -1))]
+    nested = nest_by_day(spark.createDataFrame(rows, "day string, topic string, count long"))
+    first = nested.select(top_k_array("result", 10).alias("r")).first()["r"]
+    assert [e["topic"] for e in first] == list("abcdefghij")

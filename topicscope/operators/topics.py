@@ -115,6 +115,12 @@ def nest_by_day(top: DataFrame, day_out: str = "data") -> DataFrame:
             .agg(ordered.cast(RESULT_TYPE).alias("result")))
 
 
+def top_k_array(result, k: int = 10):
+    """First ``k`` entries of an already ordered ``result`` array (the
+    in-list form of the exact top-k)."""
+    return F.slice(result, 1, k)
+
+
 def daily_top_topics(records: DataFrame, k: int = 10, ties: str = "include",
                      **mention_opts) -> DataFrame:
     """Flat daily top-k: (day, topic, count)."""

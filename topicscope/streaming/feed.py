@@ -67,10 +67,14 @@ class LeaderboardFeed:
     """``foreachBatch`` callable maintaining the bounded set under ``root``
     (a folder in the shared checkpoint location)."""
 
-    def __init__(self, root: str, capacity: int = lb.CAPACITY, keep_sets: int = 16):
+    def __init__(self, root: str, capacity: int = lb.CAPACITY, keep_sets: int = 16,
+                 kafka: dict | None = None):
+        """``kafka`` = {"servers": .., "histogram_topic": .., "message_topic": ..}
+        also publishes the upserts and the delta messages to Kafka."""
         self.root = root.rstrip("/")
         self.capacity = capacity
         self.keep_sets = keep_sets
+        self.kafka = kafka
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -89,8 +93,18 @@ class LeaderboardFeed:
         delta_dir = _batch_dir(self.root, "delta", batch_id)
         d.coalesce(1).write.mode("overwrite").parquet(delta_dir)
         d = spark.read.parquet(delta_dir)
+        msg_dir = _batch_dir(self.root, "messages", batch_id)
         (lb.json_message(d).where(F.col("json") != "[]")
-         .coalesce(1).write.mode("overwrite").json(_batch_dir(self.root, "messages", batch_id)))
+         .coalesce(1).write.mode("overwrite").json(msg_dir))
+        if self.kafka:
+            from ..sinks.json import write_kafka
+            servers = self.kafka["servers"]
+            write_kafka(updates, servers, self.kafka["histogram_topic"], "name",
+                        F.col("count").cast("string"))
+            msgs = spark.read.json(msg_dir)
+            if "json" in msgs.columns:
+                write_kafka(msgs.withColumn("k", F.lit(str(batch_id))), servers,
+                            self.kafka["message_topic"], "k", F.col("json"))
         self._prune(spark, batch_id)
 
     def _prune(self, spark: SparkSession, batch_id: int) -> None:
