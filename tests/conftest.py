@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -15,10 +14,9 @@ SF_CHECK = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from topicscope.session import build_session
-    ckpt = tempfile.mkdtemp(prefix="topicscope-test-ckpt-")
-    s = build_session("local[*]", shuffle_partitions=8,
-                      conf={"spark.checkpoint.dir": ckpt,
-                            "spark.sql.streaming.numRecentProgressUpdates": "10"})
+    # spark.checkpoint.dir comes from the environment when it is set there;
+    # checkpoint_root() creates a scratch folder only when it is not.
+    s = build_session("local[*]", shuffle_partitions=8)
     yield s
     s.stop()
 
