@@ -117,3 +117,14 @@ def test_top_k_array(spark):
     nested = nest_by_day(spark.createDataFrame(rows, "day string, topic string, count long"))
     first = nested.select(top_k_array("result", 10).alias("r")).first()["r"]
     assert [e["topic"] for e in first] == list("abcdefghij")
+
+
+def test_count_fields_matches_split(spark):
+    from topicscope.functions.text import count_fields, nth_field
+    vals = ["", "\t", "a", "a\t", "\ta", "a\t\tb\t\t", "a\tb\tc", "\t\t\t"]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    rows = df.select("v", count_fields("v").alias("n"), F.size(java_split("v", "\t")).alias("m"),
+                     nth_field("v", 1).alias("f1")).collect()
+    for r in rows:
+        assert r["n"] == r["m"], r
+    assert {r["v"]: r["f1"] for r in rows}["a\tb\tc"] == "b"

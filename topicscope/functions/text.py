@@ -33,7 +33,10 @@ def java_split(c, sep: str = NAME_SEPARATOR) -> Column:
     """
     c = _col(c)
     pattern = re.escape(sep)
-    trimmed = F.regexp_replace(c, f"(?:{pattern})+\\z", "")
+    if len(sep) == 1:
+        trimmed = F.rtrim(c, F.lit(sep))
+    else:
+        trimmed = F.regexp_replace(c, f"(?:{pattern})+\\z", "")
     return (F.when(c == "", F.array(F.lit("")))
              .when(trimmed == "", _empty_strings())
              .otherwise(F.split(trimmed, pattern)))
@@ -55,6 +58,22 @@ def first_field(c, sep: str = FIELD_SEPARATOR) -> Column:
     return F.substring_index(_col(c), sep, 1)
 
 
+def count_fields(c, sep: str = FIELD_SEPARATOR) -> Column:
+    """Number of pieces ``String.split(sep)`` would return for a one-character
+    separator, without building the array: separators before the trailing run
+    plus one (0 when only separators are left, 1 for the empty string)."""
+    c = _col(c)
+    body = F.rtrim(c, F.lit(sep))
+    seps = F.length(body) - F.length(F.translate(body, sep, ""))
+    return F.when(c == "", F.lit(1)).when(body == "", F.lit(0)).otherwise(seps + 1)
+
+
+def nth_field(c, index: int, sep: str = FIELD_SEPARATOR) -> Column:
+    """Field ``index`` (0-based) of a separated line; only meaningful when
+    the line has more than ``index`` fields."""
+    return F.substring_index(F.substring_index(_col(c), sep, index + 1), sep, -1)
+
+
 def field_at(fields, index: int) -> Column:
     """Element ``index`` (0-based) of a split line, null when too short."""
     return F.get(_col(fields), index)

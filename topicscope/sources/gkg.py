@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import FIELD_SEPARATOR, drop_malformed, field_at, java_split
+from ..functions.text import FIELD_SEPARATOR, count_fields, drop_malformed, nth_field
 from ..functions.time import format_day, gkg_date_string
 from ..schema import (ALL_NAMES_INDEX, DATE_INDEX, GKG_COLUMNS, GKG_DATE_FORMAT,
                       gkg_schema)
@@ -67,15 +67,15 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str],
 def gkg_line_records(lines: DataFrame, min_fields: int = ALL_NAMES_INDEX + 1) -> DataFrame:
     """Positional (day, all_names) from raw lines.
 
-    A line is split on tabs with trailing empty fields dropped and kept when
-    it has more than 23 fields; the day is characters 1-8 of field 1 written
-    as ``yyyy-MM-dd``.
+    A line is kept when splitting it on tabs with trailing empty fields
+    dropped gives more than 23 fields; the day is characters 1-8 of field 1
+    written as ``yyyy-MM-dd``.  Fields are located by counting tabs, so no
+    27-element array is built per line.
     """
-    fields = java_split("value", FIELD_SEPARATOR)
-    return (lines.select(fields.alias("f"))
-            .where(F.size("f") >= min_fields)
-            .select(format_day(field_at("f", DATE_INDEX)).alias("day"),
-                    field_at("f", ALL_NAMES_INDEX).alias("all_names"))
+    v = F.col("value")
+    return (lines.where(count_fields(v, FIELD_SEPARATOR) >= min_fields)
+            .select(format_day(nth_field(v, DATE_INDEX)).alias("day"),
+                    nth_field(v, ALL_NAMES_INDEX).alias("all_names"))
             .where(F.col("day").isNotNull()))
 
 
@@ -131,10 +131,14 @@ def gkg_like_lines(like: DataFrame) -> DataFrame:
     return like.select(F.concat_ws(FIELD_SEPARATOR, *fields).alias("value"))
 
 
+LINES_FORMAT = "gkg-lines-v1"
+
+
 def gkg_tsv_path(spark: SparkSession, sf_dir: str) -> str:
     """Record files for ``sf_dir`` in the shared checkpoint folder, written
-    once (by a distributed text write) and reused afterwards."""
-    tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
+    once (by a distributed text write) and reused afterwards; the folder name
+    covers the input folder and the line format."""
+    tag = hashlib.sha1(f"{LINES_FORMAT}:{sf_dir.rstrip('/')}".encode()).hexdigest()[:12]
     path = scratch_path(spark, "gkg_tsv", tag)
     if not path_exists(spark, f"{path}/_SUCCESS"):
         gkg_like_lines(gkg_like(spark, sf_dir)).write.mode("overwrite").text(path)
