@@ -152,3 +152,20 @@ def test_sliding_hour_counts(spark, scratch):
         e = int(r.end.value // 1000)
         arr = by[r.name]
         assert r.count == np.searchsorted(arr, e, "left") - np.searchsorted(arr, s, "left")
+
+
+def test_feed_compaction_keeps_snapshot(spark, scratch):
+    from topicscope.streaming.feed import LeaderboardFeed, _committed_batches
+    root = os.path.join(scratch, "feed")
+    feed = LeaderboardFeed(root, capacity=2, compact_every=2)
+    schema = "name string, ts_us long, delta long, count long, ord long"
+    batches = [[("x", 1, 1, 1, 0)], [("y", 2, 1, 2, 0)], [("z", 3, 1, 3, 0)],
+               [("x", 4, 1, 5, 0)], [("w", 5, 1, 1, 0)]]
+    for i, rows in enumerate(batches):
+        feed(spark.createDataFrame(rows, schema), i)
+    snap = {r["name"]: r["count"] for r in snapshot(spark, root).collect()}
+    assert snap == {"x": 5, "y": 0, "z": 3}
+    assert _committed_batches(spark, root, "base") == [4]
+    assert _committed_batches(spark, root, "delta") == []
+    assert {(r["name"], r["count"]) for r in current_set(spark, root).collect()} == \
+        {("x", 5), ("z", 3)}

@@ -49,3 +49,13 @@ def test_changelog_never_negative_and_ends_at_zero(spark):
     last = ch.groupBy("name").agg(F.max_by("count", F.struct("ts", (-F.col("delta")), "seq"))
                                   .alias("c"))
     assert {r["c"] for r in last.collect()} == {0}
+
+
+def test_null_times_count_only_their_peers(spark):
+    rows = [(1, "A", None), (2, "A", None), (3, "A", 0), (4, "A", 1000)]
+    df = spark.createDataFrame(rows, "id long, name string, ms long") \
+              .select("id", "name", from_epoch_millis("ms").alias("ts"))
+    got = {r["id"]: r["count"] for r in trailing_count(df, "name", "ts").collect()}
+    plain = {r["id"]: r["count"] for r in trailing_count(df, "name", "ts", bucketed=False).collect()}
+    assert got == plain == {1: 2, 2: 2, 3: 1, 4: 2}
+    assert trailing_changelog(df, "name", "ts", "id").count() == 4

@@ -34,11 +34,11 @@ def trailing_count(df: DataFrame, name: str, ts: str, window_micros: int = HOUR,
     payload = [c for c in df.columns if c != name]
     base = df.select(name, us.alias("__us"), *payload)
     # shift 0: the row itself; shift 1: a context copy for the next bucket,
-    # carrying only what the frame needs.
-    shifted = base.select(
-        name, "__us",
-        F.explode(F.array(F.lit(0), F.lit(1))).alias("__shift"),
-        *payload)
+    # carrying only what the frame needs.  Rows without a time only count
+    # their peers, so they get no copy.
+    shifts = F.when(F.col("__us").isNull(), F.array(F.lit(0))) \
+              .otherwise(F.array(F.lit(0), F.lit(1)))
+    shifted = base.select(name, "__us", F.explode(shifts).alias("__shift"), *payload)
     shifted = shifted.select(
         name, "__us",
         (F.floor(F.col("__us") / window_micros) + F.col("__shift")).cast("bigint").alias("__b"),
@@ -56,7 +56,8 @@ def trailing_changelog(df: DataFrame, name: str, ts: str, seq: str,
 
     An arrival adds +1 at its time; it leaves with -1 at ``time + window``,
     after the arrivals of that same instant.  Changes are ordered by (time,
-    arrival before expiry, seq) and ``count`` is the running total.
+    arrival before expiry, seq) and ``count`` is the running total.  Rows
+    without a time are left out.
 
     Running totals normally need the whole history of a name in one task.
     Here a change in bucket B only depends on arrivals in buckets B-1 and B
@@ -64,7 +65,8 @@ def trailing_changelog(df: DataFrame, name: str, ts: str, seq: str,
     changes of B plus one "carry" +1 per arrival of B-1, placed before them.
     """
     us = epoch_micros(ts)
-    base = df.select(F.col(name).alias("name"), us.alias("__us"), F.col(seq).alias("seq"))
+    base = (df.select(F.col(name).alias("name"), us.alias("__us"), F.col(seq).alias("seq"))
+            .where(F.col("__us").isNotNull()))
     variants = F.array(
         # arrival, its expiry one window later, and a carry into the next bucket
         F.struct(F.lit(0).alias("k"), F.lit(0).alias("shift_t"), F.lit(0).alias("shift_b"),
@@ -92,7 +94,8 @@ def trailing_changelog_unbucketed(df: DataFrame, name: str, ts: str, seq: str,
     """Reference form of :func:`trailing_changelog` (one partition per name);
     kept for tests and for comparing plans."""
     us = epoch_micros(ts)
-    base = df.select(F.col(name).alias("name"), us.alias("__us"), F.col(seq).alias("seq"))
+    base = (df.select(F.col(name).alias("name"), us.alias("__us"), F.col(seq).alias("seq"))
+            .where(F.col("__us").isNotNull()))
     arr = base.select("name", "seq", F.col("__us").alias("__t"), F.lit(0).alias("__k"),
                       F.lit(1).alias("delta"))
     exp = base.select("name", "seq", (F.col("__us") + window_micros).alias("__t"),

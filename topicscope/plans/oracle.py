@@ -101,9 +101,10 @@ GKG_LINE = "concat_ws({tab}, record_id, strftime(record_time, '%Y%m%d%H%M%S'), '
            "coalesce(all_names, ''), '', '', '')".format(tab=TAB, empties20=", ".join(["''"] * 20))
 
 CHANGES = """changes AS (
-  SELECT event_type AS name, ts, event_id, 1 AS delta FROM events
+  SELECT event_type AS name, ts, event_id, 1 AS delta FROM events WHERE ts IS NOT NULL
   UNION ALL
-  SELECT event_type AS name, ts + INTERVAL 1 HOUR AS ts, event_id, -1 AS delta FROM events),
+  SELECT event_type AS name, ts + INTERVAL 1 HOUR AS ts, event_id, -1 AS delta FROM events
+  WHERE ts IS NOT NULL),
 changelog AS (
   SELECT name, ts, event_id, delta,
          CAST(sum(delta) OVER (PARTITION BY name ORDER BY ts, delta DESC, event_id

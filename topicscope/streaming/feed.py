@@ -14,7 +14,10 @@ All outputs of batch ``b`` go to folders named by ``b`` and are overwritten
 when a batch is re-run after a failure, so the feed is idempotent.  Nothing
 is collected on the driver: the driver only lists folder names.  The full
 snapshot (SNK8) is the last count per name over ``delta/``, zeros of evicted
-names included; it is read on demand by :func:`snapshot`.
+names included; it is read on demand by :func:`snapshot`.  Every
+``compact_every`` batches the snapshot is written to ``base/`` and the deltas
+it covers are deleted, so reads touch one base and a bounded number of
+deltas.
 """
 
 from __future__ import annotations
@@ -23,7 +26,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import leaderboard as lb
-from ..session import path_exists
 
 BATCH_DIGITS = 20
 
@@ -68,13 +70,14 @@ class LeaderboardFeed:
     (a folder in the shared checkpoint location)."""
 
     def __init__(self, root: str, capacity: int = lb.CAPACITY, keep_sets: int = 16,
-                 kafka: dict | None = None):
+                 kafka: dict | None = None, compact_every: int = 600):
         """``kafka`` = {"servers": .., "histogram_topic": .., "message_topic": ..}
         also publishes the upserts and the delta messages to Kafka."""
         self.root = root.rstrip("/")
         self.capacity = capacity
         self.keep_sets = keep_sets
         self.kafka = kafka
+        self.compact_every = compact_every
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -106,6 +109,8 @@ class LeaderboardFeed:
                 write_kafka(msgs.withColumn("k", F.lit(str(batch_id))), servers,
                             self.kafka["message_topic"], "k", F.col("json"))
         self._prune(spark, batch_id)
+        if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
+            compact(spark, self.root, batch_id)
 
     def _prune(self, spark: SparkSession, batch_id: int) -> None:
         """Old sets are no longer needed once newer ones are committed."""
@@ -120,16 +125,50 @@ def current_set(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(_batch_dir(root, "set", done[-1])) if done else _empty_set(spark)
 
 
+def _snapshot_from(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame:
+    root = root.rstrip("/")
+    bases = _committed_batches(spark, root, "base")
+    if upto is not None:
+        bases = [b for b in bases if b <= upto]
+    parts = []
+    since = -1
+    if bases:
+        since = bases[-1]
+        parts.append(spark.read.parquet(_batch_dir(root, "base", since))
+                     .withColumn("batch_id", F.lit(since).cast("bigint")))
+    deltas = [b for b in _committed_batches(spark, root, "delta")
+              if b > since and (upto is None or b <= upto)]
+    if deltas:
+        parts.append(spark.read.option("basePath", f"{root}/delta")
+                     .parquet(*[_batch_dir(root, "delta", b) for b in deltas])
+                     .withColumn("batch_id", F.col("batch_id").cast("bigint")))
+    if not parts:
+        return _empty_set(spark)
+    log = parts[0]
+    for p in parts[1:]:
+        log = log.unionByName(p)
+    return log.groupBy("name").agg(F.max_by("count", "batch_id").alias("count"))
+
+
 def snapshot(spark: SparkSession, root: str, include_evicted: bool = True) -> DataFrame:
     """Every name the set has held, with its last count (0 once evicted)."""
-    path = f"{root.rstrip('/')}/delta"
-    if not path_exists(spark, path):
-        return _empty_set(spark)
-    log = spark.read.parquet(path)
-    snap = log.groupBy("name").agg(F.max_by("count", "batch_id").alias("count"))
+    snap = _snapshot_from(spark, root)
     return snap if include_evicted else snap.where(F.col("count") > 0)
 
 
+def compact(spark: SparkSession, root: str, batch_id: int) -> None:
+    """Write the snapshot as of ``batch_id`` to ``base/`` and drop the
+    deltas and older bases it replaces."""
+    root = root.rstrip("/")
+    target = _batch_dir(root, "base", batch_id)
+    _snapshot_from(spark, root, upto=batch_id).write.mode("overwrite").parquet(target)
+    for kind in ("delta", "base"):
+        for b in _committed_batches(spark, root, kind):
+            if b < batch_id or (kind == "delta" and b == batch_id):
+                p, fs = _fs(spark, _batch_dir(root, kind, b))
+                fs.delete(p, True)
+
+
 def messages(spark: SparkSession, root: str) -> DataFrame:
     """(batch_id, json) delta messages in batch order."""
     return spark.read.json(f"{root.rstrip('/')}/messages").orderBy("batch_id")
