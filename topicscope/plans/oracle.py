@@ -130,6 +130,12 @@ delta AS (
   WHERE c."count" IS NULL OR p."count" IS NULL OR c."count" <> p."count")"""
 
 
+STREAM_NAMES = r"""named AS (
+  SELECT name, ts FROM (
+    SELECT regexp_replace(event_type, '[,0-9]', '', 'g') AS name, ts FROM events
+    WHERE event_type IS NOT NULL AND ts IS NOT NULL) n
+  WHERE NOT regexp_matches(name, '^[\x00-\x20]*$'))"""
+
 ORACLE_SQL: dict[str, str] = {
     "gkg_scan": f"WITH {GKG} SELECT day, all_names FROM gkg "
                 "WHERE day IS NOT NULL AND all_names IS NOT NULL",
@@ -210,4 +216,13 @@ ORACLE_SQL: dict[str, str] = {
     "delta_json": f"""WITH {SNAPSHOTS}
         SELECT to_json(list({{'name': name, 'count': "count"}} ORDER BY name, "count")) AS json
         FROM delta""",
+    "stream_trailing_arrivals": f"""WITH {STREAM_NAMES},
+        counted AS (
+          SELECT name, ts, count(*) OVER (PARTITION BY name ORDER BY ts
+                            RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW) AS c
+          FROM named)
+        SELECT name, ts, CAST(count(*) AS BIGINT) AS delta, max(c) AS "count"
+        FROM counted GROUP BY name, ts""",
+    "stream_snapshot_totals": f"""WITH {STREAM_NAMES}
+        SELECT name, count(*) AS "count" FROM named GROUP BY name""",
 }

@@ -280,3 +280,11 @@ QUERIES: dict[str, Query] = {
     "snapshot_json": snapshot_json,
     "delta_json": delta_json,
 }
+
+
+def _with_streams() -> None:
+    from .streams import STREAM_QUERIES
+    QUERIES.update(STREAM_QUERIES)
+
+
+_with_streams()

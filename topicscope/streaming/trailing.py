@@ -21,13 +21,19 @@ aggregation, minute buckets summed over a sliding hour.
 from __future__ import annotations
 
 import bisect
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+# The state function runs in Python workers; ship it with the plan instead of
+# requiring this package to be installed on every executor.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 HOUR_MS = 3_600_000
 
 CHANGE_SCHEMA = "name string, ts_us long, delta long, count long, ord long"
