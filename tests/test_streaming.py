@@ -169,3 +169,23 @@ def test_feed_compaction_keeps_snapshot(spark, scratch):
     assert _committed_batches(spark, root, "delta") == []
     assert {(r["name"], r["count"]) for r in current_set(spark, root).collect()} == \
         {("x", 5), ("z", 3)}
+
+
+def test_feed_new_segments_takes_only_new_files(spark, scratch):
+    from topicscope.streaming.feeder import feed_new_segments
+    seg = os.path.join(scratch, "segments")
+    os.makedirs(seg)
+    for stamp in ("20240101093000", "20240101094500", "20240101100000"):
+        with open(os.path.join(seg, f"{stamp}.gkg.csv"), "w") as f:
+            for i in range(4):
+                f.write("\t".join([f"{stamp}-{i}"] + [""] * 22 + [f"N{i},1", "", "", ""]) + "\n")
+    landing, state = os.path.join(scratch, "landing"), os.path.join(scratch, "hw")
+    taken = feed_new_segments(spark, seg, landing, state, 60, "2024-01-01 10:37:00")
+    assert taken == ["20240101093000.gkg.csv", "20240101094500.gkg.csv",
+                     "20240101100000.gkg.csv"]
+    again = feed_new_segments(spark, seg, landing, state, 60, "2024-01-01 10:37:00")
+    assert again == []
+    recs = spark.read.parquet(landing)
+    assert recs.count() == 12
+    first = recs.where(F.col("key") == "20240101094500-1").first()
+    assert str(first["timestamp"])[:19] == "2024-01-01 09:48:45"

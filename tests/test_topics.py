@@ -128,3 +128,13 @@ def test_count_fields_matches_split(spark):
     for r in rows:
         assert r["n"] == r["m"], r
     assert {r["v"]: r["f1"] for r in rows}["a\tb\tc"] == "b"
+
+
+def test_line_reader_report(spark, scratch):
+    path = fx.write(os.path.join(scratch, "r.csv"))
+    rep = daily_report(spark, path, reader="lines", ties="cut", match="contains")
+    got = {r["data"]: [(e["topic"], e["count"]) for e in r["result"]] for r in rep.collect()}
+    assert got["2015-02-19"] == [("Alice Bob", 2), ("", 1), ("Carol", 1), ("World War ", 1)]
+    # the empty list of row 2 becomes one blank topic; the substring match drops "Sub ..."
+    assert got["2015-02-20"] == [('Quote" x', 2), ("", 1), ('"Open quote', 1), ("Alice Bob", 1),
+                                 ('He said "hi', 1)]

@@ -38,3 +38,63 @@ def timed_records(lines: DataFrame) -> DataFrame:
 def publish_segments(spark: SparkSession, paths: str | Sequence[str], landing: str) -> None:
     """Append the timed records of ``paths`` to the landing folder."""
     timed_records(segment_lines(spark, paths)).write.mode("append").parquet(landing)
+
+
+# --- scheduled pick-up of new segments ---------------------------------------
+
+def _read_high_water(spark: SparkSession, state: str, default: str) -> str:
+    from ..session import path_exists
+    if not path_exists(spark, f"{state}/_SUCCESS"):
+        return default
+    row = spark.read.parquet(state).agg(F.max("file_name")).first()
+    return row[0] if row and row[0] else default
+
+
+def feed_new_segments(spark: SparkSession, segments_root: str, landing: str, state: str,
+                      window_minutes: int = 60, now=None,
+                      start_after: str = "20150218230000") -> list[str]:
+    """List the segments of the last ``window_minutes`` before ``now`` (UTC,
+    default: the current time), keep those after the high-water mark stored in
+    ``state`` that exist under ``segments_root``, publish their records to
+    ``landing`` and advance the mark.  Returns the file names taken.
+
+    The catalogue holds ``window_minutes / 15`` names, the only values brought
+    to the driver (a reader needs its path list)."""
+    import datetime as dt
+
+    from ..session import path_exists
+    from ..sources.segments import after_high_water, segment_catalogue
+    now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    high = _read_high_water(spark, state, start_after)
+    cat = after_high_water(segment_catalogue(spark, now, window_minutes), high)
+    names = [r["file_name"] for r in cat.orderBy("file_name").collect()]
+    root = segments_root.rstrip("/")
+    present = [n for n in names if path_exists(spark, f"{root}/{n}")]
+    if present:
+        publish_segments(spark, [f"{root}/{n}" for n in present], landing)
+        spark.createDataFrame([(present[-1],)], "file_name string") \
+             .write.mode("overwrite").parquet(state)
+    return present
+
+
+def main(argv=None) -> None:
+    """``python -m topicscope.streaming.feeder <segments_root> <landing> <state>``"""
+    import argparse
+
+    from ..session import build_session
+    ap = argparse.ArgumentParser(description=feed_new_segments.__doc__)
+    ap.add_argument("segments_root")
+    ap.add_argument("landing")
+    ap.add_argument("state")
+    ap.add_argument("--window", type=int, default=60)
+    ap.add_argument("--now")
+    args = ap.parse_args(argv)
+    spark = build_session()
+    taken = feed_new_segments(spark, args.segments_root, args.landing, args.state,
+                              args.window, args.now)
+    print("published:", ", ".join(taken) or "nothing new")
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main()

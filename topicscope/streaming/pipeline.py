@@ -47,3 +47,31 @@ def start_changelog_sink(spark: SparkSession, records: DataFrame, path: str, che
     writer = (changes.writeStream.outputMode("append").format("parquet")
               .option("path", path).option("checkpointLocation", checkpoint))
     return writer.trigger(**(trigger or {"processingTime": "1 second"})).start()
+
+
+def main(argv=None) -> None:
+    """``python -m topicscope.streaming.pipeline <landing> <root>``: run the
+    stream until stopped (or once over what is there with ``--once``)."""
+    import argparse
+
+    from ..session import build_session
+    from .source import landing_records
+    ap = argparse.ArgumentParser()
+    ap.add_argument("landing")
+    ap.add_argument("root")
+    ap.add_argument("--files-per-trigger", type=int, default=1)
+    ap.add_argument("--watermark", default="15 minutes")
+    ap.add_argument("--capacity", type=int, default=CAPACITY)
+    ap.add_argument("--once", action="store_true")
+    args = ap.parse_args(argv)
+    spark = build_session()
+    trigger = {"availableNow": True} if args.once else None
+    q = start_topic_stream(spark, landing_records(spark, args.landing, args.files_per_trigger),
+                           args.root, trigger=trigger, watermark=args.watermark,
+                           capacity=args.capacity)
+    q.awaitTermination()
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main()
