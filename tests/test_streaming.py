@@ -189,3 +189,40 @@ def test_feed_new_segments_takes_only_new_files(spark, scratch):
     assert recs.count() == 12
     first = recs.where(F.col("key") == "20240101094500-1").first()
     assert str(first["timestamp"])[:19] == "2024-01-01 09:48:45"
+
+
+def test_late_rows_inside_watermark_count_outside_dropped(spark, scratch):
+    import datetime as dt
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    landing = os.path.join(scratch, "landing")
+    os.makedirs(landing)
+
+    def rec(i, hhmm):
+        line = "\t".join([f"k{i}"] + [""] * 22 + ["A,1", "", "", ""])
+        t = dt.datetime(2024, 1, 1, int(hhmm[:2]), int(hhmm[2:]), tzinfo=dt.timezone.utc)
+        return f"k{i}", line, t
+
+    # Late input is filtered with the watermark of the previous micro-batch:
+    # after batch 0 it is 10:45, after batch 1 10:50; batch 2 is judged by 10:45.
+    files = [[rec(0, "1000"), rec(1, "1030"), rec(2, "1100")],
+             [rec(3, "1105")],
+             [rec(4, "1050"), rec(5, "1010")]]                      # inside / outside
+    base = time.time() - 1000
+    for n, rows in enumerate(files):
+        table = pa.table({"key": [r[0] for r in rows], "value": [r[1] for r in rows],
+                          "timestamp": pa.array([r[2] for r in rows], pa.timestamp("us", "UTC"))})
+        p = os.path.join(landing, f"f{n}.parquet")
+        pq.write_table(table, p)
+        os.utime(p, (base + n, base + n))
+    out, ck = os.path.join(scratch, "out"), os.path.join(scratch, "ck")
+    q = start_changelog_sink(spark, landing_records(spark, landing, max_files_per_trigger=1),
+                             out, ck, trigger={"availableNow": True})
+    q.awaitTermination(600)
+    assert q.exception() is None
+    arrivals = {(r["ts"].hour, r["ts"].minute): r["count"] for r in
+                spark.read.parquet(out).where("delta > 0")
+                .select(F.col("ts").cast("timestamp_ntz").alias("ts"), "count").collect()}
+    # at 11:05 the 10:00 mention is more than an hour old
+    assert arrivals == {(10, 0): 1, (10, 30): 2, (11, 0): 3, (11, 5): 3, (10, 50): 4}
