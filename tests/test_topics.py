@@ -138,3 +138,18 @@ def test_line_reader_report(spark, scratch):
     # the empty list of row 2 becomes one blank topic; the substring match drops "Sub ..."
     assert got["2015-02-20"] == [('Quote" x', 2), ("", 1), ('"Open quote', 1), ("Alice Bob", 1),
                                  ('He said "hi', 1)]
+
+
+def test_size_shuffle_only_raises(spark, scratch):
+    from topicscope.session import input_bytes, size_shuffle
+    path = fx.write(os.path.join(scratch, "s.csv"))
+    assert input_bytes(spark, path) == os.path.getsize(path)
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(key, None)
+    n = size_shuffle(spark, [path])
+    assert n >= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert size_shuffle(spark, [path], shuffle_fraction=1.0, target_bytes=1) >= os.path.getsize(path)
+    if before is None:
+        spark.conf.unset(key)
+    else:
+        spark.conf.set(key, before)

@@ -18,6 +18,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.topics import DEFAULT_STOP_TOPICS, daily_top_topics_nested
+from ..session import size_shuffle
 from ..sinks.json import write_json_lines
 from ..sources.gkg import gkg_line_records, gkg_records, read_gkg, read_lines
 
@@ -35,7 +36,10 @@ def daily_report(spark: SparkSession, inputs, k: int = 10, ties: str = "include"
     return daily_top_topics_nested(records, k, ties, stop_topics=stop_topics, match=match)
 
 
-def run(spark: SparkSession, inputs, output: str, mode: str = "errorifexists", **opts) -> None:
+def run(spark: SparkSession, inputs, output: str, mode: str = "errorifexists",
+        size_partitions: bool = True, **opts) -> None:
+    if size_partitions:
+        size_shuffle(spark, [inputs] if isinstance(inputs, str) else inputs)
     write_json_lines(daily_report(spark, inputs, **opts), output, mode)
 
 

@@ -82,3 +82,32 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def local_cpus() -> int:
     return int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
+
+
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Total size of the files under ``paths`` (globs allowed), from file
+    system metadata only."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in ([paths] if isinstance(paths, str) else paths):
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hp.getFileSystem(conf)
+        matches = fs.globStatus(hp) or []
+        for st in matches:
+            total += fs.getContentSummary(st.getPath()).getLength()
+    return int(total)
+
+
+def size_shuffle(spark: SparkSession, paths, shuffle_fraction: float = 0.02,
+                 target_bytes: int = 128 << 20) -> int:
+    """Raise the initial shuffle partition count so that the expected shuffle
+    (``shuffle_fraction`` of the input; counting names per day shuffles about
+    1.5% of it) lands in partitions of about ``target_bytes``; AQE coalesces
+    downwards from there.  Never lowers a larger setting.  Returns the count."""
+    want = int(input_bytes(spark, paths) * shuffle_fraction / target_bytes) + 1
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    current = spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions")
+    n = max(int(current), want)
+    spark.conf.set(key, str(n))
+    return n
