@@ -59,3 +59,16 @@ def test_null_times_count_only_their_peers(spark):
     plain = {r["id"]: r["count"] for r in trailing_count(df, "name", "ts", bucketed=False).collect()}
     assert got == plain == {1: 2, 2: 2, 3: 1, 4: 2}
     assert trailing_changelog(df, "name", "ts", "id").count() == 4
+
+
+def test_latest_per_tick_equals_aggregate(spark):
+    from topicscope.operators.trailing import latest_per_tick
+    ev = load_table(spark, SF_CHECK, "events")
+    tick = 15 * 60 * 1_000_000
+    fast = latest_per_tick(ev, "event_type", "ts", "event_id", tick)
+    ch = trailing_changelog(ev, "event_type", "ts", "event_id") \
+        .withColumn("tick", F.window("ts", "15 minutes").start)
+    slow = ch.groupBy("tick", "name").agg(
+        F.max_by("count", F.struct("ts", (-F.col("delta")).alias("k"), "seq")).alias("count"))
+    assert fast.count() == slow.count()
+    assert fast.exceptAll(slow.select("tick", "name", "count")).count() == 0

@@ -5,8 +5,9 @@ to one task, so a group that holds a third of the data makes one task do a
 third of the work.  Here the group is cut into blocks of consecutive order
 values; each (group, block) is numbered on its own, block sizes are summed
 into offsets on a table with one row per block, and the offset is joined
-back.  The only large exchange is the one on (group, block); the block table
-is small and AQE broadcasts it when its measured size allows.
+back.  The only large exchange is the one on (group, block): the block table
+is a partial aggregate (one row per block and map task before its shuffle),
+small, and AQE broadcasts it when its measured size allows.
 """
 
 from __future__ import annotations
@@ -37,15 +38,20 @@ def index_within(df: DataFrame, group: Sequence[str], order: Sequence[str],
     block_on = block_on or order[0]
     blk = "__blk"
     keys = group + [blk]
-    order_key = F.struct(*[F.col(c) for c in order])
 
     d = df.withColumn(blk, F.floor(F.col(block_on) / F.lit(block_size)).cast("bigint"))
     local = Window.partitionBy(*keys).orderBy(*order)
     d = d.withColumn("__local", (F.row_number().over(local) - 1).cast("bigint"))
 
+    # Block table: partial + final aggregate on (group, block).  A count alone
+    # is a hash aggregate; first values need an ordering (min_by), which Spark
+    # runs as a sort aggregate -- a local sort before a tiny shuffle.
     aggs = [F.count(F.lit(1)).alias("__n")]
-    aggs += [F.min_by(F.col(c), order_key).alias(f"__first_{c}") for c in first_of]
-    blocks = d.groupBy(*keys).agg(*aggs)
+    if first_of:
+        order_key = F.struct(*[F.col(c) for c in order])
+        aggs += [F.min_by(F.col(c), order_key).alias(f"__first_{c}") for c in first_of]
+    blocks = df.withColumn(blk, F.floor(F.col(block_on) / F.lit(block_size)).cast("bigint")) \
+               .groupBy(*keys).agg(*aggs)
 
     before = Window.partitionBy(*group).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*group).orderBy(blk).rowsBetween(Window.unboundedPreceding,

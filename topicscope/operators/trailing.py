@@ -50,20 +50,9 @@ def trailing_count(df: DataFrame, name: str, ts: str, window_micros: int = HOUR,
             .select(*df.columns, out))
 
 
-def trailing_changelog(df: DataFrame, name: str, ts: str, seq: str,
-                       window_micros: int = HOUR) -> DataFrame:
-    """Every change of the trailing count: (name, ts, seq, delta, count).
-
-    An arrival adds +1 at its time; it leaves with -1 at ``time + window``,
-    after the arrivals of that same instant.  Changes are ordered by (time,
-    arrival before expiry, seq) and ``count`` is the running total.  Rows
-    without a time are left out.
-
-    Running totals normally need the whole history of a name in one task.
-    Here a change in bucket B only depends on arrivals in buckets B-1 and B
-    (older ones have already left), so each partition (name, B) holds the
-    changes of B plus one "carry" +1 per arrival of B-1, placed before them.
-    """
+def _change_events(df: DataFrame, name: str, ts: str, seq: str,
+                   window_micros: int) -> DataFrame:
+    """Arrival, expiry and carry rows with their (name, bucket) keys."""
     us = epoch_micros(ts)
     base = (df.select(F.col(name).alias("name"), us.alias("__us"), F.col(seq).alias("seq"))
             .where(F.col("__us").isNotNull()))
@@ -82,13 +71,58 @@ def trailing_changelog(df: DataFrame, name: str, ts: str, seq: str,
         (F.col("__us") + F.col("v.shift_t") * F.lit(window_micros)).alias("__t"),
         (F.floor(F.col("__us") / window_micros) + F.col("v.shift_b")).cast("bigint").alias("__b"),
         F.col("v.k").alias("__k"), F.col("v.delta").alias("delta"), F.col("v.emit").alias("__emit"))
-    w = (Window.partitionBy("name", "__b").orderBy("__t", "__k", "seq")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (ev.withColumn("count", F.sum("delta").over(w).cast("bigint"))
-            .where("__emit")
+    return ev
+
+
+def _changes(df: DataFrame, name: str, ts: str, seq: str, window_micros: int) -> DataFrame:
+    """Changes with their running count, still carrying the bucket columns."""
+    ev = _change_events(df, name, ts, seq, window_micros)
+    order = Window.partitionBy("name", "__b").orderBy("__t", "__k", "seq")
+    run = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return ev.withColumn("count", F.sum("delta").over(run).cast("bigint")), order
+
+
+def trailing_changelog(df: DataFrame, name: str, ts: str, seq: str,
+                       window_micros: int = HOUR) -> DataFrame:
+    """Every change of the trailing count: (name, ts, seq, delta, count).
+
+    An arrival adds +1 at its time; it leaves with -1 at ``time + window``,
+    after the arrivals of that same instant.  Changes are ordered by (time,
+    arrival before expiry, seq) and ``count`` is the running total.  Rows
+    without a time are left out.
+
+    Running totals normally need the whole history of a name in one task.
+    Here a change in bucket B only depends on arrivals in buckets B-1 and B
+    (older ones have already left), so each partition (name, B) holds the
+    changes of B plus one "carry" +1 per arrival of B-1, placed before them.
+    """
+    ch, _ = _changes(df, name, ts, seq, window_micros)
+    return (ch.where("__emit")
             .select("name", from_epoch_micros("__t").alias("ts"), "seq", "delta", "count"))
 
 
+def latest_per_tick(df: DataFrame, name: str, ts: str, seq: str, tick_micros: int,
+                    window_micros: int = HOUR) -> DataFrame:
+    """(tick, name, count): the count after the last change of every name in
+    every tick (an epoch-aligned interval that divides the window).
+
+    A tick never straddles two buckets, so the last change of a tick is the
+    row whose next row in the same (name, bucket) partition lies in a later
+    tick -- a ``lead`` in the window that computes the running count, with no
+    further shuffle or aggregation.  (Carries sort before every change of
+    their partition and are dropped.)
+    """
+    if window_micros % tick_micros:
+        raise ValueError("the tick must divide the window")
+    ch, order = _changes(df, name, ts, seq, window_micros)
+    tick = F.floor(F.col("__t") / tick_micros).cast("bigint")
+    nxt = F.lead(tick).over(order)
+    last = nxt.isNull() | (nxt != tick)
+    return (ch.withColumn("__last", last)
+            .where(F.col("__emit") & F.col("__last"))
+            .select(from_epoch_micros(tick * tick_micros).alias("tick"), "name", "count"))
+
+
 def trailing_changelog_unbucketed(df: DataFrame, name: str, ts: str, seq: str,
                                   window_micros: int = HOUR) -> DataFrame:
     """Reference form of :func:`trailing_changelog` (one partition per name);

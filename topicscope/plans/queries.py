@@ -22,7 +22,7 @@ from ..operators import leaderboard as lb
 from ..operators.sequence import index_within
 from ..operators.topics import (as_json_lines, nest_by_day, top_k_per_group,
                                 topic_day_counts, topic_mentions)
-from ..operators.trailing import trailing_changelog, trailing_count
+from ..operators.trailing import latest_per_tick, trailing_changelog, trailing_count
 from ..sources.gkg import (gkg_like, gkg_like_lines, gkg_line_records, gkg_records,
                            gkg_tsv_path, read_gkg, read_lines)
 from ..sources.segments import (after_high_water, catalogue_of_span, last_record_key,
@@ -33,7 +33,7 @@ from ..sources.tables import load_table
 STOP_EQUALS = ("red plate",)
 STOP_CONTAINS = ("plate",)
 SENTENCE_SEPARATOR = "."
-TICK = "15 minutes"
+TICK_MICROS = 15 * 60 * 1_000_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -205,9 +205,8 @@ def trailing_hour_changelog(spark, sf_dir):
 
 
 def coalesce_latest(spark, sf_dir):
-    ch = trailing_hour_changelog(spark, sf_dir).withColumn("tick", F.window("ts", TICK).start)
-    order = F.struct("ts", (-F.col("delta")).alias("k"), "event_id")
-    return lb.latest_per_name(ch, order, by=["tick"])
+    return latest_per_tick(_events(spark, sf_dir), "event_type", "ts", "event_id",
+                           TICK_MICROS)
 
 
 # --- leaderboard ------------------------------------------------------------------
