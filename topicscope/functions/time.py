@@ -21,6 +21,14 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def floor_div(c, n) -> Column:
+    """Exact floor division of an integral column by a positive integer
+    (column or int), in 64-bit integers -- no rounding through doubles."""
+    c = _col(c)
+    n = n if isinstance(n, Column) else F.lit(int(n))
+    return F.call_function("div", c - F.pmod(c, n), n)
+
+
 def epoch() -> Column:
     return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
 
@@ -31,7 +39,7 @@ def epoch_micros(ts) -> Column:
 
 
 def epoch_millis(ts) -> Column:
-    return F.floor(epoch_micros(ts) / MICROS_PER_MILLI).cast("bigint")
+    return floor_div(epoch_micros(ts), MICROS_PER_MILLI)
 
 
 def from_epoch_micros(us) -> Column:
@@ -50,7 +58,7 @@ def to_instant(ts) -> Column:
 
 def floor_micros(ts, step_micros: int) -> Column:
     us = epoch_micros(ts)
-    return from_epoch_micros(F.floor(us / step_micros).cast("bigint") * step_micros)
+    return from_epoch_micros(floor_div(us, step_micros) * step_micros)
 
 
 def hour_start(ts) -> Column:

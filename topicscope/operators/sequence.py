@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.time import floor_div
+
 DEFAULT_BLOCK = 1 << 16
 
 
@@ -39,7 +41,7 @@ def index_within(df: DataFrame, group: Sequence[str], order: Sequence[str],
     blk = "__blk"
     keys = group + [blk]
 
-    d = df.withColumn(blk, F.floor(F.col(block_on) / F.lit(block_size)).cast("bigint"))
+    d = df.withColumn(blk, floor_div(block_on, block_size))
     local = Window.partitionBy(*keys).orderBy(*order)
     d = d.withColumn("__local", (F.row_number().over(local) - 1).cast("bigint"))
 
@@ -50,7 +52,7 @@ def index_within(df: DataFrame, group: Sequence[str], order: Sequence[str],
     if first_of:
         order_key = F.struct(*[F.col(c) for c in order])
         aggs += [F.min_by(F.col(c), order_key).alias(f"__first_{c}") for c in first_of]
-    blocks = df.withColumn(blk, F.floor(F.col(block_on) / F.lit(block_size)).cast("bigint")) \
+    blocks = df.withColumn(blk, floor_div(block_on, block_size)) \
                .groupBy(*keys).agg(*aggs)
 
     before = Window.partitionBy(*group).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.time import MICROS_PER_HOUR, epoch_micros, from_epoch_micros
+from ..functions.time import MICROS_PER_HOUR, epoch_micros, floor_div, from_epoch_micros
 
 HOUR = MICROS_PER_HOUR
 
@@ -41,7 +41,7 @@ def trailing_count(df: DataFrame, name: str, ts: str, window_micros: int = HOUR,
     shifted = base.select(name, "__us", F.explode(shifts).alias("__shift"), *payload)
     shifted = shifted.select(
         name, "__us",
-        (F.floor(F.col("__us") / window_micros) + F.col("__shift")).cast("bigint").alias("__b"),
+        (floor_div("__us", window_micros) + F.col("__shift")).alias("__b"),
         (F.col("__shift") == 0).alias("__self"),
         *[F.when(F.col("__shift") == 0, F.col(c)).alias(c) for c in payload])
     w = Window.partitionBy(name, "__b").orderBy("__us").rangeBetween(-window_micros, 0)
@@ -69,7 +69,7 @@ def _change_events(df: DataFrame, name: str, ts: str, seq: str,
     ev = ev.select(
         "name", "seq",
         (F.col("__us") + F.col("v.shift_t") * F.lit(window_micros)).alias("__t"),
-        (F.floor(F.col("__us") / window_micros) + F.col("v.shift_b")).cast("bigint").alias("__b"),
+        (floor_div("__us", window_micros) + F.col("v.shift_b")).alias("__b"),
         F.col("v.k").alias("__k"), F.col("v.delta").alias("delta"), F.col("v.emit").alias("__emit"))
     return ev
 
@@ -115,7 +115,7 @@ def latest_per_tick(df: DataFrame, name: str, ts: str, seq: str, tick_micros: in
     if window_micros % tick_micros:
         raise ValueError("the tick must divide the window")
     ch, order = _changes(df, name, ts, seq, window_micros)
-    tick = F.floor(F.col("__t") / tick_micros).cast("bigint")
+    tick = floor_div("__t", tick_micros)
     nxt = F.lead(tick).over(order)
     last = nxt.isNull() | (nxt != tick)
     return (ch.withColumn("__last", last)

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import (decode_key_millis, is_blank, java_split, parse_record_key,
                               split_all, strip_names)
-from ..functions.time import (epoch_micros, epoch_millis, format_day, from_epoch_micros,
+from ..functions.time import (epoch_micros, epoch_millis, floor_div, format_day,
+                              from_epoch_micros,
                               gkg_date_string, last_closed_segment, next_interval,
                               segment_file_name, segment_of)
 from ..operators import leaderboard as lb
@@ -146,8 +147,8 @@ def segment_catalogue_q(spark, sf_dir):
 
 
 def _high_water(events: DataFrame):
-    mid = events.agg(F.floor((F.min(epoch_micros("ts")) + F.max(epoch_micros("ts"))) / 2)
-                     .cast("bigint").alias("m"))
+    mid = events.agg(floor_div(F.min(epoch_micros("ts")) + F.max(epoch_micros("ts")), 2)
+                     .alias("m"))
     return mid.select(segment_file_name(segment_of(from_epoch_micros("m"))).alias("hw"))
 
 
@@ -226,7 +227,7 @@ def histogram_minimum(spark, sf_dir):
 def _two_snapshots(spark, sf_dir):
     ev = _events(spark, sf_dir).select("user_id", F.col("ts").cast("date").alias("d"))
     span = ev.agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
-    cut = span.select(F.date_add("lo", F.floor(F.datediff("hi", "lo") / 2).cast("int"))).scalar()
+    cut = span.select(F.date_add("lo", floor_div(F.datediff("hi", "lo"), 2).cast("int"))).scalar()
     earlier = lb.top_n(_user_hist(ev.where(F.col("d") <= cut)))
     later = lb.top_n(_user_hist(ev))
     return earlier, later

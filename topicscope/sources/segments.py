@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import FIELD_SEPARATOR, first_field
-from ..functions.time import (MICROS_PER_MINUTE, epoch_micros, from_epoch_micros,
+from ..functions.time import (MICROS_PER_MINUTE, epoch_micros, floor_div, from_epoch_micros,
                               key_start, last_closed_segment, segment_file_name,
                               segment_of, segment_stamp)
 from ..operators.sequence import index_within
@@ -56,8 +56,8 @@ def catalogue_of_span(times: DataFrame, ts: str = "ts",
     the whole table would list."""
     span = times.agg(F.max(ts).alias("now"), F.min(ts).alias("lo"))
     last = last_closed_segment(F.col("now"), minutes)
-    window = (F.floor((epoch_micros(last) - epoch_micros(segment_of(F.col("lo"), minutes)))
-                      / MICROS_PER_MINUTE) + minutes)
+    window = floor_div(epoch_micros(last) - epoch_micros(segment_of(F.col("lo"), minutes)),
+                       MICROS_PER_MINUTE) + minutes
     return (span.select(F.explode(catalogue_columns(F.col("now"), window, minutes))
                         .alias("segment_start"))
             .select("segment_start", segment_file_name("segment_start").alias("file_name")))
@@ -95,7 +95,7 @@ def spread_event_time(lines: DataFrame, minutes: int = SEGMENT_MINUTES,
     keyed = lines.withColumn("key", first_field("value"))
     idx = index_within(keyed, ["file_name"], list(order) + ["key"], block_on=order[0],
                        index_col="line_index", size_col="n_lines", first_of=["key"])
-    step_ms = F.floor(F.lit(minutes * 60_000) / F.col("n_lines")).cast("bigint")
+    step_ms = floor_div(F.lit(minutes * 60_000).cast("bigint"), F.col("n_lines"))
     start_us = epoch_micros(key_start("first_key"))
     event_us = start_us + F.col("line_index") * step_ms * 1000
     return idx.select("file_name", "key", "value", "seq", "line_index", "n_lines",
