@@ -153,3 +153,15 @@ def test_size_shuffle_only_raises(spark, scratch):
         spark.conf.unset(key)
     else:
         spark.conf.set(key, before)
+
+
+def test_typed_and_line_readers_agree_on_clean_records(spark):
+    from conftest import SF_SMALL
+    from topicscope.sources.gkg import gkg_tsv_path
+    path = gkg_tsv_path(spark, SF_SMALL)
+    typed = topic_day_counts(topic_mentions(gkg_records(read_gkg(spark, path))))
+    lines = topic_day_counts(topic_mentions(gkg_line_records(read_lines(spark, path)),
+                                            match="contains"))
+    typed = typed.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "topic", "count")
+    assert typed.count() == lines.count() > 0
+    assert typed.exceptAll(lines).count() == 0
