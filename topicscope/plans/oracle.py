@@ -161,6 +161,17 @@ ORACLE_SQL: dict[str, str] = {
                          'result': list({{'topic': topic, 'count': "count"}}
                                         ORDER BY "count" DESC, topic ASC)}}) AS json
         FROM top10 GROUP BY day""",
+    "daily_report_files": f"""WITH {GKG}, {_mentions()}, {COUNTS}, {TOP10}
+        SELECT to_json({{'data': day,
+                         'result': list({{'topic': topic, 'count': "count"}}
+                                        ORDER BY "count" DESC, topic ASC)}}) AS json
+        FROM top10 GROUP BY day""",
+    "daily_top10_lines": f"""WITH {GKG}, {_mentions("NOT contains(topic, 'Type ParentCategory')")},
+        {COUNTS}
+        SELECT strftime(day, '%Y-%m-%d') AS day, topic, "count" FROM (
+          SELECT day, topic, "count",
+                 row_number() OVER (PARTITION BY day ORDER BY "count" DESC, topic ASC) AS r
+          FROM counts) x WHERE r <= 10""",
     "format_day": "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day_text FROM orders",
     "parse_record_key": f"""
         SELECT o_orderkey, k AS record_key,

@@ -21,8 +21,9 @@ from ..functions.time import (epoch_micros, epoch_millis, floor_div, format_day,
                               segment_file_name, segment_of)
 from ..operators import leaderboard as lb
 from ..operators.sequence import index_within
-from ..operators.topics import (as_json_lines, nest_by_day, top_k_per_group,
-                                topic_day_counts, topic_mentions)
+from ..operators.topics import (as_json_lines, daily_top_topics, nest_by_day,
+                                top_k_per_group, topic_day_counts, topic_mentions)
+from .daily_job import daily_report
 from ..operators.trailing import latest_per_tick, trailing_changelog, trailing_count
 from ..sources.gkg import (gkg_like, gkg_like_lines, gkg_line_records, gkg_records,
                            gkg_tsv_path, read_gkg, read_lines)
@@ -112,6 +113,18 @@ def daily_top10_json(spark, sf_dir):
     return as_json_lines(nest_by_day(daily_top10(spark, sf_dir)))
 
 
+def daily_report_files(spark, sf_dir):
+    """The batch job end to end: record files -> one JSON object per day."""
+    return as_json_lines(daily_report(spark, gkg_tsv_path(spark, sf_dir)))
+
+
+def daily_top10_lines(spark, sf_dir):
+    """The line-rule variant: positional fields, substring stop topic,
+    exactly ten per day (ties broken by topic)."""
+    records = gkg_line_records(read_lines(spark, gkg_tsv_path(spark, sf_dir)))
+    return daily_top_topics(records, k=10, ties="cut", match="contains")
+
+
 # --- time functions ---------------------------------------------------------
 
 def format_day_q(spark, sf_dir):
@@ -260,6 +273,8 @@ QUERIES: dict[str, Query] = {
     "daily_top10": daily_top10,
     "daily_top10_exact": daily_top10_exact,
     "daily_top10_json": daily_top10_json,
+    "daily_report_files": daily_report_files,
+    "daily_top10_lines": daily_top10_lines,
     "format_day": format_day_q,
     "parse_record_key": parse_record_key_q,
     "next_quarter": next_quarter,
