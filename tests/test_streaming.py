@@ -226,3 +226,30 @@ def test_late_rows_inside_watermark_count_outside_dropped(spark, scratch):
                 .select(F.col("ts").cast("timestamp_ntz").alias("ts"), "count").collect()}
     # at 11:05 the 10:00 mention is more than an hour old
     assert arrivals == {(10, 0): 1, (10, 30): 2, (11, 0): 3, (11, 5): 3, (10, 50): 4}
+
+
+def test_changelog_stream_with_one_second_resolution(spark, scratch):
+    from topicscope.functions.time import floor_micros
+    src = os.path.join(scratch, "src")
+    landing = os.path.join(scratch, "landing")
+    os.makedirs(src)
+    os.makedirs(landing)
+    _write_files(spark, SF_SMALL, src, n_files=3)
+    _stage(sorted(os.path.join(src, d) for d in os.listdir(src)), landing)
+    out, ck = os.path.join(scratch, "out"), os.path.join(scratch, "ck")
+    q = start_changelog_sink(spark, landing_records(spark, landing, max_files_per_trigger=1),
+                             out, ck, trigger={"availableNow": True}, resolution_us=1_000_000)
+    q.awaitTermination(600)
+    assert q.exception() is None
+    stream = _stream_rows(spark, out)
+    ev = load_table(spark, SF_SMALL, "events").withColumn("ts", floor_micros("ts", 1_000_000))
+    ch = trailing_changelog(ev, "event_type", "ts", "event_id")
+    agg = (ch.groupBy("name", "ts", (F.col("delta") < 0).alias("expiry"))
+           .agg(F.sum("delta").alias("delta"), F.max("count").alias("hi"),
+                F.min("count").alias("lo")))
+    batch = {(r["name"], r["ts"], int(r["delta"])): (r["lo"] if r["expiry"] else r["hi"])
+             for r in agg.collect()}
+    assert all(k[1].microsecond == 0 for k in stream)
+    wrong = {k: (v, batch.get(k)) for k, v in stream.items() if batch.get(k) != v}
+    assert not wrong, list(wrong.items())[:5]
+    assert all(k[2] < 0 for k in set(batch) - set(stream))

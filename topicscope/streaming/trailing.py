@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..functions.time import floor_div
+
 # The state function runs in Python workers; ship it with the plan instead of
 # requiring this package to be installed on every executor.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -100,16 +102,23 @@ def make_trailing_fn(window_ms: int = HOUR_MS):
 
 
 def trailing_hour_updates(names: DataFrame, window_ms: int = HOUR_MS,
-                          watermark: str = "15 minutes", mode: str = "append") -> DataFrame:
+                          watermark: str = "15 minutes", mode: str = "append",
+                          resolution_us: int = 1) -> DataFrame:
     """Changelog stream (name, ts, delta, count, ord) of trailing counts.
 
     ``names`` has (name, timestamp).  Rows later than the watermark delay are
     dropped by Spark; a larger delay accepts later rows and expires later.
     Every change is emitted once, so the stream is append-only.
+
+    ``resolution_us`` floors arrival times before they reach the state (1 =
+    exact).  The state of a name holds at most ``window / resolution``
+    instants, which bounds it for very frequent names (e.g. 1 second: at most
+    3,600 entries per name); mentions then leave in whole resolution steps.
     """
     ev = (names.select("name", "timestamp")
           .withWatermark("timestamp", watermark)
-          .withColumn("ts_us", F.unix_micros("timestamp")))
+          .withColumn("ts_us", floor_div(F.unix_micros("timestamp"), resolution_us)
+                      * resolution_us))
     changes = ev.groupBy("name").applyInPandasWithState(
         make_trailing_fn(window_ms), CHANGE_SCHEMA, STATE_SCHEMA, mode,
         GroupStateTimeout.EventTimeTimeout)
