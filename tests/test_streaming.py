@@ -228,7 +228,11 @@ def test_late_rows_inside_watermark_count_outside_dropped(spark, scratch):
     assert arrivals == {(10, 0): 1, (10, 30): 2, (11, 0): 3, (11, 5): 3, (10, 50): 4}
 
 
-def test_changelog_stream_with_one_second_resolution(spark, scratch):
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("combine", [False, True])
+def test_changelog_stream_with_one_second_resolution(spark, scratch, combine):
     from topicscope.functions.time import floor_micros
     src = os.path.join(scratch, "src")
     landing = os.path.join(scratch, "landing")
@@ -238,7 +242,8 @@ def test_changelog_stream_with_one_second_resolution(spark, scratch):
     _stage(sorted(os.path.join(src, d) for d in os.listdir(src)), landing)
     out, ck = os.path.join(scratch, "out"), os.path.join(scratch, "ck")
     q = start_changelog_sink(spark, landing_records(spark, landing, max_files_per_trigger=1),
-                             out, ck, trigger={"availableNow": True}, resolution_us=1_000_000)
+                             out, ck, trigger={"availableNow": True}, resolution_us=1_000_000,
+                             combine=combine)
     q.awaitTermination(600)
     assert q.exception() is None
     stream = _stream_rows(spark, out)
@@ -253,3 +258,31 @@ def test_changelog_stream_with_one_second_resolution(spark, scratch):
     wrong = {k: (v, batch.get(k)) for k, v in stream.items() if batch.get(k) != v}
     assert not wrong, list(wrong.items())[:5]
     assert all(k[2] < 0 for k in set(batch) - set(stream))
+
+
+def test_combine_merges_mentions_of_one_second(spark, scratch):
+    import datetime as dt
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    landing = os.path.join(scratch, "landing")
+    os.makedirs(landing)
+    rows = []
+    for i, (sec, us) in enumerate([(0, 100_000), (0, 700_000), (5, 0)]):
+        line = "\t".join([f"k{i}"] + [""] * 22 + ["A,1;A,2;B,3", "", "", ""])
+        rows.append((f"k{i}", line, dt.datetime(2024, 1, 1, 10, 0, sec, us,
+                                                tzinfo=dt.timezone.utc)))
+    pq.write_table(pa.table({"key": [r[0] for r in rows], "value": [r[1] for r in rows],
+                             "timestamp": pa.array([r[2] for r in rows],
+                                                   pa.timestamp("us", "UTC"))}),
+                   os.path.join(landing, "f0.parquet"))
+    out, ck = os.path.join(scratch, "out"), os.path.join(scratch, "ck")
+    q = start_changelog_sink(spark, landing_records(spark, landing), out, ck,
+                             trigger={"availableNow": True}, resolution_us=1_000_000)
+    q.awaitTermination(600)
+    assert q.exception() is None
+    got = sorted((r["name"], r["ts"].second, r["delta"], r["count"]) for r in
+                 spark.read.parquet(out).select(
+                     "name", F.col("ts").cast("timestamp_ntz").alias("ts"), "delta", "count")
+                 .collect())
+    assert got == [("A", 0, 4, 4), ("A", 5, 2, 6), ("B", 0, 2, 2), ("B", 5, 1, 3)]

@@ -24,12 +24,13 @@ from .trailing import HOUR_MS, trailing_hour_updates
 def start_topic_stream(spark: SparkSession, records: DataFrame, root: str | None = None,
                        trigger: dict | None = None, watermark: str = "15 minutes",
                        window_ms: int = HOUR_MS, capacity: int = CAPACITY,
-                       query_name: str | None = None, resolution_us: int = 1) -> StreamingQuery:
+                       query_name: str | None = None, resolution_us: int = 1,
+                       combine: bool | None = None) -> StreamingQuery:
     """Start the streaming query.  ``trigger`` is passed to
     ``DataStreamWriter.trigger`` (default: one micro-batch per second)."""
     root = (root or scratch_path(spark, "topic_stream")).rstrip("/")
     changes = trailing_hour_updates(stream_names(records), window_ms, watermark,
-                                    resolution_us=resolution_us)
+                                    resolution_us=resolution_us, combine=combine)
     writer = (changes.writeStream
               .outputMode("append")
               .option("checkpointLocation", f"{root}/checkpoint")
@@ -42,10 +43,11 @@ def start_topic_stream(spark: SparkSession, records: DataFrame, root: str | None
 
 def start_changelog_sink(spark: SparkSession, records: DataFrame, path: str, checkpoint: str,
                          trigger: dict | None = None, watermark: str = "15 minutes",
-                         window_ms: int = HOUR_MS, resolution_us: int = 1) -> StreamingQuery:
+                         window_ms: int = HOUR_MS, resolution_us: int = 1,
+                         combine: bool | None = None) -> StreamingQuery:
     """Write the raw changelog (every change with its count) as parquet."""
     changes = trailing_hour_updates(stream_names(records), window_ms, watermark,
-                                    resolution_us=resolution_us)
+                                    resolution_us=resolution_us, combine=combine)
     writer = (changes.writeStream.outputMode("append").format("parquet")
               .option("path", path).option("checkpointLocation", checkpoint))
     return writer.trigger(**(trigger or {"processingTime": "1 second"})).start()

@@ -67,7 +67,10 @@ def make_trailing_fn(window_ms: int = HOUR_MS):
         if not state.hasTimedOut:
             arrivals = None
             for pdf in pdfs:
-                part = pdf.groupby("ts_us").size()
+                if "n" in pdf.columns:                  # rows already combined
+                    part = pdf.groupby("ts_us")["n"].sum()
+                else:
+                    part = pdf.groupby("ts_us").size()
                 arrivals = part if arrivals is None else arrivals.add(part, fill_value=0)
             if arrivals is not None:
                 for t, n in arrivals.sort_index().items():
@@ -101,9 +104,36 @@ def make_trailing_fn(window_ms: int = HOUR_MS):
     return trailing
 
 
+COMBINED_SCHEMA = "name string, ts_us long, n long"
+
+
+def _combine_partition(batches):
+    """Per input partition: (name, instant) -> number of mentions.  Chunks
+    are grouped as they come and regrouped when the partial result grows."""
+    import pyarrow as pa
+
+    def group(table):
+        g = table.group_by(["name", "ts_us"]).aggregate([("n", "sum")])
+        return pa.table({"name": g["name"], "ts_us": g["ts_us"], "n": g["n_sum"]})
+
+    parts, rows = [], 0
+    for rb in batches:
+        if rb.num_rows == 0:
+            continue
+        t = pa.Table.from_batches([rb]).select(["name", "ts_us"])
+        t = t.append_column("n", pa.array([1] * t.num_rows, pa.int64()))
+        parts.append(group(t))
+        rows += parts[-1].num_rows
+        if rows > 1_000_000 and len(parts) > 1:
+            parts = [group(pa.concat_tables(parts))]
+            rows = parts[0].num_rows
+    if parts:
+        yield from group(pa.concat_tables(parts)).to_batches()
+
+
 def trailing_hour_updates(names: DataFrame, window_ms: int = HOUR_MS,
                           watermark: str = "15 minutes", mode: str = "append",
-                          resolution_us: int = 1) -> DataFrame:
+                          resolution_us: int = 1, combine: bool | None = None) -> DataFrame:
     """Changelog stream (name, ts, delta, count, ord) of trailing counts.
 
     ``names`` has (name, timestamp).  Rows later than the watermark delay are
@@ -114,11 +144,23 @@ def trailing_hour_updates(names: DataFrame, window_ms: int = HOUR_MS,
     exact).  The state of a name holds at most ``window / resolution``
     instants, which bounds it for very frequent names (e.g. 1 second: at most
     3,600 entries per name); mentions then leave in whole resolution steps.
+
+    ``combine`` (default: on from 1 ms resolution) collapses each input
+    partition to one row per (name, instant) before the shuffle to the state
+    function -- the map-side combine of this stream -- so a name that carries a
+    large share of a micro-batch sends at most one row per instant and task.
     """
-    ev = (names.select("name", "timestamp")
-          .withWatermark("timestamp", watermark)
-          .withColumn("ts_us", floor_div(F.unix_micros("timestamp"), resolution_us)
-                      * resolution_us))
+    combine = resolution_us >= 1000 if combine is None else combine
+    ts_us = floor_div(F.unix_micros("timestamp"), resolution_us) * resolution_us
+    if combine:
+        ev = (names.select("name", ts_us.alias("ts_us"))
+              .mapInArrow(_combine_partition, COMBINED_SCHEMA)
+              .withColumn("timestamp", F.timestamp_micros("ts_us"))
+              .withWatermark("timestamp", watermark))
+    else:
+        ev = (names.select("name", "timestamp")
+              .withWatermark("timestamp", watermark)
+              .withColumn("ts_us", ts_us))
     changes = ev.groupBy("name").applyInPandasWithState(
         make_trailing_fn(window_ms), CHANGE_SCHEMA, STATE_SCHEMA, mode,
         GroupStateTimeout.EventTimeTimeout)
