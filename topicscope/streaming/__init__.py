@@ -1,12 +1,13 @@
 """Structured Streaming: sources, trailing-hour state, leaderboard feed."""
 
 from .feed import LeaderboardFeed, current_set, messages, snapshot
-from .feeder import publish_segments, segment_lines, timed_records
+from .feeder import (feed_new_segments, publish_segment_once, publish_segments,
+                     segment_lines, timed_records)
 from .pipeline import start_changelog_sink, start_topic_stream
 from .source import kafka_histogram, kafka_records, landing_records, stream_names
 from .trailing import sliding_hour_counts, trailing_hour_updates
 
-__all__ = ["LeaderboardFeed", "current_set", "messages", "snapshot", "publish_segments",
+__all__ = ["LeaderboardFeed", "current_set", "messages", "snapshot", "publish_segments", "publish_segment_once", "feed_new_segments",
            "segment_lines", "timed_records", "start_changelog_sink", "start_topic_stream",
            "kafka_histogram", "kafka_records", "landing_records", "stream_names",
            "sliding_hour_counts", "trailing_hour_updates"]

@@ -36,10 +36,36 @@ def timed_records(lines: DataFrame) -> DataFrame:
 
 
 def publish_segments(spark: SparkSession, paths: str | Sequence[str], landing: str) -> None:
-    """Append the timed records of ``paths`` to the landing folder."""
+    """Append the timed records of ``paths`` to the landing folder (one
+    write for all; not idempotent -- see :func:`publish_segment_once`)."""
     timed_records(segment_lines(spark, paths)).write.mode("append").parquet(landing)
 
 
+def publish_segment_once(spark: SparkSession, path: str, landing: str) -> bool:
+    """Publish one segment file as ``<landing>/<file name>.parquet`` exactly
+    once.  The records are written to a hidden staging folder and the single
+    result file is renamed into place only if that name is still free, so a
+    re-run after a failure neither duplicates nor loses records.  Returns
+    False when the segment was already published.  (A 15-minute segment is
+    small, so one output file per segment is one task.)"""
+    import uuid
+
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    target = jvm.org.apache.hadoop.fs.Path(f"{landing.rstrip('/')}/{name}.parquet")
+    fs = target.getFileSystem(conf)
+    if fs.exists(target):
+        return False
+    staging = f"{landing.rstrip('/')}/_staging/{name}-{uuid.uuid4().hex}"
+    timed_records(segment_lines(spark, path)).coalesce(1).write.parquet(staging)
+    parts = [st.getPath() for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(staging))
+             if st.getPath().getName().startswith("part-")]
+    moved = bool(parts) and fs.rename(parts[0], target)
+    fs.delete(jvm.org.apache.hadoop.fs.Path(staging), True)
+    return moved
+
+
 # --- scheduled pick-up of new segments ---------------------------------------
 
 def _read_high_water(spark: SparkSession, state: str, default: str) -> str:
@@ -55,8 +81,9 @@ def feed_new_segments(spark: SparkSession, segments_root: str, landing: str, sta
                       start_after: str = "20150218230000") -> list[str]:
     """List the segments of the last ``window_minutes`` before ``now`` (UTC,
     default: the current time), keep those after the high-water mark stored in
-    ``state`` that exist under ``segments_root``, publish their records to
-    ``landing`` and advance the mark.  Returns the file names taken.
+    ``state`` that exist under ``segments_root``, publish each one exactly
+    once to ``landing`` (oldest first) and advance the mark after each.
+    Returns the file names taken.
 
     The catalogue holds ``window_minutes / 15`` names, the only values brought
     to the driver (a reader needs its path list)."""
@@ -70,10 +97,9 @@ def feed_new_segments(spark: SparkSession, segments_root: str, landing: str, sta
     names = [r["file_name"] for r in cat.orderBy("file_name").collect()]
     root = segments_root.rstrip("/")
     present = [n for n in names if path_exists(spark, f"{root}/{n}")]
-    if present:
-        publish_segments(spark, [f"{root}/{n}" for n in present], landing)
-        spark.createDataFrame([(present[-1],)], "file_name string") \
-             .write.mode("overwrite").parquet(state)
+    for n in present:                      # oldest first; the mark follows each one
+        publish_segment_once(spark, f"{root}/{n}", landing)
+        spark.createDataFrame([(n,)], "file_name string").write.mode("overwrite").parquet(state)
     return present
 
 
