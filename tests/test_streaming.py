@@ -120,7 +120,18 @@ def test_leaderboard_stream_equals_exact_top_when_counts_grow(spark, scratch):
     assert {n for n, _ in exact} <= set(snap)
     assert all(snap[n] == c for n, c in exact)
     assert all(c == 0 for n, c in snap.items() if n not in {x for x, _ in exact})
-    assert messages(spark, root).count() >= 1
+    msgs = messages(spark, root).collect()
+    assert len(msgs) >= 1
+    import json
+    for m in msgs:
+        entries = json.loads(m["json"])
+        assert entries == sorted(entries, key=lambda e: e["name"])
+        assert all(set(e) == {"name", "count"} for e in entries)
+    # the upsert feed: the last count of every name equals its full count
+    hist = (spark.read.parquet(os.path.join(root, "histogram"))
+            .groupBy("name").agg(F.max_by("count", "batch_id").alias("count")))
+    assert {(r["name"], r["count"]) for r in hist.collect()} == \
+        {(r["name"], r["count"]) for r in full.collect()}
 
 
 def test_stream_names_rules(spark):
