@@ -6,9 +6,10 @@ microsecond more does not).
 
 Both operators partition by (name, time bucket) with a bucket as wide as the
 window, so a name that carries a large share of the data is spread over as
-many tasks as it has buckets.  A row needs at most the previous bucket to be
-complete, so each row is sent to its own bucket and, as context, to the next
-one; nothing is joined back.
+many tasks as it has buckets.  A change in a bucket only depends on arrivals
+of that bucket and the previous one, so each arrival also sends a "carry" row
+to the next bucket; nothing is joined back, and the windows are running
+totals, which keep no rows in memory.
 """
 
 from __future__ import annotations
@@ -25,6 +26,15 @@ def trailing_count(df: DataFrame, name: str, ts: str, window_micros: int = HOUR,
                    out: str = "count", bucketed: bool = True) -> DataFrame:
     """Add ``out`` = mentions of the row's name in ``[ts - window, ts]``,
     equal-time rows included (``RANGE BETWEEN window PRECEDING AND CURRENT ROW``).
+
+    The bucketed form does not use a sliding frame (Spark keeps the rows of a
+    sliding frame in memory, which for a busy name is every mention of an
+    hour).  It uses the change-log rows instead -- +1 at each arrival, -1 one
+    window later, a carry for each arrival of the previous bucket -- and a
+    running ``sum`` over ``RANGE UNBOUNDED PRECEDING`` ordered by (time,
+    kind): all arrivals of the same instant are peers and are counted, the
+    expiries of that instant sort after them.  A running frame keeps only the
+    total.  Rows without a time only count their peers.
     """
     us = epoch_micros(ts)
     if not bucketed:
@@ -33,19 +43,25 @@ def trailing_count(df: DataFrame, name: str, ts: str, window_micros: int = HOUR,
                 .withColumn(out, F.count(F.lit(1)).over(w)).drop("__us"))
     payload = [c for c in df.columns if c != name]
     base = df.select(name, us.alias("__us"), *payload)
-    # shift 0: the row itself; shift 1: a context copy for the next bucket,
-    # carrying only what the frame needs.  Rows without a time only count
-    # their peers, so they get no copy.
-    shifts = F.when(F.col("__us").isNull(), F.array(F.lit(0))) \
-              .otherwise(F.array(F.lit(0), F.lit(1)))
-    shifted = base.select(name, "__us", F.explode(shifts).alias("__shift"), *payload)
-    shifted = shifted.select(
-        name, "__us",
-        (floor_div("__us", window_micros) + F.col("__shift")).alias("__b"),
-        (F.col("__shift") == 0).alias("__self"),
-        *[F.when(F.col("__shift") == 0, F.col(c)).alias(c) for c in payload])
-    w = Window.partitionBy(name, "__b").orderBy("__us").rangeBetween(-window_micros, 0)
-    return (shifted.withColumn(out, F.count(F.lit(1)).over(w))
+    arrival = F.struct(F.lit(0).alias("k"), F.lit(0).alias("shift_t"), F.lit(0).alias("shift_b"),
+                       F.lit(1).alias("delta"))
+    expiry = F.struct(F.lit(1).alias("k"), F.lit(1).alias("shift_t"), F.lit(1).alias("shift_b"),
+                      F.lit(-1).alias("delta"))
+    carry = F.struct(F.lit(-1).alias("k"), F.lit(0).alias("shift_t"), F.lit(1).alias("shift_b"),
+                     F.lit(1).alias("delta"))
+    variants = F.when(F.col("__us").isNull(), F.array(arrival)) \
+                .otherwise(F.array(arrival, expiry, carry))
+    ev = base.select(name, "__us", F.explode(variants).alias("v"), *payload)
+    own = F.col("v.k") == 0
+    ev = ev.select(
+        name,
+        (F.col("__us") + F.col("v.shift_t") * F.lit(window_micros)).alias("__t"),
+        (floor_div("__us", window_micros) + F.col("v.shift_b")).alias("__b"),
+        F.col("v.k").alias("__k"), F.col("v.delta").alias("__d"), own.alias("__self"),
+        *[F.when(own, F.col(c)).alias(c) for c in payload])
+    w = (Window.partitionBy(name, "__b").orderBy("__t", "__k")
+         .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    return (ev.withColumn(out, F.sum("__d").over(w).cast("bigint"))
             .where("__self")
             .select(*df.columns, out))
 
