@@ -33,7 +33,9 @@ def _write_files(spark, sf_dir, landing, n_files=5):
     """Time-ordered records split into ``n_files`` single-file folders."""
     pdf = _records(spark, sf_dir).toPandas().sort_values("timestamp")
     os.makedirs(landing, exist_ok=True)
-    for i, chunk in enumerate(np.array_split(pdf, n_files)):
+    bounds = np.linspace(0, len(pdf), n_files + 1).astype(int)
+    for i, (lo, hi) in enumerate(zip(bounds[:-1], bounds[1:])):
+        chunk = pdf.iloc[lo:hi]
         p = os.path.join(landing, f"seg{i:02d}")
         spark.createDataFrame(chunk[["key", "value", "timestamp"]]) \
              .coalesce(1).write.mode("overwrite").parquet(p)

@@ -6,7 +6,6 @@ plan; this module only pins the settings those plans rely on.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -80,10 +79,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-def local_cpus() -> int:
-    return int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
-
-
 def input_bytes(spark: SparkSession, paths) -> int:
     """Total size of the files under ``paths`` (globs allowed), from file
     system metadata only."""
