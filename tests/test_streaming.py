@@ -305,3 +305,14 @@ def test_combine_merges_mentions_of_one_second(spark, scratch):
                      "name", F.col("ts").cast("timestamp_ntz").alias("ts"), "delta", "count")
                  .collect())
     assert got == [("A", 0, 4, 4), ("A", 5, 2, 6), ("B", 0, 2, 2), ("B", 5, 1, 3)]
+
+
+def test_kafka_sources_explain_missing_connector(spark):
+    from topicscope.streaming.source import kafka_histogram, kafka_records
+    for fn in (kafka_records, kafka_histogram):
+        try:
+            fn(spark, "localhost:9092", "topic")
+        except RuntimeError as exc:
+            assert "Kafka connector" in str(exc)
+        else:                                   # connector present: the reader was built
+            pass
