@@ -171,9 +171,9 @@ def test_feed_compaction_keeps_snapshot(spark, scratch):
     from topicscope.streaming.feed import LeaderboardFeed, _committed_batches
     root = os.path.join(scratch, "feed")
     feed = LeaderboardFeed(root, capacity=2, compact_every=2)
-    schema = "name string, ts_us long, delta long, count long, ord long"
-    batches = [[("x", 1, 1, 1, 0)], [("y", 2, 1, 2, 0)], [("z", 3, 1, 3, 0)],
-               [("x", 4, 1, 5, 0)], [("w", 5, 1, 1, 0)]]
+    schema = "name string, ts_us long, delta long, count long, ord long, last boolean"
+    batches = [[("x", 1, 1, 1, 0, True)], [("y", 2, 1, 2, 0, True)], [("z", 3, 1, 3, 0, True)],
+               [("x", 4, 1, 5, 0, True)], [("w", 5, 1, 1, 0, True)]]
     for i, rows in enumerate(batches):
         feed(spark.createDataFrame(rows, schema), i)
     snap = {r["name"]: r["count"] for r in snapshot(spark, root).collect()}

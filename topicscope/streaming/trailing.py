@@ -8,7 +8,9 @@ entries more than one window older than the arrival leave first (-), then the
 arrival is added (+).  At the end of the call, and whenever the event-time
 timeout fires, entries more than a window older than the watermark leave.
 The timeout is re-armed at ``oldest + window``.  Every change is emitted as
-(name, ts_us, delta, count, ord); ``ord`` numbers the changes of one call.
+(name, ts_us, delta, count, ord, last); ``ord`` numbers the changes of one
+call and ``last`` marks its final one.  A name is handled by one call per
+micro-batch, so the rows with ``last`` are the batch's upserts.
 
 Mentions of the same name and instant are merged into one change with
 their number as delta, which keeps the state per name bounded by distinct
@@ -38,7 +40,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 HOUR_MS = 3_600_000
 
-CHANGE_SCHEMA = "name string, ts_us long, delta long, count long, ord long"
+CHANGE_SCHEMA = "name string, ts_us long, delta long, count long, ord long, last boolean"
 STATE_SCHEMA = "times array<long>, counts array<long>, total long"
 
 
@@ -100,6 +102,7 @@ def make_trailing_fn(window_ms: int = HOUR_MS):
                 "delta": [o[2] for o in out],
                 "count": [o[3] for o in out],
                 "ord": list(range(len(out))),
+                "last": [False] * (len(out) - 1) + [True],
             })
     return trailing
 
@@ -165,7 +168,7 @@ def trailing_hour_updates(names: DataFrame, window_ms: int = HOUR_MS,
         make_trailing_fn(window_ms), CHANGE_SCHEMA, STATE_SCHEMA, mode,
         GroupStateTimeout.EventTimeTimeout)
     return changes.select("name", F.timestamp_micros("ts_us").alias("ts"), "ts_us",
-                          "delta", "count", "ord")
+                          "delta", "count", "ord", "last")
 
 
 def sliding_hour_counts(names: DataFrame, watermark: str = "15 minutes",
