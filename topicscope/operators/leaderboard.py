@@ -30,14 +30,23 @@ def admit(current: DataFrame, updates: DataFrame, n: int = CAPACITY) -> DataFram
     keeps its place against a newcomer with the same count (a newcomer has to
     be strictly greater than the minimum to get in).
 
-    ``current`` and ``updates`` are (name, count); ``updates`` holds the last
-    count per name of a micro-batch.
+    ``current`` is the set (at most ``n`` rows by construction, so it is
+    broadcast); ``updates`` holds one last count per name of a micro-batch and
+    is never shuffled whole: members' updates come from a broadcast semi
+    join, newcomers from a broadcast anti join cut to their own best ``n``
+    (no other newcomer can enter), and the final top-``n`` sees at most
+    ``3n`` rows.
     """
-    members = current.select("name", F.col("count").alias("old"))
-    cand = (members.join(updates, "name", "full_outer")
-            .select("name",
-                    F.coalesce(F.col("count"), F.col("old")).alias("count"),
-                    F.col("old").isNotNull().alias("member")))
+    members = current.select("name", F.col("count").cast("bigint").alias("count"))
+    names = F.broadcast(members.select("name"))
+    updated = (updates.join(names, "name", "left_semi")
+               .select("name", F.col("count").cast("bigint").alias("count")))
+    untouched = members.join(F.broadcast(updated.select("name")), "name", "left_anti")
+    newcomers = top_n(updates.join(names, "name", "left_anti")
+                      .select("name", F.col("count").cast("bigint").alias("count")), n)
+    cand = (updated.withColumn("member", F.lit(True))
+            .unionByName(untouched.withColumn("member", F.lit(True)))
+            .unionByName(newcomers.withColumn("member", F.lit(False))))
     return (cand.orderBy(F.col("count").desc(), F.col("member").desc(), F.col("name").asc())
             .limit(n).select("name", "count"))
 
