@@ -157,14 +157,14 @@ ORACLE_SQL: dict[str, str] = {
                  row_number() OVER (PARTITION BY day ORDER BY "count" DESC, topic ASC) AS r
           FROM counts) x WHERE r <= 10""",
     "daily_top10_json": f"""WITH {GKG}, {_mentions()}, {COUNTS}, {TOP10}
-        SELECT to_json({{'data': day,
+        SELECT CAST(to_json({{'data': day,
                          'result': list({{'topic': topic, 'count': "count"}}
-                                        ORDER BY "count" DESC, topic ASC)}}) AS json
+                                        ORDER BY "count" DESC, topic ASC)}}) AS VARCHAR) AS json
         FROM top10 GROUP BY day""",
     "daily_report_files": f"""WITH {GKG}, {_mentions()}, {COUNTS}, {TOP10}
-        SELECT to_json({{'data': day,
+        SELECT CAST(to_json({{'data': day,
                          'result': list({{'topic': topic, 'count': "count"}}
-                                        ORDER BY "count" DESC, topic ASC)}}) AS json
+                                        ORDER BY "count" DESC, topic ASC)}}) AS VARCHAR) AS json
         FROM top10 GROUP BY day""",
     "daily_top10_lines": f"""WITH {GKG}, {_mentions("NOT contains(topic, 'Type ParentCategory')")},
         {COUNTS}
@@ -223,9 +223,9 @@ ORACLE_SQL: dict[str, str] = {
         snap AS (SELECT name, CAST("count" AS BIGINT) AS "count" FROM later
                  UNION ALL
                  SELECT name, CAST(0 AS BIGINT) FROM earlier WHERE name NOT IN (SELECT name FROM later))
-        SELECT name, to_json({{'name': name, 'count': "count"}}) AS json FROM snap""",
+        SELECT name, CAST(to_json({{'name': name, 'count': "count"}}) AS VARCHAR) AS json FROM snap""",
     "delta_json": f"""WITH {SNAPSHOTS}
-        SELECT to_json(list({{'name': name, 'count': "count"}} ORDER BY name, "count")) AS json
+        SELECT CAST(to_json(list({{'name': name, 'count': "count"}} ORDER BY name, "count")) AS VARCHAR) AS json
         FROM delta""",
     "stream_trailing_arrivals": f"""WITH {STREAM_NAMES},
         counted AS (
