@@ -49,3 +49,21 @@ def test_top_n_capacity_100_vs_101(spark):
     rows = [(f"n{i:03d}", i) for i in range(101)]
     top = lb.top_n(_hist(spark, rows), 100).collect()
     assert len(top) == 100 and "n000" not in {r["name"] for r in top}
+
+
+def test_step_equals_admit_and_delta(spark):
+    import random
+    rnd = random.Random(7)
+    cur = _hist(spark, [])
+    for _ in range(6):
+        names = rnd.sample([f"n{i}" for i in range(12)], rnd.randint(0, 8))
+        upd = _hist(spark, [(n, rnd.randint(0, 6)) for n in names])
+        board = lb.step(cur, upd, n=4).collect()
+        nxt = lb.admit(cur, upd, n=4).collect()
+        assert {(r["name"], r["count"]) for r in board if r["member"]} == \
+            {(r["name"], r["count"]) for r in nxt}
+        nxt = _hist(spark, [tuple(r) for r in nxt])
+        assert {(r["name"], r["count"]) for r in board if r["changed"]} == \
+            {tuple(r) for r in lb.delta(cur, nxt).collect()}
+        assert all(r["changed"] for r in board if not r["member"])
+        cur = nxt

@@ -170,7 +170,7 @@ def test_sliding_hour_counts(spark, scratch):
 def test_feed_compaction_keeps_snapshot(spark, scratch):
     from topicscope.streaming.feed import LeaderboardFeed, _committed_batches
     root = os.path.join(scratch, "feed")
-    feed = LeaderboardFeed(root, capacity=2, compact_every=2)
+    feed = LeaderboardFeed(root, capacity=2, compact_every=2, keep_sets=1)
     schema = "name string, ts_us long, delta long, count long, ord long, last boolean"
     batches = [[("x", 1, 1, 1, 0, True)], [("y", 2, 1, 2, 0, True)], [("z", 3, 1, 3, 0, True)],
                [("x", 4, 1, 5, 0, True)], [("w", 5, 1, 1, 0, True)]]
@@ -179,7 +179,13 @@ def test_feed_compaction_keeps_snapshot(spark, scratch):
     snap = {r["name"]: r["count"] for r in snapshot(spark, root).collect()}
     assert snap == {"x": 5, "y": 0, "z": 3}
     assert _committed_batches(spark, root, "base") == [4]
-    assert _committed_batches(spark, root, "delta") == []
+    # boards covered by the base are gone, except the last one before it
+    assert _committed_batches(spark, root, "board") == [3, 4]
+    assert {(r["name"], r["count"]) for r in current_set(spark, root).collect()} == \
+        {("x", 5), ("z", 3)}
+    # a re-run of the compacted batch (failure before its commit) changes nothing
+    feed(spark.createDataFrame(batches[4], schema), 4)
+    assert {r["name"]: r["count"] for r in snapshot(spark, root).collect()} == snap
     assert {(r["name"], r["count"]) for r in current_set(spark, root).collect()} == \
         {("x", 5), ("z", 3)}
 

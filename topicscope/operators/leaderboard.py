@@ -8,7 +8,7 @@ partial top-k followed by a merge of at most ``k x partitions`` rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CAPACITY = 100
@@ -51,6 +51,47 @@ def admit(current: DataFrame, updates: DataFrame, n: int = CAPACITY) -> DataFram
             .limit(n).select("name", "count"))
 
 
+def step(current: DataFrame, updates: DataFrame, n: int = CAPACITY) -> DataFrame:
+    """:func:`admit` and :func:`delta` in one bounded table
+    ``(name, count, member, changed)``: the next set (``member``) and the names
+    that left it (count 0); ``changed`` marks the rows of the delta message.
+
+    ``updates`` (one row per name) is read once.  A broadcast lookup of the
+    members (at most ``n`` rows) flags each update, and ``row_number() <= n``
+    per flag keeps the members' updates (at most ``n``) and the best ``n``
+    newcomers; Spark plans that filter as a partial WindowGroupLimit before
+    its exchange, so a map task sends at most ``2n`` rows.  Everything after
+    works on at most ``3n`` rows in one partition: no further exchange.
+    """
+    members = current.select("name", F.col("count").cast("bigint").alias("old"))
+    flag = F.broadcast(members.select("name", F.lit(True).alias("member")))
+    flagged = (updates.select("name", F.col("count").cast("bigint").alias("new"))
+               .join(flag, "name", "left")
+               .select("name", "new", F.coalesce("member", F.lit(False)).alias("member")))
+    best = Window.partitionBy("member").orderBy(F.col("new").desc(), F.col("name").asc())
+    fresh = (flagged.withColumn("__r", F.row_number().over(best))
+             .where(F.col("__r") <= n).drop("__r"))
+    rows = (fresh.withColumn("old", F.lit(None).cast("bigint"))
+            .unionByName(members.select("name", F.lit(None).cast("bigint").alias("new"),
+                                        F.lit(True).alias("member"), "old"))
+            .repartition(1, "name"))
+    per_name = rows.groupBy("name").agg(F.max("member").alias("member"),
+                                        F.max("old").alias("old"), F.max("new").alias("new"))
+    count = F.coalesce("new", "old")
+    # members keep their place against newcomers with the same count
+    order = Window.orderBy(count.desc(), F.col("member").desc(), F.col("name").asc())
+    ranked = per_name.select("name", "old", count.alias("count"),
+                             (F.row_number().over(order) <= n).alias("inset"))
+    inset = F.col("inset")
+    return (ranked.where(inset | F.col("old").isNotNull())
+            .select("name",
+                    F.when(inset, F.col("count")).otherwise(F.lit(0)).cast("bigint")
+                    .alias("count"),
+                    inset.alias("member"),
+                    (~inset | F.col("old").isNull() | (F.col("old") != F.col("count")))
+                    .alias("changed")))
+
+
 def delta(previous: DataFrame, current: DataFrame) -> DataFrame:
     """Changes from one bounded set to the next: new or changed names with
     their count, names that left with count 0 (both sides are <= capacity)."""

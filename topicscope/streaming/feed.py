@@ -5,19 +5,20 @@ For every micro-batch of trailing-count changes:
 1. the last count per name in the batch is written to ``histogram/`` (the
    upsert feed, one folder per batch);
 2. the bounded set of the previous batch and these updates give the next
-   set (:func:`operators.leaderboard.admit`), written to ``set/``;
-3. the difference between the two sets -- new or changed names with their
-   count, names that left with 0 -- is written to ``delta/`` and, as one
-   JSON array per batch, to ``messages/``.
+   set and its changes in one bounded table (:func:`operators.leaderboard.step`),
+   written to ``board/``: the members of the next set, the names that left it
+   (count 0), and a ``changed`` flag for new or changed names and leavers;
+3. the changed rows, as one JSON array per batch, go to ``messages/``.
 
 All outputs of batch ``b`` go to folders named by ``b`` and are overwritten
 when a batch is re-run after a failure, so the feed is idempotent.  Nothing
 is collected on the driver: the driver only lists folder names.  The full
-snapshot (SNK8) is the last count per name over ``delta/``, zeros of evicted
-names included; it is read on demand by :func:`snapshot`.  Every
-``compact_every`` batches the snapshot is written to ``base/`` and the deltas
-it covers are deleted, so reads touch one base and a bounded number of
-deltas.
+snapshot (SNK8) is the last count per name over the changed rows of
+``board/``, zeros of evicted names included; it is read on demand by
+:func:`snapshot`.  Every ``compact_every`` batches the snapshot is written to
+``base/`` and the boards it covers are deleted (the last ``keep_sets`` stay,
+so a re-run batch finds its previous set), so reads touch one base and a
+bounded number of boards.
 """
 
 from __future__ import annotations
@@ -28,6 +29,9 @@ from pyspark.sql import functions as F
 from ..operators import leaderboard as lb
 
 BATCH_DIGITS = 20
+# Known layouts: reading with a schema skips the footer-reading job.
+HISTOGRAM_SCHEMA = "name string, count bigint"
+BOARD_SCHEMA = "name string, count bigint, member boolean, changed boolean"
 
 
 def _batch_dir(root: str, kind: str, batch_id: int) -> str:
@@ -57,12 +61,17 @@ def _empty_set(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], "name string, count bigint")
 
 
+def _members(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
+    return (spark.read.schema(BOARD_SCHEMA).parquet(_batch_dir(root, "board", batch_id))
+            .where(F.col("member")).select("name", "count"))
+
+
 def previous_set(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
     """The bounded set after the latest committed batch before ``batch_id``."""
-    earlier = [b for b in _committed_batches(spark, root, "set") if b < batch_id]
+    earlier = [b for b in _committed_batches(spark, root, "board") if b < batch_id]
     if not earlier:
         return _empty_set(spark)
-    return spark.read.parquet(_batch_dir(root, "set", earlier[-1]))
+    return _members(spark, root, earlier[-1])
 
 
 class LeaderboardFeed:
@@ -86,20 +95,15 @@ class LeaderboardFeed:
         updates = batch.where(F.col("last")).select("name", "count")
         hist_dir = _batch_dir(self.root, "histogram", batch_id)
         updates.write.mode("overwrite").parquet(hist_dir)
-        updates = spark.read.parquet(hist_dir)
+        updates = spark.read.schema(HISTOGRAM_SCHEMA).parquet(hist_dir)
 
         prev = previous_set(spark, self.root, batch_id)
-        nxt = lb.admit(prev, updates, self.capacity)
-        set_dir = _batch_dir(self.root, "set", batch_id)
-        nxt.coalesce(1).write.mode("overwrite").parquet(set_dir)
-        nxt = spark.read.parquet(set_dir)
-
-        d = lb.delta(prev, nxt)
-        delta_dir = _batch_dir(self.root, "delta", batch_id)
-        d.coalesce(1).write.mode("overwrite").parquet(delta_dir)
-        d = spark.read.parquet(delta_dir)
+        board_dir = _batch_dir(self.root, "board", batch_id)
+        lb.step(prev, updates, self.capacity).write.mode("overwrite").parquet(board_dir)
+        changes = (spark.read.schema(BOARD_SCHEMA).parquet(board_dir).where(F.col("changed"))
+                   .select("name", "count"))
         msg_dir = _batch_dir(self.root, "messages", batch_id)
-        (lb.json_message(d).where(F.col("json") != "[]")
+        (lb.json_message(changes).where(F.col("json") != "[]")
          .coalesce(1).write.mode("overwrite").json(msg_dir))
         if self.kafka:
             from ..sinks.json import write_kafka
@@ -110,21 +114,13 @@ class LeaderboardFeed:
             if "json" in msgs.columns:
                 write_kafka(msgs.withColumn("k", F.lit(str(batch_id))), servers,
                             self.kafka["message_topic"], "k", F.col("json"))
-        self._prune(spark, batch_id)
         if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
-            compact(spark, self.root, batch_id)
-
-    def _prune(self, spark: SparkSession, batch_id: int) -> None:
-        """Old sets are no longer needed once newer ones are committed."""
-        sets = [b for b in _committed_batches(spark, self.root, "set") if b < batch_id]
-        for b in sets[:-self.keep_sets] if len(sets) > self.keep_sets else []:
-            p, fs = _fs(spark, _batch_dir(self.root, "set", b))
-            fs.delete(p, True)
+            compact(spark, self.root, batch_id, self.keep_sets)
 
 
 def current_set(spark: SparkSession, root: str) -> DataFrame:
-    done = _committed_batches(spark, root, "set")
-    return spark.read.parquet(_batch_dir(root, "set", done[-1])) if done else _empty_set(spark)
+    done = _committed_batches(spark, root, "board")
+    return _members(spark, root, done[-1]) if done else _empty_set(spark)
 
 
 def _snapshot_from(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame:
@@ -138,12 +134,13 @@ def _snapshot_from(spark: SparkSession, root: str, upto: int | None = None) -> D
         since = bases[-1]
         parts.append(spark.read.parquet(_batch_dir(root, "base", since))
                      .withColumn("batch_id", F.lit(since).cast("bigint")))
-    deltas = [b for b in _committed_batches(spark, root, "delta")
+    boards = [b for b in _committed_batches(spark, root, "board")
               if b > since and (upto is None or b <= upto)]
-    if deltas:
-        parts.append(spark.read.option("basePath", f"{root}/delta")
-                     .parquet(*[_batch_dir(root, "delta", b) for b in deltas])
-                     .withColumn("batch_id", F.col("batch_id").cast("bigint")))
+    if boards:
+        parts.append(spark.read.option("basePath", f"{root}/board")
+                     .parquet(*[_batch_dir(root, "board", b) for b in boards])
+                     .where(F.col("changed"))
+                     .select("name", "count", F.col("batch_id").cast("bigint")))
     if not parts:
         return _empty_set(spark)
     log = parts[0]
@@ -158,17 +155,21 @@ def snapshot(spark: SparkSession, root: str, include_evicted: bool = True) -> Da
     return snap if include_evicted else snap.where(F.col("count") > 0)
 
 
-def compact(spark: SparkSession, root: str, batch_id: int) -> None:
-    """Write the snapshot as of ``batch_id`` to ``base/`` and drop the
-    deltas and older bases it replaces."""
+def compact(spark: SparkSession, root: str, batch_id: int, keep: int = 16) -> None:
+    """Write the snapshot as of ``batch_id`` to ``base/`` (once: a re-run of
+    the batch finds it committed) and drop the older bases and the boards it
+    covers, except the last ``keep`` before ``batch_id`` (previous sets for
+    re-runs; the snapshot reader skips them)."""
     root = root.rstrip("/")
-    target = _batch_dir(root, "base", batch_id)
-    _snapshot_from(spark, root, upto=batch_id).write.mode("overwrite").parquet(target)
-    for kind in ("delta", "base"):
-        for b in _committed_batches(spark, root, kind):
-            if b < batch_id or (kind == "delta" and b == batch_id):
-                p, fs = _fs(spark, _batch_dir(root, kind, b))
-                fs.delete(p, True)
+    if batch_id not in _committed_batches(spark, root, "base"):
+        target = _batch_dir(root, "base", batch_id)
+        _snapshot_from(spark, root, upto=batch_id).write.mode("overwrite").parquet(target)
+    old_boards = [b for b in _committed_batches(spark, root, "board") if b < batch_id]
+    doomed = [("base", b) for b in _committed_batches(spark, root, "base") if b < batch_id]
+    doomed += [("board", b) for b in old_boards[:max(len(old_boards) - keep, 0)]]
+    for kind, b in doomed:
+        p, fs = _fs(spark, _batch_dir(root, kind, b))
+        fs.delete(p, True)
 
 
 def messages(spark: SparkSession, root: str) -> DataFrame:

@@ -148,12 +148,13 @@ def trailing_hour_updates(names: DataFrame, window_ms: int = HOUR_MS,
     instants, which bounds it for very frequent names (e.g. 1 second: at most
     3,600 entries per name); mentions then leave in whole resolution steps.
 
-    ``combine`` (default: on from 1 ms resolution) collapses each input
-    partition to one row per (name, instant) before the shuffle to the state
-    function -- the map-side combine of this stream -- so a name that carries a
-    large share of a micro-batch sends at most one row per instant and task.
+    ``combine`` (default on) collapses each input partition to one row per
+    (name, instant) before the shuffle to the state function -- the map-side
+    combine of this stream -- so a name that carries a large share of a
+    micro-batch sends at most one row per instant and task (a record that
+    repeats a name is one row; at a coarser resolution, one row per step).
     """
-    combine = resolution_us >= 1000 if combine is None else combine
+    combine = True if combine is None else combine
     ts_us = floor_div(F.unix_micros("timestamp"), resolution_us) * resolution_us
     if combine:
         ev = (names.select("name", ts_us.alias("ts_us"))
