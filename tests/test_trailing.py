@@ -72,3 +72,52 @@ def test_latest_per_tick_equals_aggregate(spark):
         F.max_by("count", F.struct("ts", (-F.col("delta")).alias("k"), "seq")).alias("count"))
     assert fast.count() == slow.count()
     assert fast.exceptAll(slow.select("tick", "name", "count")).count() == 0
+
+
+def _one_by_one(times, counts, total, arrivals, watermark_us, window):
+    """The state function's rule written out per arrival: before each
+    arrival, entries with time + window < arrival leave; at the end, those
+    with time + window < watermark."""
+    live = dict(zip(times, counts))
+    out = []
+
+    def leave(limit):
+        nonlocal total
+        for t in sorted(live):
+            if t + window < limit:
+                total -= live[t]
+                out.append((t + window, -live.pop(t), total))
+
+    for t, n in sorted(arrivals.items()):
+        leave(t)
+        live[t] = live.get(t, 0) + n
+        total += n
+        out.append((t, n, total))
+    if watermark_us is not None:
+        leave(watermark_us)
+    return sorted(live.items()), total, out
+
+
+def test_vectorised_state_step_equals_one_by_one():
+    import random
+
+    import numpy as np
+
+    from topicscope.streaming.trailing import NO_BOUND, advance
+    rnd = random.Random(11)
+    window = 50
+    for _ in range(400):
+        live = sorted(rnd.sample(range(0, 120), rnd.randint(0, 8)))
+        counts = [rnd.randint(1, 3) for _ in live]
+        total = sum(counts)
+        arrivals = {t: rnd.randint(1, 4) for t in rnd.sample(range(0, 260), rnd.randint(0, 10))}
+        wm = rnd.choice([None, rnd.randint(0, 300)])
+        want_live, want_total, want = _one_by_one(live, counts, total, arrivals, wm, window)
+        arr = sorted(arrivals.items())
+        t, c, got_total, ev_t, ev_d, run = advance(
+            np.array(live, np.int64), np.array(counts, np.int64), total,
+            np.array([a for a, _ in arr], np.int64), np.array([n for _, n in arr], np.int64),
+            NO_BOUND if wm is None else wm, window)
+        assert list(zip(t.tolist(), c.tolist())) == want_live
+        assert got_total == want_total
+        assert list(zip(ev_t.tolist(), ev_d.tolist(), run.tolist())) == want

@@ -7,7 +7,9 @@ total.  For every batch the arrivals of the name are handled in time order:
 entries more than one window older than the arrival leave first (-), then the
 arrival is added (+).  At the end of the call, and whenever the event-time
 timeout fires, entries more than a window older than the watermark leave.
-The timeout is re-armed at ``oldest + window``.  Every change is emitted as
+The timeout is re-armed at ``oldest + window``.  A call is one vectorised
+merge of arrivals and leaving entries (:func:`advance`), not a loop over
+arrivals.  Every change is emitted as
 (name, ts_us, delta, count, ord, last); ``ord`` numbers the changes of one
 call and ``last`` marks its final one.  A name is handled by one call per
 micro-batch, so the rows with ``last`` are the batch's upserts.
@@ -22,10 +24,10 @@ aggregation, minute buckets summed over a sliding hour.
 
 from __future__ import annotations
 
-import bisect
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -44,15 +46,56 @@ CHANGE_SCHEMA = "name string, ts_us long, delta long, count long, ord long, last
 STATE_SCHEMA = "times array<long>, counts array<long>, total long"
 
 
-def _expire(name, times, counts, total, limit_us, window_us, out):
-    """Remove entries with ``t + window < limit_us`` (oldest first)."""
-    k = bisect.bisect_left(times, limit_us - window_us)
-    for t, c in zip(times[:k], counts[:k]):
-        total -= c
-        out.append((name, t + window_us, -c, total))
-    del times[:k]
-    del counts[:k]
-    return total
+NO_BOUND = -(1 << 62)
+
+
+def advance(times, counts, total: int, arr_t, arr_n, watermark_us: int, window_us: int):
+    """One call of the state function, vectorised.
+
+    ``times``/``counts`` are the live entries (sorted distinct instants, in
+    microseconds), ``arr_t``/``arr_n`` this call's arrivals (sorted distinct
+    instants).  Arrivals at an instant that is already live are merged into
+    its entry.  An entry leaves, with ``-count`` at ``time + window``, before
+    the first arrival strictly later than that, or at the end of the call
+    when ``time + window`` is below the watermark -- so the changes are the
+    arrivals and the leaving entries merged in time order (an arrival first
+    at equal times), and each change's count is a running total.
+
+    Returns the entries left, the new total and the changes (time, delta,
+    count) in order.  Cost: sorting the live entries and arrivals once per
+    call, whatever the number of arrivals.
+    """
+    t = np.concatenate([times, arr_t])
+    c = np.concatenate([counts, arr_n])
+    if len(arr_t) and len(times):
+        t, inv = np.unique(t, return_inverse=True)
+        c = np.bincount(inv, weights=c, minlength=len(t)).astype(np.int64)
+    bound = max(int(arr_t[-1]) if len(arr_t) else NO_BOUND, watermark_us)
+    k = int(np.searchsorted(t, bound - window_us, side="left"))   # t + window < bound
+    ev_t = np.concatenate([arr_t, t[:k] + window_us])
+    ev_d = np.concatenate([arr_n, -c[:k]])
+    kind = np.concatenate([np.zeros(len(arr_t), np.int8), np.ones(k, np.int8)])
+    order = np.lexsort((kind, ev_t))
+    ev_t, ev_d = ev_t[order], ev_d[order]
+    run = total + np.cumsum(ev_d)
+    new_total = int(run[-1]) if len(run) else total
+    return t[k:], c[k:], new_total, ev_t, ev_d, run
+
+
+def _arrivals(pdfs: Iterator[pd.DataFrame]):
+    """Sorted distinct instants of the call's rows and the mentions at each."""
+    arrivals = None
+    for pdf in pdfs:
+        if "n" in pdf.columns:                  # rows already combined
+            part = pdf.groupby("ts_us")["n"].sum()
+        else:
+            part = pdf.groupby("ts_us").size()
+        arrivals = part if arrivals is None else arrivals.add(part, fill_value=0)
+    if arrivals is None or len(arrivals) == 0:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    arrivals = arrivals.sort_index()
+    return (arrivals.index.to_numpy().astype(np.int64),
+            arrivals.to_numpy().astype(np.int64))
 
 
 def make_trailing_fn(window_ms: int = HOUR_MS):
@@ -62,48 +105,32 @@ def make_trailing_fn(window_ms: int = HOUR_MS):
         name = key[0]
         if state.exists:
             times, counts, total = state.get
-            times, counts, total = list(times), list(counts), int(total)
+            times = np.asarray(times, np.int64)
+            counts = np.asarray(counts, np.int64)
+            total = int(total)
+        else:
+            times, counts, total = np.empty(0, np.int64), np.empty(0, np.int64), 0
+        if state.hasTimedOut:
+            arr_t, arr_n = np.empty(0, np.int64), np.empty(0, np.int64)
         else:
-            times, counts, total = [], [], 0
-        out: list[tuple] = []
-        if not state.hasTimedOut:
-            arrivals = None
-            for pdf in pdfs:
-                if "n" in pdf.columns:                  # rows already combined
-                    part = pdf.groupby("ts_us")["n"].sum()
-                else:
-                    part = pdf.groupby("ts_us").size()
-                arrivals = part if arrivals is None else arrivals.add(part, fill_value=0)
-            if arrivals is not None:
-                for t, n in arrivals.sort_index().items():
-                    t, n = int(t), int(n)
-                    total = _expire(name, times, counts, total, t, window_us, out)
-                    i = bisect.bisect_left(times, t)
-                    if i < len(times) and times[i] == t:
-                        counts[i] += n
-                    else:
-                        times.insert(i, t)
-                        counts.insert(i, n)
-                    total += n
-                    out.append((name, t, n, total))
+            arr_t, arr_n = _arrivals(pdfs)
         wm = state.getCurrentWatermarkMs()
-        if wm and wm > 0:
-            total = _expire(name, times, counts, total, wm * 1000, window_us, out)
-        if times:
-            state.update((times, counts, total))
+        wm_us = wm * 1000 if wm and wm > 0 else NO_BOUND
+        times, counts, total, ev_t, ev_d, run = advance(times, counts, total, arr_t, arr_n,
+                                                        wm_us, window_us)
+        if len(times):
+            state.update((times.tolist(), counts.tolist(), total))
             # fires once the watermark passes the oldest entry's expiry
-            state.setTimeoutTimestamp(max(times[0] + window_us, 1000) // 1000)
+            state.setTimeoutTimestamp(max(int(times[0]) + window_us, 1000) // 1000)
         else:
             state.remove()
-        if out:
-            yield pd.DataFrame({
-                "name": [o[0] for o in out],
-                "ts_us": [o[1] for o in out],
-                "delta": [o[2] for o in out],
-                "count": [o[3] for o in out],
-                "ord": list(range(len(out))),
-                "last": [False] * (len(out) - 1) + [True],
-            })
+        n = len(ev_t)
+        if n:
+            last = np.zeros(n, bool)
+            last[-1] = True
+            yield pd.DataFrame({"name": [name] * n, "ts_us": ev_t, "delta": ev_d,
+                                "count": run, "ord": np.arange(n, dtype=np.int64),
+                                "last": last})
     return trailing
 
 
