@@ -155,6 +155,29 @@ def test_size_shuffle_only_raises(spark, scratch):
         spark.conf.set(key, before)
 
 
+def test_size_scan_raises_within_bounds(spark, scratch):
+    from topicscope.session import size_scan
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key, None)
+    path = fx.write(os.path.join(scratch, "s.csv"))
+    cores = spark.sparkContext.defaultParallelism
+    try:
+        spark.conf.set(key, "128MB")
+        assert size_scan(spark, [path]) == 128 << 20            # small input: default kept
+        # 100 TB over this session's cores: capped at 1 GB per task
+        assert size_scan(spark, [path], total_bytes=100 << 40) == 1 << 30
+        assert spark.conf.get(key) == str(1 << 30)
+        assert size_scan(spark, [path], total_bytes=0) == 1 << 30   # never lowered
+        spark.conf.set(key, "128MB")
+        mid = cores * 4 * (300 << 20)
+        assert size_scan(spark, [path], total_bytes=mid) == 300 << 20
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def test_typed_and_line_readers_agree_on_clean_records(spark):
     from conftest import SF_SMALL
     from topicscope.sources.gkg import gkg_tsv_path

@@ -18,7 +18,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.topics import DEFAULT_STOP_TOPICS, daily_top_topics_nested
-from ..session import size_shuffle
+from ..session import size_scan, size_shuffle
 from ..sinks.json import write_json_lines
 from ..sources.gkg import gkg_line_records, gkg_records, read_gkg, read_lines
 
@@ -39,7 +39,9 @@ def daily_report(spark: SparkSession, inputs, k: int = 10, ties: str = "include"
 def run(spark: SparkSession, inputs, output: str, mode: str = "errorifexists",
         size_partitions: bool = True, **opts) -> None:
     if size_partitions:
-        size_shuffle(spark, [inputs] if isinstance(inputs, str) else inputs)
+        paths = [inputs] if isinstance(inputs, str) else inputs
+        size_scan(spark, paths)
+        size_shuffle(spark, paths)
     write_json_lines(daily_report(spark, inputs, **opts), output, mode)
 
 

@@ -93,7 +93,9 @@ def input_bytes(spark: SparkSession, paths) -> int:
         fs = hp.getFileSystem(conf)
         matches = fs.globStatus(hp) or []
         for st in matches:
-            total += fs.getContentSummary(st.getPath()).getLength()
+            # a file's length comes with the listing; only folders need a summary
+            total += st.getLen() if st.isFile() else \
+                fs.getContentSummary(st.getPath()).getLength()
     return int(total)
 
 
@@ -109,3 +111,27 @@ def size_shuffle(spark: SparkSession, paths, shuffle_fraction: float = 0.02,
     n = max(int(current), want)
     spark.conf.set(key, str(n))
     return n
+
+
+def size_scan(spark: SparkSession, paths, waves: int = 4, low: int = 128 << 20,
+              high: int = 1 << 30, total_bytes: int | None = None) -> int:
+    """Raise ``spark.sql.files.maxPartitionBytes`` so that a scan of ``paths``
+    runs in about ``waves`` waves of tasks over the cluster's cores, between
+    ``low`` and ``high`` bytes per task.  At 100 TB the default 128 MB makes
+    about 800,000 tasks, and scheduling them costs more than the larger splits
+    do.  The scan streams its split, so a larger split does not need more
+    memory.  Never lowers a larger setting.  Returns the value in bytes."""
+    total = input_bytes(spark, paths) if total_bytes is None else total_bytes
+    cores = max(int(spark.sparkContext.defaultParallelism), 1)
+    want = min(max(total // (cores * waves), low), high)
+    key = "spark.sql.files.maxPartitionBytes"
+    current = _bytes(spark, spark.conf.get(key, None) or f"{low}b")
+    n = max(current, int(want))
+    spark.conf.set(key, str(n))
+    return n
+
+
+def _bytes(spark: SparkSession, value: str) -> int:
+    """A size setting (``128MB``, ``134217728``) in bytes, parsed by the JVM."""
+    return int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils
+               .byteStringAsBytes(value))
