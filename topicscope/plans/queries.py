@@ -2,8 +2,11 @@
 
 Each query takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
 whole tables.  ``gkg_like`` (see ``sources.gkg``) stands in for a record
-file; ``events`` drives the time-based family with ``event_type`` as the
-name of the trailing counts and ``user_id`` as the leaderboard name.
+file: it is derived from orders, lineitem and part once per input folder and
+written as parquet (``gkg_like_table``), and the topic queries scan it the
+way the report scans record files.  ``events`` drives the time-based family
+with ``event_type`` as the name of the trailing counts and ``user_id`` as the
+leaderboard name.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from ..operators.topics import (as_json_lines, daily_top_topics, nest_by_day,
                                 top_k_per_group, topic_day_counts, topic_mentions)
 from .daily_job import daily_report
 from ..operators.trailing import latest_per_tick, trailing_changelog, trailing_count
-from ..sources.gkg import (gkg_like, gkg_like_lines, gkg_line_records, gkg_records,
+from ..sources.gkg import (gkg_like_lines, gkg_like_table, gkg_line_records, gkg_records,
                            gkg_tsv_path, read_gkg, read_lines)
 from ..sources.segments import (after_high_water, catalogue_of_span, last_record_key,
                                 record_envelope, record_lines, spread_event_time)
@@ -45,7 +48,7 @@ def _events(spark, sf_dir) -> DataFrame:
 
 
 def _records(spark, sf_dir) -> DataFrame:
-    return gkg_like(spark, sf_dir).select("day", "all_names")
+    return gkg_like_table(spark, sf_dir).select("day", "all_names")
 
 
 # --- scans ------------------------------------------------------------------
@@ -189,7 +192,7 @@ def last_record_key_q(spark, sf_dir):
 
 
 def segments_union(spark, sf_dir):
-    gkg_lines = gkg_like_lines(gkg_like(spark, sf_dir)).select(
+    gkg_lines = gkg_like_lines(gkg_like_table(spark, sf_dir)).select(
         F.substring_index("value", "\t", 1).alias("key"), "value")
     ev_lines = record_lines(_events(spark, sf_dir)).select(
         F.substring_index("value", "\t", 1).alias("key"), "value")

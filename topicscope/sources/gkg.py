@@ -131,15 +131,53 @@ def gkg_like_lines(like: DataFrame) -> DataFrame:
     return like.select(F.concat_ws(FIELD_SEPARATOR, *fields).alias("value"))
 
 
+LIKE_FORMAT = "gkg-like-v1"
 LINES_FORMAT = "gkg-lines-v1"
+LIKE_SOURCES = ("orders", "lineitem", "part")
+LIKE_SCHEMA = "record_id string, record_time timestamp_ntz, day date, all_names string"
+
+
+def _source_stamp(spark: SparkSession, sf_dir: str, tables: Sequence[str]) -> str:
+    """Sizes and modification times of the source tables (file-system metadata
+    only), so a derived folder is rebuilt when its inputs change."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    parts = []
+    for t in tables:
+        p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{t}.parquet")
+        fs = p.getFileSystem(conf)
+        st = fs.getFileStatus(p)
+        size = st.getLen() if st.isFile() else fs.getContentSummary(p).getLength()
+        parts.append(f"{t}:{size}:{st.getModificationTime()}")
+    return ",".join(parts)
+
+
+def derived_path(spark: SparkSession, kind: str, fmt: str, sf_dir: str,
+                 tables: Sequence[str], build) -> str:
+    """A folder derived from the tables of ``sf_dir``, written once by
+    ``build(path)`` (a distributed write) under the shared checkpoint folder
+    and reused afterwards.  The folder name covers the input folder, the
+    source tables' metadata and the format version; a write that did not
+    finish leaves no ``_SUCCESS`` and is redone."""
+    key = f"{fmt}:{sf_dir.rstrip('/')}:{_source_stamp(spark, sf_dir, tables)}"
+    path = scratch_path(spark, kind, hashlib.sha1(key.encode()).hexdigest()[:12])
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        build(path)
+    return path
+
+
+def gkg_like_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`gkg_like` written once as parquet and read back: the record
+    table the topic queries scan, as a record file would be scanned."""
+    path = derived_path(spark, "gkg_like", LIKE_FORMAT, sf_dir, LIKE_SOURCES,
+                        lambda p: gkg_like(spark, sf_dir).write.mode("overwrite").parquet(p))
+    return spark.read.schema(LIKE_SCHEMA).parquet(path)
+
 
 
 def gkg_tsv_path(spark: SparkSession, sf_dir: str) -> str:
-    """Record files for ``sf_dir`` in the shared checkpoint folder, written
-    once (by a distributed text write) and reused afterwards; the folder name
-    covers the input folder and the line format."""
-    tag = hashlib.sha1(f"{LINES_FORMAT}:{sf_dir.rstrip('/')}".encode()).hexdigest()[:12]
-    path = scratch_path(spark, "gkg_tsv", tag)
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        gkg_like_lines(gkg_like(spark, sf_dir)).write.mode("overwrite").text(path)
-    return path
+    """Record files for ``sf_dir`` in the shared checkpoint folder (27-field
+    tab-separated lines of :func:`gkg_like_table`), written once."""
+    return derived_path(
+        spark, "gkg_tsv", LINES_FORMAT, sf_dir, LIKE_SOURCES,
+        lambda p: gkg_like_lines(gkg_like_table(spark, sf_dir)).write.mode("overwrite").text(p))
