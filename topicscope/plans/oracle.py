@@ -236,4 +236,14 @@ ORACLE_SQL: dict[str, str] = {
         FROM counted GROUP BY name, ts""",
     "stream_snapshot_totals": f"""WITH {STREAM_NAMES}
         SELECT name, count(*) AS "count" FROM named GROUP BY name""",
+    "stream_sliding_hour": f"""WITH {STREAM_NAMES},
+        per_minute AS (
+          SELECT name, time_bucket(INTERVAL 1 MINUTE, ts) AS minute, count(*) AS n
+          FROM named GROUP BY name, minute),
+        spread AS (
+          SELECT name, minute - to_minutes(k) AS start, n
+          FROM per_minute, range(0, 60) r(k))
+        SELECT start, start + INTERVAL 1 HOUR AS "end", name, CAST(sum(n) AS BIGINT) AS "count"
+        FROM spread GROUP BY name, start
+        HAVING start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM named) - INTERVAL 15 MINUTES""",
 }

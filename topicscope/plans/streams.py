@@ -21,7 +21,8 @@ from ..session import scratch_path
 from ..sources.tables import load_table
 from ..streaming.feed import snapshot
 from ..streaming.pipeline import start_changelog_sink, start_topic_stream
-from ..streaming.source import landing_records
+from ..streaming.source import landing_records, stream_names
+from ..streaming.trailing import sliding_hour_counts
 
 LANDING_FILES = 8
 FILES_PER_TRIGGER = 2
@@ -36,8 +37,9 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         if i == 0:
             fields.append(F.col("event_id").cast("string"))
         elif i == ALL_NAMES_INDEX:
-            fields.append(F.coalesce(F.concat(F.col("event_type"), F.lit(","),
-                                              F.col("user_id").cast("string")), F.lit("")))
+            offset = F.coalesce(F.col("user_id").cast("string"), F.lit(""))
+            fields.append(F.coalesce(F.concat(F.col("event_type"), F.lit(","), offset),
+                                     F.lit("")))
         else:
             fields.append(F.lit(""))
     return ev.select(F.col("event_id").cast("string").alias("key"),
@@ -95,7 +97,25 @@ def stream_snapshot_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot(spark, f"{root}/feed")
 
 
+def stream_sliding_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mentions per name in sliding hours (1-minute steps) from the built-in
+    windowed aggregation on the stream (per-minute counts, then their sum per
+    hour window), append mode: every window the final watermark has closed,
+    i.e. ending at most 15 minutes before the latest mention."""
+    root = scratch_path(spark, "stream_checks", uuid.uuid4().hex)
+    landing = land_in_time_order(spark, event_records(spark, sf_dir), f"{root}/landing")
+    names = stream_names(landing_records(spark, landing, FILES_PER_TRIGGER))
+    q = (sliding_hour_counts(names).writeStream.outputMode("append").format("parquet")
+         .option("path", f"{root}/windows").option("checkpointLocation", f"{root}/checkpoint")
+         .trigger(availableNow=True).start())
+    _run(q)
+    w = spark.read.parquet(f"{root}/windows")
+    return w.select(from_epoch_micros(F.unix_micros("start")).alias("start"),
+                    from_epoch_micros(F.unix_micros("end")).alias("end"), "name", "count")
+
+
 STREAM_QUERIES = {
     "stream_trailing_arrivals": stream_trailing_arrivals,
     "stream_snapshot_totals": stream_snapshot_totals,
+    "stream_sliding_hour": stream_sliding_hour,
 }
