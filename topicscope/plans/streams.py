@@ -1,11 +1,13 @@
 """Registered queries that run the streaming operators end to end.
 
 The events table is turned into 27-field records (the event type packed in
-the name list, with the user id as its "offset"), landed as parquet files
-that each cover one time range, and replayed through the file stream source
-a few files per micro-batch with an ``availableNow`` trigger.  The call
-returns once the stream has drained, with a DataFrame over what it wrote.
-Each call works in a fresh folder under the shared checkpoint location.
+the name list, with the user id as its "offset"), landed once per input
+folder as parquet files that each cover one time range (as a producer
+publishes a topic once), and replayed through the file stream source a few
+files per micro-batch with an ``availableNow`` trigger.  The call returns
+once the stream has drained, with a DataFrame over what it wrote.  Each call
+keeps its stream checkpoint and outputs in a fresh folder under the shared
+checkpoint location.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.time import from_epoch_micros, to_instant
 from ..schema import ALL_NAMES_INDEX, GKG_COLUMNS
 from ..session import scratch_path
+from ..sources.gkg import derived_path
 from ..sources.tables import load_table
 from ..streaming.feed import snapshot
 from ..streaming.pipeline import start_changelog_sink, start_topic_stream
@@ -62,9 +65,21 @@ def land_in_time_order(spark: SparkSession, records: DataFrame, path: str,
     base = jvm.java.lang.System.currentTimeMillis() - 10_000_000
     for i, p in enumerate(parts):
         fs.setTimes(jvm.org.apache.hadoop.fs.Path(p), base + i * 1000, -1)
+    fs.create(jvm.org.apache.hadoop.fs.Path(f"{path}/{LANDED}"), True).close()
     return path
 
 
+LANDED = "_LANDED"
+
+
+def event_landing(spark: SparkSession, sf_dir: str) -> str:
+    """The events' records landed in time order, once per input folder (the
+    marker is written after the modification times are set)."""
+    return derived_path(spark, "stream_landing", "landing-v1", sf_dir, ("events",),
+                        lambda p: land_in_time_order(spark, event_records(spark, sf_dir), p),
+                        marker=LANDED)
+
+
 def _run(query) -> None:
     query.awaitTermination()
     if query.exception() is not None:
@@ -75,7 +90,7 @@ def stream_trailing_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trailing-hour count after every arrival, from the stateful stream:
     (name, ts, delta, count); mentions of a name at one instant are merged."""
     root = scratch_path(spark, "stream_checks", uuid.uuid4().hex)
-    landing = land_in_time_order(spark, event_records(spark, sf_dir), f"{root}/landing")
+    landing = event_landing(spark, sf_dir)
     q = start_changelog_sink(spark, landing_records(spark, landing, FILES_PER_TRIGGER),
                              f"{root}/changes", f"{root}/checkpoint",
                              trigger={"availableNow": True})
@@ -89,7 +104,7 @@ def stream_snapshot_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaderboard feed over all-time counts (the window spans the whole
     table): the snapshot of every name with its final count."""
     root = scratch_path(spark, "stream_checks", uuid.uuid4().hex)
-    landing = land_in_time_order(spark, event_records(spark, sf_dir), f"{root}/landing")
+    landing = event_landing(spark, sf_dir)
     q = start_topic_stream(spark, landing_records(spark, landing, FILES_PER_TRIGGER),
                            f"{root}/feed", trigger={"availableNow": True},
                            window_ms=ALL_TIME_MS)
@@ -103,7 +118,7 @@ def stream_sliding_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     hour window), append mode: every window the final watermark has closed,
     i.e. ending at most 15 minutes before the latest mention."""
     root = scratch_path(spark, "stream_checks", uuid.uuid4().hex)
-    landing = land_in_time_order(spark, event_records(spark, sf_dir), f"{root}/landing")
+    landing = event_landing(spark, sf_dir)
     names = stream_names(landing_records(spark, landing, FILES_PER_TRIGGER))
     q = (sliding_hour_counts(names).writeStream.outputMode("append").format("parquet")
          .option("path", f"{root}/windows").option("checkpointLocation", f"{root}/checkpoint")

@@ -153,15 +153,15 @@ def _source_stamp(spark: SparkSession, sf_dir: str, tables: Sequence[str]) -> st
 
 
 def derived_path(spark: SparkSession, kind: str, fmt: str, sf_dir: str,
-                 tables: Sequence[str], build) -> str:
+                 tables: Sequence[str], build, marker: str = "_SUCCESS") -> str:
     """A folder derived from the tables of ``sf_dir``, written once by
     ``build(path)`` (a distributed write) under the shared checkpoint folder
     and reused afterwards.  The folder name covers the input folder, the
-    source tables' metadata and the format version; a write that did not
-    finish leaves no ``_SUCCESS`` and is redone."""
+    source tables' metadata and the format version; a build that did not
+    finish leaves no ``marker`` file and is redone."""
     key = f"{fmt}:{sf_dir.rstrip('/')}:{_source_stamp(spark, sf_dir, tables)}"
     path = scratch_path(spark, kind, hashlib.sha1(key.encode()).hexdigest()[:12])
-    if not path_exists(spark, f"{path}/_SUCCESS"):
+    if not path_exists(spark, f"{path}/{marker}"):
         build(path)
     return path
 
