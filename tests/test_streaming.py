@@ -190,6 +190,27 @@ def test_feed_compaction_keeps_snapshot(spark, scratch):
         {("x", 5), ("z", 3)}
 
 
+def test_feed_batches_without_upserts_change_nothing(spark, scratch):
+    from topicscope.streaming.feed import LeaderboardFeed, _committed_batches
+    root = os.path.join(scratch, "feed")
+    # empty batches fall on both compaction points; keep_sets=0 still keeps
+    # the latest board, the set that the batch after an empty one needs
+    feed = LeaderboardFeed(root, capacity=2, compact_every=2, keep_sets=0)
+    schema = "name string, ts_us long, delta long, count long, ord long, last boolean"
+    batches = [[("x", 1, 1, 1, 0, True)], [("y", 2, 1, 2, 0, True)], [],
+               [("z", 3, 1, 3, 0, True)], []]
+    for i, rows in enumerate(batches):
+        feed(spark.createDataFrame(rows, schema), i)
+    assert _committed_batches(spark, root, "histogram") == [0, 1, 2, 3, 4]
+    assert _committed_batches(spark, root, "board") == [3]
+    assert _committed_batches(spark, root, "base") == [4]
+    assert {(r["name"], r["count"]) for r in current_set(spark, root).collect()} == \
+        {("y", 2), ("z", 3)}
+    assert {r["name"]: r["count"] for r in snapshot(spark, root).collect()} == \
+        {"x": 0, "y": 2, "z": 3}
+    assert [m["batch_id"] for m in messages(spark, root).collect()] == [0, 1, 3]
+
+
 def test_feed_new_segments_takes_only_new_files(spark, scratch):
     from topicscope.streaming.feeder import feed_new_segments
     seg = os.path.join(scratch, "segments")

@@ -10,6 +10,8 @@ For every micro-batch of trailing-count changes:
    (count 0), and a ``changed`` flag for new or changed names and leavers;
 3. the changed rows, as one JSON array per batch, go to ``messages/``.
 
+A batch without upserts writes only its (empty) ``histogram/`` folder.
+
 All outputs of batch ``b`` go to folders named by ``b`` and are overwritten
 when a batch is re-run after a failure, so the feed is idempotent.  Nothing
 is collected on the driver: the driver only lists folder names.  The full
@@ -96,7 +98,14 @@ class LeaderboardFeed:
         hist_dir = _batch_dir(self.root, "histogram", batch_id)
         updates.write.mode("overwrite").parquet(hist_dir)
         updates = spark.read.schema(HISTOGRAM_SCHEMA).parquet(hist_dir)
+        # without upserts (a batch that only moved the watermark) the set and
+        # the snapshot stay as they are; the next batch reads the last board
+        if updates.limit(1).count() > 0:
+            self._publish(spark, updates, batch_id)
+        if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
+            compact(spark, self.root, batch_id, self.keep_sets)
 
+    def _publish(self, spark: SparkSession, updates: DataFrame, batch_id: int) -> None:
         prev = previous_set(spark, self.root, batch_id)
         board_dir = _batch_dir(self.root, "board", batch_id)
         lb.step(prev, updates, self.capacity).write.mode("overwrite").parquet(board_dir)
@@ -114,8 +123,6 @@ class LeaderboardFeed:
             if "json" in msgs.columns:
                 write_kafka(msgs.withColumn("k", F.lit(str(batch_id))), servers,
                             self.kafka["message_topic"], "k", F.col("json"))
-        if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
-            compact(spark, self.root, batch_id, self.keep_sets)
 
 
 def current_set(spark: SparkSession, root: str) -> DataFrame:
@@ -158,15 +165,17 @@ def snapshot(spark: SparkSession, root: str, include_evicted: bool = True) -> Da
 def compact(spark: SparkSession, root: str, batch_id: int, keep: int = 16) -> None:
     """Write the snapshot as of ``batch_id`` to ``base/`` (once: a re-run of
     the batch finds it committed) and drop the older bases and the boards it
-    covers, except the last ``keep`` before ``batch_id`` (previous sets for
-    re-runs; the snapshot reader skips them)."""
+    covers, except the last ``keep`` (at least one) before ``batch_id``
+    (previous sets for re-runs and empty batches; the snapshot reader skips
+    them)."""
     root = root.rstrip("/")
     if batch_id not in _committed_batches(spark, root, "base"):
         target = _batch_dir(root, "base", batch_id)
         _snapshot_from(spark, root, upto=batch_id).write.mode("overwrite").parquet(target)
     old_boards = [b for b in _committed_batches(spark, root, "board") if b < batch_id]
+    # the latest board always stays: a batch without upserts writes none
     doomed = [("base", b) for b in _committed_batches(spark, root, "base") if b < batch_id]
-    doomed += [("board", b) for b in old_boards[:max(len(old_boards) - keep, 0)]]
+    doomed += [("board", b) for b in old_boards[:max(len(old_boards) - max(keep, 1), 0)]]
     for kind, b in doomed:
         p, fs = _fs(spark, _batch_dir(root, kind, b))
         fs.delete(p, True)
