@@ -121,3 +121,30 @@ def test_vectorised_state_step_equals_one_by_one():
         assert list(zip(t.tolist(), c.tolist())) == want_live
         assert got_total == want_total
         assert list(zip(ev_t.tolist(), ev_d.tolist(), run.tolist())) == want
+
+
+def test_buckets_smaller_than_the_window_and_a_hot_hour(spark):
+    """One name with a third of the rows packed into one hour, a null name,
+    and buckets of 1 and 5 minutes: the same log and counts as one partition
+    per name."""
+    hot = [(i, "H", 7_200_000 + i * 997) for i in range(3000)]          # 3 s apart
+    cold = [(10_000 + i, "C" if i % 3 else None, i * 61_000) for i in range(6000)]
+    df = spark.createDataFrame(hot + cold, "id long, name string, ms long") \
+              .select("id", "name", from_epoch_millis("ms").alias("ts"))
+    plain = trailing_changelog_unbucketed(df, "name", "ts", "id")
+    exact = {r["id"]: r["count"] for r in
+             trailing_count(df, "name", "ts", bucketed=False).collect()}
+    for minutes in (1, 5, 15):
+        b = minutes * 60_000_000
+        got = trailing_changelog(df, "name", "ts", "id", bucket_micros=b)
+        assert got.count() == plain.count() == 2 * df.count()
+        assert got.exceptAll(plain).count() == 0
+        counts = {r["id"]: r["count"] for r in
+                  trailing_count(df, "name", "ts", bucket_micros=b).collect()}
+        assert counts == exact
+
+
+def test_bucket_must_divide_window(spark):
+    import pytest
+    with pytest.raises(ValueError):
+        trailing_changelog(_fixture(spark), "name", "ts", "id", bucket_micros=7 * 60_000_000)
