@@ -101,8 +101,11 @@ def parse_record_key(c) -> Column:
 
 
 def drop_malformed(c) -> Column:
-    """Undo the replacement characters a text read inserts for bytes that are
-    not valid UTF-8, which gives the "skip malformed input" decoding."""
+    """Skip bytes that are not valid UTF-8 ("ignore malformed input").
+
+    A text read keeps such bytes raw; they turn into U+FFFD only when the
+    value is decoded, which ``regexp_replace`` does (a byte-level ``replace``
+    would not see them), so the regex form is needed here."""
     return F.regexp_replace(_col(c), "\ufffd", "")
 
 
