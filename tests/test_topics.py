@@ -188,3 +188,32 @@ def test_typed_and_line_readers_agree_on_clean_records(spark):
     typed = typed.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "topic", "count")
     assert typed.count() == lines.count() > 0
     assert typed.exceptAll(lines).count() == 0
+
+
+def test_daily_job_command_line(scratch):
+    """The batch program as a user runs it: input files and an output folder
+    on the command line, both readers, in a process of its own."""
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = fx.write(os.path.join(scratch, "in.csv"))
+    env = dict(os.environ, PYTHONPATH=root + os.pathsep + os.environ.get("PYTHONPATH", ""))
+    outs = {}
+    for reader in ("typed", "lines"):
+        out = os.path.join(scratch, f"out_{reader}")
+        subprocess.run([sys.executable, "-m", "topicscope.plans.daily_job", path, out,
+                        "--reader", reader], check=True, env=env, cwd=scratch, timeout=600,
+                       capture_output=True)
+        rows = []
+        for name in sorted(os.listdir(out)):
+            if name.startswith("part-"):
+                with open(os.path.join(out, name), encoding="utf-8") as f:
+                    rows += [json.loads(x) for x in f if x.strip()]
+        outs[reader] = {r["data"]: [(e["topic"], e["count"]) for e in r["result"]] for r in rows}
+    want = {json.loads(x)["data"]: [(e["topic"], e["count"]) for e in json.loads(x)["result"]]
+            for x in fx.EXPECTED_JSON}
+    assert outs["typed"] == want
+    # line rules: substring stop topic, an empty list is one blank topic
+    assert outs["lines"]["2015-02-19"] == want["2015-02-19"]
+    assert outs["lines"]["2015-02-20"] == [('Quote" x', 2), ("", 1), ('"Open quote', 1),
+                                           ("Alice Bob", 1), ('He said "hi', 1)]
