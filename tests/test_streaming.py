@@ -237,6 +237,46 @@ def test_feed_new_segments_takes_only_new_files(spark, scratch):
     assert str(first["timestamp"])[:19] == "2024-01-01 09:48:45"
 
 
+def test_feeder_and_pipeline_command_lines(spark, scratch):
+    """The two stream programs as a user runs them, each in a process of its
+    own: segment files -> feeder -> landing folder -> pipeline (once) -> feed."""
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, PYTHONPATH=root + os.pathsep + os.environ.get("PYTHONPATH", ""))
+    seg = os.path.join(scratch, "segments")
+    os.makedirs(seg)
+    people = ["Ann", "Bea", "Cid", "Dee"]
+    for stamp in ("20240101093000", "20240101094500", "20240101100000"):
+        with open(os.path.join(seg, f"{stamp}.gkg.csv"), "w") as f:
+            for i, who in enumerate(people):
+                f.write("\t".join([f"{stamp}-{i}"] + [""] * 22
+                                   + [f"{who},1;Hot,5", "", "", ""]) + "\n")
+    landing, state, feed = (os.path.join(scratch, d) for d in ("landing", "hw", "feed"))
+
+    def run(*args):
+        return subprocess.run([sys.executable, "-m", *args], check=True, env=env, cwd=scratch,
+                              timeout=600, capture_output=True, text=True).stdout
+
+    out = run("topicscope.streaming.feeder", seg, landing, state,
+              "--window", "60", "--now", "2024-01-01 10:37:00")
+    assert "20240101100000.gkg.csv" in out
+    assert "nothing new" in run("topicscope.streaming.feeder", seg, landing, state,
+                                "--window", "60", "--now", "2024-01-01 10:37:00")
+    run("topicscope.streaming.pipeline", landing, feed, "--once", "--capacity", "3",
+        "--state-partitions", "4")
+    # one segment per micro-batch; all twelve records lie within one hour
+    hist = (spark.read.parquet(os.path.join(feed, "histogram"))
+            .groupBy("name").agg(F.max_by("count", "batch_id").alias("count")))
+    assert {(r["name"], r["count"]) for r in hist.collect()} == \
+        {("Hot", 12)} | {(p, 3) for p in people}
+    # capacity 3: Ann and Bea got in first; equal newcomers never displace them
+    assert {(r["name"], r["count"]) for r in current_set(spark, feed).collect()} == \
+        {("Hot", 12), ("Ann", 3), ("Bea", 3)}
+    assert {r["name"]: r["count"] for r in snapshot(spark, feed).collect()} == \
+        {"Hot": 12, "Ann": 3, "Bea": 3}
+
+
 def test_late_rows_inside_watermark_count_outside_dropped(spark, scratch):
     import datetime as dt
 

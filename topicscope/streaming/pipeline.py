@@ -67,8 +67,12 @@ def main(argv=None) -> None:
     ap.add_argument("--watermark", default="15 minutes")
     ap.add_argument("--capacity", type=int, default=CAPACITY)
     ap.add_argument("--once", action="store_true")
+    ap.add_argument("--state-partitions", type=int,
+                    help="state store partitions (the shuffle partitions of the "
+                         "stateful step); fixed by the first run of a checkpoint, "
+                         "default: the session's spark.sql.shuffle.partitions")
     args = ap.parse_args(argv)
-    spark = build_session()
+    spark = build_session(shuffle_partitions=args.state_partitions)
     trigger = {"availableNow": True} if args.once else None
     q = start_topic_stream(spark, landing_records(spark, args.landing, args.files_per_trigger),
                            args.root, trigger=trigger, watermark=args.watermark,
