@@ -59,6 +59,27 @@ def _committed_batches(spark: SparkSession, root: str, kind: str) -> list[int]:
     return sorted(out)
 
 
+def _latest_committed(spark: SparkSession, root: str, kind: str,
+                      below: int | None = None) -> int | None:
+    """The newest committed batch folder of ``kind`` (before ``below``): one
+    listing, then ``_SUCCESS`` checks newest first -- usually one -- instead of
+    one per folder."""
+    p, fs = _fs(spark, f"{root}/{kind}")
+    if not fs.exists(p):
+        return None
+    ids = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith("batch_id="):
+            b = int(name.split("=", 1)[1])
+            if below is None or b < below:
+                ids.append((b, st.getPath()))
+    for b, path in sorted(ids, key=lambda x: x[0], reverse=True):
+        if fs.exists(path.suffix("/_SUCCESS")):
+            return b
+    return None
+
+
 def _empty_set(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], "name string, count bigint")
 
@@ -70,10 +91,8 @@ def _members(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
 
 def previous_set(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
     """The bounded set after the latest committed batch before ``batch_id``."""
-    earlier = [b for b in _committed_batches(spark, root, "board") if b < batch_id]
-    if not earlier:
-        return _empty_set(spark)
-    return _members(spark, root, earlier[-1])
+    last = _latest_committed(spark, root, "board", below=batch_id)
+    return _empty_set(spark) if last is None else _members(spark, root, last)
 
 
 class LeaderboardFeed:
@@ -126,8 +145,8 @@ class LeaderboardFeed:
 
 
 def current_set(spark: SparkSession, root: str) -> DataFrame:
-    done = _committed_batches(spark, root, "board")
-    return _members(spark, root, done[-1]) if done else _empty_set(spark)
+    last = _latest_committed(spark, root, "board")
+    return _empty_set(spark) if last is None else _members(spark, root, last)
 
 
 def _snapshot_from(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame:
