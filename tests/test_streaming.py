@@ -383,3 +383,12 @@ def test_kafka_sources_explain_missing_connector(spark):
             assert "Kafka connector" in str(exc)
         else:                                   # connector present: the reader was built
             pass
+
+
+def test_replay_shape_grows_with_the_table(spark):
+    from topicscope.plans.streams import replay_shape, shape_for
+    assert replay_shape(spark, SF_SMALL) == (8, 2)          # test tables: the minimum
+    assert shape_for(0) == (8, 2)
+    assert shape_for(10 << 30) == (40, 2)                   # 10 GB: 40 files, 20 batches
+    files, per = shape_for(100 << 40)                       # 100 TB
+    assert files == 409_600 and per == 6_400                # 256 MB files, 64 batches

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.time import from_epoch_micros, to_instant
 from ..schema import ALL_NAMES_INDEX, GKG_COLUMNS
-from ..session import scratch_path
+from ..session import input_bytes, scratch_path
 from ..sources.gkg import derived_path
 from ..sources.tables import load_table
 from ..streaming.feed import snapshot
@@ -27,8 +27,14 @@ from ..streaming.pipeline import start_changelog_sink, start_topic_stream
 from ..streaming.source import landing_records, stream_names
 from ..streaming.trailing import sliding_hour_counts
 
+# The replay: at least LANDING_FILES files of about LANDING_FILE_BYTES of
+# input each, at least FILES_PER_TRIGGER per micro-batch and at most
+# MAX_MICRO_BATCHES micro-batches, so a large table is neither written by a
+# handful of tasks nor replayed in countless tiny batches.
 LANDING_FILES = 8
+LANDING_FILE_BYTES = 256 << 20
 FILES_PER_TRIGGER = 2
+MAX_MICRO_BATCHES = 64
 ALL_TIME_MS = 100 * 365 * 24 * 3_600_000
 
 
@@ -72,12 +78,32 @@ def land_in_time_order(spark: SparkSession, records: DataFrame, path: str,
 LANDED = "_LANDED"
 
 
+def replay_shape(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
+    """(landing files, files per micro-batch) for the events of ``sf_dir``,
+    from the table's size (file-system metadata)."""
+    return shape_for(input_bytes(spark, f"{sf_dir.rstrip('/')}/events.parquet"))
+
+
+def shape_for(size: int) -> tuple[int, int]:
+    files = max(LANDING_FILES, -(-size // LANDING_FILE_BYTES))
+    return files, max(FILES_PER_TRIGGER, -(-files // MAX_MICRO_BATCHES))
+
+
 def event_landing(spark: SparkSession, sf_dir: str) -> str:
     """The events' records landed in time order, once per input folder (the
-    marker is written after the modification times are set)."""
-    return derived_path(spark, "stream_landing", "landing-v1", sf_dir, ("events",),
-                        lambda p: land_in_time_order(spark, event_records(spark, sf_dir), p),
-                        marker=LANDED)
+    marker is written after the modification times are set; that is one
+    metadata call per landing file)."""
+    files, _ = replay_shape(spark, sf_dir)
+    return derived_path(
+        spark, "stream_landing", "landing-v1", sf_dir, ("events",),
+        lambda p: land_in_time_order(spark, event_records(spark, sf_dir), p, files),
+        marker=LANDED)
+
+
+def _replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed records as a stream, a few files per micro-batch."""
+    _, per_trigger = replay_shape(spark, sf_dir)
+    return landing_records(spark, event_landing(spark, sf_dir), per_trigger)
 
 
 def _run(query) -> None:
@@ -90,8 +116,7 @@ def stream_trailing_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trailing-hour count after every arrival, from the stateful stream:
     (name, ts, delta, count); mentions of a name at one instant are merged."""
     root = scratch_path(spark, "stream_checks", uuid.uuid4().hex)
-    landing = event_landing(spark, sf_dir)
-    q = start_changelog_sink(spark, landing_records(spark, landing, FILES_PER_TRIGGER),
+    q = start_changelog_sink(spark, _replay(spark, sf_dir),
                              f"{root}/changes", f"{root}/checkpoint",
                              trigger={"availableNow": True})
     _run(q)
@@ -104,8 +129,7 @@ def stream_snapshot_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaderboard feed over all-time counts (the window spans the whole
     table): the snapshot of every name with its final count."""
     root = scratch_path(spark, "stream_checks", uuid.uuid4().hex)
-    landing = event_landing(spark, sf_dir)
-    q = start_topic_stream(spark, landing_records(spark, landing, FILES_PER_TRIGGER),
+    q = start_topic_stream(spark, _replay(spark, sf_dir),
                            f"{root}/feed", trigger={"availableNow": True},
                            window_ms=ALL_TIME_MS)
     _run(q)
@@ -118,8 +142,7 @@ def stream_sliding_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     hour window), append mode: every window the final watermark has closed,
     i.e. ending at most 15 minutes before the latest mention."""
     root = scratch_path(spark, "stream_checks", uuid.uuid4().hex)
-    landing = event_landing(spark, sf_dir)
-    names = stream_names(landing_records(spark, landing, FILES_PER_TRIGGER))
+    names = stream_names(_replay(spark, sf_dir))
     q = (sliding_hour_counts(names).writeStream.outputMode("append").format("parquet")
          .option("path", f"{root}/windows").option("checkpointLocation", f"{root}/checkpoint")
          .trigger(availableNow=True).start())
