@@ -69,3 +69,14 @@ def test_bounded_set_step_reads_updates_once(spark):
     assert "WindowGroupLimit" in plan
     # the updates are aggregated once and never joined back
     assert plan.count("Scan parquet") == 1
+
+
+def test_row_positions_number_blocks_not_whole_groups(spark):
+    plan = _plan(queries()["timestamp_sequence"](spark, SF_SMALL))
+    # the rows are numbered per (group, block); only the one-row-per-block
+    # table is partitioned by the group alone, for its prefix sum
+    assert re.search(r"row_number\(\) windowspecdefinition\(millis#\d+L?, __blk#\d+L?,", plan)
+    by_group = re.findall(r"Exchange hashpartitioning\(millis#\d+L?, \d+\)", plan)
+    assert len(by_group) == 1
+    sum_window = re.search(r"sum\(__n#\d+L?\) windowspecdefinition\(millis#\d+L?, __blk", plan)
+    assert sum_window, plan
