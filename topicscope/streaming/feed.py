@@ -25,7 +25,9 @@ bounded number of boards.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import leaderboard as lb
@@ -115,11 +117,14 @@ class LeaderboardFeed:
         # is the name's upsert -- a filter, no aggregation
         updates = batch.where(F.col("last")).select("name", "count")
         hist_dir = _batch_dir(self.root, "histogram", batch_id)
-        updates.write.mode("overwrite").parquet(hist_dir)
+        # the number of upserts is observed during the write (no extra job)
+        seen = Observation(f"feed_upserts_{batch_id}_{uuid.uuid4().hex}")
+        (updates.observe(seen, F.count(F.lit(1)).alias("n"))
+         .write.mode("overwrite").parquet(hist_dir))
         updates = spark.read.schema(HISTOGRAM_SCHEMA).parquet(hist_dir)
         # without upserts (a batch that only moved the watermark) the set and
         # the snapshot stay as they are; the next batch reads the last board
-        if updates.limit(1).count() > 0:
+        if seen.get["n"] > 0:
             self._publish(spark, updates, batch_id)
         if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
             compact(spark, self.root, batch_id, self.keep_sets)
