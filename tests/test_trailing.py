@@ -1,5 +1,6 @@
 """Trailing-hour counts and changelog, batch forms."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_CHECK
@@ -61,13 +62,14 @@ def test_null_times_count_only_their_peers(spark):
     assert trailing_changelog(df, "name", "ts", "id").count() == 4
 
 
-def test_latest_per_tick_equals_aggregate(spark):
+@pytest.mark.parametrize("minutes", [5, 15, 30])
+def test_latest_per_tick_equals_aggregate(spark, minutes):
     from topicscope.operators.trailing import latest_per_tick
     ev = load_table(spark, SF_CHECK, "events")
-    tick = 15 * 60 * 1_000_000
+    tick = minutes * 60 * 1_000_000
     fast = latest_per_tick(ev, "event_type", "ts", "event_id", tick)
     ch = trailing_changelog(ev, "event_type", "ts", "event_id") \
-        .withColumn("tick", F.window("ts", "15 minutes").start)
+        .withColumn("tick", F.window("ts", f"{minutes} minutes").start)
     slow = ch.groupBy("tick", "name").agg(
         F.max_by("count", F.struct("ts", (-F.col("delta")).alias("k"), "seq")).alias("count"))
     assert fast.count() == slow.count()

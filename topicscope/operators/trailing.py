@@ -143,13 +143,23 @@ def trailing_changelog(df: DataFrame, name: str, ts: str, seq: str,
 def latest_per_tick(df: DataFrame, name: str, ts: str, seq: str, tick_micros: int,
                     window_micros: int = HOUR, bucket_micros: int | None = None) -> DataFrame:
     """(tick, name, count): the count after the last change of every name in
-    every tick (an epoch-aligned interval that divides the buckets).
+    every tick (an epoch-aligned interval that divides the window; the
+    buckets are chosen as multiples of it unless given).
 
     A tick never straddles two buckets, so the last change of a tick is the
     row whose next row in the same (name, bucket) partition lies in a later
     tick -- a ``lead`` in the window that computes the running count, with no
     further shuffle or aggregation.
     """
+    if bucket_micros is None:
+        # the smallest multiple of the tick that divides the window and is at
+        # least a quarter of it (15 minutes for ticks of 1, 5 or 15 minutes)
+        if window_micros % tick_micros:
+            raise ValueError("the tick must divide the window")
+        n = window_micros // tick_micros
+        j = next(j for j in range(1, n + 1)
+                 if n % j == 0 and tick_micros * j >= window_micros // 4)
+        bucket_micros = tick_micros * j
     bucket, _ = _buckets_per_window(window_micros, bucket_micros)
     if bucket % tick_micros:
         raise ValueError("the tick must divide the bucket")
