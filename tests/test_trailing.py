@@ -150,3 +150,14 @@ def test_bucket_must_divide_window(spark):
     import pytest
     with pytest.raises(ValueError):
         trailing_changelog(_fixture(spark), "name", "ts", "id", bucket_micros=7 * 60_000_000)
+
+
+@pytest.mark.parametrize("window", [90_000_000, 1_000_001])
+def test_any_window_length(spark, window):
+    df = _fixture(spark)
+    got = trailing_changelog(df, "name", "ts", "id", window_micros=window)
+    want = trailing_changelog_unbucketed(df, "name", "ts", "id", window_micros=window)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    plain = {r["id"]: r["count"] for r in
+             trailing_count(df, "name", "ts", window, bucketed=False).collect()}
+    assert {r["id"]: r["count"] for r in trailing_count(df, "name", "ts", window).collect()} == plain

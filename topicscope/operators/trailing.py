@@ -28,7 +28,8 @@ HOUR = MICROS_PER_HOUR
 
 
 def _buckets_per_window(window_micros: int, bucket_micros: int | None) -> tuple[int, int]:
-    bucket = bucket_micros or window_micros // 4
+    # default: a quarter of the window (the whole window if it does not split)
+    bucket = bucket_micros or (window_micros // 4 if window_micros % 4 == 0 else window_micros)
     if bucket <= 0 or window_micros % bucket:
         raise ValueError("the bucket must divide the window")
     return bucket, window_micros // bucket
