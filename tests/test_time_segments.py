@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from topicscope.functions.text import decode_key_millis, parse_record_key
@@ -93,3 +94,25 @@ def test_format_day_and_file_name(spark):
 def test_last_key_default(spark):
     empty = spark.createDataFrame([], "key string, timestamp timestamp, seq long")
     assert last_record_key(empty).first()[0] == "20150218230000-0"
+
+
+@pytest.mark.parametrize("super_block", [0, 1, 3, 7])
+def test_index_within_runs_of_blocks(spark, super_block):
+    """Two-level offsets (runs of blocks) against row_number, over a hot group
+    with many blocks, gaps between blocks and a small second group."""
+    from pyspark.sql import Window
+
+    from topicscope.operators.sequence import index_within
+    hot = spark.range(0, 3000).select(F.lit("h").alias("g"),
+                                      (F.col("id") * 7 + (F.col("id") % 5) * 1000).alias("o"))
+    cold = spark.range(0, 40).select(F.lit("c").alias("g"), (F.col("id") * 3 + 11).alias("o"))
+    df = hot.unionByName(cold).dropDuplicates(["g", "o"])
+    got = index_within(df, ["g"], ["o"], block_size=50, size_col="n", first_of=["o"],
+                       super_block=super_block)
+    w = Window.partitionBy("g").orderBy("o")
+    want = df.select("g", "o", (F.row_number().over(w) - 1).alias("idx"),
+                     F.count(F.lit(1)).over(Window.partitionBy("g")).alias("n"),
+                     F.min("o").over(Window.partitionBy("g")).alias("first_o"))
+    cols = ["g", "o", "idx", "n", "first_o"]
+    assert got.select(*cols).exceptAll(want.select(*cols)).count() == 0
+    assert got.count() == want.count()

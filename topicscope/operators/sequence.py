@@ -20,12 +20,18 @@ from pyspark.sql import functions as F
 from ..functions.time import floor_div
 
 DEFAULT_BLOCK = 1 << 16
+# One level by default: the block table has one row per DEFAULT_BLOCK order
+# values, a few million rows for a group that holds a third of 100 TB, which
+# one task sums in seconds.  Runs of blocks (e.g. 1024) bound that too, at the
+# cost of one more small aggregate and join.
+DEFAULT_SUPER_BLOCK = 0
 
 
 def index_within(df: DataFrame, group: Sequence[str], order: Sequence[str],
                  block_on: str | None = None, block_size: int = DEFAULT_BLOCK,
                  index_col: str = "idx", size_col: str | None = None,
-                 first_of: Sequence[str] = ()) -> DataFrame:
+                 first_of: Sequence[str] = (),
+                 super_block: int = DEFAULT_SUPER_BLOCK) -> DataFrame:
     """Add ``index_col`` = 0-based position of the row in its group under
     ``order`` (which must be a total order inside the group).
 
@@ -34,6 +40,11 @@ def index_within(df: DataFrame, group: Sequence[str], order: Sequence[str],
     ``block_size`` of its values.  ``size_col`` adds the group size;
     ``first_of`` adds, for each listed column ``c``, ``first_c`` = the value of
     ``c`` on the first row of the group.
+
+    The block offsets are a prefix sum over the group's blocks; with
+    ``super_block`` > 0 it has two levels, within runs of ``super_block``
+    blocks and over one row per run, so no task sums more than
+    ``super_block`` blocks or runs of a group.
     """
     group = list(group)
     order = list(order)
@@ -54,17 +65,51 @@ def index_within(df: DataFrame, group: Sequence[str], order: Sequence[str],
         aggs += [F.min_by(F.col(c), order_key).alias(f"__first_{c}") for c in first_of]
     blocks = df.withColumn(blk, floor_div(block_on, block_size)) \
                .groupBy(*keys).agg(*aggs)
+    offsets = (_two_level_offsets(blocks, group, blk, size_col, first_of, super_block)
+               if super_block else _offsets(blocks, group, blk, size_col, first_of))
+
+    return (d.join(offsets, keys)
+            .withColumn(index_col, F.col("__off") + F.col("__local"))
+            .drop(blk, "__local", "__off"))
+
 
+def _offsets(blocks: DataFrame, group: list, blk: str, size_col, first_of) -> DataFrame:
+    """Rows before each block of its group, one window over the group's blocks."""
     before = Window.partitionBy(*group).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*group).orderBy(blk).rowsBetween(Window.unboundedPreceding,
                                                                 Window.unboundedFollowing)
-    cols = keys + [F.coalesce(F.sum("__n").over(before), F.lit(0)).cast("bigint").alias("__off")]
+    cols = group + [blk, F.coalesce(F.sum("__n").over(before), F.lit(0)).cast("bigint")
+                    .alias("__off")]
     if size_col:
         cols.append(F.sum("__n").over(whole).cast("bigint").alias(size_col))
     for c in first_of:
         cols.append(F.first(f"__first_{c}").over(whole).alias(f"first_{c}"))
-    offsets = blocks.select(*cols)
+    return blocks.select(*cols)
 
-    return (d.join(offsets, keys)
-            .withColumn(index_col, F.col("__off") + F.col("__local"))
-            .drop(blk, "__local", "__off"))
+
+def _two_level_offsets(blocks: DataFrame, group: list, blk: str, size_col, first_of,
+                       super_block: int) -> DataFrame:
+    """Rows before each block: the rows of the earlier blocks of its run plus
+    the rows of the earlier runs of its group."""
+    sb = "__sb"
+    runs = group + [sb]
+    blocks = blocks.withColumn(sb, floor_div(blk, super_block))
+    in_run = Window.partitionBy(*runs).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn(
+        "__boff", F.coalesce(F.sum("__n").over(in_run), F.lit(0)).cast("bigint"))
+    run_aggs = [F.sum("__n").alias("__rn")]
+    run_aggs += [F.min_by(f"__first_{c}", blk).alias(f"__rfirst_{c}") for c in first_of]
+    per_run = blocks.groupBy(*runs).agg(*run_aggs)
+    before = Window.partitionBy(*group).orderBy(sb).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*group).orderBy(sb).rowsBetween(Window.unboundedPreceding,
+                                                               Window.unboundedFollowing)
+    cols = runs + [F.coalesce(F.sum("__rn").over(before), F.lit(0)).cast("bigint")
+                   .alias("__roff")]
+    if size_col:
+        cols.append(F.sum("__rn").over(whole).cast("bigint").alias(size_col))
+    for c in first_of:
+        cols.append(F.first(f"__rfirst_{c}").over(whole).alias(f"first_{c}"))
+    per_run = per_run.select(*cols)
+    extra = ([size_col] if size_col else []) + [f"first_{c}" for c in first_of]
+    return (blocks.join(per_run, runs)
+            .select(*group, blk, (F.col("__roff") + F.col("__boff")).alias("__off"), *extra))
