@@ -217,3 +217,13 @@ def test_daily_job_command_line(scratch):
     assert outs["lines"]["2015-02-19"] == want["2015-02-19"]
     assert outs["lines"]["2015-02-20"] == [('Quote" x', 2), ("", 1), ('"Open quote', 1),
                                            ("Alice Bob", 1), ('He said "hi', 1)]
+
+
+def test_has_fields_matches_split_keeping_empties(spark):
+    from topicscope.functions.text import has_fields
+    lines = ["", "a", "a\tb", "\t" * 22, "\t" * 23, "x\t" * 23 + "y", "a\t\t", None]
+    df = spark.createDataFrame([(x,) for x in lines], "v string")
+    for n in (1, 2, 3, 23, 24, 25):
+        got = [r[0] for r in df.select(has_fields("v", n)).collect()]
+        want = [r[0] for r in df.select(F.size(F.split("v", "\t", -1)) >= n).collect()]
+        assert [bool(g) for g in got] == [bool(w) for w in want], n

@@ -74,6 +74,13 @@ def nth_field(c, index: int, sep: str = FIELD_SEPARATOR) -> Column:
     return F.substring_index(F.substring_index(_col(c), sep, index + 1), sep, -1)
 
 
+def has_fields(c, n: int, sep: str = FIELD_SEPARATOR) -> Column:
+    """True when splitting on ``sep`` keeping every piece gives at least ``n``
+    fields, i.e. the line has ``n - 1`` separators; no array is built."""
+    c = _col(c)
+    return F.substring_index(c, sep, n - 1) != c if n > 1 else c.isNotNull()
+
+
 def field_at(fields, index: int) -> Column:
     """Element ``index`` (0-based) of a split line, null when too short."""
     return F.get(_col(fields), index)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import field_at, is_blank, split_all, strip_names
+from ..functions.text import has_fields, is_blank, nth_field, split_all, strip_names
 from ..schema import ALL_NAMES_INDEX, RECORD_SCHEMA
 
 KAFKA_FORMAT = "kafka"
@@ -72,9 +72,9 @@ def stream_names(records: DataFrame, min_fields: int = ALL_NAMES_INDEX + 1) -> D
     when it has 23 fields or fewer, the name list is split keeping empty
     pieces, and pieces a JVM ``trim`` would empty are removed.
     """
-    fields = split_all("value", "\t")
-    names = split_all(strip_names(field_at("f", ALL_NAMES_INDEX)), ";")
-    return (records.select("key", "timestamp", fields.alias("f"))
-            .where(F.size("f") >= min_fields)
+    v = F.col("value")
+    names = split_all(strip_names(nth_field(v, ALL_NAMES_INDEX)), ";")
+    # fields are located by counting tabs: no 27-element array per record
+    return (records.where(has_fields(v, min_fields))
             .select("key", "timestamp", F.explode(names).alias("name"))
             .where(~is_blank("name")))
