@@ -227,3 +227,17 @@ def test_has_fields_matches_split_keeping_empties(spark):
         got = [r[0] for r in df.select(has_fields("v", n)).collect()]
         want = [r[0] for r in df.select(F.size(F.split("v", "\t", -1)) >= n).collect()]
         assert [bool(g) for g in got] == [bool(w) for w in want], n
+
+
+def test_line_rule_without_counting_every_field(spark):
+    """has_fields on the line without its trailing tabs keeps exactly the
+    lines that count_fields (String.split rule) keeps."""
+    from topicscope.functions.text import count_fields, has_fields
+    lines = ["", "\t\t", "a", "a\t\t", "\t" * 23 + "x", "x\t" * 23, "x\t" * 24,
+             "y\t" * 30 + "\t\t", "a\t" * 10 + "\t" * 20]
+    df = spark.createDataFrame([(x,) for x in lines], "v string")
+    body = F.rtrim("v", F.lit("\t"))
+    for n in (2, 3, 24, 25):
+        got = [bool(r[0]) for r in df.select(has_fields(body, n)).collect()]
+        want = [bool(r[0]) for r in df.select(count_fields("v") >= n).collect()]
+        assert got == want, n

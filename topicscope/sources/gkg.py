@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import FIELD_SEPARATOR, count_fields, drop_malformed, nth_field
+from ..functions.text import FIELD_SEPARATOR, drop_malformed, has_fields, nth_field
 from ..functions.time import format_day, gkg_date_string
 from ..schema import (ALL_NAMES_INDEX, DATE_INDEX, GKG_COLUMNS, GKG_DATE_FORMAT,
                       gkg_schema)
@@ -73,7 +73,10 @@ def gkg_line_records(lines: DataFrame, min_fields: int = ALL_NAMES_INDEX + 1) ->
     27-element array is built per line.
     """
     v = F.col("value")
-    return (lines.where(count_fields(v, FIELD_SEPARATOR) >= min_fields)
+    # trailing empty fields do not count: trim the trailing tabs, then look
+    # for the (min_fields - 1)-th tab -- no copy of the line through translate
+    body = F.rtrim(v, F.lit(FIELD_SEPARATOR))
+    return (lines.where(has_fields(body, min_fields, FIELD_SEPARATOR))
             .select(format_day(nth_field(v, DATE_INDEX)).alias("day"),
                     nth_field(v, ALL_NAMES_INDEX).alias("all_names"))
             .where(F.col("day").isNotNull()))
