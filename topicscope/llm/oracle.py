@@ -42,6 +42,30 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM f
 """
 
+# prefix-target expansion; escaping adds one character per backslash and control string
+_OP6 = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), s AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p,
+         count(*) OVER (PARTITION BY conv_id) AS n,
+         length(text) + length(regexp_replace(text, '[^\\]', '', 'g'))
+           + len(regexp_extract_all(text, '</?s>|\[/?INST\]'))
+           + CASE WHEN role = 'assistant' THEN 7 ELSE 14 + length(role) END AS size
+  FROM c
+), e AS (
+  SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY p) AS upto FROM s
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY p)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY p) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(upto) FILTER (role = 'assistant' OR p = n) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
 # windows of 13 words (shorter items whole); a document word inside a window is hit
 _OP10 = r"""
 WITH d AS (
@@ -79,5 +103,6 @@ FROM d LEFT JOIN hit USING (rid) LEFT JOIN it USING (rid)
 
 ORACLE_SQL = {
     "op5_quality_rules": _OP5,
+    "op6_chat_formatting": _OP6,
     "op10_decontamination": _OP10,
 }

@@ -8,8 +8,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, quality_rules
-from .common import table
+import public_tokenizers
+
+from . import chat, decontaminate, langid, quality_gam, quality_rules, token_counts
+from .common import crc_mod, staged, table
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", "lang", (crc_mod("doc_id", 3) == 1).alias("held_out"))
+    protos = langid.prototypes(docs.where(~F.col("held_out")))
+    return langid.predict(docs, protos, keep=["doc_id", "held_out"])
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Histogram of the encoded lengths with its suffix sums, one row per length."""
+    docs = table(spark, sf_dir, "documents").select("text")
+    lens = token_counts.lengths(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                                public_tokenizers.PATTERN)
+    hist = staged(token_counts.histogram(lens), "token-histogram")
+    return token_counts.suffix_sums(hist)
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +38,39 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "kept", "failures")
 
 
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # conversation -1: its texts hold the template's control strings
+    text = f"{chat.CLOSE_REPLY}{chat.OPEN_TURN} ok {chat.CLOSE_TURN}"
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                F.when(F.col("id") == 0, "user").otherwise(chat.ASSISTANT).alias("role"),
+                                F.lit(text).alias("text"))
+    rows = chat.examples(turns.unionByName(own)).withColumn(
+        "loss", chat.loss_text(F.col("text"), F.col("loss_start"), F.col("loss_end")))
+    # read back: the last example holds every turn, each example its own reply
+    convs = rows.groupBy("conv_id").agg(
+        F.max_by("text", "example").alias("text"), F.sum(F.char_length("text")).alias("formatted_chars"),
+        F.sort_array(F.collect_list(F.struct("example", "loss"))).alias("losses"))
+    read = convs.select("conv_id", "formatted_chars", chat.parse_turns(F.col("text")).alias("turns"),
+                        F.array_join(F.transform("losses", lambda x: x["loss"]), "").alias("loss"))
+    flat = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"],
+                                                               F.lit("\n"))), "")
+    return read.select("conv_id", F.size("turns").cast("long").alias("n_turns"),
+                       F.sha2(flat.cast("binary"), 256).alias("turns_sha256"),
+                       F.char_length("loss").cast("long").alias("loss_chars"),
+                       F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
+                       "formatted_chars")
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", (crc_mod("doc_id", 5) == 0).alias("held_out"))
+    labels = table(spark, sf_dir, "labels").where(crc_mod("doc_id", 5) != 0)
+    model = quality_gam.fit(docs, labels)
+    rows = quality_gam.score(docs, model, keep=["doc_id", "held_out"])
+    return rows.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = decontaminate.scan(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
@@ -29,6 +80,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_language_id": op3_language_id,
+    "op4_token_counts": op4_token_counts,
     "op5_quality_rules": op5_quality_rules,
+    "op6_chat_formatting": op6_chat_formatting,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_decontamination": op10_decontamination,
 }
