@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import chat, decontaminate, langid, quality_gam, quality_rules, token_counts
+from . import chat, decontaminate, html_extract, langid, licenses, quality_gam, quality_rules, token_counts
 from .common import crc_mod, staged, table
 
 
@@ -62,6 +62,22 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "formatted_chars")
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    paths = html_extract.winners(html_extract.votes(pages))
+    rows = html_extract.extract(pages, paths, keep=["page_id", "url"])
+    return rows.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = licenses.scan(docs, keep=["doc_id"])
+    return rows.select("doc_id", F.size("licenses").cast("long").alias("n_licenses"),
+                       F.array_join(F.transform("licenses", lambda m: m["license"]), ",").alias("licenses"),
+                       F.array_join(F.transform("licenses", lambda m: F.concat_ws(
+                           "-", m["start"], m["end"])), ",").alias("spans"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", "text", (crc_mod("doc_id", 5) == 0).alias("held_out"))
@@ -84,6 +100,8 @@ QUERIES = {
     "op4_token_counts": op4_token_counts,
     "op5_quality_rules": op5_quality_rules,
     "op6_chat_formatting": op6_chat_formatting,
+    "op7_html_extraction": op7_html_extraction,
+    "op8_license_scan": op8_license_scan,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_decontamination": op10_decontamination,
 }
