@@ -10,10 +10,29 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import chat, decontaminate, html_extract, langid, licenses, quality_gam, quality_rules, token_counts
+from . import (
+    chat,
+    decontaminate,
+    html_extract,
+    langid,
+    licenses,
+    near_dedup,
+    packing,
+    quality_gam,
+    quality_rules,
+    token_counts,
+)
 from .common import crc_mod, staged, table
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2)
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", "text", "lang", (crc_mod("doc_id", 3) == 1).alias("held_out"))
@@ -96,6 +115,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_near_dedup": op1_near_dedup,
+    "op2_packing": op2_packing,
     "op3_language_id": op3_language_id,
     "op4_token_counts": op4_token_counts,
     "op5_quality_rules": op5_quality_rules,
