@@ -101,3 +101,9 @@ def sliced(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+
+
+def without(docs: DataFrame, names: Iterable[str], *inputs: str) -> DataFrame:
+    """``docs`` without the columns that an operator's output replaces (the
+    operator's own ``inputs`` stay readable)."""
+    return docs.drop(*(set(names) - set(inputs)))

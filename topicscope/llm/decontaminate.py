@@ -14,8 +14,8 @@ passes (no shuffle, nothing dropped).
 Defined cases: a null or wordless text has no words and no hits; benchmark rows
 with a null id or without words are ignored; repeated rows of an item count
 once; every document row gets one result row, repeated rows included; other
-columns are passed through by :func:`scan`, which refuses input that already
-has one of its output columns.
+columns are passed through by :func:`scan`, whose output columns replace input
+columns of the same names.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import without
+
 WINDOW = 13
 BLOCK_BYTES = 32 << 20
 
@@ -147,9 +149,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     """The ``keep`` columns of ``docs`` (all by default) with n_words, n_hit, items (sorted ids, as strings) and hits
     (runs of hit words with their offsets in the original text)."""
     new = ("n_words", "n_hit", "items", "hits")
-    if clash := set(new) & set(docs.columns):
-        raise ValueError(f"input already has {sorted(clash)}")
-    keep = docs.columns if keep is None else keep
+    docs = without(docs, new, text_col)
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in new]
     results = [T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
                T.StructField("items", T.ArrayType(T.StringType())), T.StructField("hits", HITS)]
     sc = docs.sparkSession.sparkContext

@@ -21,8 +21,8 @@ partitions are split).
 Defined cases: a null html is empty and gives an empty text; a null url counts
 as the host ''; a page without text votes for nothing; equal votes go to the
 first path in alphabetical order; repeated rows each get a row; other columns
-are passed through, and :func:`extract` refuses input that already has one of
-its output columns.
+are passed through, and the output column text replaces an input column of that
+name.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import sliced
+from .common import sliced, without
 
 #: Share of a page's text that its best container has to hold.
 SHARE = 0.7
@@ -282,9 +282,8 @@ def winners(voted: DataFrame) -> DataFrame:
 def extract(pages: DataFrame, paths: DataFrame, url_col: str = "url", html_col: str = "html",
             keep: list[str] | None = None) -> DataFrame:
     """The ``keep`` columns of ``pages`` (all by default) with ``text``."""
-    keep = pages.columns if keep is None else keep
-    if "text" in keep or {"_host", "_path"} & set(pages.columns):
-        raise ValueError("input already has an output column")
+    pages = without(pages, ["text", "_host", "_path"], html_col, url_col)
+    keep = [c for c in (pages.columns if keep is None else keep) if c != "text"]
     n = len(pages.columns)
     at, columns = pages.columns.index(html_col), [pages.columns.index(c) for c in keep]
     joined = pages.withColumn("_host", host_of(F.col(url_col))).join(

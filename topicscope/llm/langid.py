@@ -16,8 +16,8 @@ refused, which bounds that broadcast.
 Defined cases: a null text, or one without letters, gets ``und`` with score 0;
 without any labelled text every text gets ``und``; equal cosines go to the
 first language in alphabetical order; repeated rows each count and each get a
-row; :func:`predict` passes other columns through and refuses input that
-already has one of its output columns.
+row; :func:`predict` passes other columns through, and its output columns
+replace input columns of the same names.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import sliced
+from .common import sliced, without
 
 UNKNOWN = "und"
 DIM = 512
@@ -183,9 +183,8 @@ def predict(docs: DataFrame, protos: dict[str, np.ndarray], text_col: str = "tex
     """The ``keep`` columns of ``docs`` (all by default) with lang_pred and
     score, the cosine with that language's prototype (0 to 1)."""
     new = {"lang_pred", "score"}
-    if clash := new & set(docs.columns):
-        raise ValueError(f"input already has {sorted(clash)}")
-    keep = docs.columns if keep is None else keep
+    docs = without(docs, new, text_col)
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in new]
     at, columns = docs.columns.index(text_col), [docs.columns.index(c) for c in keep]
     langs = list(protos)
     units = np.array([protos[k] / (np.linalg.norm(protos[k]) or 1.0) for k in langs]).reshape(-1, dim)

@@ -18,8 +18,8 @@ the templates are broadcast, after a check of their size.
 Defined cases: a null or wordless text matches nothing; templates with a null
 id or without words are ignored; templates of equal words all match; a text
 shorter than a window is one window; repeated rows each get a row;
-:func:`scan` passes other columns through and refuses input that already has
-its output column.
+:func:`scan` passes other columns through, its output column replaces an input
+column of that name.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import WordHashes, shingle_hashes, sliced
+from .common import WordHashes, shingle_hashes, sliced, without
 from .decontaminate import _TABLE, words_of
 
 SHINGLE = 5
@@ -203,12 +203,11 @@ def scan(docs: DataFrame, templates: Iterable[tuple[str, str]] = TEMPLATES, text
          keep: list[str] | None = None) -> DataFrame:
     """The ``keep`` columns of ``docs`` (all by default) with ``licenses``:
     one entry per template found, with its containment and place."""
-    if "licenses" in docs.columns:
-        raise ValueError("input already has a column licenses")
+    docs = without(docs, ["licenses"], text_col)
     templates = tuple(templates)
     if sum(len((t or "").encode()) for _, t in templates) > MAX_TEMPLATE_BYTES:
         raise ValueError(f"templates of more than {MAX_TEMPLATE_BYTES} bytes: scan them in parts")
-    keep = docs.columns if keep is None else keep
+    keep = [c for c in (docs.columns if keep is None else keep) if c != "licenses"]
     at, columns = docs.columns.index(text_col), [docs.columns.index(c) for c in keep]
     shared = docs.sparkSession.sparkContext.broadcast(templates)
     kind = pa.list_(pa.struct([("license", pa.string()), ("containment", pa.float64()),

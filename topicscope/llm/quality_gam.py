@@ -16,8 +16,8 @@ on its whole text.
 Defined cases: a null text counts as empty (all features 0) and is scored like
 any other; labels other than 0 and 1 are ignored; without both labels in the
 sample the score is the sample's share of ones (0.5 without any row); repeated
-rows each get a row; :func:`score` refuses input that already has its output
-column.
+rows each get a row; :func:`score` passes other columns through, its output
+column replaces an input column of that name.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import sliced
+from .common import sliced, without
 
 MAX_ROWS = 20_000
 BINS = 48
@@ -228,9 +228,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
 def score(docs: DataFrame, model: Gam, text_col: str = "text",
           keep: list[str] | None = None) -> DataFrame:
     """The ``keep`` columns of ``docs`` (all by default) with ``score``."""
-    if "score" in docs.columns:
-        raise ValueError("input already has a column score")
-    keep = docs.columns if keep is None else keep
+    docs = without(docs, ["score"], text_col)
+    keep = [c for c in (docs.columns if keep is None else keep) if c != "score"]
     at, columns = docs.columns.index(text_col), [docs.columns.index(c) for c in keep]
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

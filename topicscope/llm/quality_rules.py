@@ -10,8 +10,8 @@ Everything stays within the document's own row: no shuffle, no Python.
 
 Defined cases: a null text has no words (all measurements 0; it fails
 ``few_words``); empty tables give empty ledgers and one ablation row per rule
-with zero counts; repeated rows each get a row; ``ledger`` refuses input that
-already has one of its output columns.
+with zero counts; repeated rows each get a row; output columns replace input
+columns of the same names.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import without
+
 #: White space and symbol classes, window of the repetition rule.
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
@@ -30,10 +32,6 @@ _POS_BITS = 24
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
             "n_lines", "n_upper", "n_marks")
 
-#: Columns of the steps in between.
-_STEPS = ("_words", "_lines", "_h", "_hashes", "_packed", "_huge", "_at", "_keyed", "_starts",
-          "_covered")
-
 #: Rule name -> failure condition over the measurements; the position is the bit.
 RULES: dict[str, str] = {
     "few_words": "n_words < 10",
@@ -109,13 +107,15 @@ def _repeat_words(df: DataFrame, width: int) -> DataFrame:
 
 def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with the measurements of ``MEASURES`` (long)."""
-    if clash := {*MEASURES, *_STEPS} & set(docs.columns):
-        raise ValueError(f"input already has {sorted(clash)}")
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    kept = without(docs, MEASURES).columns
+    text = F.coalesce(F.col("_text"), F.lit(""))
     w = F.col("_words")
     k = REPEAT_WINDOW
     # a projection of its own per step, so that each array is made once
-    split = docs.select(
+    # the input's columns travel in one struct: the steps' names can't clash
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"),
+                      F.col(text_col).cast("string").alias("_text"))
+    split = row.select(
         "*", words(text).alias("_words"),
         F.filter(F.split(text, "\n", -1), lambda x: F.trim(F.translate(x, "\t\x0b\x0c\r", "    ")) != "")
         .alias("_lines"))
@@ -134,7 +134,11 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "n_upper": F.regexp_count(text, F.lit(r"\p{Lu}")),
         "n_marks": F.regexp_count(text, F.lit("!")),
     }
-    return ready.select(*docs.columns, *[c.cast("long").alias(n) for n, c in longs.items()])
+    # a generator of one row: a filter on the measurements stays above it, where they
+    # are columns, instead of being pushed down as their whole expressions
+    one = F.array(F.struct(*[c.cast("long").alias(n) for n, c in longs.items()]))
+    return ready.select("_row", F.inline(one)).select(
+        *[F.col(f"_row.`{c}`") for c in kept], *MEASURES)
 
 
 def ledger(docs: DataFrame, text_col: str = "text") -> DataFrame:
