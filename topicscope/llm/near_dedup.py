@@ -11,11 +11,13 @@ none of the 40 buckets with a probability of about 5e-6.
 Documents of equal sets are one class from the start, so copies never meet in
 buckets.  Within a bucket candidate edges form stars: all members are compared
 with one centre (the member with the most company in its buckets), which bounds
-the edges by the bucket's size.  A star may miss a link between two members
-that both differ from the centre, so buckets go through further rounds, with 8
-times as many centres each: members that were no centre yet, in buckets that
-still hold two components or more.  The rounds end when no such bucket is left,
-so that every pair of a bucket is compared or already in one component.
+the edges by the bucket's size; ``ROUNDS`` further stars per bucket, of members
+that were no centre yet, follow where a bucket still holds two components.  A
+star may miss a link between two members that both differ from the centre; two
+such members must differ from it in the same places, so an exact join on the
+members' differences from their centre finds them (:func:`_missed_by_stars`).
+So every pair that shares a bucket is compared, ruled out by its sizes, or in
+one component already, without making all pairs of a bucket.
 
 Every candidate edge is confirmed on the full shingle sets.
 
@@ -32,7 +34,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import WordHashes, drop_staged, mix, shingle_hashes, sliced, staged
@@ -42,7 +44,7 @@ SHINGLE = 5
 THRESHOLD = 80  # per cent
 BANDS = 40
 ROWS = 6
-CENTRES = 8
+ROUNDS = 2
 SEED = 11
 
 _kept: dict = {}
@@ -141,20 +143,35 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int, id_col: str, text_col:
     return some.mapInArrow(run, "node long, shingles array<long>")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold."""
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) with both full sets (sa, sb)."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    return pairs.join(right, "b").join(left, "a").withColumn("both", both) \
-        .where(100 * F.col("both") >= threshold * (F.size("sa") + F.size("sb") - F.col("both"))) \
-        .select("a", "b")
+    return pairs.join(right, "b").join(left, "a")
+
+
+def _similar(threshold: int) -> Column:
+    """100 * intersection >= threshold * union, from the sizes and ``both``."""
+    return 100 * F.col("both") >= threshold * (F.size("sa") + F.size("sb") - F.col("both"))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the threshold."""
+    return _with_sets(pairs, sets).withColumn("both", F.size(F.array_intersect("sa", "sb"))) \
+        .where(_similar(threshold)).select("a", "b")
+
 
+def _centres(members: DataFrame) -> DataFrame:
+    """The member of most company in each bucket (the smallest of equals)."""
+    best = F.min(F.struct((-F.col("company")).alias("c"), F.col("node").alias("node"),
+                          F.col("n").alias("n"), F.col("component").alias("component")))
+    return members.groupBy("bucket").agg(best.alias("m")).select("bucket", "m.node", "m.n", "m.component")
 
-def _stars(members: DataFrame, k: int) -> DataFrame:
-    """The ``k`` members of most company in each bucket."""
-    order = Window.partitionBy("bucket").orderBy(F.desc("company"), "node")
-    return members.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= k).drop("_r")
+
+def _relabelled(rows: DataFrame, comp: DataFrame, node: str, label: str) -> DataFrame:
+    """``label``: the component of ``node`` (itself if it has no link)."""
+    c = comp.select(F.col("node").alias(node), F.col("component").alias(label))
+    return rows.drop(label).join(c, node, "left").withColumn(label, F.coalesce(label, node))
 
 
 def _candidates(members: DataFrame, centres: DataFrame, threshold: int) -> DataFrame:
@@ -176,10 +193,65 @@ def classes(sigs: DataFrame) -> DataFrame:
         F.col("r.n_shingles").alias("n"), "min_id")
 
 
+def _missed_by_stars(star: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Candidate pairs (a, b) of members of one star that lie in two components.
+
+    Let D be the symmetric difference of a member's set with the centre's.  Two
+    members are similar only if the symmetric difference of their D is at most
+    a share q = (100 - threshold) / (100 + threshold) of their sets' summed
+    sizes.  A member that is not linked with the centre has a D of more than q
+    times (its size + the centre's), and it follows that it shares at least
+    one element of D with any similar member; more exactly (n: sizes, c: the
+    centre's), at least
+
+        s = (|D| + q * (c - n)) / 2   if the partner is not linked either,
+        l = (|D| - q * (c + n)) / 2   if the partner is linked.
+
+    So pairs are found by an equi-join on elements of D, each member with only
+    its rarest |D| - s + 1 (or l) elements of the star: of two sets that share
+    t elements, the |D| - t + 1 first ones in a common order meet.
+    """
+    q = (100 - threshold) / (100 + threshold)
+    both = F.concat(F.array_except("sb", "sa"), F.array_except("sa", "sb"))
+    rows = _with_sets(star, sets).select(
+        "a", "b", "linked", "component", F.size("sb").alias("n"), F.size("sa").alias("c"),
+        both.alias("d"))
+    rows = staged(rows.withColumn("size", F.size("d")), "differences")
+    elements = rows.select("a", "b", F.explode("d").alias("e"))
+    several = elements.groupBy("a", "e").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    # elements of one member alone come first in the order and meet nobody
+    ranked = elements.join(several, ["a", "e"]).groupBy("a", "b").agg(
+        F.sort_array(F.collect_list(F.struct("f", "e"))).alias("met"))
+    tiny = 1e-6  # rounding never shortens a prefix
+    s = (F.col("size") + q * (F.col("c") - F.col("n"))) / 2 - tiny
+    low = (F.col("size") - q * (F.col("c") + F.col("n"))) / 2 - tiny
+    alone = F.col("size") - F.size("met")
+    prefix = lambda t: F.greatest(F.col("size") - F.greatest(F.ceil(t), F.lit(1)) + 1 - alone,
+                                  F.lit(0)).cast("int")
+    lean = rows.drop("d").join(ranked, ["a", "b"]).select(
+        "a", "b", "linked", "component", "n", "size", alone.alias("alone"), prefix(s).alias("short"),
+        F.when(F.col("linked"), prefix(s)).otherwise(F.greatest(prefix(s), prefix(low))).alias("long"), "met")
+    # rest: elements of D from this one on, in the common order
+    terms = lean.select("a", "b", "linked", "component", "n", "size", "alone", "short",
+                        F.posexplode(F.slice("met", F.lit(1), F.col("long"))).alias("at", "m")) \
+        .select("a", "b", "linked", "component", "n", "size", (F.col("at") < F.col("short")).alias("early"),
+                (F.col("size") - F.col("alone") - F.col("at")).alias("rest"), F.col("m.e").alias("e"))
+
+    def side(rows: DataFrame, k: str) -> DataFrame:
+        names = {"b": "", "linked": "l", "component": "c", "n": "n", "size": "s", "early": "e", "rest": "r"}
+        return rows.select("a", "e", *[F.col(c).alias(k + v) for c, v in names.items()])
+
+    # at the first element they share, both must have as many left as they need to share
+    need = (F.col("xs") + F.col("ys") - q * (F.col("xn") + F.col("yn"))) / 2 - tiny
+    pairs = side(terms.where(~F.col("linked")), "x").join(side(terms.where("early"), "y"), ["a", "e"]).where(
+        (F.col("xc") != F.col("yc")) & (F.col("x") != F.col("y")) & (F.col("yl") | F.col("xe"))
+        & (F.least("xr", "yr") >= need))
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def links(docs: DataFrame, sigs: DataFrame, cls: DataFrame, width: int, threshold: int,
           id_col: str, text_col: str) -> DataFrame:
     """Verified links (a, b) between classes, enough to connect all that are similar."""
-    spark = docs.sparkSession
     node_rows = sigs.select(F.col("row").alias("node"), "bands").join(cls.select("node", "n"), "node")
     entries = node_rows.select("node", "n", F.explode("bands").alias("bucket"))
     shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
@@ -193,25 +265,36 @@ def links(docs: DataFrame, sigs: DataFrame, cls: DataFrame, width: int, threshol
     if sets.groupBy("node").count().where("count > 1").limit(1).count():
         sets = staged(sets.dropDuplicates(["node"]), "sets")
     drop_staged(first)
-    found: DataFrame | None = None
-    k = 1
-    while members.limit(1).count():
-        centres = staged(_stars(members, k), "centres")
-        new = staged(_verified(_candidates(members, centres, threshold), sets, threshold), "links")
-        found = new if found is None else found.unionByName(new)
-        comp = components(found)
-        rest = members.join(centres.select("bucket", "node"), ["bucket", "node"], "left_anti") \
-            .drop("component").join(comp, "node", "left") \
-            .withColumn("component", F.coalesce("component", "node"))
+
+    # the first stars: every member of a bucket against its centre
+    centres = staged(_centres(members), "centres")
+    star = members.join(centres.select("bucket", F.col("node").alias("a")), "bucket") \
+        .where("node != a").select("a", F.col("node").alias("b")).distinct()
+    star = staged(_with_sets(star, sets).withColumn("both", F.size(F.array_intersect("sa", "sb")))
+                  .select("a", "b", _similar(threshold).alias("linked")), "star")
+    found = star.where("linked").select("a", "b")
+    comp = components(found)
+    # further stars join families that lie in one bucket; what they miss is found below
+    for _ in range(ROUNDS):
+        rest = _relabelled(members.join(centres.select("bucket", "node"), ["bucket", "node"], "left_anti"),
+                           comp, "node", "component")
         rest = staged(rest, "members")
         mixed = rest.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
             .where("lo != hi").select("bucket")
-        members, before = staged(rest.join(mixed, "bucket", "left_semi"), "members"), members
-        for done in (before, rest, centres):
-            drop_staged(done)
-        k *= CENTRES
-    drop_staged(sets)
-    return found if found is not None else spark.createDataFrame([], "a long, b long")
+        members = staged(rest.join(mixed, "bucket", "left_semi"), "members")
+        drop_staged(rest)
+        centres = staged(_centres(members), "centres")
+        new = staged(_verified(_candidates(members, centres, threshold), sets, threshold), "links")
+        if not new.limit(1).count():
+            break
+        found = found.unionByName(new)
+        comp = components(found)
+    # stars whose members (the centre included) lie in several components
+    labelled = staged(_relabelled(star.withColumn("component", F.col("b")), comp, "b", "component"), "star")
+    open_stars = labelled.groupBy("a").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
+        .where("lo != hi").select("a")
+    missed = _missed_by_stars(labelled.join(open_stars, "a", "left_semi"), sets, threshold)
+    return found.unionByName(_verified(missed, sets, threshold))
 
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, threshold: int = THRESHOLD,
