@@ -45,37 +45,52 @@ _IDS = 1 << 16
 
 def tokenise(docs: DataFrame, path: str, end: int = END, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
-    """row, doc_id, ids (binary, little-endian unsigned 16-bit), n_tokens."""
+    """row, doc_id, ids (binary, little-endian unsigned 16-bit), n_tokens; the
+    last row of each task also has the task's document frequencies (terms, df)."""
+    names = ["row", "doc_id", "ids", "n_tokens", "terms", "df"]
+
+    def with_counts(columns, df=None):
+        n = len(columns[0])
+        term = [None] * n
+        count = [None] * n
+        if df is not None:
+            at = np.flatnonzero(df)
+            term[-1], count[-1] = at, df[at]
+        return pa.RecordBatch.from_arrays(
+            [*columns, pa.array(term, pa.list_(pa.int64())), pa.array(count, pa.list_(pa.int64()))],
+            names=names)
+
     def run(batches):
         enc = encoder(path)
+        df = np.zeros(_IDS, np.int64)
+        held = None
         for batch in sliced(batches):
+            if not batch.num_rows:
+                continue
+            if held is not None:
+                yield with_counts(held)
             ids = enc.encode(batch.column(2).to_pylist(), end)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(ids, pa.binary()),
-                 pa.array([len(x) // 2 for x in ids], pa.int64())],
-                names=["row", "doc_id", "ids", "n_tokens"])
+            for x in ids:
+                df[np.unique(np.frombuffer(x, "<u2"))] += 1
+            held = [batch.column(0), batch.column(1), pa.array(ids, pa.binary()),
+                    pa.array([len(x) // 2 for x in ids], pa.int64())]
+        if held is not None:
+            yield with_counts(held, df)
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
                        F.encode(F.col(text_col).cast("string"), "UTF-8").alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
-    return rows.mapInArrow(run, f"row long, doc_id {kind}, ids binary, n_tokens long")
+    return rows.mapInArrow(run, f"row long, doc_id {kind}, ids binary, n_tokens long, "
+                                "terms array<long>, df array<long>")
 
 
 def statistics(tokens: DataFrame) -> tuple[int, int, np.ndarray]:
     """Documents, tokens, and the document frequency of every id."""
-    def run(batches):
-        df = np.zeros(_IDS, np.int64)
-        for batch in batches:
-            for v in batch.column(0):
-                df[np.unique(np.frombuffer(v.as_py(), "<u2"))] += 1
-        at = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(df[at])], names=["id", "df"])
-
     n, total = tokens.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_tokens"), F.lit(0))).first()
     df = np.zeros(_IDS, np.int64)
-    for r in tokens.select("ids").mapInArrow(run, "id long, df long").groupBy("id") \
-            .agg(F.sum("df").alias("df")).collect():  # at most 65,536 rows
-        df[r["id"]] = r["df"]
+    counts = tokens.where(F.col("terms").isNotNull()).select(F.inline(F.arrays_zip("terms", "df")))
+    for r in counts.groupBy("terms").agg(F.sum("df").alias("df")).collect():  # at most 65,536 rows
+        df[r["terms"]] = r["df"]
     return n, total, df
 
 
@@ -85,22 +100,31 @@ class Index:
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean: float):
         self.n = len(docs)
         parts = [np.unique(d, return_counts=True) for d in docs]
-        self.terms = [t for t, _ in parts]
-        sizes = np.array([len(t) for t in self.terms])
-        term = np.concatenate(self.terms)
-        tf = np.concatenate([c for _, c in parts]).astype(np.float64)
-        doc = np.repeat(np.arange(self.n), sizes)
-        length = np.array([len(d) for d in docs], np.float64)
-        weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[doc] / mean))
-        order = np.argsort(term, kind="stable")
-        self.doc, self.weight = doc[order], weight[order]
-        self.first = np.concatenate(([0], np.cumsum(np.bincount(term, minlength=_IDS))))
+        sizes = np.array([len(t) for t, _ in parts])
+        term = np.concatenate([t for t, _ in parts])
+        tf = np.concatenate([c for _, c in parts]).astype(np.float32)
+        doc = np.repeat(np.arange(self.n, dtype=np.int32), sizes)
+        length = np.array([len(d) for d in docs], np.float32)
+        norm = np.float32(K1) * (np.float32(1 - B) + np.float32(B / mean) * length)
+        weight = idf[term].astype(np.float32) * tf * np.float32(K1 + 1) / (tf + norm[doc])
+        # postings of one document can't lead to a neighbour
+        postings = np.bincount(term, minlength=_IDS)
+        several = postings[term] > 1
+        self.terms = [t[postings[t] > 1].astype(np.int32) for t, _ in parts]
+        order = np.argsort(term[several], kind="stable")
+        self.doc, self.weight = doc[several][order], weight[several][order]
+        self.sizes = np.where(postings > 1, postings, 0).astype(np.int32)
+        self.first = (np.cumsum(self.sizes) - self.sizes).astype(np.int32)
 
     def scores(self, seed: int) -> np.ndarray:
         """BM25 of every document of the shard for the seed's distinct tokens."""
-        at, to = self.first[self.terms[seed]], self.first[self.terms[seed].astype(np.int64) + 1]
-        sizes = to - at
-        where = np.arange(sizes.sum()) + np.repeat(at - (np.cumsum(sizes) - sizes), sizes)
+        terms = self.terms[seed]
+        sizes = self.sizes[terms]
+        ends = np.cumsum(sizes, dtype=np.int32)
+        if not len(ends):
+            return np.zeros(self.n)
+        where = np.repeat(self.first[terms] - (ends - sizes), sizes)
+        where += np.arange(ends[-1], dtype=np.int32)
         return np.bincount(self.doc[where], self.weight[where], self.n)
 
 

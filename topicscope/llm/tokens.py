@@ -1,50 +1,89 @@
 """Token ids of whole texts, by a public tokenizer that drops white space.
 
-The tokenizer of this module never joins characters across white space, so a
-text's ids are those of its blank-separated pieces in a row; pieces are encoded
-once per Python process and kept in a bounded cache.
+The tokenizers meant here lower-case a text, split it into runs of letters,
+single digits and runs of other characters, never across white space, and
+encode each run by itself.  So a text's ids are those of its blank-separated
+pieces in a row.  Pieces, and the runs of new pieces, are encoded once per
+Python process and kept in bounded caches.  Runs of Latin-1 pieces go straight
+to the tokenizer's model; other pieces go through the whole tokenizer.
 """
 
 from __future__ import annotations
 
-import numpy as np
+import re
+from array import array
 
-from .common import CACHE_WORDS
+import regex
+
+#: Entries of the caches of pieces and of runs.
+CACHE_PIECES, CACHE_RUNS = 800_000, 400_000
+
+#: The pre-tokenizer's pattern (and the line end between pieces), and the piece of each byte in byte-level BPE
+#: (printable bytes stand for themselves, the others follow from 256 on).
+_RUNS = regex.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+_PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_REST = [b for b in range(0x100) if b not in _PRINTABLE]
+_BYTE_CHARS = {b: chr(b) for b in _PRINTABLE} | {b: chr(0x100 + i) for i, b in enumerate(_REST)}
+#: Pieces whose case and classes are beyond doubt: ASCII and Latin-1 without controls and blanks.
+_SIMPLE = re.compile(rb"(?:[\x21-\x7E]|\xC2[\xA1-\xAC\xAE-\xBF]|\xC3[\x80-\xBF])+")
+#: Stands between two pieces' ids; no id of at most 0xFEFF has these bytes or spans them.
+_BETWEEN = b"\xff\xff"
 
 _encoders: dict = {}
 
 
 class PieceEncoder:
-    """Ids (little-endian unsigned 16-bit) of the pieces between ASCII white space.
-
-    Only for tokenizers whose normaliser lower-cases and whose pre-tokenizer
-    drops white space, with at most 65,536 ids."""
+    """Ids (unsigned 16-bit, in the machine's byte order) of texts, by the pieces between
+    ASCII white space.  For tokenizers of at most 65,280 ids."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
-        if self.tok.get_vocab_size() > 1 << 16:
-            raise ValueError("more than 65,536 ids")
-        self.cache: dict[bytes, bytes] = {}
+        if self.tok.get_vocab_size() > 0xFF00:
+            raise ValueError("more than 65,280 ids")
+        self.model = self.tok.model
+        self.pieces: dict[bytes, bytes] = {}
+        self.runs: dict[str, bytes] = {}
+
+    def _by_runs(self, fresh: list[bytes]) -> None:
+        """Encode simple pieces by their runs, all in one go."""
+        flat = _RUNS.findall(b"\n".join(fresh).decode().lower())
+        runs = self.runs
+        new = set(flat).difference(runs)
+        if len(runs) + len(new) > CACHE_RUNS:
+            runs.clear()
+            new = set(flat)
+        for run in new:
+            word = run if run.isascii() else "".join(map(_BYTE_CHARS.__getitem__, run.encode()))
+            runs[run] = array("H", [t.id for t in self.model.tokenize(word)]).tobytes()
+        runs["\n"] = _BETWEEN
+        self.pieces.update(zip(fresh, b"".join(map(runs.__getitem__, flat)).split(_BETWEEN), strict=True))
+
+    def _learn(self, fresh: list[bytes]) -> None:
+        simple = [p for p in fresh if _SIMPLE.fullmatch(p)]
+        for at in range(0, len(simple), 65536):
+            self._by_runs(simple[at:at + 65536])
+        others = [p for p in fresh if not _SIMPLE.fullmatch(p)] if len(simple) < len(fresh) else []
+        for at in range(0, len(others), 4096):
+            part = others[at:at + 4096]
+            codes = self.tok.encode_batch_fast([p.decode() for p in part], add_special_tokens=False)
+            for p, c in zip(part, codes, strict=True):
+                self.pieces[p] = array("H", c.ids).tobytes()
 
     def encode(self, texts: list[bytes | None], end: int | None = None) -> list[bytes]:
         """Ids of each text, with the id ``end`` after it if given."""
         split = [t.lower().split() if t else [] for t in texts]
-        cache = self.cache
-        fresh = {p for pieces in split for p in pieces if p not in cache}
+        pieces = self.pieces
+        used = set().union(*split)
+        fresh = used.difference(pieces)
         if fresh:
-            if len(cache) + len(fresh) > CACHE_WORDS:
-                cache.clear()
-                fresh = {p for pieces in split for p in pieces}
-            fresh = list(fresh)
-            for at in range(0, len(fresh), 4096):
-                part = fresh[at:at + 4096]
-                codes = self.tok.encode_batch_fast([p.decode() for p in part], add_special_tokens=False)
-                for p, c in zip(part, codes, strict=True):
-                    cache[p] = np.array(c.ids, "<u2").tobytes()
-        tail = b"" if end is None else np.array([end], "<u2").tobytes()
-        return [b"".join(map(cache.__getitem__, pieces)) + tail for pieces in split]
+            if len(pieces) + len(fresh) > CACHE_PIECES:
+                pieces.clear()
+                fresh = used
+            self._learn(list(fresh))
+        tail = b"" if end is None else array("H", [end]).tobytes()
+        return [b"".join(map(pieces.__getitem__, words)) + tail for words in split]
 
 
 def encoder(path: str) -> PieceEncoder:
