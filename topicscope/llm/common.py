@@ -18,7 +18,10 @@ from topicscope.session import scratch_path
 WORD_CLASS = r"[^\x20\x09-\x0D]+"
 
 #: Entries a per-process word cache may hold before it starts afresh.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
+
+#: Rows of whole texts that Spark hands to Python at once.
+BATCH_ROWS = 1000
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -33,6 +36,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, after lowering the session's Arrow batches to ``BATCH_ROWS`` rows.
+
+    Rows here are whole texts: batches of Spark's default of 10,000 rows take
+    tens of MB in the JVM and again in each Python worker.  A smaller setting
+    stays as it is."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = int(conf.get(key))
+    if rows <= 0 or rows > BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df
+
+
 def drop_staged(df: DataFrame) -> None:
     """Delete the files of a :func:`staged` table that nothing reads any more."""
     jvm = df.sparkSession.sparkContext._jvm

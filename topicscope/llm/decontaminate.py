@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import without
+from .common import bounded_batches, without
 
 WINDOW = 13
 BLOCK_BYTES = 32 << 20
@@ -149,7 +149,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     """The ``keep`` columns of ``docs`` (all by default) with n_words, n_hit, items (sorted ids, as strings) and hits
     (runs of hit words with their offsets in the original text)."""
     new = ("n_words", "n_hit", "items", "hits")
-    docs = without(docs, new, text_col)
+    docs = without(bounded_batches(docs), new, text_col)
     keep = [c for c in (docs.columns if keep is None else keep) if c not in new]
     results = [T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
                T.StructField("items", T.ArrayType(T.StringType())), T.StructField("hits", HITS)]

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import sliced, without
+from .common import bounded_batches, sliced, without
 
 #: Share of a page's text that its best container has to hold.
 SHARE = 0.7
@@ -282,7 +282,7 @@ def winners(voted: DataFrame) -> DataFrame:
 def extract(pages: DataFrame, paths: DataFrame, url_col: str = "url", html_col: str = "html",
             keep: list[str] | None = None) -> DataFrame:
     """The ``keep`` columns of ``pages`` (all by default) with ``text``."""
-    pages = without(pages, ["text", "_host", "_path"], html_col, url_col)
+    pages = without(bounded_batches(pages), ["text", "_host", "_path"], html_col, url_col)
     keep = [c for c in (pages.columns if keep is None else keep) if c != "text"]
     n = len(pages.columns)
     at, columns = pages.columns.index(html_col), [pages.columns.index(c) for c in keep]

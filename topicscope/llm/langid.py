@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import sliced, without
+from .common import bounded_batches, sliced, without
 
 UNKNOWN = "und"
 DIM = 512
@@ -165,7 +165,7 @@ def prototypes(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
                 [pa.array([lang] * dim), pa.array(np.arange(dim), pa.int32()), pa.array(vec)],
                 names=["lang", "k", "v"])
 
-    labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
+    labelled = bounded_batches(docs).where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     sums = labelled.mapInArrow(partial, "lang string, k int, v long") \
         .groupBy("lang", "k").agg(F.sum("v").alias("v"))
@@ -183,7 +183,7 @@ def predict(docs: DataFrame, protos: dict[str, np.ndarray], text_col: str = "tex
     """The ``keep`` columns of ``docs`` (all by default) with lang_pred and
     score, the cosine with that language's prototype (0 to 1)."""
     new = {"lang_pred", "score"}
-    docs = without(docs, new, text_col)
+    docs = without(bounded_batches(docs), new, text_col)
     keep = [c for c in (docs.columns if keep is None else keep) if c not in new]
     at, columns = docs.columns.index(text_col), [docs.columns.index(c) for c in keep]
     langs = list(protos)

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import WordHashes, shingle_hashes, sliced, without
+from .common import WordHashes, bounded_batches, shingle_hashes, sliced, without
 from .decontaminate import _TABLE, words_of
 
 SHINGLE = 5
@@ -203,7 +203,7 @@ def scan(docs: DataFrame, templates: Iterable[tuple[str, str]] = TEMPLATES, text
          keep: list[str] | None = None) -> DataFrame:
     """The ``keep`` columns of ``docs`` (all by default) with ``licenses``:
     one entry per template found, with its containment and place."""
-    docs = without(docs, ["licenses"], text_col)
+    docs = without(bounded_batches(docs), ["licenses"], text_col)
     templates = tuple(templates)
     if sum(len((t or "").encode()) for _, t in templates) > MAX_TEMPLATE_BYTES:
         raise ValueError(f"templates of more than {MAX_TEMPLATE_BYTES} bytes: scan them in parts")

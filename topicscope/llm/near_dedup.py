@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, drop_staged, mix, shingle_hashes, sliced, staged
+from .common import WordHashes, bounded_batches, drop_staged, mix, shingle_hashes, sliced, staged
 from .components import components
 
 SHINGLE = 5
@@ -115,7 +115,7 @@ def signatures(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataF
                  pa.array(h2, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
                 names=["row", "doc_id", "n_shingles", "h1", "h2", "bands"])
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
+    rows = bounded_batches(docs).select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
                        F.encode(F.col(text_col).cast("string"), "UTF-8").alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
     return rows.mapInArrow(run, f"row long, doc_id {kind}, n_shingles long, h1 long, h2 long, "

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import sliced, staged
+from .common import bounded_batches, sliced, staged
 from .tokens import encoder
 
 WINDOW = 4096
@@ -77,7 +77,7 @@ def tokenise(docs: DataFrame, path: str, end: int = END, id_col: str = "doc_id",
         if held is not None:
             yield with_counts(held, df)
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
+    rows = bounded_batches(docs).select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
                        F.encode(F.col(text_col).cast("string"), "UTF-8").alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
     return rows.mapInArrow(run, f"row long, doc_id {kind}, ids binary, n_tokens long, "
@@ -107,13 +107,14 @@ class Index:
         length = np.array([len(d) for d in docs], np.float32)
         norm = np.float32(K1) * (np.float32(1 - B) + np.float32(B / mean) * length)
         weight = idf[term].astype(np.float32) * tf * np.float32(K1 + 1) / (tf + norm[doc])
-        # postings of one document can't lead to a neighbour
+        # postings of one document can't lead to a neighbour, nor those of no weight
         postings = np.bincount(term, minlength=_IDS)
-        several = postings[term] > 1
-        self.terms = [t[postings[t] > 1].astype(np.int32) for t, _ in parts]
+        postings[(postings < 2) | (idf <= 0)] = 0
+        several = postings[term] > 0
+        self.terms = [t[postings[t] > 0].astype(np.int32) for t, _ in parts]
         order = np.argsort(term[several], kind="stable")
         self.doc, self.weight = doc[several][order], weight[several][order]
-        self.sizes = np.where(postings > 1, postings, 0).astype(np.int32)
+        self.sizes = postings.astype(np.int32)
         self.first = (np.cumsum(self.sizes) - self.sizes).astype(np.int32)
 
     def scores(self, seed: int) -> np.ndarray:
@@ -177,7 +178,8 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, end: int = END, id_co
     """The pieces of all documents (see the module's text)."""
     tokens = staged(tokenise(docs, path, end, id_col, text_col), "tokens")
     n, total, df = statistics(tokens)
-    idf = np.log1p((n - df + 0.5) / (df + 0.5))
+    # the probabilistic idf, floored at 0: an id of half of all documents or more says nothing
+    idf = np.maximum(np.log((n - df + 0.5) / (df + 0.5)), 0.0)
     mean = total / max(n, 1)
     shared = docs.sparkSession.sparkContext.broadcast(idf)
     kind = tokens.schema["doc_id"].dataType.simpleString()

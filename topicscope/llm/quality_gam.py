@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import sliced, without
+from .common import bounded_batches, sliced, without
 
 MAX_ROWS = 20_000
 BINS = 48
@@ -228,7 +228,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
 def score(docs: DataFrame, model: Gam, text_col: str = "text",
           keep: list[str] | None = None) -> DataFrame:
     """The ``keep`` columns of ``docs`` (all by default) with ``score``."""
-    docs = without(docs, ["score"], text_col)
+    docs = without(bounded_batches(docs), ["score"], text_col)
     keep = [c for c in (docs.columns if keep is None else keep) if c != "score"]
     at, columns = docs.columns.index(text_col), [docs.columns.index(c) for c in keep]
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import sliced
+from .common import bounded_batches, sliced
 
 BLOCK = 4096
 
@@ -52,7 +52,7 @@ def lengths(docs: DataFrame, vocabulary: str, pattern: str, text_col: str = "tex
                 [pa.array([len(encode(t)) for t in batch.column(0).to_pylist()], pa.int64())],
                 names=["length"])
 
-    return docs.where(F.col(text_col).isNotNull()).select(F.col(text_col).cast("string")) \
+    return bounded_batches(docs).where(F.col(text_col).isNotNull()).select(F.col(text_col).cast("string")) \
         .mapInArrow(run, "length long")
 
 

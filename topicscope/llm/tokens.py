@@ -16,7 +16,7 @@ from array import array
 import regex
 
 #: Entries of the caches of pieces and of runs.
-CACHE_PIECES, CACHE_RUNS = 800_000, 400_000
+CACHE_PIECES, CACHE_RUNS = 300_000, 200_000
 
 #: The pre-tokenizer's pattern (and the line end between pieces), and the piece of each byte in byte-level BPE
 #: (printable bytes stand for themselves, the others follow from 256 on).
@@ -24,6 +24,8 @@ _RUNS = regex.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{
 _PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _REST = [b for b in range(0x100) if b not in _PRINTABLE]
 _BYTE_CHARS = {b: chr(b) for b in _PRINTABLE} | {b: chr(0x100 + i) for i, b in enumerate(_REST)}
+#: The same for ASCII text.
+_ASCII_RUNS = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 #: Pieces whose case and classes are beyond doubt: ASCII and Latin-1 without controls and blanks.
 _SIMPLE = re.compile(rb"(?:[\x21-\x7E]|\xC2[\xA1-\xAC\xAE-\xBF]|\xC3[\x80-\xBF])+")
 #: Stands between two pieces' ids; no id of at most 0xFEFF has these bytes or spans them.
@@ -44,11 +46,13 @@ class PieceEncoder:
             raise ValueError("more than 65,280 ids")
         self.model = self.tok.model
         self.pieces: dict[bytes, bytes] = {}
+        self.met_again: set[bytes] = set()
         self.runs: dict[str, bytes] = {}
 
     def _by_runs(self, fresh: list[bytes]) -> None:
         """Encode simple pieces by their runs, all in one go."""
-        flat = _RUNS.findall(b"\n".join(fresh).decode().lower())
+        text = b"\n".join(fresh).decode().lower()
+        flat = (_ASCII_RUNS if text.isascii() else _RUNS).findall(text)
         runs = self.runs
         new = set(flat).difference(runs)
         if len(runs) + len(new) > CACHE_RUNS:
@@ -62,8 +66,11 @@ class PieceEncoder:
 
     def _learn(self, fresh: list[bytes]) -> None:
         simple = [p for p in fresh if _SIMPLE.fullmatch(p)]
-        for at in range(0, len(simple), 65536):
-            self._by_runs(simple[at:at + 65536])
+        ascii_ = [p for p in simple if p.isascii()]
+        latin = [p for p in simple if not p.isascii()]
+        for some in (ascii_, latin):
+            for at in range(0, len(some), 65536):
+                self._by_runs(some[at:at + 65536])
         others = [p for p in fresh if not _SIMPLE.fullmatch(p)] if len(simple) < len(fresh) else []
         for at in range(0, len(others), 4096):
             part = others[at:at + 4096]
@@ -77,10 +84,17 @@ class PieceEncoder:
         pieces = self.pieces
         used = set().union(*split)
         fresh = used.difference(pieces)
+        self.met_again |= used - fresh
         if fresh:
             if len(pieces) + len(fresh) > CACHE_PIECES:
+                # pieces met in one slice of rows only make room
+                old = {p: pieces[p] for p in used | self.met_again if p in pieces}
                 pieces.clear()
-                fresh = used
+                self.met_again = set()
+                if len(old) + len(fresh) <= CACHE_PIECES:
+                    pieces.update(old)
+                else:
+                    fresh = used
             self._learn(list(fresh))
         tail = b"" if end is None else array("H", [end]).tobytes()
         return [b"".join(map(pieces.__getitem__, words)) + tail for words in split]
