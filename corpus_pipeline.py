@@ -45,15 +45,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays, that of smallest id."""
-    kept = staged(near_dedup.near_duplicates(docs.select("doc_id", "text")).where("kept")
-                  .groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")), "kept")
-    # rows that repeat an id: one of them (whole rows are compared for a fixed choice)
-    once = docs.join(kept.where("n = 1"), "doc_id", "left_semi")
-    several = kept.where("n > 1")
-    out = once
-    if several.limit(1).count():
-        out = once.unionByName(docs.join(several, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    return out.unionByName(docs.where(F.col("doc_id").isNull())).select(docs.columns)
+    ids = staged(near_dedup.near_duplicates(docs.select("doc_id", "text")).where("doc_id IS NOT NULL")
+                 .groupBy("doc_id").agg(F.bool_or("kept").alias("stays"), F.count(F.lit(1)).alias("n")), "ids")
+    # the ids that go are the smaller side, and rows without id match none of them
+    out = docs.join(ids.where("NOT stays").select("doc_id"), "doc_id", "left_anti")
+    several = ids.where("stays AND n > 1").select("doc_id")
+    if several.limit(1).count():  # rows that repeat an id: one of them
+        out = out.join(several, "doc_id", "left_anti").unionByName(
+            out.join(several, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    return out.select(docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
