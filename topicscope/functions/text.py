@@ -93,9 +93,10 @@ def decode_key_millis(c) -> Column:
 
 def parse_record_key(c) -> Column:
     """``a-b`` -> struct(a long, b long); (0, 0) unless there are exactly two
-    parts and both are whole numbers in the long range."""
-    parts = F.split(_col(c), "-")
-    number = r"^[+-]?[0-9]+$"
+    parts and both are whole numbers in the long range.  Empty parts at the end
+    don't count, as in a JVM ``split`` (``1-2-`` has two parts)."""
+    parts = F.split(F.regexp_replace(_col(c), r"-+\z", ""), "-")
+    number = r"^[+-]?[0-9]+\z"
     a = F.get(parts, 0)
     b = F.get(parts, 1)
     a_num = a.try_cast("bigint")
@@ -107,6 +108,19 @@ def parse_record_key(c) -> Column:
                     F.when(ok, b_num).otherwise(F.lit(0)).cast("bigint").alias("b"))
 
 
+def encode_long(c) -> Column:
+    """A long as its 8 big-endian bytes (the wire format of a count)."""
+    return F.unhex(F.lpad(F.hex(_col(c).cast("bigint")), 16, "0"))
+
+
+def decode_long(c) -> Column:
+    """8 big-endian bytes -> long, negative values included; null otherwise."""
+    digits = F.hex(_col(c))
+    high = F.conv(F.substring(digits, 1, 8), 16, 10).cast("bigint")
+    low = F.conv(F.substring(digits, 9, 8), 16, 10).cast("bigint")
+    return F.when(F.length(digits) == 16, F.shiftleft(high, 32).bitwiseOR(low))
+
+
 def drop_malformed(c) -> Column:
     """Skip bytes that are not valid UTF-8 ("ignore malformed input").
 

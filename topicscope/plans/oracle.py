@@ -196,7 +196,7 @@ ORACLE_SQL: dict[str, str] = {
         SELECT split_part(value, {TAB}, 1) AS key, value FROM lines""",
     "spread_event_time": f"WITH {SPREAD} SELECT * FROM spread",
     "record_envelope": f"""WITH {SPREAD}
-        SELECT split_part(value, {TAB}, 1) AS key, value, event_time AS timestamp, 0 AS partition
+        SELECT split_part(value, {TAB}, 1) AS key, value, event_time AS timestamp, CAST(NULL AS INTEGER) AS partition
         FROM spread""",
     "last_record_key": f"""WITH {SPREAD}
         SELECT coalesce(arg_max(key, (event_time, seq)), '20150218230000-0') AS last_key FROM spread""",

@@ -54,13 +54,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set by whoever launches the job (a shared
-    file system or object store).  Only when it is unset -- local runs and
-    tests -- a fresh scratch folder is created and registered.
+    file system or object store); without it a cluster run is refused.  Only
+    local runs and tests get a fresh scratch folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext._conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="topicscope-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     jsc = spark.sparkContext._jsc

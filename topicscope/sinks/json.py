@@ -24,9 +24,9 @@ def to_json_column(df: DataFrame, name: str = "json") -> Column:
 
 def write_kafka(df: DataFrame, servers: str, topic: str, key: str = "name",
                 value: Column | None = None) -> None:
-    """Publish a batch DataFrame to a Kafka topic (key and value as strings;
+    """Publish a batch DataFrame to a Kafka topic (the key as a string;
     by default the value is the row as JSON).  Needs the Kafka connector."""
     value = value if value is not None else F.to_json(F.struct(*[F.col(c) for c in df.columns]))
-    (df.select(F.col(key).cast("string").alias("key"), value.cast("string").alias("value"))
+    (df.select(F.col(key).cast("string").alias("key"), value.alias("value"))
        .write.format("kafka").option("kafka.bootstrap.servers", servers)
        .option("topic", topic).save())

@@ -102,11 +102,12 @@ def spread_event_time(lines: DataFrame, minutes: int = SEGMENT_MINUTES,
                       from_epoch_micros(event_us).alias("event_time"))
 
 
-def record_envelope(spread: DataFrame, partition: int = 0) -> DataFrame:
-    """(key, value, timestamp, partition) records ready to publish."""
+def record_envelope(spread: DataFrame, partition: int | None = None) -> DataFrame:
+    """(key, value, timestamp, partition) records ready to publish; without a
+    partition (null) the sink deals them out by their keys."""
     return spread.select(first_field("value").alias("key"), "value",
                          F.col("event_time").alias("timestamp"),
-                         F.lit(partition).alias("partition"))
+                         F.lit(partition).cast("int").alias("partition"))
 
 
 def last_record_key(records: DataFrame, default: str = DEFAULT_LAST_KEY) -> DataFrame:

@@ -139,10 +139,11 @@ class LeaderboardFeed:
         (lb.json_message(changes).where(F.col("json") != "[]")
          .coalesce(1).write.mode("overwrite").json(msg_dir))
         if self.kafka:
+            from ..functions.text import encode_long
             from ..sinks.json import write_kafka
             servers = self.kafka["servers"]
             write_kafka(updates, servers, self.kafka["histogram_topic"], "name",
-                        F.col("count").cast("string"))
+                        encode_long("count"))
             msgs = spark.read.json(msg_dir)
             if "json" in msgs.columns:
                 write_kafka(msgs.withColumn("k", F.lit(str(batch_id))), servers,

@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import has_fields, is_blank, nth_field, split_all, strip_names
+from ..functions.text import (decode_long, has_fields, is_blank, nth_field, split_all,
+                              strip_names)
 from ..schema import ALL_NAMES_INDEX, RECORD_SCHEMA
 
 KAFKA_FORMAT = "kafka"
@@ -61,7 +62,7 @@ def kafka_histogram(spark: SparkSession, servers: str, topic: str,
            .option("subscribe", topic)
            .option("startingOffsets", starting_offsets).load())
     return raw.select(F.col("key").cast("string").alias("name"),
-                      F.conv(F.hex("value"), 16, 10).cast("bigint").alias("count"),
+                      decode_long("value").alias("count"),
                       "timestamp")
 
 
