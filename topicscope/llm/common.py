@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +24,10 @@ CACHE_WORDS = 200_000
 BATCH_ROWS = 1000
 
 
+#: Folders of the staged tables that this process has written, in order.
+_written: list[str] = []
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared checkpoint folder and read back.
 
@@ -33,6 +37,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, "llm", f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -58,6 +63,20 @@ def drop_staged(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def final(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """``make()`` staged under ``name``; the tables staged on the way to it, which
+    nothing else reads, are deleted once it is written."""
+    before = len(_written)
+    out = staged(make(), name)
+    jvm = out.sparkSession.sparkContext._jvm
+    conf = out.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    for folder in _written[before:-1]:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+    del _written[before:-1]
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
