@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicscope.llm import decontaminate, langid, near_dedup, packing, quality_rules
-from topicscope.llm.common import staged, table
+from topicscope.llm.common import final, staged, table
 
 #: A text whose best cosine is below this has hardly a letter group of any known language.
 MIN_LANGUAGE_SCORE = 0.1
@@ -45,8 +45,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays, that of smallest id."""
-    ids = staged(near_dedup.near_duplicates(docs.select("doc_id", "text")).where("doc_id IS NOT NULL")
-                 .groupBy("doc_id").agg(F.bool_or("kept").alias("stays"), F.count(F.lit(1)).alias("n")), "ids")
+    ids = final(lambda: near_dedup.near_duplicates(docs.select("doc_id", "text"))
+                .where("doc_id IS NOT NULL").groupBy("doc_id")
+                .agg(F.bool_or("kept").alias("stays"), F.count(F.lit(1)).alias("n")), "ids")
     # the ids that go are the smaller side, and rows without id match none of them
     out = docs.join(ids.where("NOT stays").select("doc_id"), "doc_id", "left_anti")
     several = ids.where("stays AND n > 1").select("doc_id")
