@@ -385,10 +385,88 @@ def test_kafka_sources_explain_missing_connector(spark):
             pass
 
 
-def test_replay_shape_grows_with_the_table(spark):
-    from topicscope.plans.streams import replay_shape, shape_for
-    assert replay_shape(spark, SF_SMALL) == (8, 2)          # test tables: the minimum
-    assert shape_for(0) == (8, 2)
-    assert shape_for(10 << 30) == (40, 2)                   # 10 GB: 40 files, 20 batches
-    files, per = shape_for(100 << 40)                       # 100 TB
-    assert files == 409_600 and per == 6_400                # 256 MB files, 64 batches
+def test_landing_files_grow_with_the_table():
+    from topicscope.plans.streams import landing_files
+    assert landing_files(0) == 8                            # test tables: the minimum
+    assert landing_files(10 << 30) == 40
+    assert landing_files(100 << 40) == 409_600              # 256 MB each
+
+
+def test_combine_is_linear_and_complete():
+    """Five million distinct instants: runs are handed on, nothing is grouped twice."""
+    import time
+
+    import numpy as np
+    import pyarrow as pa
+    from topicscope.streaming.trailing import COMBINE_ROWS, _combine_partition
+    step = 10_000
+
+    def batches(n):
+        for at in range(0, n, step):
+            yield pa.record_batch({"name": pa.array(["x"] * step),
+                                   "ts_us": pa.array(np.arange(at, at + step))})
+
+    def seconds(n):
+        start = time.perf_counter()
+        out = [(b.num_rows, sum(b.column("n").to_pylist())) for b in _combine_partition(batches(n))]
+        assert sum(x for x, _ in out) == sum(x for _, x in out) == n
+        assert max(x for x, _ in out) <= COMBINE_ROWS + step
+        return time.perf_counter() - start
+    seconds(500_000)
+    assert seconds(5_000_000) < 40 * max(seconds(500_000), 0.1)
+
+
+def test_segment_lines_keep_the_file_order(spark, scratch):
+    """Key numbers out of order, not numeric or repeated, a blank line, and a file
+    read in several splits: times follow the lines."""
+    from topicscope.streaming.feeder import segment_lines, timed_records
+    keys = ["T5", "T0", "x", "T3", "T3", "", "T11", "T2"]
+    path = os.path.join(scratch, "20240101093000.gkg.csv")
+    with open(path, "w") as f:
+        f.writelines(f"20240101093000-{k}\tv{i}\n" if k else "\n" for i, k in enumerate(keys))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in (old, "40b"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            rows = timed_records(segment_lines(spark, path)).orderBy("timestamp").collect()
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        assert [r["value"].split("\t")[-1] for r in rows] == [f"v{i}" if k else "" for i, k in enumerate(keys)]
+        assert str(rows[0]["timestamp"])[:19] == "2024-01-01 09:30:00"
+        assert str(rows[1]["timestamp"]) == "2024-01-01 09:31:52.500000"
+
+
+def test_a_segment_that_lands_late_is_taken(spark, scratch):
+    from topicscope.streaming.feeder import feed_new_segments
+    seg = os.path.join(scratch, "late_segments")
+    os.makedirs(seg)
+
+    def add(stamp):
+        with open(os.path.join(seg, f"{stamp}.gkg.csv"), "w") as f:
+            f.write(f"{stamp}-0\tv\n")
+    landing, state = os.path.join(scratch, "late_landing"), os.path.join(scratch, "late_hw")
+    feed = lambda: feed_new_segments(spark, seg, landing, state, 60, "2024-01-01 10:37:00")
+    add("20240101093000")
+    add("20240101100000")
+    assert feed() == ["20240101093000.gkg.csv", "20240101100000.gkg.csv"]
+    add("20240101094500")
+    assert feed() == ["20240101094500.gkg.csv"]
+    assert feed() == []
+    assert spark.read.parquet(landing).count() == 3
+
+
+def test_builds_that_start_together_keep_apart(spark):
+    from topicscope.sources.gkg import derived_path
+    inner = []
+
+    def write(p):
+        spark.range(3).write.parquet(p)
+
+    def outer(p):  # another job builds the same input before this one is done
+        inner.append(derived_path(spark, "two_builds", "v1", SF_SMALL, ("events",), write))
+        write(p)
+    first = derived_path(spark, "two_builds", "v1", SF_SMALL, ("events",), outer)
+    assert first != inner[0]
+    assert spark.read.parquet(first).count() == spark.read.parquet(inner[0]).count() == 3
+    later = derived_path(spark, "two_builds", "v1", SF_SMALL, ("events",), write)
+    assert later in (first, inner[0])

@@ -116,3 +116,18 @@ def test_index_within_runs_of_blocks(spark, super_block):
     cols = ["g", "o", "idx", "n", "first_o"]
     assert got.select(*cols).exceptAll(want.select(*cols)).count() == 0
     assert got.count() == want.count()
+
+
+def test_micros_do_not_depend_on_the_session_zone(spark):
+    from topicscope.functions.time import epoch_micros, from_epoch_micros, segment_of, segment_stamp
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        r = spark.sql("SELECT TIMESTAMP_NTZ'2024-03-10 02:30:00.000001' AS t, "
+                      "TIMESTAMP_NTZ'1969-12-31 23:59:59.999999' AS u").select(
+            from_epoch_micros(epoch_micros("t")).alias("back"), epoch_micros("u").alias("neg"),
+            segment_stamp(segment_of("t")).alias("seg")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r["back"] == dt.datetime(2024, 3, 10, 2, 30, 0, 1)
+    assert r["neg"] == -1 and r["seg"] == "20240310023000"

@@ -34,8 +34,12 @@ def epoch() -> Column:
 
 
 def epoch_micros(ts) -> Column:
-    """TIMESTAMP_NTZ -> microseconds since 1970-01-01 (UTC wall clock)."""
-    return F.timestamp_diff("MICROSECOND", epoch(), _col(ts))
+    """TIMESTAMP_NTZ -> microseconds since 1970-01-01 (UTC wall clock).
+
+    The difference of two NTZ values is an interval, whatever the session zone
+    (``timestamp_diff`` reads both in the session zone and shifts those inside
+    a spring gap)."""
+    return F.call_function("div", _col(ts) - epoch(), F.expr("INTERVAL '0.000001' SECOND"))
 
 
 def epoch_millis(ts) -> Column:
@@ -72,8 +76,10 @@ def parse_gkg_date(c) -> Column:
 
 
 def gkg_date_string(ts) -> Column:
-    """TIMESTAMP_NTZ -> ``yyyyMMddHHmmss``."""
-    return F.date_format(_col(ts), GKG_DATE_FORMAT)
+    """TIMESTAMP_NTZ -> ``yyyyMMddHHmmss``, through the cast to a string: that one
+    does not go through the session zone, ``date_format`` does."""
+    text = _col(ts).cast("timestamp_ntz").cast("string")
+    return F.translate(F.substring(text, 1, 19), "-: ", "")
 
 
 def format_day(c) -> Column:
@@ -103,11 +109,11 @@ def last_closed_segment(ts, minutes: int = SEGMENT_MINUTES) -> Column:
 
 def segment_file_name(start, extension: str = SEGMENT_EXTENSION) -> Column:
     """Segment start -> ``yyyyMMddHHmm00<extension>`` (UTC)."""
-    return F.concat(F.date_format(_col(start), "yyyyMMddHHmm'00'"), F.lit(extension))
+    return F.concat(segment_stamp(start), F.lit(extension))
 
 
 def segment_stamp(start) -> Column:
-    return F.date_format(_col(start), "yyyyMMddHHmm'00'")
+    return F.concat(F.substring(gkg_date_string(start), 1, 12), F.lit("00"))
 
 
 def segment_of(ts, minutes: int = SEGMENT_MINUTES) -> Column:
@@ -116,5 +122,7 @@ def segment_of(ts, minutes: int = SEGMENT_MINUTES) -> Column:
 
 
 def key_start(key) -> Column:
-    """First 12 digits of a record key (``yyyyMMddHHmm``) as TIMESTAMP_NTZ."""
-    return F.to_timestamp_ntz(F.substring(_col(key), 1, 12), F.lit("yyyyMMddHHmm"))
+    """First 12 digits of a record key (``yyyyMMddHHmm``) as TIMESTAMP_NTZ; null
+    if the key does not begin with 12 digits."""
+    return F.when(_col(key).rlike("^[0-9]{12}"),
+                  F.to_timestamp_ntz(F.substring(_col(key), 1, 12), F.lit("yyyyMMddHHmm")))

@@ -28,7 +28,7 @@ DEFAULT_SUPER_BLOCK = 0
 
 
 def index_within(df: DataFrame, group: Sequence[str], order: Sequence[str],
-                 block_on: str | None = None, block_size: int = DEFAULT_BLOCK,
+                 block_on: str | Sequence[str] | None = None, block_size: int = DEFAULT_BLOCK,
                  index_col: str = "idx", size_col: str | None = None,
                  first_of: Sequence[str] = (),
                  super_block: int = DEFAULT_SUPER_BLOCK) -> DataFrame:
@@ -37,7 +37,9 @@ def index_within(df: DataFrame, group: Sequence[str], order: Sequence[str],
 
     ``block_on`` is an integral column whose value never decreases along
     ``order`` (normally the first order column); blocks are ranges of
-    ``block_size`` of its values.  ``size_col`` adds the group size;
+    ``block_size`` of its values.  With several columns, which must lead
+    ``order``, a block is a range of the last one's values among equal values
+    of the others (``super_block`` needs one column).  ``size_col`` adds the group size;
     ``first_of`` adds, for each listed column ``c``, ``first_c`` = the value of
     ``c`` on the first row of the group.
 
@@ -48,11 +50,16 @@ def index_within(df: DataFrame, group: Sequence[str], order: Sequence[str],
     """
     group = list(group)
     order = list(order)
-    block_on = block_on or order[0]
+    on = [block_on or order[0]] if block_on is None or isinstance(block_on, str) else list(block_on)
+    if super_block and len(on) > 1:
+        raise ValueError("super_block needs one block column")
     blk = "__blk"
     keys = group + [blk]
+    block = floor_div(on[-1], block_size)
+    if len(on) > 1:
+        block = F.struct(*on[:-1], block.alias("range"))
 
-    d = df.withColumn(blk, floor_div(block_on, block_size))
+    d = df.withColumn(blk, block)
     local = Window.partitionBy(*keys).orderBy(*order)
     d = d.withColumn("__local", (F.row_number().over(local) - 1).cast("bigint"))
 
@@ -63,8 +70,7 @@ def index_within(df: DataFrame, group: Sequence[str], order: Sequence[str],
     if first_of:
         order_key = F.struct(*[F.col(c) for c in order])
         aggs += [F.min_by(F.col(c), order_key).alias(f"__first_{c}") for c in first_of]
-    blocks = df.withColumn(blk, floor_div(block_on, block_size)) \
-               .groupBy(*keys).agg(*aggs)
+    blocks = df.withColumn(blk, block).groupBy(*keys).agg(*aggs)
     offsets = (_two_level_offsets(blocks, group, blk, size_col, first_of, super_block)
                if super_block else _offsets(blocks, group, blk, size_col, first_of))
 

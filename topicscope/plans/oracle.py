@@ -236,6 +236,28 @@ ORACLE_SQL: dict[str, str] = {
         FROM counted GROUP BY name, ts""",
     "stream_snapshot_totals": f"""WITH {STREAM_NAMES}
         SELECT name, count(*) AS "count" FROM named GROUP BY name""",
+    "stream_trailing_changelog": f"""WITH {STREAM_NAMES},
+        arrivals AS (SELECT name, ts, count(*) AS n FROM named GROUP BY name, ts),
+        latest AS (SELECT name, max(ts) AS last_ts FROM arrivals GROUP BY name),
+        mark AS (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 15 MINUTES AS wm FROM arrivals),
+        changes AS (
+          SELECT name, ts, n AS delta, 0 AS kind FROM arrivals
+          UNION ALL
+          SELECT a.name, a.ts + INTERVAL 1 HOUR, -n, 1
+          FROM arrivals a JOIN latest l ON a.name = l.name CROSS JOIN mark
+          WHERE a.ts + INTERVAL 1 HOUR < greatest(last_ts, wm))
+        SELECT name, ts, CAST(delta AS BIGINT) AS delta,
+               CAST(sum(delta) OVER (PARTITION BY name ORDER BY ts, kind
+                                     ROWS UNBOUNDED PRECEDING) AS BIGINT) AS "count"
+        FROM changes""",
+    "stream_top100_totals": """WITH totals AS (
+          SELECT translate(CAST(user_id AS VARCHAR), '0123456789', 'abcdefghij') AS name, count(*) AS "count" FROM events
+          WHERE user_id IS NOT NULL AND ts IS NOT NULL GROUP BY user_id),
+        best AS (SELECT * FROM totals ORDER BY "count" DESC LIMIT 100)
+        SELECT name, "count" FROM totals WHERE "count" > (SELECT min("count") FROM best)""",
+    "histogram_wire": """SELECT CAST(user_id AS VARCHAR) AS name, printf('%016X', count(*)) AS payload,
+               count(*) AS "count" FROM events WHERE user_id IS NOT NULL GROUP BY user_id""",
+    "tolerant_lines": "SELECT doc_id, source FROM documents WHERE source IS NOT NULL",
     "stream_sliding_hour": f"""WITH {STREAM_NAMES},
         per_minute AS (
           SELECT name, time_bucket(INTERVAL 1 MINUTE, ts) AS minute, count(*) AS n
@@ -247,3 +269,6 @@ ORACLE_SQL: dict[str, str] = {
         FROM spread GROUP BY name, start
         HAVING start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM named) - INTERVAL 15 MINUTES""",
 }
+
+# written as JSON lines and read back: the same rows
+ORACLE_SQL["json_round_trip"] = ORACLE_SQL["daily_top10"]

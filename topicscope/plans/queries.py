@@ -11,13 +11,14 @@ leaderboard name.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import (decode_key_millis, is_blank, java_split, parse_record_key,
-                              split_all, strip_names)
+from ..functions.text import (decode_key_millis, decode_long, encode_long, is_blank,
+                              java_split, nth_field, parse_record_key, split_all, strip_names)
 from ..functions.time import (epoch_micros, epoch_millis, floor_div, format_day,
                               from_epoch_micros,
                               gkg_date_string, last_closed_segment, next_interval,
@@ -32,6 +33,8 @@ from ..sources.gkg import (gkg_like_lines, gkg_like_table, gkg_line_records, gkg
                            gkg_tsv_path, read_gkg, read_lines)
 from ..sources.segments import (after_high_water, catalogue_of_span, last_record_key,
                                 record_envelope, record_lines, spread_event_time)
+from ..session import scratch_path
+from ..sinks.json import write_json_lines
 from ..sources.tables import load_table
 
 # Fixed values used by the registered queries over the driver tables.
@@ -226,6 +229,34 @@ def coalesce_latest(spark, sf_dir):
                            TICK_MICROS)
 
 
+# --- wire and file formats ----------------------------------------------------
+
+def histogram_wire(spark, sf_dir):
+    """Upserts as they go over the wire (8 big-endian bytes) and as they are read."""
+    sent = _user_hist(_events(spark, sf_dir)).select("name", encode_long("count").alias("value"))
+    return sent.select("name", F.hex("value").alias("payload"), decode_long("value").alias("count"))
+
+
+def json_round_trip(spark, sf_dir):
+    """The daily top-10 written as JSON lines and read back."""
+    top = daily_top10(spark, sf_dir)
+    path = scratch_path(spark, "json_checks", uuid.uuid4().hex)
+    write_json_lines(top, path)
+    return spark.read.schema(top.schema).json(path)
+
+
+def tolerant_lines(spark, sf_dir):
+    """Text lines with bytes that are not UTF-8, written and read back."""
+    bad = F.unhex(F.lit("FF")).cast("string")
+    lines = load_table(spark, sf_dir, "documents").where("source IS NOT NULL").select(
+        F.concat(bad, F.col("doc_id").cast("string"), F.lit("\t"), bad, F.col("source"), bad).alias("value"))
+    path = scratch_path(spark, "line_checks", uuid.uuid4().hex)
+    lines.write.text(path)
+    read = read_lines(spark, path, tolerant=True)
+    return read.select(nth_field("value", 0).cast("bigint").alias("doc_id"),
+                       nth_field("value", 1).alias("source"))
+
+
 # --- leaderboard ------------------------------------------------------------------
 
 def _user_hist(events: DataFrame) -> DataFrame:
@@ -297,6 +328,9 @@ QUERIES: dict[str, Query] = {
     "top100_delta": top100_delta,
     "snapshot_json": snapshot_json,
     "delta_json": delta_json,
+    "histogram_wire": histogram_wire,
+    "json_round_trip": json_round_trip,
+    "tolerant_lines": tolerant_lines,
 }
 
 

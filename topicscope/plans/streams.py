@@ -22,32 +22,32 @@ from ..schema import ALL_NAMES_INDEX, GKG_COLUMNS
 from ..session import input_bytes, scratch_path
 from ..sources.gkg import derived_path
 from ..sources.tables import load_table
-from ..streaming.feed import snapshot
+from ..streaming.feed import current_set, snapshot
 from ..streaming.pipeline import start_changelog_sink, start_topic_stream
 from ..streaming.source import landing_records, stream_names
 from ..streaming.trailing import sliding_hour_counts
 
 # The replay: at least LANDING_FILES files of about LANDING_FILE_BYTES of
-# input each, at least FILES_PER_TRIGGER per micro-batch and at most
-# MAX_MICRO_BATCHES micro-batches, so a large table is neither written by a
-# handful of tasks nor replayed in countless tiny batches.
+# input each, FILES_PER_TRIGGER of them per micro-batch whatever their number.
 LANDING_FILES = 8
 LANDING_FILE_BYTES = 256 << 20
 FILES_PER_TRIGGER = 2
-MAX_MICRO_BATCHES = 64
-ALL_TIME_MS = 100 * 365 * 24 * 3_600_000
 
 
-def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(key, value, timestamp) records of the events table."""
+def event_records(spark: SparkSession, sf_dir: str, name: str = "event_type") -> DataFrame:
+    """(key, value, timestamp) records of the events table; ``name`` is the
+    column that gives a record's name."""
     ev = load_table(spark, sf_dir, "events")
+    value = F.col(name).cast("string")
+    if name == "user_id":  # names lose their digits: letters stand for them
+        value = F.translate(value, "0123456789", "abcdefghij")
     fields = []
     for i, _ in enumerate(GKG_COLUMNS):
         if i == 0:
             fields.append(F.col("event_id").cast("string"))
         elif i == ALL_NAMES_INDEX:
             offset = F.coalesce(F.col("user_id").cast("string"), F.lit(""))
-            fields.append(F.coalesce(F.concat(F.col("event_type"), F.lit(","), offset),
+            fields.append(F.coalesce(F.concat(value, F.lit(","), offset),
                                      F.lit("")))
         else:
             fields.append(F.lit(""))
@@ -78,32 +78,25 @@ def land_in_time_order(spark: SparkSession, records: DataFrame, path: str,
 LANDED = "_LANDED"
 
 
-def replay_shape(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
-    """(landing files, files per micro-batch) for the events of ``sf_dir``,
-    from the table's size (file-system metadata)."""
-    return shape_for(input_bytes(spark, f"{sf_dir.rstrip('/')}/events.parquet"))
+def landing_files(size: int) -> int:
+    """Number of landing files for an events table of ``size`` bytes."""
+    return max(LANDING_FILES, -(-size // LANDING_FILE_BYTES))
 
 
-def shape_for(size: int) -> tuple[int, int]:
-    files = max(LANDING_FILES, -(-size // LANDING_FILE_BYTES))
-    return files, max(FILES_PER_TRIGGER, -(-files // MAX_MICRO_BATCHES))
-
-
-def event_landing(spark: SparkSession, sf_dir: str) -> str:
+def event_landing(spark: SparkSession, sf_dir: str, name: str = "event_type") -> str:
     """The events' records landed in time order, once per input folder (the
     marker is written after the modification times are set; that is one
     metadata call per landing file)."""
-    files, _ = replay_shape(spark, sf_dir)
+    files = landing_files(input_bytes(spark, f"{sf_dir.rstrip('/')}/events.parquet"))
     return derived_path(
-        spark, "stream_landing", "landing-v1", sf_dir, ("events",),
-        lambda p: land_in_time_order(spark, event_records(spark, sf_dir), p, files),
+        spark, "stream_landing", f"landing-v2-{name}", sf_dir, ("events",),
+        lambda p: land_in_time_order(spark, event_records(spark, sf_dir, name), p, files),
         marker=LANDED)
 
 
-def _replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _replay(spark: SparkSession, sf_dir: str, name: str = "event_type") -> DataFrame:
     """The landed records as a stream, a few files per micro-batch."""
-    _, per_trigger = replay_shape(spark, sf_dir)
-    return landing_records(spark, event_landing(spark, sf_dir), per_trigger)
+    return landing_records(spark, event_landing(spark, sf_dir, name), FILES_PER_TRIGGER)
 
 
 def _run(query) -> None:
@@ -112,28 +105,49 @@ def _run(query) -> None:
         raise RuntimeError(str(query.exception()))
 
 
-def stream_trailing_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trailing-hour count after every arrival, from the stateful stream:
-    (name, ts, delta, count); mentions of a name at one instant are merged."""
+def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream_checks", uuid.uuid4().hex)
     q = start_changelog_sink(spark, _replay(spark, sf_dir),
                              f"{root}/changes", f"{root}/checkpoint",
                              trigger={"availableNow": True})
     _run(q)
-    changes = spark.read.parquet(f"{root}/changes")
-    return (changes.where(F.col("delta") > 0)
-            .select("name", from_epoch_micros("ts_us").alias("ts"), "delta", "count"))
+    return spark.read.parquet(f"{root}/changes").select(
+        "name", from_epoch_micros("ts_us").alias("ts"), "delta", "count")
+
+
+def stream_trailing_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trailing-hour count after every arrival, from the stateful stream:
+    (name, ts, delta, count); mentions of a name at one instant are merged."""
+    return _changes(spark, sf_dir).where(F.col("delta") > 0)
+
+
+def stream_trailing_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole change log of the stateful stream: arrivals, and mentions that
+    left the window, with the count after each.  A mention leaves once a later
+    arrival of its name or the final watermark is past its hour."""
+    return _changes(spark, sf_dir)
+
+
+def _totals_root(spark: SparkSession, sf_dir: str, name: str) -> str:
+    root = f'{scratch_path(spark, "stream_checks", uuid.uuid4().hex)}/feed'
+    _run(start_topic_stream(spark, _replay(spark, sf_dir, name), root,
+                            trigger={"availableNow": True}, window_ms=None))
+    return root
 
 
 def stream_snapshot_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Leaderboard feed over all-time counts (the window spans the whole
-    table): the snapshot of every name with its final count."""
-    root = scratch_path(spark, "stream_checks", uuid.uuid4().hex)
-    q = start_topic_stream(spark, _replay(spark, sf_dir),
-                           f"{root}/feed", trigger={"availableNow": True},
-                           window_ms=ALL_TIME_MS)
-    _run(q)
-    return snapshot(spark, f"{root}/feed")
+    """Leaderboard feed over all-time counts: the snapshot of every name with
+    its final count."""
+    return snapshot(spark, _totals_root(spark, sf_dir, "event_type"))
+
+
+def stream_top100_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaderboard feed over all-time counts of users, of which there are more
+    than the set holds: its members above the lowest count it ends with (which
+    of the users of that lowest count are members depends on who came first)."""
+    members = current_set(spark, _totals_root(spark, sf_dir, "user_id"))
+    low = members.agg(F.min("count").alias("low"))
+    return members.join(low, F.col("count") > F.col("low")).select("name", "count")
 
 
 def stream_sliding_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,6 +168,8 @@ def stream_sliding_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 STREAM_QUERIES = {
     "stream_trailing_arrivals": stream_trailing_arrivals,
+    "stream_trailing_changelog": stream_trailing_changelog,
     "stream_snapshot_totals": stream_snapshot_totals,
+    "stream_top100_totals": stream_top100_totals,
     "stream_sliding_hour": stream_sliding_hour,
 }

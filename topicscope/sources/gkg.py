@@ -9,6 +9,7 @@ exists.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -160,13 +161,21 @@ def derived_path(spark: SparkSession, kind: str, fmt: str, sf_dir: str,
     """A folder derived from the tables of ``sf_dir``, written once by
     ``build(path)`` (a distributed write) under the shared checkpoint folder
     and reused afterwards.  The folder name covers the input folder, the
-    source tables' metadata and the format version; a build that did not
-    finish leaves no ``marker`` file and is redone."""
+    source tables' metadata and the format version.  Every build writes a
+    folder of its own in there, so jobs that start together never overwrite
+    what another one reads; one that did not finish has no ``marker`` file and
+    is passed over."""
     key = f"{fmt}:{sf_dir.rstrip('/')}:{_source_stamp(spark, sf_dir, tables)}"
     path = scratch_path(spark, kind, hashlib.sha1(key.encode()).hexdigest()[:12])
-    if not path_exists(spark, f"{path}/{marker}"):
-        build(path)
-    return path
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(hpath):
+        for name in sorted(st.getPath().getName() for st in fs.listStatus(hpath)):
+            if path_exists(spark, f"{path}/{name}/{marker}"):
+                return f"{path}/{name}"
+    own = f"{path}/{uuid.uuid4().hex}"
+    build(own)
+    return own
 
 
 def gkg_like_table(spark: SparkSession, sf_dir: str) -> DataFrame:

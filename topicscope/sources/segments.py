@@ -89,14 +89,15 @@ def spread_event_time(lines: DataFrame, minutes: int = SEGMENT_MINUTES,
 
     Row ``i`` (0-based, in line order) of a file with ``n`` lines gets
     ``start + i * floor(segment_ms / n)`` milliseconds, ``start`` being the
-    first 12 digits (``yyyyMMddHHmm``, UTC) of the first line's key.  Input:
-    (file_name, value, seq); line order is ``order``.
+    first 12 digits (``yyyyMMddHHmm``, UTC) of the first line's key, or of the
+    file's name if that line has no such key.  Input: (file_name, value, seq);
+    line order is ``order``.
     """
     keyed = lines.withColumn("key", first_field("value"))
-    idx = index_within(keyed, ["file_name"], list(order) + ["key"], block_on=order[0],
+    idx = index_within(keyed, ["file_name"], list(order) + ["key"], block_on=list(order),
                        index_col="line_index", size_col="n_lines", first_of=["key"])
     step_ms = floor_div(F.lit(minutes * 60_000).cast("bigint"), F.col("n_lines"))
-    start_us = epoch_micros(key_start("first_key"))
+    start_us = epoch_micros(F.coalesce(key_start("first_key"), key_start("file_name")))
     event_us = start_us + F.col("line_index") * step_ms * 1000
     return idx.select("file_name", "key", "value", "seq", "line_index", "n_lines",
                       from_epoch_micros(event_us).alias("event_time"))

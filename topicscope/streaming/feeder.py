@@ -14,24 +14,26 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import first_field, parse_record_key
+from ..functions.text import drop_malformed
 from ..functions.time import to_instant
-from ..sources.gkg import read_lines
 from ..sources.segments import spread_event_time
 
 
 def segment_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """(file_name, value, seq) for record lines of segment files; ``seq`` is
-    the number after the dash of the record key, the line order in the file."""
-    lines = read_lines(spark, paths, tolerant=True).where(F.col("value") != "")
-    name = F.element_at(F.split(F.input_file_name(), "/"), -1)
-    return lines.select(name.alias("file_name"), "value",
-                        parse_record_key(first_field("value"))["b"].alias("seq"))
+    """(file_name, value, block, seq): every line of the segment files, blank ones
+    too.  Line order in a file is (block, seq): the start of the split a line was
+    read from, and its place in that split, whatever the record keys say."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    return (spark.read.text(paths)
+            .select(F.col("_metadata.file_name").alias("file_name"),
+                    drop_malformed("value").alias("value"),
+                    F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("seq")))
 
 
 def timed_records(lines: DataFrame) -> DataFrame:
     """(key, value, timestamp) with spread event times (an instant, UTC)."""
-    spread = spread_event_time(lines)
+    spread = spread_event_time(lines, order=("block", "seq"))
     return spread.select("key", "value", to_instant("event_time").alias("timestamp"))
 
 
@@ -82,8 +84,9 @@ def feed_new_segments(spark: SparkSession, segments_root: str, landing: str, sta
     """List the segments of the last ``window_minutes`` before ``now`` (UTC,
     default: the current time), keep those after the high-water mark stored in
     ``state`` that exist under ``segments_root``, publish each one exactly
-    once to ``landing`` (oldest first) and advance the mark after each.
-    Returns the file names taken.
+    once to ``landing`` (oldest first).  The mark follows them up to the first
+    segment of the window that is not there yet, so one that arrives late is
+    still taken while the window covers it.  Returns the file names taken.
 
     The catalogue holds ``window_minutes / 15`` names, the only values brought
     to the driver (a reader needs its path list)."""
@@ -96,11 +99,16 @@ def feed_new_segments(spark: SparkSession, segments_root: str, landing: str, sta
     cat = after_high_water(segment_catalogue(spark, now, window_minutes), high)
     names = [r["file_name"] for r in cat.orderBy("file_name").collect()]
     root = segments_root.rstrip("/")
-    present = [n for n in names if path_exists(spark, f"{root}/{n}")]
-    for n in present:                      # oldest first; the mark follows each one
-        publish_segment_once(spark, f"{root}/{n}", landing)
-        spark.createDataFrame([(n,)], "file_name string").write.mode("overwrite").parquet(state)
-    return present
+    taken, gap = [], False
+    for n in names:                        # oldest first
+        if not path_exists(spark, f"{root}/{n}"):
+            gap = True
+            continue
+        if publish_segment_once(spark, f"{root}/{n}", landing):
+            taken.append(n)
+        if not gap:
+            spark.createDataFrame([(n,)], "file_name string").write.mode("overwrite").parquet(state)
+    return taken
 
 
 def main(argv=None) -> None:

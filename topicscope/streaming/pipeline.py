@@ -18,21 +18,26 @@ from ..operators.leaderboard import CAPACITY
 from ..session import scratch_path
 from .feed import LeaderboardFeed
 from .source import stream_names
-from .trailing import HOUR_MS, trailing_hour_updates
+from .trailing import HOUR_MS, running_total_updates, trailing_hour_updates
 
 
 def start_topic_stream(spark: SparkSession, records: DataFrame, root: str | None = None,
                        trigger: dict | None = None, watermark: str = "15 minutes",
-                       window_ms: int = HOUR_MS, capacity: int = CAPACITY,
+                       window_ms: int | None = HOUR_MS, capacity: int = CAPACITY,
                        query_name: str | None = None, resolution_us: int = 1,
                        combine: bool | None = None) -> StreamingQuery:
     """Start the streaming query.  ``trigger`` is passed to
-    ``DataStreamWriter.trigger`` (default: one micro-batch per second)."""
+    ``DataStreamWriter.trigger`` (default: one micro-batch per second).
+    Without a window (None) the counts are those since the start."""
     root = (root or scratch_path(spark, "topic_stream")).rstrip("/")
-    changes = trailing_hour_updates(stream_names(records), window_ms, watermark,
-                                    resolution_us=resolution_us, combine=combine)
+    names = stream_names(records)
+    if window_ms is None:
+        changes = running_total_updates(names)
+    else:
+        changes = trailing_hour_updates(names, window_ms, watermark,
+                                        resolution_us=resolution_us, combine=combine)
     writer = (changes.writeStream
-              .outputMode("append")
+              .outputMode("update" if window_ms is None else "append")
               .option("checkpointLocation", f"{root}/checkpoint")
               .foreachBatch(LeaderboardFeed(root, capacity)))
     writer = writer.trigger(**(trigger or {"processingTime": "1 second"}))

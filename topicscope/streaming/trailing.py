@@ -142,28 +142,31 @@ def make_trailing_fn(window_ms: int = HOUR_MS):
 COMBINED_SCHEMA = "name string, ts_us long, n long"
 
 
+#: Mentions that the combine holds before it hands on what it has counted.
+COMBINE_ROWS = 1 << 18
+
+
 def _combine_partition(batches):
-    """Per input partition: (name, instant) -> number of mentions.  Chunks
-    are grouped as they come and regrouped when the partial result grows."""
+    """Partial counts (name, instant, n): every run of ``COMBINE_ROWS`` mentions is
+    grouped once and handed on.  The counts of an instant are summed again
+    behind the shuffle, so the work is linear and the memory bounded."""
     import pyarrow as pa
 
-    def group(table):
-        g = table.group_by(["name", "ts_us"]).aggregate([("n", "sum")])
-        return pa.table({"name": g["name"], "ts_us": g["ts_us"], "n": g["n_sum"]})
+    def group(parts):
+        g = pa.concat_tables(parts).group_by(["name", "ts_us"]).aggregate([([], "count_all")])
+        return pa.table({"name": g["name"], "ts_us": g["ts_us"], "n": g["count_all"]}).to_batches()
 
     parts, rows = [], 0
     for rb in batches:
         if rb.num_rows == 0:
             continue
-        t = pa.Table.from_batches([rb]).select(["name", "ts_us"])
-        t = t.append_column("n", pa.array([1] * t.num_rows, pa.int64()))
-        parts.append(group(t))
-        rows += parts[-1].num_rows
-        if rows > 1_000_000 and len(parts) > 1:
-            parts = [group(pa.concat_tables(parts))]
-            rows = parts[0].num_rows
+        parts.append(pa.Table.from_batches([rb]).select(["name", "ts_us"]))
+        rows += rb.num_rows
+        if rows >= COMBINE_ROWS:
+            yield from group(parts)
+            parts, rows = [], 0
     if parts:
-        yield from group(pa.concat_tables(parts)).to_batches()
+        yield from group(parts)
 
 
 def trailing_hour_updates(names: DataFrame, window_ms: int = HOUR_MS,
@@ -183,7 +186,7 @@ def trailing_hour_updates(names: DataFrame, window_ms: int = HOUR_MS,
     ``combine`` (default on) collapses each input partition to one row per
     (name, instant) before the shuffle to the state function -- the map-side
     combine of this stream -- so a name that carries a large share of a
-    micro-batch sends at most one row per instant and task (a record that
+    micro-batch sends at most one row per instant and ``COMBINE_ROWS`` mentions (a record that
     repeats a name is one row; at a coarser resolution, one row per step).
     """
     combine = True if combine is None else combine
@@ -204,6 +207,14 @@ def trailing_hour_updates(names: DataFrame, window_ms: int = HOUR_MS,
                           "delta", "count", "ord", "last")
 
 
+def running_total_updates(names: DataFrame) -> DataFrame:
+    """(name, count, last) of every name that a micro-batch mentions: its count
+    since the start.  Built-in aggregation in update mode: the state of a name
+    is one count, whatever the number of its mentions; rows are never late."""
+    return (names.groupBy("name").agg(F.count(F.lit(1)).alias("count"))
+            .withColumn("last", F.lit(True)))
+
+
 def sliding_hour_counts(names: DataFrame, watermark: str = "15 minutes",
                         step: str = "1 minute", window: str = "1 hour") -> DataFrame:
     """Mentions per name over a sliding hour in ``step`` increments, with
