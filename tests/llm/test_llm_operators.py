@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from conftest import SF_CHECK, SF_SMALL
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ from topicscope.llm import (
     quality_gam,
     quality_rules,
     token_counts,
+    tokens,
 )
 from topicscope.llm.queries import QUERIES
 
@@ -140,6 +142,27 @@ def test_packing_round_trip(spark):
     assert check_pieces(rows, dict(map(tuple, docs))) > 0.99
 
 
+@pytest.mark.parametrize("kept", [600_000, 40, 0])
+def test_block_encoder_equals_tokenizer(monkeypatch, kept):
+    """Every text has the whole tokenizer's ids, whatever is kept between blocks."""
+    monkeypatch.setattr(tokens, "KEPT_PIECES", kept)
+    tok = Tokenizer.from_file(WORD_BPE)
+    tok.encode_special_tokens = True
+    rng = random.Random(7)
+    letters = "aabcdeest .,\n\t'012²½éÉßµªñ¿\u00a0\u00ad\u0085\x00\x7f\u0301日ж’İ"
+    texts = [None, "", " \n ", "Don't I'LL 's 'll'd''t", "<|endoftext|> </w> Ā", "x" * 5000,
+             *("".join(rng.choices(letters, k=rng.randint(1, 60))) for _ in range(600)),
+             *(" ".join(rng.choices(["the", "Größe,", "naïve.", "a1b2", "ÀÉÎ!"], k=40)) for _ in range(50))]
+    encoder = tokens.BlockEncoder(WORD_BPE)
+    for at in range(0, len(texts), 100):
+        part = texts[at:at + 100]
+        ids, bounds = encoder.encode(pa.array(part, pa.string()), 2)
+        want = [c.ids + [2] for c in tok.encode_batch([t or "" for t in part], add_special_tokens=False)]
+        assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == want
+    ids, bounds = encoder.encode(pa.array([], pa.string()), 2)
+    assert not len(ids) and bounds.tolist() == [0]
+
+
 def test_packing_edges(spark, empty):
     texts = {1: None, 2: "", 3: " ", 4: LONG, 5: "ΣΑΣ İ é́ 中文 x\x1cy\xa0z I'm <|endoftext|>"}
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")

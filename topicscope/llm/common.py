@@ -138,6 +138,20 @@ def sliced(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
+def blocks(batches: Iterable[pa.RecordBatch], size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows in blocks of about ``size`` bytes (a longer row is a block of its
+    own or ends one); no block is empty."""
+    held, held_bytes = [], 0
+    for part in sliced(batches, 64):
+        if held and held_bytes + part.nbytes > size:
+            yield pa.concat_batches(held)
+            held, held_bytes = [], 0
+        held.append(part)
+        held_bytes += part.nbytes
+    if held:
+        yield pa.concat_batches(held)
+
+
 def without(docs: DataFrame, names: Iterable[str], *inputs: str) -> DataFrame:
     """``docs`` without the columns that an operator's output replaces (the
     operator's own ``inputs`` stay readable)."""

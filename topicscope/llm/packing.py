@@ -25,6 +25,7 @@ columns are not read.  Equal scores go by row.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 
 import numpy as np
@@ -33,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, sliced, staged
+from .common import blocks, bounded_batches, staged
 from .tokens import encoder
 
 WINDOW = 4096
@@ -64,16 +65,16 @@ def tokenise(docs: DataFrame, path: str, end: int = END, id_col: str = "doc_id",
         enc = encoder(path)
         df = np.zeros(_IDS, np.int64)
         held = None
-        for batch in sliced(batches):
-            if not batch.num_rows:
-                continue
+        for block in blocks(batches):
             if held is not None:
                 yield with_counts(held)
-            ids = enc.encode(batch.column(2).to_pylist(), end)
-            for x in ids:
-                df[np.unique(np.frombuffer(x, "<u2"))] += 1
-            held = [batch.column(0), batch.column(1), pa.array(ids, pa.binary()),
-                    pa.array([len(x) // 2 for x in ids], pa.int64())]
+            ids, bounds = enc.encode(block.column(2).cast(pa.string()), end)
+            for a, b in itertools.pairwise(bounds.tolist()):
+                df[np.unique(ids[a:b])] += 1
+            held = [block.column(0), block.column(1), pa.Array.from_buffers(
+                        pa.binary(), block.num_rows,
+                        [None, pa.py_buffer(2 * bounds), pa.py_buffer(ids.astype("<u2"))]),
+                    pa.array(np.diff(bounds), pa.int64())]
         if held is not None:
             yield with_counts(held, df)
 
