@@ -279,6 +279,26 @@ def test_html_parts(spark, empty):
     assert html_extract.votes(pages.limit(0)).count() == 0
 
 
+BODY = "a sentence of the body, and more of it, and so on and on. " * 5
+
+
+def test_html_nested_containers_of_the_article(spark):
+    inner = ["<h1>Head</h1><p>lead</p><blockquote>{}</blockquote>", "<h1>Head</h1><p>lead</p><section>{}</section>",
+             "<h1>Head</h1><p>lead</p><table><tr><td>{}</td></tr></table>",
+             '<header><h1>Head</h1></header><p>lead</p><div class="entry-content">{}</div>']
+    outer = ["<article>{}</article>", "<main><article>{}</article></main>", '<div class="post-7">{}</div>',
+             '<div class="wrap">{}</div>']
+    rows = [(f"http://h{i}-{j}.org/", "<body><nav>Menu</nav>" + o.format(n.format(BODY))
+             + '<div class="sidebar">Side</div></body>')
+            for i, o in enumerate(outer) for j, n in enumerate(inner[:3 if "wrap" in o else 4])]
+    pages = spark.createDataFrame(rows * 3, "url string, html string")
+    got = html_extract.extract(pages, html_extract.winners(html_extract.votes(pages))).collect()
+    assert len(got) == 45 and {r["text"] for r in got} == {f"Head lead {BODY.strip()}"}
+    # the host's path is another part of this page
+    page = html_extract.read_page(f"<body><div>Side</div><article>{BODY}</article></body>")
+    assert BODY.strip() in html_extract.text_of(page, "html>body>div")
+
+
 def test_html_whole_table(spark):
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect()}
     for r in QUERIES["op7_html_extraction"](spark, SF_SMALL).collect():

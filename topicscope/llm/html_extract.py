@@ -5,11 +5,13 @@ element).  Elements that are never article text (menus, page headers, footers,
 sidebars, notices, adverts, forms, scripts, styles, reader comments; by tag,
 role, class or id) are set aside.  A page's containers are scored by the text
 left in them, and the page votes, with the logarithm of that text's length, for
-the generalised tag-class path of its best container.  Spark adds up the votes
+the generalised tag-class path of its best container: the outermost article or
+main element that holds most of the text, else the outermost container named as
+the article, else the container beyond which text would be left out.  Spark adds up the votes
 per (host, path) and takes each host's winner, and every page is then read
 again with its host's winning path: the text of the containers on that path, or
 of the page's own best container where the page has no such path (or no text
-there).
+there); a page's own article is kept beside the path.
 
 Character references are decoded, white space inside a block becomes one
 space, blocks are joined in page order by one space.
@@ -77,6 +79,9 @@ SKIPPED_TOKENS = frozenset(
     "copyright legal disclaimer paywall form".split())
 #: Tokens that mark the article itself; they outweigh the tokens above on sectioning elements.
 ARTICLE_TOKENS = frozenset("article post entry content story main body".split())
+#: Tokens that name a container as the article, and those of a part of it.
+NAMED_TOKENS = frozenset("article post entry story".split())
+PART_TOKENS = frozenset("content body text main header title meta".split())
 CLOSES_P = frozenset(
     "address article aside blockquote center div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr "
     "main menu nav ol p pre section table ul".split())
@@ -93,9 +98,24 @@ class Page:
     paths: list[str]         # per container: generalised path
     parents: list[int]       # per container: enclosing container
     semantic: list[bool]     # per container: an article or main element, or inside one
+    marks: list[int]         # per container: 2 an article or main element, 1 named as an article
     pieces: list[tuple[int, str]]  # (container, text or "\n" at a block's edge)
 
 
+def _names(attrs: dict[str, str]) -> list[set[str]]:
+    """The tokens of each class and of the id."""
+    return [{t.lower() for t in _TOKEN.findall(_CAMEL.sub(" ", n))}
+            for n in [*attrs.get("class", "").split(), attrs.get("id", "")]]
+
+
+def _mark(tag: str, attrs: dict[str, str]) -> int:
+    if tag in ("article", "main"):
+        return 2
+    if not attrs or tag == "body" or not ("class" in attrs or "id" in attrs):
+        return 0
+    return int(any(n & NAMED_TOKENS and not n & (PART_TOKENS | SKIPPED_TOKENS) for n in _names(attrs)))
+
+
 def _skipped(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
     if tag in SKIPPED:
         # a header inside the article holds its headline
@@ -145,10 +165,10 @@ def _close(stack: list, names, scopes) -> None:
 
 
 def read_page(source: str) -> Page:
-    page = Page(["html"], [0], [False], [])
+    page = Page(["html"], [0], [False], [0], [])
     pieces = page.pieces
-    # open elements: (tag, container inside, skipped inside, inside an article)
-    stack: list[tuple[str, int, bool, bool]] = [("html", 0, False, False)]
+    # open elements: (tag, container inside, skipped inside, inside an article, inside a container named as one)
+    stack: list[tuple[str, int, bool, bool, bool]] = [("html", 0, False, False, False)]
     find, match = source.find, _TAG.match
     at, mark = 0, find("<")
     while True:
@@ -190,10 +210,10 @@ def read_page(source: str) -> Page:
                 _close(stack, ("p",), SCOPES)
             if tag in SIBLINGS:
                 _close(stack, SIBLINGS[tag], SCOPES)
-            _, box, skip, article = stack[-1]
+            _, box, skip, article, named = stack[-1]
             if not skip or tag in RAW:
                 attrs = _attrs(inner) if inner and not skip else {}
-                skip = skip or _skipped(tag, attrs, article)
+                skip = skip or _skipped(tag, attrs, article or named)
                 if tag in RAW:
                     # text up to the end tag is no markup
                     over = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
@@ -204,26 +224,36 @@ def read_page(source: str) -> Page:
                     continue
                 article = article or tag in ("article", "main")
                 if tag in CONTAINERS and not skip:
+                    mark = _mark(tag, attrs)
+                    named = named or mark > 0
+                    page.marks.append(mark)
                     page.paths.append(f"{page.paths[box]}>{_step(tag, attrs) if attrs else tag}")
                     page.parents.append(box)
                     page.semantic.append(article)
                     box = len(page.paths) - 1
-            stack.append((tag, box, skip, article))
+            stack.append((tag, box, skip, article, named))
         mark = find("<", at)
 
 
 def best_container(page: Page) -> tuple[int, int]:
-    """The deepest container that still holds ``SHARE`` of the page's text
-    (article and main elements count threefold), and that text's length."""
-    total = [0] * len(page.paths)
+    """The container of the article, and its text's length (article and main
+    elements count threefold): the outermost article or main element that holds
+    ``SHARE`` of the page's text, else the outermost container named as the
+    article that does, else the deepest container that leaves no text out."""
+    n = len(page.paths)
+    total = [0] * n
     for box, text in page.pieces:
-        if text != "\n":
+        if text != "\n" and not text.isspace():
             total[box] += len(text) * (3 if page.semantic[box] else 1)
-    for box in range(len(total) - 1, 0, -1):  # children come after their parents
+    for box in range(n - 1, 0, -1):  # children come after their parents
         total[page.parents[box]] += total[box]
+    for mark in (2, 1):
+        for box in range(1, n):
+            if page.marks[box] == mark and total[box] >= SHARE * total[0] > 0:
+                return box, total[box]
     best = 0
-    for box in range(1, len(total)):
-        if page.parents[box] == best and total[box] >= SHARE * total[0] > 0:
+    for box in range(1, n):
+        if page.parents[box] == best and total[box] == total[best] > 0:
             best = box
     return best, total[best]
 
@@ -231,13 +261,16 @@ def best_container(page: Page) -> tuple[int, int]:
 def text_of(page: Page, path: str | None) -> str:
     """Text of the containers on ``path``; without any, of the best container."""
     inside = [False] * len(page.paths)
+    best = best_container(page)[0]
     for use_path in (True, False):
         if use_path:
             if path is None or path not in page.paths:
                 continue
             roots = {i for i, p in enumerate(page.paths) if p == path}
+            if page.marks[best]:  # the path may lie elsewhere on this page
+                roots.add(best)
         else:
-            roots = {best_container(page)[0]}
+            roots = {best}
         for i in range(len(inside)):
             inside[i] = i in roots or (i > 0 and inside[page.parents[i]])
         text = " ".join("".join(t for box, t in page.pieces if inside[box] or t == "\n").split())
