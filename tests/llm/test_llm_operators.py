@@ -282,6 +282,10 @@ def test_html_parts(spark, empty):
 BODY = "a sentence of the body, and more of it, and so on and on. " * 5
 
 
+def html_text(source):
+    return html_extract.text_of(html_extract.read_page(source), None)
+
+
 def test_html_nested_containers_of_the_article(spark):
     inner = ["<h1>Head</h1><p>lead</p><blockquote>{}</blockquote>", "<h1>Head</h1><p>lead</p><section>{}</section>",
              "<h1>Head</h1><p>lead</p><table><tr><td>{}</td></tr></table>",
@@ -299,6 +303,23 @@ def test_html_nested_containers_of_the_article(spark):
     assert BODY.strip() in html_extract.text_of(page, "html>body>div")
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<form id=aspnetForm><div>Head</div><div>{}</div></form>", "Head {}"),
+    ("<form><article>{0}</article><div id=comments><article>{0}{0}</article></div></form>", "{}"),
+    ('<article class="post legal">{}</article><div class="legal">Law</div>', "{}"),
+    ('<article class="discussion">{}</article>', "{}"), ('<div id="content" class="widget">{}</div>', "{}"),
+    ('<article><h1>Head</h1><div class="widget"><p>{}</p></div></article>', "Head {}"),
+    ('<div class="content-sidebar-wrap"><main>{}</main><div class="sidebar">Side</div></div>', "{}"),
+    ('<article>{0}<p>their <span class="share">share</span></p><div class="share">Tell all</div></article>',
+     "{} their share"),
+    ("<article>{}<math><mi>x</mi><mo>=</mo><mn>2</mn></math></article>", "{} x=2"),
+    ("<article>{0}</article><form><p>{0}</p></form><div class='cookie-consent'>{0}{0}</div>", "{}"),
+    ("<div>{0}</div><section id=comments><article>{0}{0}</article><article>{0}</article></section>", "{}"),
+    ("<nav>{}</nav><script>no text</script>", "{}"), ("<div hidden>{}</div>", "{}")])
+def test_html_wrappers_of_the_article(page, want):
+    assert html_text(f"<body>{page.format(BODY)}</body>") == want.format(BODY.strip())
+
+
 def test_html_whole_table(spark):
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect()}
     for r in QUERIES["op7_html_extraction"](spark, SF_SMALL).collect():

@@ -3,11 +3,13 @@
 Each page is read into text pieces, each inside a container (a sectioning
 element).  Elements that are never article text (menus, page headers, footers,
 sidebars, notices, adverts, forms, scripts, styles, reader comments; by tag,
-role, class or id) are set aside.  A page's containers are scored by the text
-left in them, and the page votes, with the logarithm of that text's length, for
-the generalised tag-class path of its best container: the outermost article or
-main element that holds most of the text, else the outermost container named as
-the article, else the container beyond which text would be left out.  Spark adds up the votes
+role, class or id) are set aside; forms and parts named by role, class or id
+only after the page is read, if they don't enclose the article (:func:`_settle`).
+A page's containers are scored by the text left in them, and the page votes,
+with the logarithm of that text's length, for the generalised tag-class path of
+its best container: the outermost article or main element that holds most of
+the text, else the outermost container named as the article, else the container
+beyond which text would be left out.  Spark adds up the votes
 per (host, path) and takes each host's winner, and every page is then read
 again with its host's winning path: the text of the containers on that path, or
 of the page's own best container where the page has no such path (or no text
@@ -21,7 +23,8 @@ Votes are partial sums per task, and the join with the winners is left to Spark
 partitions are split).
 
 Defined cases: a null html is empty and gives an empty text; a null url counts
-as the host ''; a page without text votes for nothing; equal votes go to the
+as the host ''; a page without text votes for nothing; a page whose text is all
+set aside is read again with it; equal votes go to the
 first path in alphabetical order; repeated rows each get a row; other columns
 are passed through, and the output column text replaces an input column of that
 name.
@@ -59,11 +62,17 @@ RAW = frozenset("script style textarea title xmp iframe noembed noframes".split(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s "
-    "samp small span strike strong sub sup time tt u var wbr".split())
+    "samp small span strike strong sub sup time tt u var wbr "
+    "math mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt mroot mover munder munderover semantics".split())
 SKIPPED = frozenset(
-    "nav header footer aside form script style noscript template iframe svg canvas button select option "
-    "textarea input menu dialog head title object embed audio video map math xmp noembed noframes "
-    "datalist fieldset".split())
+    "nav header footer aside script style noscript template iframe svg canvas button select option "
+    "textarea input menu head title object embed audio video map xmp noembed noframes "
+    "datalist annotation annotation-xml".split())
+#: Of these, what is no text even on a page that has no other.
+NO_TEXT = SKIPPED - frozenset("nav header footer aside noscript menu xmp noembed noframes".split())
+#: Set aside unless they enclose the article.
+WRAPPERS = frozenset("form fieldset dialog".split())
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figcaption".split())
 CONTAINERS = frozenset("body main article section div td table center blockquote".split())
 SKIPPED_ROLES = frozenset(
     "navigation banner complementary contentinfo search dialog alert alertdialog form menu menubar "
@@ -77,6 +86,14 @@ SKIPPED_TOKENS = frozenset(
     "alert popup modal overlay newsletter subscribe subscription signup login search social share sharing "
     "related recommended recommendations trending pagination pager toolbar widget widgets skip "
     "copyright legal disclaimer paywall form".split())
+#: Of these, tokens that an article or its wrapper may bear as well.
+MILD_TOKENS = frozenset(
+    "sponsored promoted promo promotion rail header masthead bottom discussion reviews notice notices alert "
+    "modal overlay subscription login search social share sharing widget widgets skip copyright legal "
+    "disclaimer paywall form".split())
+#: Of these, tokens of what readers wrote.
+REMARK_TOKENS = frozenset(
+    "comment comments commentlist disqus replies reply responses discussion respond reviews".split())
 #: Tokens that mark the article itself; they outweigh the tokens above on sectioning elements.
 ARTICLE_TOKENS = frozenset("article post entry content story main body".split())
 #: Tokens that name a container as the article, and those of a part of it.
@@ -99,7 +116,9 @@ class Page:
     parents: list[int]       # per container: enclosing container
     semantic: list[bool]     # per container: an article or main element, or inside one
     marks: list[int]         # per container: 2 an article or main element, 1 named as an article
+    asides: list[int]        # per container: 0, or the grade by which it is set aside
     pieces: list[tuple[int, str]]  # (container, text or "\n" at a block's edge)
+    source: str = ""         # read again if no piece is left ('' if nothing was set aside)
 
 
 def _names(attrs: dict[str, str]) -> list[set[str]]:
@@ -108,6 +127,41 @@ def _names(attrs: dict[str, str]) -> list[set[str]]:
             for n in [*attrs.get("class", "").split(), attrs.get("id", "")]]
 
 
+def _hidden(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
+    if tag in SKIPPED:
+        # a header inside the article holds its headline
+        return not (tag == "header" and in_article)
+    if not attrs:
+        return False
+    return "hidden" in attrs or attrs.get("aria-hidden") == "true" \
+        or "display:none" in attrs.get("style", "").replace(" ", "")
+
+
+def _aside(tag: str, attrs: dict[str, str], in_text: bool) -> int:
+    """0 for a part of the article, else how little the element may be one: 1 a
+    form or a name that articles bear too, 2 another name or role, 3 remarks."""
+    grade = 1 if tag in WRAPPERS else 0
+    if not attrs or tag in ("main", "body", "html"):
+        return grade
+    if attrs.get("role") in SKIPPED_ROLES:
+        grade = max(grade, 1 if attrs["role"] in ("form", "note", "status", "dialog") else 2)
+    if tag in INLINE and in_text or not ("class" in attrs or "id" in attrs):
+        return grade
+    names = _names(attrs)
+    tokens = set().union(*names)
+    bad = tokens & SKIPPED_TOKENS
+    # "post-header" belongs to the article, "post-comments" or "content-ad" does not
+    if not bad or tokens & ARTICLE_TOKENS and bad <= {"header", "body"}:
+        return grade
+    if tag in CONTAINERS and (tag == "article" or bad <= MILD_TOKENS):
+        # a name of its own that marks the article outweighs the others
+        if any(n & ARTICLE_TOKENS and all(t in ARTICLE_TOKENS or t.isdigit() for t in n) for n in names):
+            return grade
+        if tag == "article" and bad <= MILD_TOKENS:
+            return grade
+    return max(grade, 3 if bad & REMARK_TOKENS else 1 if bad <= MILD_TOKENS else 2)
+
+
 def _mark(tag: str, attrs: dict[str, str]) -> int:
     if tag in ("article", "main"):
         return 2
@@ -116,26 +170,66 @@ def _mark(tag: str, attrs: dict[str, str]) -> int:
     return int(any(n & NAMED_TOKENS and not n & (PART_TOKENS | SKIPPED_TOKENS) for n in _names(attrs)))
 
 
-def _skipped(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
-    if tag in SKIPPED:
-        # a header inside the article holds its headline
-        return not (tag == "header" and in_article)
-    if not attrs:
-        return False
-    if "hidden" in attrs or attrs.get("aria-hidden") == "true" or attrs.get("role") in SKIPPED_ROLES:
-        return True
-    if "display:none" in attrs.get("style", "").replace(" ", ""):
-        return True
-    if tag in ("article", "main", "body", "html"):
-        if tag != "article":
-            return False
-    named = f"{attrs.get('class', '')} {attrs.get('id', '')}"
-    if named == " ":
-        return False
-    tokens = {t.lower() for t in _TOKEN.findall(_CAMEL.sub(" ", named))}
-    # "post-header" belongs to the article, "post-comments" or "content-ad" does not
-    bad = tokens & SKIPPED_TOKENS
-    return bool(bad) and not (tokens & ARTICLE_TOKENS and bad <= {"header", "body"})
+def _settle(page: Page) -> None:
+    """Drop the pieces of what is set aside.
+
+    A form or a part named as no article text stays if it encloses the article:
+    inside an article, if it outweighs the rest of it (grade 1); elsewhere, if no
+    article lies outside and it holds one or outweighs the page's other text
+    (grade 1), or holds one article or main element that does (grades 2 and 3)."""
+    n = len(page.paths)
+    own = [0] * n
+    for box, text in page.pieces:
+        if text != "\n" and not text.isspace():
+            own[box] += len(text)
+    region, article = [0] * n, [0] * n  # nearest part set aside; outermost article in that region
+    for b in range(1, n):
+        up = page.parents[b]
+        if page.asides[b]:
+            region[b], article[b] = b, b if page.marks[b] else 0
+        else:
+            region[b], article[b] = region[up], article[up] or (b if page.marks[b] else 0)
+    plain, marked, elements = [0] * n, [0] * n, [0] * n  # per region: text, text in articles, their number
+    rest = [0] * n  # per article: its text outside further parts
+    main = [0] * n  # per region: text in article and main elements
+    for b in range(n):
+        plain[region[b]] += own[b]
+        if article[b]:
+            marked[region[b]] += own[b]
+            rest[article[b]] += own[b]
+            if page.marks[article[b]] == 2:
+                main[region[b]] += own[b]
+                elements[region[b]] += article[b] == b
+    # parts of remarks count for nothing outside themselves
+    full = plain[:]
+    for b in range(n - 1, 0, -1):
+        if page.asides[b] in (1, 2):
+            up = region[page.parents[b]]
+            full[up] += full[b] if page.asides[b] == 1 else 0
+            marked[up] += marked[b] if up else 0
+            main[up] += main[b] if up else 0
+            elements[up] += elements[b] if up else 0
+    kept = [False] * n
+    kept[0] = True
+    text, articles = plain[0], marked[0]
+    for b in range(1, n):
+        up = region[page.parents[b]]
+        if not page.asides[b] or not kept[up]:
+            continue
+        around, grade = article[page.parents[b]], page.asides[b]
+        if around:
+            stays = grade == 1 and full[b] > rest[around]
+        elif articles:
+            stays = False
+        elif grade == 1:
+            stays = marked[b] > 0 or full[b] > text
+        else:
+            stays = main[b] > text and (grade == 2 or elements[b] == 1)
+        if stays:
+            kept[b] = True
+            text += plain[b]
+            articles += sum(own[i] for i in range(b, n) if region[i] == b and article[i])
+    page.pieces = [(b, t) for b, t in page.pieces if kept[region[b]]]
 
 
 def _step(tag: str, attrs: dict[str, str]) -> str:
@@ -164,10 +258,18 @@ def _close(stack: list, names, scopes) -> None:
             return
 
 
-def read_page(source: str) -> Page:
-    page = Page(["html"], [0], [False], [0], [])
+def read_page(source: str, whole: bool = False) -> Page:
+    """The page's text; ``whole``: also what is else set aside."""
+    page = Page(["html"], [0], [False], [0], [0], [], "" if whole else source)
+    _read(page, source, whole)
+    if any(page.asides):
+        _settle(page)
+    return page
+
+
+def _read(page: Page, source: str, whole: bool) -> None:
     pieces = page.pieces
-    # open elements: (tag, container inside, skipped inside, inside an article, inside a container named as one)
+    # open elements: (tag, container inside, skipped inside, inside an article, inside a paragraph or a container named as an article)
     stack: list[tuple[str, int, bool, bool, bool]] = [("html", 0, False, False, False)]
     find, match = source.find, _TAG.match
     at, mark = 0, find("<")
@@ -181,7 +283,7 @@ def read_page(source: str) -> Page:
             text = source[at:stop]
             pieces.append((stack[-1][1], htmllib.unescape(text) if "&" in text else text))
         if m is None:
-            return page
+            return
         at = m.end()
         end, tag, inner, end2, tag2, inner2, cdata = m.groups()
         if tag is None:
@@ -210,10 +312,10 @@ def read_page(source: str) -> Page:
                 _close(stack, ("p",), SCOPES)
             if tag in SIBLINGS:
                 _close(stack, SIBLINGS[tag], SCOPES)
-            _, box, skip, article, named = stack[-1]
+            _, box, skip, article, prose = stack[-1]
             if not skip or tag in RAW:
                 attrs = _attrs(inner) if inner and not skip else {}
-                skip = skip or _skipped(tag, attrs, article or named)
+                skip = skip or (tag in NO_TEXT if whole else _hidden(tag, attrs, article or prose))
                 if tag in RAW:
                     # text up to the end tag is no markup
                     over = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
@@ -222,16 +324,18 @@ def read_page(source: str) -> Page:
                     at = over.end() if over else len(source)
                     mark = find("<", at)
                     continue
+                aside = 0 if skip or whole else _aside(tag, attrs, article or prose)
                 article = article or tag in ("article", "main")
-                if tag in CONTAINERS and not skip:
-                    mark = _mark(tag, attrs)
-                    named = named or mark > 0
-                    page.marks.append(mark)
+                named = _mark(tag, attrs) if tag in CONTAINERS else 0
+                prose = prose or tag in PROSE or named > 0 and not aside
+                if (tag in CONTAINERS or aside) and not skip:
                     page.paths.append(f"{page.paths[box]}>{_step(tag, attrs) if attrs else tag}")
                     page.parents.append(box)
                     page.semantic.append(article)
+                    page.marks.append(named)
+                    page.asides.append(aside)
                     box = len(page.paths) - 1
-            stack.append((tag, box, skip, article, named))
+            stack.append((tag, box, skip, article, prose))
         mark = find("<", at)
 
 
@@ -259,7 +363,8 @@ def best_container(page: Page) -> tuple[int, int]:
 
 
 def text_of(page: Page, path: str | None) -> str:
-    """Text of the containers on ``path``; without any, of the best container."""
+    """Text of the containers on ``path``; without any, of the best container;
+    of a page that has none left, all that was set aside."""
     inside = [False] * len(page.paths)
     best = best_container(page)[0]
     for use_path in (True, False):
@@ -276,7 +381,7 @@ def text_of(page: Page, path: str | None) -> str:
         text = " ".join("".join(t for box, t in page.pieces if inside[box] or t == "\n").split())
         if text:
             return text
-    return ""
+    return text_of(read_page(page.source, whole=True), None) if page.source else ""
 
 
 def host_of(url: Column) -> Column:
