@@ -352,6 +352,37 @@ def test_licenses_against_plain_containment(spark, edge, empty):
     assert licenses.scan(empty).count() == 0
 
 
+def test_licenses_of_the_whole_table(spark, tmp_path):
+    table = licenses.read_templates()
+    assert table[:len(licenses.TEMPLATES)] == licenses.TEMPLATES
+    path = str(tmp_path / "templates.parquet")
+    spark.createDataFrame(table, "license string, text string").write.parquet(path)
+    assert sorted(licenses.read_templates(spark, path)) == sorted(table)
+    texts = [f"foo bar {t} baz qux" for _, t in table]
+    # a second time, with a word of the long texts exchanged
+    worn = [" ".join(["gone" if i == 30 and len(t.split()) > 90 else w for i, w in enumerate(t.split())])
+            for t in texts]
+    df = spark.createDataFrame([(i, f"{t} and then {w}") for i, (t, w) in
+                                enumerate(zip(texts, worn, strict=True))], "doc_id long, text string")
+    for r in licenses.scan(df).collect():
+        name = table[r["doc_id"]][0]
+        found = [m for m in r["licenses"] if m["license"] == name]
+        assert len(found) == 2 and found[0]["end"] <= found[1]["start"] and found[0]["containment"] == 1
+        assert {m["license"].removesuffix("-text").removesuffix("-full") for m in r["licenses"]} \
+            == {name.removesuffix("-text").removesuffix("-full")}
+
+
+def test_every_place_of_a_license(spark):
+    mit, text = licenses.TEMPLATES[0][1], licenses.TEMPLATES[7][1]
+    for t, name in ((mit, "MIT"), (text, "MIT-text")):
+        for between in (" ", " x y z "):
+            whole = "Ä " + between.join([t] * 3)
+            rows = licenses.scan(spark.createDataFrame([(whole,)], "text string")).first()["licenses"]
+            assert [m["license"] for m in rows] == [name] * 3
+            # up to the last word: a sign at the end is no word
+            assert [whole[m["start"]:m["end"]] for m in rows] == [t.rstrip(".")] * 3
+
+
 def test_quality_held_out(spark):
     rows = QUERIES["op9_quality_classifier"](spark, SF_CHECK).where("held_out")
     labels = spark.read.parquet(f"{SF_CHECK}/labels.parquet")
