@@ -172,6 +172,23 @@ def test_packing_edges(spark, empty):
     assert packing.pack(empty, WORD_BPE).count() == 0
 
 
+def test_packing_deals_by_content(spark):
+    """Copies lie in one shard however many there are; one large group is split."""
+    rng = random.Random(5)
+    texts = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(60))
+             for _ in range(200)]
+    docs = spark.createDataFrame([(2 * i + j, t) for i, t in enumerate(texts) for j in (0, 1)],
+                                 "doc_id long, text string")
+    rows = packing.pack(docs, WORD_BPE, window=512, shard_tokens=4096).collect()
+    shards = collections.defaultdict(set)
+    for r in rows:
+        shards[r["doc_id"] // 2].add(r["sequence_id"] >> 32)
+    assert len(set().union(*shards.values())) > 10
+    assert all(len(v) == 1 for v in shards.values())
+    first, several, n = packing.deal(np.array([0, 3, 25, 4, 8, 0, 2]), 10)
+    assert (first[[1, 2, 3, 4, 6]].tolist(), several.tolist(), n) == ([0, 1, 4, 5, 5], [1, 1, 3, 1, 1, 1, 1], 6)
+
+
 def test_bm25_prefers_alike():
     docs = [np.array(x, "<u2") for x in ([5, 6, 7, 8], [1, 2, 3, 4], [5, 6, 7, 9], [1, 2, 9, 9])]
     got = packing.Index(docs, np.ones(1 << 16), 4.0).scores(0)

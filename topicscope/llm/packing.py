@@ -2,8 +2,10 @@
 
 Documents are tokenised once; token counts, document frequencies and the mean
 length are taken over all documents.  Documents are dealt into shards of about
-``SHARD_TOKENS`` tokens by a hash of their row; each shard is a BM25 inverted
-index of its own.  In a shard, the next unused document is the seed of a
+``SHARD_TOKENS`` tokens by content (:func:`groups`, :func:`deal`): those whose
+rarest shared terms agree form a group, groups fill the shards in order, and a
+group larger than a shard is split by a hash of its rows.  Each shard is a BM25
+inverted index of its own, and a seed finds the neighbours in its shard only.  In a shard, the next unused document is the seed of a
 window; the index returns its unused neighbours by BM25 (the seed's distinct
 tokens are the query), which fill the window greedily: every neighbour that
 fits whole, best first, then the best of the rest is cut to fill the window to
@@ -42,6 +44,8 @@ END = 2
 SHARD_TOKENS = 1 << 20
 K1, B = 1.2, 0.75
 _IDS = 1 << 16
+#: Parts of a term's group, by its documents' second term.
+PARTS = 16
 
 
 def tokenise(docs: DataFrame, path: str, end: int = END, id_col: str = "doc_id",
@@ -95,6 +99,49 @@ def statistics(tokens: DataFrame) -> tuple[int, int, np.ndarray]:
     return n, total, df
 
 
+def groups(tokens: DataFrame, df: np.ndarray, n: int) -> DataFrame:
+    """row, doc_id, ids, n_tokens and the content group: the document's rarest
+    term that another document has and less than half of all have, and a part by
+    the next rarest (the smaller id among equals)."""
+    rarity = np.where((df >= 2) & (2 * df < n), df * np.int64(_IDS) + np.arange(_IDS), np.int64(1) << 62)
+    shared = tokens.sparkSession.sparkContext.broadcast(rarity)
+    kind = tokens.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
+        rarity = shared.value
+        for batch in batches:
+            found = np.zeros(batch.num_rows, np.int64)
+            for i, ids in enumerate(batch.column(2)):
+                r = np.unique(rarity[np.frombuffer(ids.as_py(), "<u2")])
+                first = int(r[0]) % _IDS
+                second = int(r[1]) % _IDS if len(r) > 1 else 0
+                found[i] = first * PARTS + (second * 2654435761 >> 16) % PARTS
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)],
+                                             names=["row", "doc_id", "ids", "n_tokens", "group"])
+
+    return tokens.select("row", "doc_id", "ids", "n_tokens").mapInArrow(
+        run, f"row long, doc_id {kind}, ids binary, n_tokens long, group long")
+
+
+def deal(sizes: np.ndarray, shard_tokens: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Per group its first shard and its number of shards, and the number of all
+    shards; ``sizes`` are the groups' tokens.  Groups fill a shard in order; one
+    of more than a shard's tokens has shards of its own."""
+    first, several = np.zeros(len(sizes), np.int32), np.ones(len(sizes), np.int32)
+    shard, held = 0, 0
+    for g in np.flatnonzero(sizes).tolist():
+        size = int(sizes[g])
+        if held and held + size > shard_tokens:
+            shard, held = shard + 1, 0
+        first[g] = shard
+        if size > shard_tokens:
+            several[g] = -(-size // shard_tokens)
+            shard, held = shard + int(several[g]), 0
+        else:
+            held += size
+    return first, several, shard + (held > 0)
+
+
 class Index:
     """BM25 inverted index of one shard; ``idf`` and ``mean`` come from all documents."""
 
@@ -212,6 +259,23 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, end: int = END, id_co
 
     schema = f"doc_id {kind}, " + ", ".join(f"{c} long" for c in names[1:]) \
         + ", ids array<int>" * with_ids
-    shards = max(1, round(total / shard_tokens))
-    dealt = tokens.select("row", "doc_id", "ids").repartition(shards, F.xxhash64("row"))
+    content = groups(tokens, df, n)
+    sizes = np.zeros(_IDS * PARTS, np.int64)
+    # at most one number per group: 65,536 x PARTS
+    counted = content.groupBy("group").agg(F.sum("n_tokens").alias("size")).toArrow()
+    sizes[counted["group"].to_numpy()] = counted["size"].to_numpy()
+    first_of, several, shards = deal(sizes, shard_tokens)
+    places = docs.sparkSession.sparkContext.broadcast((first_of, several))
+
+    def placed(batches):
+        first_of, several = places.value
+        for batch in batches:
+            g, salt = batch.column(3).to_numpy(), batch.column(4).to_numpy()
+            at = first_of[g] + salt % several[g]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(at.astype(np.int32))],
+                                             names=["row", "doc_id", "ids", "shard"])
+
+    dealt = content.select("row", "doc_id", "ids", "group", F.xxhash64("row")) \
+        .mapInArrow(placed, f"row long, doc_id {kind}, ids binary, shard int") \
+        .repartitionById(max(1, shards), F.col("shard")).select("row", "doc_id", "ids")
     return dealt.mapInArrow(run, schema)
