@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from . import (
+    best_fit,
     chat,
     decontaminate,
     html_extract,
@@ -114,6 +115,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                        .alias("items_sha256"), decontaminate.contaminated().alias("contaminated"))
 
 
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # documents and attention cost may fill a sequence: as few sequences as the tokens allow
+    return best_fit.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_packing": op2_packing,
@@ -125,4 +131,5 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_decontamination": op10_decontamination,
+    "op13_best_fit_packing": op13_best_fit_packing,
 }
