@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from . import (
+    alignment,
     best_fit,
     chat,
     decontaminate,
@@ -21,6 +22,7 @@ from . import (
     packing,
     quality_gam,
     quality_rules,
+    repair,
     token_counts,
 )
 from .common import crc_mod, staged, table
@@ -115,6 +117,22 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                        .alias("items_sha256"), decontaminate.contaminated().alias("contaminated"))
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    convs, rows = repair.repair(repair.damaged(turns))
+    every = turns.select(F.struct("conv_id").alias("k")).distinct()
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    found = every.join(convs, "k", "left").join(repair.digests(rows), "k", "left")
+    return found.select(F.col("k.conv_id").alias("conv_id"), *[F.coalesce(c, F.lit(0)).alias(c) for c in counts],
+                        F.coalesce("audit", F.lit("")).alias("audit"),
+                        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     # documents and attention cost may fill a sequence: as few sequences as the tokens allow
     return best_fit.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -131,5 +149,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_decontamination": op10_decontamination,
+    "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_best_fit_packing": op13_best_fit_packing,
 }
