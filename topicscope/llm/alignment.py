@@ -18,8 +18,9 @@ another character, which is checked on loading).  So a text's alignment is that
 of its parts between such blanks, each distinct part is aligned once, and what
 is kept of them is bounded by bytes.
 
-How often two ids are linked in all texts is counted in a first pass (parts are
-counted, their links added at the end); the second one looks the counts up.
+One pass aligns the texts and writes each one's links (a number per pair of ids)
+and, per task, how often each pair is linked: parts are counted, and their links
+added up at the end.  The counts of all texts are then looked up link by link.
 Up to ``BROADCAST_PAIRS`` distinct pairs go to all tasks, more are joined by
 pair; both give the same rows.
 
@@ -34,14 +35,15 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import pairwise
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, bounded_batches, staged
+from .common import blocks, bounded_batches, sliced, staged
 from .parts import CUT, byte_chars, byte_sizes, byte_tokenizer, cuts_at, in_calls
 
 BLANK = "▁"
@@ -90,6 +92,10 @@ class Aligner:
                 raise ValueError("a piece of the sentencepiece model has a blank behind another character")
             self.b_bytes.append(bytes([int(piece[1:-1], 16)]) if self.b.is_byte(i)
                                 else piece.replace(BLANK, " ").encode())
+        self.a_sizes = np.zeros(max(self.a_bytes) + 1, np.int64)
+        self.a_sizes[list(self.a_bytes)] = [len(x) for x in self.a_bytes.values()]
+        self.b_sizes = np.array([len(x) for x in self.b_bytes], np.int64)
+        self.pair_numbers = len(self.a_sizes) * len(self.b_bytes)
 
     def tokens(self, text: str):
         """(A's ids, their byte ends, B's ids, their byte ends) of ``text`` with a blank before
@@ -97,23 +103,23 @@ class Aligner:
         whole = " " + text
         raw = whole.encode()
         a = self.a.encode(whole, add_special_tokens=False)
-        proto = self.b.encode(text, return_type="proto").pieces
-        a_ids, b_ids = a.ids, [p.id for p in proto]
-        a_parts, b_parts = [self.a_bytes[i] for i in a_ids], [self.b_bytes[i] for i in b_ids]
-        if b"".join(a_parts) != raw or b"".join(b_parts) != raw:
+        proto = [(p.id, p.begin, p.end) for p in self.b.encode(text, return_type="proto").pieces]
+        a_ids = a.ids
+        if b"".join(map(self.a_bytes.__getitem__, a_ids)) != raw \
+                or b"".join([self.b_bytes[i] for i, _, _ in proto]) != raw:
             return None
-        spans = np.array(a.offsets, np.int64).reshape(-1, 2)
+        spans = np.fromiter(chain.from_iterable(a.offsets), np.int64, 2 * len(a_ids)).reshape(-1, 2)
         if len(raw) != len(whole):  # characters to bytes
             codes = np.frombuffer(whole.encode("utf-32-le"), "<u4")
             width = 1 + (codes >= 0x80).astype(np.int64) + (codes >= 0x800) + (codes >= 0x10000)
             spans = np.concatenate([[0], np.cumsum(width)])[spans]
-        a_ends = byte_ends(spans[:, 0], spans[:, 1], np.array([len(x) for x in a_parts], np.int64))
+        a_ids = np.array(a_ids, np.int64)
+        b_ids, begin, end = np.fromiter(chain.from_iterable(proto), np.int64, 3 * len(proto)).reshape(-1, 3).T
+        a_ends = byte_ends(spans[:, 0], spans[:, 1], self.a_sizes[a_ids])
         # the proto's spans lie in the text itself, without the blank that B adds
-        begin = np.array([p.begin for p in proto], np.int64) + 1
-        end = np.array([p.end for p in proto], np.int64) + 1
+        begin, end = begin + 1, end + 1
         begin[:1] = 0
-        b_ends = byte_ends(begin, end, np.array([len(x) for x in b_parts], np.int64))
-        return np.array(a_ids, np.int64), a_ends, np.array(b_ids, np.int64), b_ends
+        return a_ids, a_ends, b_ids, byte_ends(begin, end, self.b_sizes[b_ids])
 
 
 def aligner(a_path: str, b_path: str) -> Aligner:
@@ -122,19 +128,33 @@ def aligner(a_path: str, b_path: str) -> Aligner:
     return _aligners[a_path, b_path]
 
 
+def _columns(got, stop: np.ndarray, n_b: int):
+    """Ids and byte ends of A and B, pairs and group ends of parts that stand in a row, and
+    where each part's entries end in them.  A pair's number is ``A's id * n_b + B's id``."""
+    a_ids, a_ends, b_ids, b_ends = got
+    ends = np.sort(np.concatenate([a_ends, b_ends]), kind="stable")
+    ends = ends[np.append(ends[1:] != ends[:-1], True)] if len(ends) else ends
+    # a stretch that ends here is held by one token of each
+    in_a, in_b = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
+    common = ends[(a_ends[in_a] == ends) & (b_ends[in_b] == ends)]
+    cut_a, cut_b = cuts_at(a_ends, stop), cuts_at(b_ends, stop)
+    return [a_ids, a_ends, b_ids, b_ends, a_ids[in_a] * n_b + b_ids[in_b], common], \
+        [cut_a, cut_a, cut_b, cut_b, np.searchsorted(ends, stop, "right"), np.searchsorted(common, stop, "right")]
+
+
 class Known:
     """The alignments of distinct parts, numbered; flat arrays with bounds hold them."""
 
-    def __init__(self, how: Aligner, texts: bool):
-        self.how, self.texts = how, texts
+    def __init__(self, how: Aligner):
+        self.how = how
         self.forget()
 
     def forget(self) -> None:
         self.number: dict[str, int] = {}
-        self.groups: list[str] = []            # the part's groups as text, if asked for
+        self.groups: list[str] = []            # the part's groups as text
         self.whole = np.zeros(0, bool)         # False: its decoded bytes differ
         self.sizes = np.zeros(0, np.int64)     # bytes
-        # ids and byte ends (in the part) of both, pairs of linked ids, byte ends of groups
+        # ids and byte ends (in the part) of both, numbers of the linked pairs, byte ends of groups
         self.flat = [np.zeros(0, np.int64) for _ in range(6)]
         self.bounds = [np.zeros(1, np.int64) for _ in range(6)]
 
@@ -152,7 +172,7 @@ class Known:
         for call, got in fresh:
             size = byte_sizes(call)
             stop = np.cumsum(size)
-            columns, cuts = self._aligned(got, stop) if got is not None else (
+            columns, cuts = _columns(got, stop, len(self.how.b_bytes)) if got is not None else (
                 [np.zeros(0, np.int64)] * 6, [np.zeros(len(call), np.int64)] * 6)
             for i in range(6):
                 ends = columns[i]
@@ -160,8 +180,7 @@ class Known:
                     ends = ends - np.repeat(stop - size, np.diff(cuts[i], prepend=0))
                 flat[i].append(ends)
                 bounds[i].append(bounds[i][-1][-1] + cuts[i])
-            if self.texts:
-                self.groups += self._text(columns, cuts) if got is not None else [""] * len(call)
+            self.groups += self._text(columns, cuts) if got is not None else [""] * len(call)
             sizes.append(size)
             whole.append(np.full(len(call), got is not None))
             self.number.update(zip(call, range(len(self.number), len(self.number) + len(call)), strict=True))
@@ -169,17 +188,6 @@ class Known:
         self.bounds = [np.concatenate(b) for b in bounds]
         self.sizes, self.whole = np.concatenate(sizes), np.concatenate(whole)
 
-    @staticmethod
-    def _aligned(got, stop: np.ndarray):
-        """The six columns of all parts in a row, and where each part's entries end in them."""
-        a_ids, a_ends, b_ids, b_ends = got
-        ends = np.union1d(a_ends, b_ends)  # a stretch that ends here is held by one token of each
-        pairs = a_ids[np.searchsorted(a_ends, ends)] << 32 | b_ids[np.searchsorted(b_ends, ends)]
-        common = np.intersect1d(a_ends, b_ends)
-        cut_a, cut_b = cuts_at(a_ends, stop), cuts_at(b_ends, stop)
-        return [a_ids, a_ends, b_ids, b_ends, pairs, common], \
-            [cut_a, cut_a, cut_b, cut_b, np.searchsorted(ends, stop, "right"), np.searchsorted(common, stop, "right")]
-
     @staticmethod
     def _text(columns, cuts) -> list[str]:
         a_ids, a_ends, b_ids, b_ends, _, common = columns
@@ -209,73 +217,57 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                                         F.col(id_col).alias("doc_id"), text.alias("text"))
 
 
-def pair_counts(texts: DataFrame, a_path: str, b_path: str) -> DataFrame:
-    """pair (A's id in the upper, B's in the lower 32 bits), n (links in all texts),
-    best (n is the highest of the B id)."""
+def aligned(texts: DataFrame, a_path: str, b_path: str, kind: str, spans: bool) -> DataFrame:
+    """One row per text with its links (pair numbers, 8 bytes each, or 4 if they fit), and rows
+    of each task's counts (no ``row``; ``pair`` and ``n`` have them)."""
+    lists = ["a_ids", "a_ends", "b_ids", "b_ends", "group_ends"] if spans else []
+    names = ["row", "doc_id", *COUNTS[:4], "groups_sha256", "links", "pair", "n", *lists]
+    types = [pa.int64(), None, *[pa.int64()] * 4, pa.string(), pa.binary(), *[pa.list_(pa.int64())] * (2 + len(lists))]
+
     def run(batches):
-        known, seen = Known(aligner(a_path, b_path), False), np.zeros(0, np.int64)
+        how = aligner(a_path, b_path)
+        known, seen, id_type = Known(how), np.zeros(0, np.int64), None
+        width = link_type(how.pair_numbers)
 
         def counted() -> Iterator[pa.RecordBatch]:
             pairs, inverse = np.unique(known.flat[4], return_inverse=True)
             n = np.bincount(inverse, np.repeat(seen, np.diff(known.bounds[4])), len(pairs)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[n > 0]), pa.array(n[n > 0])], names=["pair", "n"])
-
-        for block in blocks(batches):
-            found = np.concatenate(known.of(block.column(0).to_pylist()))
-            seen = np.concatenate([seen, np.zeros(len(known.number) - len(seen), np.int64)])
-            seen += np.bincount(found, minlength=len(seen))
-            if len(known.number) > KEPT_PARTS:
-                yield from counted()
-                known.forget()
-                seen = seen[:0]
-        yield from counted()
-
-    counts = texts.select("text").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    counts = staged(counts.withColumn("b", F.col("pair").bitwiseAND(0xFFFFFFFF)), "pair-counts")
-    highest = counts.groupBy("b").agg(F.max("n").alias("highest"))  # at most one row per id of B
-    return counts.join(highest, "b").select("pair", "n", (F.col("n") == F.col("highest")).alias("best"))
-
-
-def _aligned(texts: DataFrame, a_path: str, b_path: str, kind: str, spans: bool, lookup=None) -> DataFrame:
-    """One row per text.  With ``lookup`` (broadcast pairs, counts and best flags)
-    n_best and count_sum are its sums, else ``pairs`` has the text's links."""
-    lists = ["a_ids", "a_ends", "b_ids", "b_ends", "group_ends"] if spans else []
-    names = ["row", "doc_id", *COUNTS, "groups_sha256", "pairs", *lists]
-
-    def run(batches):
-        known, sums = Known(aligner(a_path, b_path), True), np.zeros((0, 6), np.int64)
-
-        def of_fresh(first: int) -> np.ndarray:
-            bounds = known.bounds[4][first:]
-            best = total = np.zeros(len(bounds) - 1, np.int64)
-            if lookup is not None and len(bounds) > 1 and bounds[-1] > bounds[0]:
-                pairs, n, is_best = lookup.value
-                at = np.searchsorted(pairs, known.flat[4][bounds[0]:])
-                best, total = _sums(is_best[at], bounds - bounds[0]), _sums(n[at], bounds - bounds[0])
-            return np.column_stack([known.counts()[first:], best, total])
+            columns = [pa.nulls(1, t or id_type) for t in types]
+            columns[8:10] = [pa.array([x], pa.list_(pa.int64())) for x in (pairs[n > 0], n[n > 0])]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
         for block in blocks(batches):
-            if len(known.number) > KEPT_PARTS:
-                known.forget()
-                sums = sums[:0]
+            id_type = block.schema.field(1).type
             found = known.of(block.column(2).to_pylist())
-            sums = np.concatenate([sums, of_fresh(len(sums))])
-            rows = np.array([sums[at].sum(axis=0) for at in found], np.int64).reshape(-1, 6)
+            seen = np.concatenate([seen, np.zeros(len(known.number) - len(seen), np.int64)])
+            seen += np.bincount(np.concatenate(found), minlength=len(seen))
+            counts = known.counts()
+            rows = np.array([counts[at].sum(axis=0) for at in found], np.int64).reshape(-1, 4)
             groups = [hashlib.sha256(";".join([known.groups[i] for i in at.tolist()]).encode()).hexdigest()
                       if len(at) else "" for at in found]
-            columns = [block.column(0), block.column(1), *(pa.array(rows[:, c]) for c in range(6)), pa.array(groups),
-                       pa.array([_entries(known, 4, at) if lookup is None else None for at in found],
-                                pa.list_(pa.int64()))]
+            links = [_entries(known, 4, at).astype(width).tobytes() for at in found]
+            columns = [block.column(0), block.column(1), *(pa.array(rows[:, c]) for c in range(4)), pa.array(groups),
+                       pa.array(links, pa.binary()), *[pa.nulls(len(found), pa.list_(pa.int64()))] * 2]
             if spans:
                 columns += [pa.array([_entries(known, i, at) for at in found], pa.list_(pa.int64()))
                             for i in (0, 1, 2, 3, 5)]
             yield pa.RecordBatch.from_arrays(columns, names=names)
+            if len(known.number) > KEPT_PARTS:
+                yield from counted()
+                known.forget()
+                seen = seen[:0]
+        if id_type is not None:
+            yield from counted()
 
-    return texts.mapInArrow(run, f"row long, doc_id {kind}, " + ", ".join(f"{c} long" for c in COUNTS)
-                            + ", groups_sha256 string, pairs array<long>"
+    return texts.mapInArrow(run, f"row long, doc_id {kind}, " + ", ".join(f"{c} long" for c in COUNTS[:4])
+                            + ", groups_sha256 string, links binary, pair array<long>, n array<long>"
                             + "".join(f", {c} array<long>" for c in lists))
 
 
+def link_type(numbers: int) -> str:
+    return "<u4" if numbers <= 1 << 32 else "<i8"
+
+
 def _entries(known: Known, column: int, parts: np.ndarray) -> np.ndarray:
     """A column's entries of a text's parts; byte ends as those in the text."""
     bounds, flat = known.bounds[column], known.flat[column]
@@ -287,24 +279,59 @@ def _entries(known: Known, column: int, parts: np.ndarray) -> np.ndarray:
     return flat[at]
 
 
+def pair_counts(rows: DataFrame, n_b: int) -> DataFrame:
+    """pair, n (links in all texts), best (n is the highest of the pair's B id)."""
+    counts = rows.where("row IS NULL").select(F.inline(F.arrays_zip("pair", "n"))) \
+        .groupBy("pair").agg(F.sum("n").alias("n"))
+    counts = staged(counts.withColumn("b", F.col("pair") % n_b), "pair-counts")
+    highest = counts.groupBy("b").agg(F.max("n").alias("highest"))  # at most one row per id of B
+    return counts.join(highest, "b").select("pair", "n", (F.col("n") == F.col("highest")).alias("best"))
+
+
 def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text",
           spans: bool = False, broadcast_pairs: int = BROADCAST_PAIRS) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_a, n_b, n_groups, n_links, n_best,
     count_sum, groups_sha256, and with ``spans`` the ids and byte ends of all
     tokens (in the text with a blank before it) and of the groups."""
-    texts = _texts(docs, id_col, text_col)
+    how = aligner(a_path, b_path)
+    width, n_b = link_type(how.pair_numbers), len(how.b_bytes)
     kind = docs.schema[id_col].dataType.simpleString()
-    counts = staged(pair_counts(texts, a_path, b_path), "pairs")
-    if counts.count() <= broadcast_pairs:
-        held = counts.toArrow().sort_by("pair")
-        lookup = docs.sparkSession.sparkContext.broadcast(tuple(
-            held[c].to_numpy() for c in ("pair", "n", "best")))
-        return _aligned(texts, a_path, b_path, kind, spans, lookup).drop("row", "pairs")
-    rows = staged(_aligned(texts, a_path, b_path, kind, spans), "alignments")
-    links = rows.select("row", F.explode("pairs").alias("pair")).groupBy("row", "pair").agg(F.count(F.lit(1)).alias("k"))
+    rows = staged(aligned(_texts(docs, id_col, text_col), a_path, b_path, kind, spans), "alignments")
+    counts = staged(pair_counts(rows, n_b), "pairs")
+    texts = rows.where("row IS NOT NULL").drop("pair", "n")
+    lists = texts.columns[8:]
+    out = ["doc_id", *COUNTS, "groups_sha256", *lists]
+    if counts.count() > broadcast_pairs:
+        return _joined(texts, counts, width).select(out)
+    held = counts.toArrow().sort_by("pair")
+    lookup = docs.sparkSession.sparkContext.broadcast(tuple(held[c].to_numpy() for c in ("pair", "n", "best")))
+
+    def run(batches):
+        pairs, n, best = lookup.value
+        for batch in sliced(batches):
+            links = batch.column(7)
+            numbers = np.frombuffer(b"".join(links.to_pylist()), width).astype(np.int64)
+            at = np.searchsorted(pairs, numbers)
+            ends = np.cumsum(np.array([0, *pc.binary_length(links).to_pylist()], np.int64)) // np.dtype(width).itemsize
+            columns = [*batch.columns[1:6], pa.array(_sums(best[at], ends)), pa.array(_sums(n[at], ends)),
+                       batch.column(6), *batch.columns[8:]]
+            yield pa.RecordBatch.from_arrays(columns, names=out)
+
+    return texts.mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{c} long" for c in COUNTS)
+                            + ", groups_sha256 string" + "".join(f", {c} array<long>" for c in lists))
+
+
+def _joined(texts: DataFrame, counts: DataFrame, width: str) -> DataFrame:
+    """The texts with n_best and count_sum, by a join of their distinct pairs."""
+    def run(batches):
+        for batch in sliced(batches, 64):
+            for row, links in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                pairs, k = np.unique(np.frombuffer(links, width).astype(np.int64), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pairs), row)), pa.array(pairs),
+                                                  pa.array(k.astype(np.int64))], names=["row", "pair", "k"])
+
+    links = texts.select("row", "links").mapInArrow(run, "row long, pair long, k long")
     sums = links.join(counts, "pair").groupBy("row").agg(
         F.sum(F.when(F.col("best"), F.col("k")).otherwise(0)).alias("n_best"),
         F.sum(F.col("k") * F.col("n")).alias("count_sum"))
-    known = rows.drop("pairs", "n_best", "count_sum").join(sums, "row", "left")
-    order = [c for c in rows.columns if c not in ("row", "pairs")]
-    return known.fillna(0, ["n_best", "count_sum"]).select(order)
+    return texts.join(sums, "row", "left").fillna(0, ["n_best", "count_sum"])
