@@ -51,11 +51,18 @@ def admit(current: DataFrame, updates: DataFrame, n: int = CAPACITY) -> DataFram
             .limit(n).select("name", "count"))
 
 
-def step(current: DataFrame, updates: DataFrame, n: int = CAPACITY) -> DataFrame:
+def step(current: DataFrame, updates: DataFrame, n: int = CAPACITY, ties: str = "members") -> DataFrame:
     """:func:`admit` and :func:`delta` in one bounded table
     ``(name, count, member, changed)``: the next set (``member``) and the names
     that left it (count 0); ``changed`` marks the rows of the delta message.
 
+    ``ties``: of equal counts ``members`` stay in the set, or the lesser ``name`` is in it.
+    With names, and counts that only grow, the set is the exact top ``n`` of all names ever
+    updated: a name outside keeps a rank beyond ``n`` until it is updated itself.
+
+    The lowest count of a full set is known before the batch is read: a newcomer below it
+    can't enter and is filtered where the updates are read.
+
     ``updates`` (one row per name) is read once.  A broadcast lookup of the
     members (at most ``n`` rows) flags each update, and ``row_number() <= n``
     per flag keeps the members' updates (at most ``n``) and the best ``n``
@@ -65,9 +72,11 @@ def step(current: DataFrame, updates: DataFrame, n: int = CAPACITY) -> DataFrame
     """
     members = current.select("name", F.col("count").cast("bigint").alias("old"))
     flag = F.broadcast(members.select("name", F.lit(True).alias("member")))
+    bound = members.agg(F.when(F.count(F.lit(1)) >= n, F.min("old")).alias("bound")).scalar()
     flagged = (updates.select("name", F.col("count").cast("bigint").alias("new"))
                .join(flag, "name", "left")
-               .select("name", "new", F.coalesce("member", F.lit(False)).alias("member")))
+               .select("name", "new", F.coalesce("member", F.lit(False)).alias("member"))
+               .where(F.col("member") | (F.col("new") >= F.coalesce(bound, F.col("new")))))
     best = Window.partitionBy("member").orderBy(F.col("new").desc(), F.col("name").asc())
     fresh = (flagged.withColumn("__r", F.row_number().over(best))
              .where(F.col("__r") <= n).drop("__r"))
@@ -78,8 +87,9 @@ def step(current: DataFrame, updates: DataFrame, n: int = CAPACITY) -> DataFrame
     per_name = rows.groupBy("name").agg(F.max("member").alias("member"),
                                         F.max("old").alias("old"), F.max("new").alias("new"))
     count = F.coalesce("new", "old")
-    # members keep their place against newcomers with the same count
-    order = Window.orderBy(count.desc(), F.col("member").desc(), F.col("name").asc())
+    # members keep their place against newcomers with the same count, unless names decide
+    by_member = [F.col("member").desc()] if ties == "members" else []
+    order = Window.orderBy(count.desc(), *by_member, F.col("name").asc())
     ranked = per_name.select("name", "old", count.alias("count"),
                              (F.row_number().over(order) <= n).alias("inset"))
     inset = F.col("inset")

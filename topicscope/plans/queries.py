@@ -22,19 +22,21 @@ from ..functions.text import (decode_key_millis, decode_long, encode_long, is_bl
 from ..functions.time import (epoch_micros, epoch_millis, floor_div, format_day,
                               from_epoch_micros,
                               gkg_date_string, last_closed_segment, next_interval,
-                              segment_file_name, segment_of)
+                              segment_file_name, segment_of, to_instant)
 from ..operators import leaderboard as lb
 from ..operators.sequence import index_within
 from ..operators.topics import (as_json_lines, daily_top_topics, nest_by_day,
                                 top_k_per_group, topic_day_counts, topic_mentions)
 from .daily_job import daily_report
 from ..operators.trailing import latest_per_tick, trailing_changelog, trailing_count
-from ..sources.gkg import (gkg_like_lines, gkg_like_table, gkg_line_records, gkg_records,
+from ..schema import DEFAULT_LAST_KEY
+from ..sources.gkg import (derived_path, gkg_like_lines, gkg_like_table, gkg_line_records, gkg_records,
                            gkg_tsv_path, read_gkg, read_lines)
-from ..sources.segments import (after_high_water, catalogue_of_span, last_record_key,
-                                record_envelope, record_lines, spread_event_time)
+from ..sources.segments import (after_high_water, catalogue_of_span, record_envelope,
+                                record_lines, spread_event_time)
 from ..session import scratch_path
 from ..sinks.json import write_json_lines
+from ..streaming.segment_log import last_key, publish
 from ..sources.tables import load_table
 
 # Fixed values used by the registered queries over the driver tables.
@@ -190,8 +192,13 @@ def record_envelope_q(spark, sf_dir):
 
 
 def last_record_key_q(spark, sf_dir):
-    spread = _event_spread(spark, sf_dir)
-    return last_record_key(spread.select("key", F.col("event_time").alias("timestamp"), "seq"))
+    """The resume point of the events' record log (published once per input folder)."""
+    def build(path: str) -> None:
+        spread = _event_spread(spark, sf_dir)
+        publish(spread.select("key", "value", "seq", to_instant("event_time").alias("timestamp"),
+                              F.date_format("event_time", "yyyy-MM-dd").alias("segment")), path, order=["seq"])
+    return last_key(spark, derived_path(spark, "record_log", "spread-v1", sf_dir, ("events",), build),
+                    DEFAULT_LAST_KEY)
 
 
 def segments_union(spark, sf_dir):

@@ -1,13 +1,13 @@
 """Registered queries that run the streaming operators end to end.
 
 The events table is turned into 27-field records (the event type packed in
-the name list, with the user id as its "offset"), landed once per input
-folder as parquet files that each cover one time range (as a producer
-publishes a topic once), and replayed through the file stream source a few
-files per micro-batch with an ``availableNow`` trigger.  The call returns
-once the stream has drained, with a DataFrame over what it wrote.  Each call
-keeps its stream checkpoint and outputs in a fresh folder under the shared
-checkpoint location.
+the name list, with the user id as its "offset").  They are published once per
+input folder as a record log of one segment per day, and replayed in the
+order of the segments, a few per micro-batch; or, to test rows in any order, as
+parquet files that each cover the whole time range, read by the file source.
+The call returns once the stream has drained, with a DataFrame over what it
+wrote and what it still holds.  Each call keeps its stream checkpoint and
+outputs in a fresh folder under the shared checkpoint location.
 """
 
 from __future__ import annotations
@@ -16,18 +16,24 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.time import from_epoch_micros, to_instant
 from ..schema import ALL_NAMES_INDEX, GKG_COLUMNS
 from ..session import input_bytes, scratch_path
 from ..sources.gkg import derived_path
 from ..sources.tables import load_table
-from ..streaming.feed import current_set, snapshot
-from ..streaming.pipeline import start_changelog_sink, start_topic_stream
+from ..streaming.feed import snapshot
+from ..streaming.pipeline import start_topic_stream
+from ..streaming.segment_log import LOG_SCHEMA, publish, stream_log
+from ..streaming.slices import HOUR_US, open_rows, read_log, settled, start_slice_log
 from ..streaming.source import landing_records, stream_names
-from ..streaming.trailing import sliding_hour_counts
+from ..streaming.trailing import open_sliding_hours, sliding_hour_counts
 
-# The replay: at least LANDING_FILES files of about LANDING_FILE_BYTES of
+# The ordered replay: SEGMENTS_PER_BATCH days per micro-batch.
+SEGMENTS_PER_BATCH = 8
+LOG_PARTITIONS = 4
+# The unordered one: at least LANDING_FILES files of about LANDING_FILE_BYTES of
 # input each, FILES_PER_TRIGGER of them per micro-batch whatever their number.
 LANDING_FILES = 8
 LANDING_FILE_BYTES = 256 << 20
@@ -56,26 +62,14 @@ def event_records(spark: SparkSession, sf_dir: str, name: str = "event_type") ->
                      to_instant("ts").alias("timestamp"))
 
 
-def land_in_time_order(spark: SparkSession, records: DataFrame, path: str,
-                       files: int = LANDING_FILES) -> str:
-    """Write ``records`` as ``files`` parquet files, each a contiguous time
-    range, and stamp their modification times in range order so the file
-    source reads them oldest first."""
-    (records.repartitionByRange(files, "timestamp").sortWithinPartitions("timestamp")
-     .write.mode("overwrite").parquet(path))
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    parts = sorted(st.getPath().toString() for st in fs.listStatus(root)
-                   if st.getPath().getName().startswith("part-"))
-    base = jvm.java.lang.System.currentTimeMillis() - 10_000_000
-    for i, p in enumerate(parts):
-        fs.setTimes(jvm.org.apache.hadoop.fs.Path(p), base + i * 1000, -1)
-    fs.create(jvm.org.apache.hadoop.fs.Path(f"{path}/{LANDED}"), True).close()
-    return path
-
-
-LANDED = "_LANDED"
+def event_log(spark: SparkSession, sf_dir: str, name: str = "event_type") -> str:
+    """The events' records as a log of one segment per day, once per input folder."""
+    def build(path: str) -> None:
+        records = event_records(spark, sf_dir, name).where("timestamp IS NOT NULL")
+        day = F.date_format("timestamp", "yyyy-MM-dd")
+        publish(records.select("key", "value", "timestamp", day.alias("segment"),
+                               (F.col("key").cast("long") % LOG_PARTITIONS).cast("int").alias("partition")), path)
+    return derived_path(spark, "stream_log", f"log-v1-{name}", sf_dir, ("events",), build)
 
 
 def landing_files(size: int) -> int:
@@ -83,55 +77,66 @@ def landing_files(size: int) -> int:
     return max(LANDING_FILES, -(-size // LANDING_FILE_BYTES))
 
 
-def event_landing(spark: SparkSession, sf_dir: str, name: str = "event_type") -> str:
-    """The events' records landed in time order, once per input folder (the
-    marker is written after the modification times are set; that is one
-    metadata call per landing file)."""
+def mixed_landing(spark: SparkSession, sf_dir: str) -> str:
+    """The events' records in files that each cover the whole time range, once per input folder."""
     files = landing_files(input_bytes(spark, f"{sf_dir.rstrip('/')}/events.parquet"))
     return derived_path(
-        spark, "stream_landing", f"landing-v2-{name}", sf_dir, ("events",),
-        lambda p: land_in_time_order(spark, event_records(spark, sf_dir, name), p, files),
-        marker=LANDED)
+        spark, "stream_landing", "mixed-v1", sf_dir, ("events",),
+        lambda p: event_records(spark, sf_dir).where("timestamp IS NOT NULL")
+        .repartition(files, "key").write.parquet(p))
 
 
-def _replay(spark: SparkSession, sf_dir: str, name: str = "event_type") -> DataFrame:
-    """The landed records as a stream, a few files per micro-batch."""
-    return landing_records(spark, event_landing(spark, sf_dir, name), FILES_PER_TRIGGER)
+def _replay(spark: SparkSession, sf_dir: str, root: str, name: str = "event_type") -> DataFrame:
+    """The log as a stream, a few segments per micro-batch, oldest first."""
+    return stream_log(spark, event_log(spark, sf_dir, name), f"{root}/checkpoint", SEGMENTS_PER_BATCH)
 
 
-def _run(query) -> None:
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise RuntimeError(str(query.exception()))
+#: A replay runs batch after batch until the log is read.
+AT_ONCE = {"processingTime": "0 seconds"}
 
 
-def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch_path(spark, "stream_checks", uuid.uuid4().hex)
-    q = start_changelog_sink(spark, _replay(spark, sf_dir),
-                             f"{root}/changes", f"{root}/checkpoint",
-                             trigger={"availableNow": True})
-    _run(q)
-    return spark.read.parquet(f"{root}/changes").select(
-        "name", from_epoch_micros("ts_us").alias("ts"), "delta", "count")
+def _run(query: StreamingQuery) -> None:
+    """Until the source has nothing more and its last batch is done."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
 
 
-def stream_trailing_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trailing-hour count after every arrival, from the stateful stream:
-    (name, ts, delta, count); mentions of a name at one instant are merged."""
-    return _changes(spark, sf_dir).where(F.col("delta") > 0)
+def _root(spark: SparkSession) -> str:
+    return scratch_path(spark, "stream_checks", uuid.uuid4().hex)
+
+
+def _changes(spark: SparkSession, records, root: str) -> DataFrame:
+    _run(start_slice_log(stream_names(records), f"{root}/log", f"{root}/checkpoint", slice_us=HOUR_US, trigger=AT_ONCE))
+    log = settled(read_log(spark, f"{root}/log"), open_rows(spark, f"{root}/checkpoint"))
+    return log.select("name", from_epoch_micros("ts_us").alias("ts"), "delta", "count")
 
 
 def stream_trailing_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole change log of the stateful stream: arrivals, and mentions that
-    left the window, with the count after each.  A mention leaves once a later
-    arrival of its name or the final watermark is past its hour."""
-    return _changes(spark, sf_dir)
+    """The whole change log of the trailing hour from the stream: mentions that arrive
+    and leave, with the count after each (name, ts, delta, count); those of a name at one
+    instant are merged.  The slices still open at the end are drained from the state."""
+    root = _root(spark)
+    return _changes(spark, _replay(spark, sf_dir, root), root)
+
+
+def stream_trailing_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trailing-hour count after every arrival, from the same log."""
+    return stream_trailing_changelog(spark, sf_dir).where(F.col("delta") > 0)
+
+
+def stream_trailing_unordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same change log from records in no order: the first micro-batch moves the
+    watermark near the end, and most of the rows after it are late."""
+    records = landing_records(spark, mixed_landing(spark, sf_dir), FILES_PER_TRIGGER)
+    return _changes(spark, records, _root(spark))
 
 
 def _totals_root(spark: SparkSession, sf_dir: str, name: str) -> str:
-    root = f'{scratch_path(spark, "stream_checks", uuid.uuid4().hex)}/feed'
-    _run(start_topic_stream(spark, _replay(spark, sf_dir, name), root,
-                            trigger={"availableNow": True}, window_ms=None))
+    root = f"{_root(spark)}/feed"
+    _run(start_topic_stream(spark, _replay(spark, sf_dir, root, name), root, trigger=AT_ONCE,
+                            window_ms=None, ties="name"))
     return root
 
 
@@ -142,34 +147,43 @@ def stream_snapshot_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_top100_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Leaderboard feed over all-time counts of users, of which there are more
-    than the set holds: its members above the lowest count it ends with (which
-    of the users of that lowest count are members depends on who came first)."""
-    members = current_set(spark, _totals_root(spark, sf_dir, "user_id"))
-    low = members.agg(F.min("count").alias("low"))
-    return members.join(low, F.col("count") > F.col("low")).select("name", "count")
+    """Leaderboard feed over all-time counts of users, of which there are more than the set
+    holds: its members with their counts, and every name that has left it, at 0."""
+    return snapshot(spark, _totals_root(spark, sf_dir, "user_id"))
 
 
 def stream_sliding_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mentions per name in sliding hours (1-minute steps) from the built-in
-    windowed aggregation on the stream (per-minute counts, then their sum per
-    hour window), append mode: every window the final watermark has closed,
-    i.e. ending at most 15 minutes before the latest mention."""
-    root = scratch_path(spark, "stream_checks", uuid.uuid4().hex)
-    names = stream_names(_replay(spark, sf_dir))
-    q = (sliding_hour_counts(names).writeStream.outputMode("append").format("parquet")
+    """Mentions per name in sliding hours (1-minute steps) from the built-in windowed
+    aggregation on the stream (per-minute counts, then their sum per hour window): the
+    windows it has emitted, and those the watermark has not closed, from its state."""
+    root = _root(spark)
+    names = stream_names(_replay(spark, sf_dir, root))
+    _run(sliding_hour_counts(names).writeStream.outputMode("append").format("parquet")
          .option("path", f"{root}/windows").option("checkpointLocation", f"{root}/checkpoint")
-         .trigger(availableNow=True).start())
-    _run(q)
-    w = spark.read.parquet(f"{root}/windows")
+         .trigger(**AT_ONCE).start())
+    w = spark.read.schema("start timestamp, end timestamp, name string, count long").parquet(f"{root}/windows") \
+        .unionByName(open_sliding_hours(spark, f"{root}/checkpoint"))
     return w.select(from_epoch_micros(F.unix_micros("start")).alias("start"),
                     from_epoch_micros(F.unix_micros("end")).alias("end"), "name", "count")
 
 
+def record_log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The record log read back as a stream: segment, partition, offset, key, value and event
+    time of every record."""
+    root = _root(spark)
+    _run(_replay(spark, sf_dir, root).writeStream.outputMode("append").format("parquet")
+         .option("path", f"{root}/records").option("checkpointLocation", f"{root}/checkpoint")
+         .trigger(**AT_ONCE).start())
+    rows = spark.read.schema(LOG_SCHEMA).parquet(f"{root}/records")
+    return rows.withColumn("timestamp", from_epoch_micros(F.unix_micros("timestamp")))
+
+
 STREAM_QUERIES = {
     "stream_trailing_arrivals": stream_trailing_arrivals,
     "stream_trailing_changelog": stream_trailing_changelog,
+    "stream_trailing_unordered": stream_trailing_unordered,
     "stream_snapshot_totals": stream_snapshot_totals,
     "stream_top100_totals": stream_top100_totals,
     "stream_sliding_hour": stream_sliding_hour,
+    "record_log_stream": record_log_stream,
 }

@@ -102,14 +102,16 @@ class LeaderboardFeed:
     (a folder in the shared checkpoint location)."""
 
     def __init__(self, root: str, capacity: int = lb.CAPACITY, keep_sets: int = 16,
-                 kafka: dict | None = None, compact_every: int = 600):
-        """``kafka`` = {"servers": .., "histogram_topic": .., "message_topic": ..}
+                 kafka: dict | None = None, compact_every: int = 600, ties: str = "members"):
+        """``ties``: who is in the set of those with equal counts (see
+        :func:`operators.leaderboard.step`).  ``kafka`` = {"servers": .., "histogram_topic": .., "message_topic": ..}
         also publishes the upserts and the delta messages to Kafka."""
         self.root = root.rstrip("/")
         self.capacity = capacity
         self.keep_sets = keep_sets
         self.kafka = kafka
         self.compact_every = compact_every
+        self.ties = ties
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -132,7 +134,7 @@ class LeaderboardFeed:
     def _publish(self, spark: SparkSession, updates: DataFrame, batch_id: int) -> None:
         prev = previous_set(spark, self.root, batch_id)
         board_dir = _batch_dir(self.root, "board", batch_id)
-        lb.step(prev, updates, self.capacity).write.mode("overwrite").parquet(board_dir)
+        lb.step(prev, updates, self.capacity, self.ties).write.mode("overwrite").parquet(board_dir)
         changes = (spark.read.schema(BOARD_SCHEMA).parquet(board_dir).where(F.col("changed"))
                    .select("name", "count"))
         msg_dir = _batch_dir(self.root, "messages", batch_id)

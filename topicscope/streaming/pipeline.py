@@ -25,10 +25,11 @@ def start_topic_stream(spark: SparkSession, records: DataFrame, root: str | None
                        trigger: dict | None = None, watermark: str = "15 minutes",
                        window_ms: int | None = HOUR_MS, capacity: int = CAPACITY,
                        query_name: str | None = None, resolution_us: int = 1,
-                       combine: bool | None = None) -> StreamingQuery:
+                       combine: bool | None = None, ties: str = "members") -> StreamingQuery:
     """Start the streaming query.  ``trigger`` is passed to
     ``DataStreamWriter.trigger`` (default: one micro-batch per second).
-    Without a window (None) the counts are those since the start."""
+    Without a window (None) the counts are those since the start.  ``ties``
+    decides who of equal counts is in the set."""
     root = (root or scratch_path(spark, "topic_stream")).rstrip("/")
     names = stream_names(records)
     if window_ms is None:
@@ -39,7 +40,7 @@ def start_topic_stream(spark: SparkSession, records: DataFrame, root: str | None
     writer = (changes.writeStream
               .outputMode("update" if window_ms is None else "append")
               .option("checkpointLocation", f"{root}/checkpoint")
-              .foreachBatch(LeaderboardFeed(root, capacity)))
+              .foreachBatch(LeaderboardFeed(root, capacity, ties=ties)))
     writer = writer.trigger(**(trigger or {"processingTime": "1 second"}))
     if query_name:
         writer = writer.queryName(query_name)

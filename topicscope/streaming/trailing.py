@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -229,3 +229,25 @@ def sliding_hour_counts(names: DataFrame, watermark: str = "15 minutes",
             .agg(F.sum("n").alias("count"))
             .select(F.col("hour.start").alias("start"), F.col("hour.end").alias("end"),
                     "name", "count"))
+
+
+def open_sliding_hours(spark: SparkSession, checkpoint: str, step: str = "1 minute",
+                       window: str = "1 hour") -> DataFrame:
+    """(start, end, name, count) of the windows that a stopped :func:`sliding_hour_counts`
+    query has not emitted yet: the sums its second aggregate holds and the steps its first
+    one does, both read from the checkpoint's state store."""
+    micros = lambda text: F.expr(f"CAST(INTERVAL '0' SECOND + INTERVAL {text} AS INTERVAL SECOND)")
+    parts = []
+    for operator in (0, 1):
+        state = spark.read.format("statestore").option("operatorId", str(operator)).load(checkpoint)
+        span, name = state.schema["key"].dataType.names
+        count = state.schema["value"].dataType.names[0]
+        parts.append(state.select(F.col(f"key.`{span}`").alias("w"), F.col(f"key.`{name}`").alias("name"),
+                                  F.col(f"value.`{count}`").alias("n")))
+    rows = parts[0].unionByName(parts[1]).withColumn("own", F.col("w.end") - F.col("w.start"))
+    hours = rows.where(F.col("own") != micros(step)).select(F.col("w.start").alias("start"), "name", "n")
+    steps = rows.where(F.col("own") == micros(step)).select(
+        F.explode(F.sequence(F.col("w.end") - F.expr(f"INTERVAL {window}"), F.col("w.start"),
+                             F.expr(f"INTERVAL {step}"))).alias("start"), "name", "n")
+    return hours.unionByName(steps).groupBy("start", "name").agg(F.sum("n").alias("count")).select(
+        "start", (F.col("start") + F.expr(f"INTERVAL {window}")).alias("end"), "name", "count")
