@@ -29,3 +29,19 @@ def test_cluster_without_shared_folder_is_refused():
     context = types.SimpleNamespace(master="yarn", _conf=conf)
     with pytest.raises(RuntimeError):
         checkpoint_root(types.SimpleNamespace(conf=conf, sparkContext=context))
+
+
+def test_event_time_partition_and_key_survive_the_envelope(spark):
+    from topicscope.sinks import kafka_columns
+    from topicscope.streaming.source import kafka_record_columns
+    rows = [("k1", "line 1", "2024-01-01 10:00:00.123456", 2), ("k2", "line 2", None, None)]
+    df = spark.createDataFrame(rows, "key string, value string, at string, part int") \
+        .withColumn("at", F.col("at").cast("timestamp"))
+    sent = kafka_columns(df, "key", F.col("value"), "part", "at")
+    assert sent.columns == ["key", "value", "partition", "headers"]
+    stamped = F.lit("2024-02-02 00:00:00").cast("timestamp")  # what a broker would add
+    got = kafka_record_columns(sent.withColumn("timestamp", stamped)) \
+        .select("key", "value", F.col("timestamp").cast("string")).collect()
+    assert [tuple(r) for r in got] == [("k1", "line 1", "2024-01-01 10:00:00.123456"),
+                                       ("k2", "line 2", "2024-02-02 00:00:00")]
+    assert [r[0] for r in sent.select("partition").collect()] == [2, None]

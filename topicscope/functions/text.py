@@ -81,11 +81,6 @@ def has_fields(c, n: int, sep: str = FIELD_SEPARATOR) -> Column:
     return F.substring_index(c, sep, n - 1) != c if n > 1 else c.isNotNull()
 
 
-def field_at(fields, index: int) -> Column:
-    """Element ``index`` (0-based) of a split line, null when too short."""
-    return F.get(_col(fields), index)
-
-
 def decode_key_millis(c) -> Column:
     """``<millis>-<seq>`` -> millis as bigint (null when not a number)."""
     return F.get(F.split(_col(c), "-"), 0).try_cast("bigint")
@@ -128,8 +123,3 @@ def drop_malformed(c) -> Column:
     value is decoded, which ``regexp_replace`` does (a byte-level ``replace``
     would not see them), so the regex form is needed here."""
     return F.regexp_replace(_col(c), "\ufffd", "")
-
-
-def json_rows(*cols) -> Column:
-    """One JSON object per row."""
-    return F.to_json(F.struct(*cols))

@@ -69,12 +69,6 @@ def hour_start(ts) -> Column:
     return floor_micros(ts, MICROS_PER_HOUR)
 
 
-def parse_gkg_date(c) -> Column:
-    """``yyyyMMddHHmmss`` -> DATE, null when it does not parse."""
-    parsed = F.try_to_timestamp(_col(c), F.lit(GKG_DATE_FORMAT))
-    return F.to_date(parsed)
-
-
 def gkg_date_string(ts) -> Column:
     """TIMESTAMP_NTZ -> ``yyyyMMddHHmmss``, through the cast to a string: that one
     does not go through the session zone, ``date_format`` does."""

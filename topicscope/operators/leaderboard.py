@@ -127,13 +127,6 @@ def minimum(hist: DataFrame) -> DataFrame:
                     F.min("count").alias("count"))
 
 
-def latest_per_name(changes: DataFrame, order: Column, by: list | None = None) -> DataFrame:
-    """Last count per name (and per ``by`` columns) under ``order``: what a
-    map that is overwritten on every update holds at the end."""
-    keys = list(by or []) + ["name"]
-    return changes.groupBy(*keys).agg(F.max_by("count", order).alias("count"))
-
-
 def json_message(entries: DataFrame) -> DataFrame:
     """One JSON array ``[{"name":..,"count":..},..]`` ordered by name; for
     bounded inputs (a delta or a snapshot of the set)."""

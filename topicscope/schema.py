@@ -37,8 +37,5 @@ def gkg_schema() -> T.StructType:
     return T.StructType(fields)
 
 
-# Shapes of the outputs.
-TOPIC_COUNT_SCHEMA = "day date, topic string, count bigint"
 RESULT_TYPE = "array<struct<topic:string,count:bigint>>"
-HISTOGRAM_SCHEMA = "name string, count bigint"
 RECORD_SCHEMA = "key string, value string, timestamp timestamp"

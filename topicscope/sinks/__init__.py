@@ -1,5 +1,5 @@
 """Sinks: distributed JSON-lines writes and JSON rendering."""
 
-from .json import to_json_column, write_json_lines, write_kafka
+from .json import kafka_columns, write_json_lines, write_kafka
 
-__all__ = ["to_json_column", "write_json_lines", "write_kafka"]
+__all__ = ["kafka_columns", "write_json_lines", "write_kafka"]

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import encode_long
+
 
 def write_json_lines(df: DataFrame, path: str, mode: str = "errorifexists",
                      compression: str | None = None) -> None:
@@ -17,16 +19,29 @@ def write_json_lines(df: DataFrame, path: str, mode: str = "errorifexists",
     writer.json(path)
 
 
-def to_json_column(df: DataFrame, name: str = "json") -> Column:
-    """The row as a JSON string column (a DataFrame-side ``toJSON``)."""
-    return F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias(name)
+#: Header that carries a record's event time (microseconds, 8 big-endian bytes): the broker
+#: stamps records itself, and Spark's writer can't set that time.
+EVENT_TIME_HEADER = "event_time"
 
 
-def write_kafka(df: DataFrame, servers: str, topic: str, key: str = "name",
-                value: Column | None = None) -> None:
-    """Publish a batch DataFrame to a Kafka topic (the key as a string;
-    by default the value is the row as JSON).  Needs the Kafka connector."""
+def kafka_columns(df: DataFrame, key: str = "name", value: Column | None = None, partition: str | None = None,
+                  timestamp: str | None = None) -> DataFrame:
+    """The columns that Spark's Kafka writer takes: key (a string), value (by default the
+    row as JSON), and, if their columns are named, the partition and the event time."""
     value = value if value is not None else F.to_json(F.struct(*[F.col(c) for c in df.columns]))
-    (df.select(F.col(key).cast("string").alias("key"), value.alias("value"))
+    columns = [F.col(key).cast("string").alias("key"), value.alias("value")]
+    if partition:
+        columns.append(F.col(partition).cast("int").alias("partition"))
+    if timestamp:
+        micros = encode_long(F.unix_micros(F.col(timestamp).cast("timestamp")))
+        columns.append(F.array(F.struct(F.lit(EVENT_TIME_HEADER).alias("key"), micros.alias("value"))).alias("headers"))
+    return df.select(*columns)
+
+
+def write_kafka(df: DataFrame, servers: str, topic: str, key: str = "name", value: Column | None = None,
+                partition: str | None = None, timestamp: str | None = None) -> None:
+    """Publish a batch DataFrame to a Kafka topic (see :func:`kafka_columns`).  Needs the
+    Kafka connector."""
+    (kafka_columns(df, key, value, partition, timestamp)
        .write.format("kafka").option("kafka.bootstrap.servers", servers)
        .option("topic", topic).save())

@@ -37,12 +37,6 @@ def timed_records(lines: DataFrame) -> DataFrame:
     return spread.select("key", "value", to_instant("event_time").alias("timestamp"))
 
 
-def publish_segments(spark: SparkSession, paths: str | Sequence[str], landing: str) -> None:
-    """Append the timed records of ``paths`` to the landing folder (one
-    write for all; not idempotent -- see :func:`publish_segment_once`)."""
-    timed_records(segment_lines(spark, paths)).write.mode("append").parquet(landing)
-
-
 def publish_segment_once(spark: SparkSession, path: str, landing: str) -> bool:
     """Publish one segment file as ``<landing>/<file name>.parquet`` exactly
     once.  The records are written to a hidden staging folder and the single
