@@ -44,7 +44,9 @@ SHINGLE = 5
 THRESHOLD = 80  # per cent
 BANDS = 40
 ROWS = 6
-ROUNDS = 2
+ROUNDS = 1
+#: Members of one component at one element of a star that are treated as one family.
+FAMILY = 32
 SEED = 11
 
 _kept: dict = {}
@@ -98,12 +100,12 @@ def _ids(shingles: np.ndarray) -> tuple[int, int]:
 
 
 def signatures(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """row, doc_id, n_shingles, h1, h2 (null for an empty set), bands."""
+    """row, doc_id, t (hash of the text), n_shingles, h1, h2 (null for an empty set), bands."""
     def run(batches):
         hashes = WordHashes()
         for batch in sliced(batches):
             n, h1, h2, bands = [], [], [], []
-            for v in batch.column(2):
+            for v in batch.column(3):
                 s = shingle_set(v.as_py(), width, hashes)
                 n.append(len(s))
                 a, b = _ids(s) if len(s) else (None, None)
@@ -111,17 +113,24 @@ def signatures(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataF
                 h2.append(b)
                 bands.append(band_keys(bins_of(s)).view(np.int64) if len(s) else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(h1, pa.int64()),
+                [*batch.columns[:3], pa.array(n, pa.int64()), pa.array(h1, pa.int64()),
                  pa.array(h2, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
-                names=["row", "doc_id", "n_shingles", "h1", "h2", "bands"])
+                names=["row", "doc_id", "t", "n_shingles", "h1", "h2", "bands"])
 
-    rows = bounded_batches(docs).select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
-                       F.encode(F.col(text_col).cast("string"), "UTF-8").alias("text"))
+    rows = bounded_batches(docs).select(
+        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), text_key(text_col).alias("t"),
+        F.encode(F.col(text_col).cast("string"), "UTF-8").alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
-    return rows.mapInArrow(run, f"row long, doc_id {kind}, n_shingles long, h1 long, h2 long, "
+    return rows.mapInArrow(run, f"row long, doc_id {kind}, t long, n_shingles long, h1 long, h2 long, "
                                 "bands array<long>")
 
 
+def text_key(text_col: str) -> Column:
+    """Hash of a text: with its id it finds a document's text again, whatever rows share the id.
+    ``text_col`` is a column's name, in backticks where it needs them."""
+    return F.xxhash64(F.col(text_col).cast("string"))
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
     """(node, shingles) of the wanted classes, read again from a document of each."""
     def run(batches):
@@ -137,9 +146,10 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int, id_col: str, text_col:
                                               pa.array(sets, pa.list_(pa.int64()))],
                                              names=["node", "shingles"])
 
-    texts = docs.select(F.col(id_col).alias("_id"),
+    texts = docs.select(F.col(id_col).alias("_id"), text_key(text_col).alias("_t"),
                         F.encode(F.col(text_col).cast("string"), "UTF-8").alias("_text"))
-    some = texts.join(wanted, F.col("_id").eqNullSafe(F.col("rep_id"))).select("node", "_text", "h1", "h2")
+    some = texts.join(wanted, F.col("_id").eqNullSafe(F.col("rep_id")) & (F.col("_t") == F.col("rep_t"))) \
+        .select("node", "_text", "h1", "h2")
     return some.mapInArrow(run, "node long, shingles array<long>")
 
 
@@ -185,11 +195,11 @@ def _candidates(members: DataFrame, centres: DataFrame, threshold: int) -> DataF
 
 
 def classes(sigs: DataFrame) -> DataFrame:
-    """h1, h2, node (one row id per distinct set), rep_id, rep_n, n, min_id."""
-    one = F.min(F.struct("row", "doc_id", "n_shingles"))
+    """h1, h2, node (one row id per distinct set), rep_id, rep_t, n, min_id."""
+    one = F.min(F.struct("row", "doc_id", "t", "n_shingles"))
     return sigs.where(F.col("h1").isNotNull()).groupBy("h1", "h2").agg(
         one.alias("r"), F.min("doc_id").alias("min_id")).select(
-        "h1", "h2", F.col("r.row").alias("node"), F.col("r.doc_id").alias("rep_id"),
+        "h1", "h2", F.col("r.row").alias("node"), F.col("r.doc_id").alias("rep_id"), F.col("r.t").alias("rep_t"),
         F.col("r.n_shingles").alias("n"), "min_id")
 
 
@@ -231,27 +241,52 @@ def _missed_by_stars(star: DataFrame, sets: DataFrame, threshold: int) -> DataFr
     lean = rows.drop("d").join(ranked, ["a", "b"]).select(
         "a", "b", "linked", "component", "n", "size", alone.alias("alone"), prefix(s).alias("short"),
         F.when(F.col("linked"), prefix(s)).otherwise(F.greatest(prefix(s), prefix(low))).alias("long"), "met")
+    lean = staged(lean.withColumn("met", F.slice("met", F.lit(1), F.col("long"))), "prefixes")
     # rest: elements of D from this one on, in the common order
     terms = lean.select("a", "b", "linked", "component", "n", "size", "alone", "short",
-                        F.posexplode(F.slice("met", F.lit(1), F.col("long"))).alias("at", "m")) \
+                        F.posexplode("met").alias("at", "m")) \
         .select("a", "b", "linked", "component", "n", "size", (F.col("at") < F.col("short")).alias("early"),
                 (F.col("size") - F.col("alone") - F.col("at")).alias("rest"), F.col("m.e").alias("e"))
 
     def side(rows: DataFrame, k: str) -> DataFrame:
-        names = {"b": "", "linked": "l", "component": "c", "n": "n", "size": "s", "early": "e", "rest": "r"}
+        names = {"b": "", "linked": "l", "component": "c", "n": "n", "size": "s", "early": "e", "rest": "r",
+                 "cls": "k", "family": "f"}
         return rows.select("a", "e", *[F.col(c).alias(k + v) for c, v in names.items()])
 
+    # an element that one component has alone leads to nobody
+    several = terms.groupBy("a", "e").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
+        .where("lo != hi").select("a", "e")
+    # the sizes of two D differ by at most q times the sets' summed sizes: classes of that width per star
+    widest = lean.groupBy("a").agg(F.max("n").alias("widest"))
+    size_class = F.floor(F.col("size") / F.greatest(2 * q * F.col("widest"), F.lit(1.0)))
+    terms = staged(terms.join(several, ["a", "e"]).join(widest, "a").withColumn("cls", size_class).drop("widest"),
+                   "elements")
+    # members of a family (many of one component at an element) are never paired with each other
+    families = terms.groupBy("a", "e", "cls", "component").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= FAMILY) \
+        .select("a", "e", "cls", "component", F.lit(True).alias("family"))
+    terms = staged(terms.join(families, ["a", "e", "cls", "component"], "left")
+                   .withColumn("family", F.coalesce("family", F.lit(False))), "elements")
+    near = F.explode(F.array(F.col("xk") - 1, F.col("xk"), F.col("xk") + 1)).alias("yk")
+    free, early = terms.where(~F.col("linked")), terms.where("early")
+    x, y = side(free, "x").select("*", near), side(early, "y")
+    one = x.where(~F.col("xf")).join(y, ["a", "e", "yk"]).where("xc != yc")
+    two = x.where("xf").join(y.where(~F.col("yf")), ["a", "e", "yk"])
+    # two families: their components meet first, then the members of each two
+    heads = x.where("xf").select("a", "e", "xk", "xc", "yk").distinct()
+    apart = heads.join(y.where("yf").select("a", "e", "yk", "yc").distinct(), ["a", "e", "yk"]).where("xc != yc")
+    three = side(free.where("family"), "x").join(apart, ["a", "e", "xk", "xc"]) \
+        .join(y.where("yf"), ["a", "e", "yk", "yc"])
     # at the first element they share, both must have as many left as they need to share
     need = (F.col("xs") + F.col("ys") - q * (F.col("xn") + F.col("yn"))) / 2 - tiny
-    pairs = side(terms.where(~F.col("linked")), "x").join(side(terms.where("early"), "y"), ["a", "e"]).where(
-        (F.col("xc") != F.col("yc")) & (F.col("x") != F.col("y")) & (F.col("yl") | F.col("xe"))
-        & (F.least("xr", "yr") >= need))
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    pairs = [p.where((F.col("xc") != F.col("yc")) & (F.col("yl") | F.col("xe")) & (F.least("xr", "yr") >= need))
+             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")) for p in (one, two, three)]
+    return pairs[0].unionByName(pairs[1]).unionByName(pairs[2]).distinct()
 
 
-def links(docs: DataFrame, sigs: DataFrame, cls: DataFrame, width: int, threshold: int,
-          id_col: str, text_col: str) -> DataFrame:
-    """Verified links (a, b) between classes, enough to connect all that are similar."""
+def linked_components(docs: DataFrame, sigs: DataFrame, cls: DataFrame, width: int, threshold: int,
+                      id_col: str, text_col: str) -> DataFrame:
+    """(node, component) of the classes that are linked: verified links enough to connect all
+    that are similar, and their components."""
     node_rows = sigs.select(F.col("row").alias("node"), "bands").join(cls.select("node", "n"), "node")
     entries = node_rows.select("node", "n", F.explode("bands").alias("bucket"))
     shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
@@ -259,7 +294,7 @@ def links(docs: DataFrame, sigs: DataFrame, cls: DataFrame, width: int, threshol
     company = first.groupBy("node").agg(F.sum("size").alias("company"))
     members = staged(first.join(company, "node").select(
         "bucket", "node", "n", "company", F.col("node").alias("component")), "members")
-    wanted = cls.join(company.select("node"), "node", "left_semi").select("node", "rep_id", "h1", "h2")
+    wanted = cls.join(company.select("node"), "node", "left_semi").select("node", "rep_id", "rep_t", "h1", "h2")
     # several rows of one id and text would give a class several times
     sets = staged(_sets(docs, wanted, width, id_col, text_col), "sets")
     if sets.groupBy("node").count().where("count > 1").limit(1).count():
@@ -272,8 +307,8 @@ def links(docs: DataFrame, sigs: DataFrame, cls: DataFrame, width: int, threshol
         .where("node != a").select("a", F.col("node").alias("b")).distinct()
     star = staged(_with_sets(star, sets).withColumn("both", F.size(F.array_intersect("sa", "sb")))
                   .select("a", "b", _similar(threshold).alias("linked")), "star")
-    found = star.where("linked").select("a", "b")
-    comp = components(found)
+    found = staged(star.where("linked").select("a", "b"), "found")
+    comp = staged(components(found), "components")
     # further stars join families that lie in one bucket; what they miss is found below
     for _ in range(ROUNDS):
         rest = _relabelled(members.join(centres.select("bucket", "node"), ["bucket", "node"], "left_anti"),
@@ -287,27 +322,68 @@ def links(docs: DataFrame, sigs: DataFrame, cls: DataFrame, width: int, threshol
         new = staged(_verified(_candidates(members, centres, threshold), sets, threshold), "links")
         if not new.limit(1).count():
             break
-        found = found.unionByName(new)
-        comp = components(found)
-    # stars whose members (the centre included) lie in several components
+        found = staged(found.unionByName(new), "found")
+        comp = staged(components(found), "components")
+    # stars whose members (the centre included) lie in several components; those the further stars
+    # have joined meet no more
     labelled = staged(_relabelled(star.withColumn("component", F.col("b")), comp, "b", "component"), "star")
     open_stars = labelled.groupBy("a").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
         .where("lo != hi").select("a")
     missed = _missed_by_stars(labelled.join(open_stars, "a", "left_semi"), sets, threshold)
-    return found.unionByName(_verified(missed, sets, threshold))
+    new = staged(_verified(missed, sets, threshold), "links")
+    return components(found.unionByName(new)) if new.limit(1).count() else comp
+
+
+def _with_component(docs: DataFrame, width: int, threshold: int, id_col: str, text_col: str) -> DataFrame:
+    """One row per row of ``docs``: doc_id, t, n_shingles, node (null without words), component
+    (a node) and component_id (the smallest doc_id of the component)."""
+    sigs = staged(signatures(docs, width, id_col, text_col), "signatures")
+    cls = staged(classes(sigs), "classes")
+    comp = linked_components(docs, sigs, cls, width, threshold, id_col, text_col)
+    of_class = staged(cls.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node")),
+                      "of-class")
+    lowest = of_class.groupBy("component").agg(F.min("min_id").alias("component_id"))
+    ids = of_class.join(lowest, "component").select("h1", "h2", "component", "component_id")
+    return sigs.select("doc_id", "t", "n_shingles", "h1", "h2").join(ids, ["h1", "h2"], "left").drop("h1", "h2")
 
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, threshold: int = THRESHOLD,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (the
     smallest doc_id reachable by links, itself included), kept."""
-    sigs = staged(signatures(docs, width, id_col, text_col), "signatures")
-    cls = staged(classes(sigs), "classes")
-    comp = components(links(docs, sigs, cls, width, threshold, id_col, text_col))
-    of_class = cls.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    lowest = of_class.groupBy("component").agg(F.min("min_id").alias("component_id"))
-    ids = of_class.join(lowest, "component").select("h1", "h2", "component_id")
     own = F.coalesce(F.col("component_id"), F.col("doc_id"))
-    return sigs.select("doc_id", "n_shingles", "h1", "h2").join(ids, ["h1", "h2"], "left").select(
+    return _with_component(docs, width, threshold, id_col, text_col).select(
         "doc_id", "n_shingles", own.alias("component_id"),
         F.coalesce(F.col("doc_id") == own, F.lit(False)).alias("kept"))
+
+
+def fates(docs: DataFrame, width: int = SHINGLE, threshold: int = THRESHOLD,
+          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, t, n, stays) of the documents -- an id and the hash of a text -- that go,
+    or that stay but lie in several rows (n).  Of a component the document of the smallest
+    id stays (a null one comes last; of several the smaller t)."""
+    groups = _with_component(docs, width, threshold, id_col, text_col).where("component IS NOT NULL")
+    document = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")
+    first = groups.groupBy("component").agg(F.min(document).alias("d")).select("d.doc_id", "d.t")
+    known = groups.groupBy("doc_id", "t").agg(F.count(F.lit(1)).alias("n"))
+    stays = known.alias("a").join(first.alias("b"), F.expr("a.doc_id <=> b.doc_id AND a.t = b.t"), "left") \
+        .select("a.doc_id", "a.t", "a.n", F.col("b.t").isNotNull().alias("stays"))
+    return stays.where("NOT stays OR n > 1")
+
+
+def one_of_each(docs: DataFrame, fate: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component, by their :func:`fates`: of several rows of
+    the document that stays the least one.  Rows without words stay."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_r"))
+    own, text = F.col(f"_r.`{id_col}`"), text_key(f"_r.`{text_col}`")
+
+    def of(rows: DataFrame, some: DataFrame, how: str) -> DataFrame:
+        return rows.join(some, own.eqNullSafe(some["doc_id"]) & (text == some["t"]), how)
+
+    left = of(rows, fate.where("NOT stays"), "left_anti")
+    several = fate.where("stays")
+    if several.limit(1).count():
+        again = of(left, several, "left_semi").select("_r", own.alias("i"), text.alias("t"))
+        one = again.groupBy("i", "t").agg(F.min("_r").alias("_r")).select("_r")
+        left = of(left, several, "left_anti").unionByName(one)
+    return left.select("_r.*")
