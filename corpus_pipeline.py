@@ -6,9 +6,9 @@ and returns a DataFrame, which is written as Parquet and read again as the
 next stage's ``docs``.  All but the last return the columns of ``docs``.
 
 Defined cases, beside those of the operators: an empty table passes through all
-stages; repeated rows are reduced to one by the near-dedup stage; a document
-without doc_id belongs to no group and stays; further columns of any name pass
-through.
+stages; the near-dedup stage leaves one row of each group of like texts, whatever
+rows share an id or have none, and drops nothing else; further columns of any
+name pass through.
 """
 
 from __future__ import annotations
@@ -44,17 +44,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays, that of smallest id."""
-    ids = final(lambda: near_dedup.near_duplicates(docs.select("doc_id", "text"))
-                .where("doc_id IS NOT NULL").groupBy("doc_id")
-                .agg(F.bool_or("kept").alias("stays"), F.count(F.lit(1)).alias("n")), "ids")
-    # the ids that go are the smaller side, and rows without id match none of them
-    out = docs.join(ids.where("NOT stays").select("doc_id"), "doc_id", "left_anti")
-    several = ids.where("stays AND n > 1").select("doc_id")
-    if several.limit(1).count():  # rows that repeat an id: one of them
-        out = out.join(several, "doc_id", "left_anti").unionByName(
-            out.join(several, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    return out.select(docs.columns)
+    """One row of each near-duplicate group stays, that of smallest id."""
+    fate = final(lambda: near_dedup.fates(docs.select("doc_id", "text")), "fates")
+    return near_dedup.one_of_each(docs, fate)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
