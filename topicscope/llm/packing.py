@@ -32,11 +32,10 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, bounded_batches, staged
+from .common import blocks, bounded_batches, drop_staged, staged
 from .tokens import encoder
 
 WINDOW = 4096
@@ -44,6 +43,8 @@ END = 2
 SHARD_TOKENS = 1 << 20
 K1, B = 1.2, 0.75
 _IDS = 1 << 16
+#: Shards that a task of a large input takes, one at a time.
+SHARDS_A_TASK = 64
 #: Parts of a term's group, by its documents' second term.
 PARTS = 16
 
@@ -231,51 +232,60 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, end: int = END, id_co
     mean = total / max(n, 1)
     shared = docs.sparkSession.sparkContext.broadcast(idf)
     kind = tokens.schema["doc_id"].dataType.simpleString()
-    id_type = pa.string() if kind == "string" else None
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
-    def run(batches):
-        rows = [(r, d, i) for b in batches
-                for r, d, i in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True)]
-        if not rows:
-            return
-        rows.sort(key=lambda x: x[0])  # the same shard in any order of arrival
-        ids = [np.frombuffer(x[2], "<u2") for x in rows]
-        first = TaskContext.get().partitionId() << 32
+    def packed(shard, rows, id_type):
+        ids = [np.frombuffer(x[1], "<u2") for x in rows]
         pieces = pack_shard(ids, shared.value, mean, window)
         for at in range(0, len(pieces), 4096):
             part = pieces[at:at + 4096]
             cuts = [ids[d][s:s + m].astype("<u4") for d, s, m, _, _ in part]
-            columns = [pa.array([rows[d][1] for d, *_ in part], id_type),
+            columns = [pa.array([rows[d][0] for d, *_ in part], id_type),
                        pa.array([s for _, s, _, _, _ in part], pa.int64()),
                        pa.array([m for _, _, m, _, _ in part], pa.int64()),
                        pa.array([zlib.crc32(c.tobytes()) for c in cuts], pa.int64()),
                        pa.array([len(ids[d]) for d, *_ in part], pa.int64()),
-                       pa.array([first + q for _, _, _, q, _ in part], pa.int64()),
+                       pa.array([(shard << 32) + q for _, _, _, q, _ in part], pa.int64()),
                        pa.array([o for *_, o in part], pa.int64())]
             if with_ids:
                 columns.append(pa.array([c.astype(np.int32) for c in cuts], pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(columns, names=names + ["ids"] * with_ids)
 
+    def run(batches):
+        """The shards of a task, one after the other."""
+        shard, rows, id_type = None, [], None
+        for batch in batches:
+            id_type = batch.schema.field(1).type
+            of = batch.column(0).to_numpy()
+            ends = [*(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
+            for a, b in itertools.pairwise([0, *ends]):
+                if a < b and of[a] != shard:
+                    if rows:
+                        yield from packed(shard, rows, id_type)
+                    shard, rows = int(of[a]), []
+                rows += zip(*(batch.column(k).slice(a, b - a).to_pylist() for k in (1, 2)), strict=True)
+        if rows:
+            yield from packed(shard, rows, id_type)
+
     schema = f"doc_id {kind}, " + ", ".join(f"{c} long" for c in names[1:]) \
         + ", ids array<int>" * with_ids
-    content = groups(tokens, df, n)
+    content = staged(groups(tokens, df, n), "content")
+    drop_staged(tokens)
     sizes = np.zeros(_IDS * PARTS, np.int64)
     # at most one number per group: 65,536 x PARTS
     counted = content.groupBy("group").agg(F.sum("n_tokens").alias("size")).toArrow()
     sizes[counted["group"].to_numpy()] = counted["size"].to_numpy()
     first_of, several, shards = deal(sizes, shard_tokens)
-    places = docs.sparkSession.sparkContext.broadcast((first_of, several))
-
-    def placed(batches):
-        first_of, several = places.value
-        for batch in batches:
-            g, salt = batch.column(3).to_numpy(), batch.column(4).to_numpy()
-            at = first_of[g] + salt % several[g]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(at.astype(np.int32))],
-                                             names=["row", "doc_id", "ids", "shard"])
-
-    dealt = content.select("row", "doc_id", "ids", "group", F.xxhash64("row")) \
-        .mapInArrow(placed, f"row long, doc_id {kind}, ids binary, shard int") \
-        .repartitionById(max(1, shards), F.col("shard")).select("row", "doc_id", "ids")
-    return dealt.mapInArrow(run, schema)
+    have = np.flatnonzero(sizes)
+    # 16 bytes for each of at most 65,536 x PARTS groups
+    places = F.broadcast(docs.sparkSession.createDataFrame(pa.table(
+        {"group": have, "first": first_of[have], "several": several[have]})))
+    # a task takes a run of shards, one at a time
+    wanted = max(8 * docs.sparkSession.sparkContext.defaultParallelism, shards // SHARDS_A_TASK)
+    run_of = max(1, -(-shards // wanted))
+    dealt = content.join(places, "group").select(
+        (F.col("first") + F.pmod(F.xxhash64("row"), F.col("several"))).cast("int").alias("shard"),
+        "doc_id", "ids", "row")
+    tasks = max(1, -(-shards // run_of))
+    return dealt.repartitionById(tasks, F.floor(F.col("shard") / run_of).cast("int")) \
+        .sortWithinPartitions("shard", "row").select("shard", "doc_id", "ids").mapInArrow(run, schema)

@@ -34,7 +34,7 @@ _BEYOND_ASCII = re.compile("[^\x00-\x7F]")
 #: Pieces whose case and classes are beyond doubt: Latin-1 without controls, blanks and the soft hyphen.
 _SIMPLE = r"^[\x21-\x7E\x{A1}-\x{AC}\x{AE}-\x{FF}]+$"
 #: Pieces kept from block to block.
-KEPT_PIECES = 600_000
+KEPT_PIECES = 300_000
 #: Runs and pieces handed to the tokenizer in one call.
 _RUNS_A_CALL, _PIECES_A_CALL = 65536, 4096
 
