@@ -18,9 +18,10 @@ there); a page's own article is kept beside the path.
 Character references are decoded, white space inside a block becomes one
 space, blocks are joined in page order by one space.
 
-Votes are partial sums per task, and the join with the winners is left to Spark
-(broadcast from its measured size, else a sort-merge join whose skewed host
-partitions are split).
+Votes are partial sums per task.  The winners are written first: up to
+``BROADCAST_BYTES`` of them go to all tasks and no page is shuffled, more are
+joined by host and one of ``SALTS`` parts of its pages, so that no host's pages
+meet in one task.
 
 Defined cases: a null html is empty and gives an empty text; a null url counts
 as the host ''; a page without text votes for nothing; a page whose text is all
@@ -42,8 +43,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, sliced, without
+from topicscope.session import input_bytes
 
+from .common import bounded_batches, sliced, staged, without
+
+#: Winners (as written) that are broadcast, and the parts a host's pages are dealt into beyond that.
+BROADCAST_BYTES = 16 << 20
+SALTS = 32
 #: Share of a page's text that its best container has to hold.
 SHARE = 0.7
 
@@ -52,6 +58,8 @@ _TAG = re.compile(
     r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
     r"""|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>"""
     r"""|<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)\]\]>|<[!?][^>]*+>""", re.S)
+#: The same where no CDATA end lies ahead.
+_PLAIN = re.compile(_TAG.pattern.replace(r"<!\[CDATA\[(.*?)\]\]>", r"(?!)()"), re.S)
 _ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _DIGITS = re.compile(r"\d+")
 _TOKEN = re.compile(r"[A-Za-z]+[0-9]*|[0-9]+")
@@ -86,6 +94,10 @@ SKIPPED_TOKENS = frozenset(
     "alert popup modal overlay newsletter subscribe subscription signup login search social share sharing "
     "related recommended recommendations trending pagination pager toolbar widget widgets skip "
     "copyright legal disclaimer paywall form".split())
+#: Of these, tokens that set an inline element aside amid the article's text.
+ADVERT_TOKENS = frozenset(
+    "ad ads adv advert adverts advertisement advertising adsense adbox adslot adunit sponsor sponsored promo "
+    "promoted promotion".split())
 #: Of these, tokens that an article or its wrapper may bear as well.
 MILD_TOKENS = frozenset(
     "sponsored promoted promo promotion rail header masthead bottom discussion reviews notice notices alert "
@@ -112,7 +124,7 @@ SCOPES = frozenset("ul ol dl table div section article aside nav main body heade
 class Page:
     """Pieces of kept text with their containers."""
 
-    paths: list[str]         # per container: generalised path
+    steps: list[str]         # per container: its step of the generalised path
     parents: list[int]       # per container: enclosing container
     semantic: list[bool]     # per container: an article or main element, or inside one
     marks: list[int]         # per container: 2 an article or main element, 1 named as an article
@@ -145,9 +157,12 @@ def _aside(tag: str, attrs: dict[str, str], in_text: bool) -> int:
         return grade
     if attrs.get("role") in SKIPPED_ROLES:
         grade = max(grade, 1 if attrs["role"] in ("form", "note", "status", "dialog") else 2)
-    if tag in INLINE and in_text or not ("class" in attrs or "id" in attrs):
+    if not ("class" in attrs or "id" in attrs):
         return grade
     names = _names(attrs)
+    if tag in INLINE and in_text:
+        # of the parts inside a text only adverts are told by their names
+        return 2 if any(n & ADVERT_TOKENS for n in names) else grade
     tokens = set().union(*names)
     bad = tokens & SKIPPED_TOKENS
     # "post-header" belongs to the article, "post-comments" or "content-ad" does not
@@ -177,7 +192,7 @@ def _settle(page: Page) -> None:
     inside an article, if it outweighs the rest of it (grade 1); elsewhere, if no
     article lies outside and it holds one or outweighs the page's other text
     (grade 1), or holds one article or main element that does (grades 2 and 3)."""
-    n = len(page.paths)
+    n = len(page.steps)
     own = [0] * n
     for box, text in page.pieces:
         if text != "\n" and not text.isspace():
@@ -235,7 +250,27 @@ def _settle(page: Page) -> None:
 def _step(tag: str, attrs: dict[str, str]) -> str:
     """One element of a generalised path: tag and classes, digits as 0."""
     classes = sorted({_DIGITS.sub("0", c.lower()) for c in attrs.get("class", "").split()})
-    return ".".join([tag, *classes])
+    return ".".join([tag, *classes]).replace(">", "")
+
+
+def path_of(page: Page, box: int) -> str:
+    """The generalised path of a container."""
+    steps = [page.steps[box]]
+    while box:
+        box = page.parents[box]
+        steps.append(page.steps[box])
+    return ">".join(reversed(steps))
+
+
+def on_path(page: Page, path: str) -> set[int]:
+    """The containers whose path is ``path``, in one pass over the containers."""
+    wanted = path.split(">")
+    depth = [0] * len(page.steps)  # steps of the path that lead here, 0: none
+    for box, step in enumerate(page.steps):
+        before = depth[page.parents[box]] if box else 0
+        if (before or not box) and before < len(wanted) and wanted[before] == step:
+            depth[box] = before + 1
+    return {box for box, d in enumerate(depth) if d == len(wanted)}
 
 
 def _attrs(text: str) -> dict[str, str]:
@@ -273,8 +308,13 @@ def _read(page: Page, source: str, whole: bool) -> None:
     stack: list[tuple[str, int, bool, bool, bool]] = [("html", 0, False, False, False)]
     find, match = source.find, _TAG.match
     at, mark = 0, find("<")
+    # behind these nothing ends a tag or a CDATA section: no need to look to the page's end each time
+    last_end, last_cdata = source.rfind(">"), source.rfind("]]>")
     while True:
-        m = match(source, mark) if mark >= 0 else None
+        if mark < 0 or mark > last_end and not source.startswith("<!--", mark):
+            m = None
+        else:
+            m = (match if mark + 9 <= last_cdata else _PLAIN.match)(source, mark)
         if m is None and mark >= 0:  # a "<" that opens nothing is text
             mark = find("<", mark + 1)
             continue
@@ -329,12 +369,12 @@ def _read(page: Page, source: str, whole: bool) -> None:
                 named = _mark(tag, attrs) if tag in CONTAINERS else 0
                 prose = prose or tag in PROSE or named > 0 and not aside
                 if (tag in CONTAINERS or aside) and not skip:
-                    page.paths.append(f"{page.paths[box]}>{_step(tag, attrs) if attrs else tag}")
+                    page.steps.append(_step(tag, attrs) if attrs else tag)
                     page.parents.append(box)
                     page.semantic.append(article)
                     page.marks.append(named)
                     page.asides.append(aside)
-                    box = len(page.paths) - 1
+                    box = len(page.steps) - 1
             stack.append((tag, box, skip, article, prose))
         mark = find("<", at)
 
@@ -344,7 +384,7 @@ def best_container(page: Page) -> tuple[int, int]:
     elements count threefold): the outermost article or main element that holds
     ``SHARE`` of the page's text, else the outermost container named as the
     article that does, else the deepest container that leaves no text out."""
-    n = len(page.paths)
+    n = len(page.steps)
     total = [0] * n
     for box, text in page.pieces:
         if text != "\n" and not text.isspace():
@@ -365,13 +405,13 @@ def best_container(page: Page) -> tuple[int, int]:
 def text_of(page: Page, path: str | None) -> str:
     """Text of the containers on ``path``; without any, of the best container;
     of a page that has none left, all that was set aside."""
-    inside = [False] * len(page.paths)
+    inside = [False] * len(page.steps)
     best = best_container(page)[0]
     for use_path in (True, False):
         if use_path:
-            if path is None or path not in page.paths:
+            roots = on_path(page, path) if path is not None else set()
+            if not roots:
                 continue
-            roots = {i for i, p in enumerate(page.paths) if p == path}
             if page.marks[best]:  # the path may lie elsewhere on this page
                 roots.add(best)
         else:
@@ -398,7 +438,7 @@ def votes(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> Dat
             for v in batch.column(1):
                 page = read_page(v.as_py() or "")
                 box, length = best_container(page)
-                paths.append(page.paths[box] if length else None)
+                paths.append(path_of(page, box) if length else None)
                 # whole thousandths: sums don't depend on their order
                 weights.append(round(1000 * math.log1p(length)))
             yield pa.RecordBatch.from_arrays(
@@ -420,13 +460,19 @@ def winners(voted: DataFrame) -> DataFrame:
 def extract(pages: DataFrame, paths: DataFrame, url_col: str = "url", html_col: str = "html",
             keep: list[str] | None = None) -> DataFrame:
     """The ``keep`` columns of ``pages`` (all by default) with ``text``."""
-    pages = without(bounded_batches(pages), ["text", "_host", "_path"], html_col, url_col)
+    pages = without(bounded_batches(pages), ["text", "_host", "_path", "_salt"], html_col, url_col)
     keep = [c for c in (pages.columns if keep is None else keep) if c != "text"]
     n = len(pages.columns)
     at, columns = pages.columns.index(html_col), [pages.columns.index(c) for c in keep]
-    joined = pages.withColumn("_host", host_of(F.col(url_col))).join(
-        paths.select(F.col("host").alias("_host"), F.col("path").alias("_path")), "_host", "left") \
-        .select(*pages.columns, "_path")
+    hosts = pages.withColumn("_host", host_of(F.col(url_col)))
+    won = staged(paths.select(F.col("host").alias("_host"), F.col("path").alias("_path")), "winners")
+    if input_bytes(pages.sparkSession, won.inputFiles()) <= BROADCAST_BYTES:
+        joined = hosts.join(F.broadcast(won), "_host", "left")
+    else:
+        salt = F.pmod(F.xxhash64(F.col(html_col).cast("string")), F.lit(SALTS)).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
+        joined = hosts.withColumn("_salt", salt).join(won.select("_host", "_path", every), ["_host", "_salt"], "left")
+    joined = joined.select(*pages.columns, "_path")
 
     def run(batches):
         for batch in sliced(batches):
