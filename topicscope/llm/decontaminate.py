@@ -8,8 +8,8 @@ occurrence of a window is *hit*.
 
 The automaton is a broadcast of the benchmark's windows, whose size is checked:
 the benchmark is cut into blocks of at most ``block_bytes`` of text, and a
-benchmark beyond one block is scanned block by block in a chain of narrow
-passes (no shuffle, nothing dropped).
+benchmark beyond one block is scanned block by block in narrow passes, each
+written before the next (no shuffle, nothing dropped, one automaton a task).
 
 Defined cases: a null or wordless text has no words and no hits; benchmark rows
 with a null id or without words are ignored; repeated rows of an item count
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, without
+from .common import bounded_batches, drop_staged, staged, without
 
 WINDOW = 13
 BLOCK_BYTES = 32 << 20
@@ -156,13 +156,19 @@ def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     sc = docs.sparkSession.sparkContext
     at = docs.columns.index(text_col)
     n, block = _blocks(benchmark, item_col, item_text_col, block_bytes)
-    out = docs
+    out, scanned = docs, None
     for k in range(n):
         shared = _Shared(sc.broadcast(block(k)), uuid.uuid4().hex)
         names = keep if k == n - 1 else docs.columns
         fields = [docs.schema[c] for c in names] + results
         out = out.mapInArrow(_scanner(shared, window, at, [docs.columns.index(c) for c in names],
                                       k > 0), T.StructType(fields))
+        if k < n - 1:  # one block's automaton at a time in a task
+            before, out = scanned, staged(out, "scanned")
+            scanned = out
+            shared.broadcast.unpersist()
+            if before is not None:
+                drop_staged(before)
     return out
 
 
