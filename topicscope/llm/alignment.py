@@ -47,8 +47,9 @@ from .common import blocks, bounded_batches, sliced, staged
 from .parts import CUT, byte_chars, byte_sizes, byte_tokenizer, cuts_at, in_calls
 
 BLANK = "▁"
-#: Aligned parts that a process keeps from block to block.
+#: Aligned parts that a process holds; beyond that it keeps those met several times of late.
 KEPT_PARTS = 400_000
+OFTEN = 3
 #: Distinct pairs that are broadcast (17 bytes each).
 BROADCAST_PAIRS = 1 << 21
 
@@ -96,6 +97,7 @@ class Aligner:
         self.a_sizes[list(self.a_bytes)] = [len(x) for x in self.a_bytes.values()]
         self.b_sizes = np.array([len(x) for x in self.b_bytes], np.int64)
         self.pair_numbers = len(self.a_sizes) * len(self.b_bytes)
+        self.known = Known(self)
 
     def tokens(self, text: str):
         """(A's ids, their byte ends, B's ids, their byte ends) of ``text`` with a blank before
@@ -158,6 +160,16 @@ class Known:
         self.flat = [np.zeros(0, np.int64) for _ in range(6)]
         self.bounds = [np.zeros(1, np.int64) for _ in range(6)]
 
+    def keep(self, often: np.ndarray) -> None:
+        """Only the parts of these numbers (ascending), numbered anew."""
+        names = np.array(list(self.number), object)[often]
+        flat = [_entries(self, i, often, True) for i in range(6)]
+        bounds = [np.concatenate([[0], np.cumsum(np.diff(b)[often])]) for b in self.bounds]
+        groups, sizes, whole = [self.groups[i] for i in often.tolist()], self.sizes[often], self.whole[often]
+        self.forget()
+        self.number = {p: i for i, p in enumerate(names.tolist())}
+        self.groups, self.sizes, self.whole, self.flat, self.bounds = groups, sizes, whole, flat, bounds
+
     def learn(self, parts: list[str]) -> None:
         fresh = []
         for call in in_calls(parts):
@@ -226,7 +238,8 @@ def aligned(texts: DataFrame, a_path: str, b_path: str, kind: str, spans: bool)
 
     def run(batches):
         how = aligner(a_path, b_path)
-        known, seen, id_type = Known(how), np.zeros(0, np.int64), None
+        known = how.known  # what earlier tasks of the process have aligned
+        seen, id_type = np.zeros(len(known.number), np.int64), None
         width = link_type(how.pair_numbers)
 
         def counted() -> Iterator[pa.RecordBatch]:
@@ -254,8 +267,9 @@ def aligned(texts: DataFrame, a_path: str, b_path: str, kind: str, spans: bool)
             yield pa.RecordBatch.from_arrays(columns, names=names)
             if len(known.number) > KEPT_PARTS:
                 yield from counted()
-                known.forget()
-                seen = seen[:0]
+                often = np.flatnonzero(seen >= OFTEN)
+                known.keep(often if len(often) <= KEPT_PARTS // 2 else often[:0])
+                seen = np.zeros(len(known.number), np.int64)
         if id_type is not None:
             yield from counted()
 
@@ -268,13 +282,13 @@ def link_type(numbers: int) -> str:
     return "<u4" if numbers <= 1 << 32 else "<i8"
 
 
-def _entries(known: Known, column: int, parts: np.ndarray) -> np.ndarray:
-    """A column's entries of a text's parts; byte ends as those in the text."""
+def _entries(known: Known, column: int, parts: np.ndarray, as_held: bool = False) -> np.ndarray:
+    """A column's entries of a text's parts; byte ends as those in the text (or as they are held)."""
     bounds, flat = known.bounds[column], known.flat[column]
     first, many = bounds[parts], bounds[parts + 1] - bounds[parts]
     ends = np.cumsum(many)
     at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - many), many)
-    if column in (1, 3, 5):
+    if column in (1, 3, 5) and not as_held:
         return flat[at] + np.repeat(np.cumsum(known.sizes[parts]) - known.sizes[parts], many)
     return flat[at]
 
