@@ -103,6 +103,20 @@ def test_alignment_of_the_table(spark, byte_bpe):
     assert got == {r["doc_id"]: w for r, w in zip(docs, want, strict=True)}
 
 
+def test_parts_that_are_kept_stay_as_they_were():
+    known = alignment.Known(alignment.aligner(BYTE_BPE, PIECE_BPE))
+    texts = ["the cat sat", "on the mat é😀 x", "the cat", "a▁b c"]
+
+    def columns(numbers):
+        return [[alignment._entries(known, i, at).tolist() for i in range(6)] for at in numbers], \
+            [[known.groups[i] for i in at.tolist()] for at in numbers], [known.counts()[at].tolist() for at in numbers]
+    numbers = known.of(texts)
+    before = columns(numbers)
+    known.keep(np.unique(numbers[1]))
+    assert set(known.number) == set(alignment.CUT.split(texts[1]))
+    assert columns(known.of(texts)) == before
+
+
 def test_alignment_edges(spark):
     schema = "doc_id string, text string"
     assert alignment.align(spark.createDataFrame([], schema), BYTE_BPE, PIECE_BPE).count() == 0

@@ -2,8 +2,10 @@
 
 import collections
 import html
+import itertools
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -114,6 +116,45 @@ def test_near_dedup_edges(edge, empty):
     assert near_dedup.near_duplicates(empty).count() == 0
 
 
+def test_near_dedup_of_rows_without_an_id(spark):
+    # many classes under one id (null): each text is read once, for its own class
+    rng = random.Random(4)
+    words = [[rng.choice("abcdefghij") + str(rng.randrange(500)) for _ in range(60)] for _ in range(80)]
+    texts = [" ".join([*w[:-1], f"x{i}"]) for w in words for i in range(4)]
+    df = spark.createDataFrame([(None, t) for t in texts] + [(7, texts[0])], "doc_id long, text string")
+    rows = near_dedup.near_duplicates(df).collect()
+    got = collections.Counter((r["doc_id"], r["component_id"], r["kept"]) for r in rows)
+    assert got == {(None, 7, False): 4, (7, 7, True): 1, (None, None, False): len(texts) - 4}
+    left = near_dedup.one_of_each(df, near_dedup.fates(df)).collect()
+    assert len(left) == 80 and [r["text"] for r in left if r["doc_id"] == 7] == [texts[0]]
+
+
+@pytest.mark.parametrize("family", [near_dedup.FAMILY, 4, 10_000])
+def test_members_of_one_component_are_not_paired(spark, monkeypatch, family):
+    """Two families that differ from the centre in the same words, each one component."""
+    monkeypatch.setattr(near_dedup, "FAMILY", family)
+    rng = random.Random(6)
+    base = [f"b{i}" for i in range(120)]
+    rows, star = [(0, base)], []
+    for family in range(2):
+        own = base[:80] + [f"f{family}w{i}" for i in range(20)] + [f"common{i}" for i in range(20)]
+        for _ in range(150):
+            n = len(rows)
+            words = list(own)
+            words[rng.randrange(120)] = f"n{n}"
+            rows.append((n, words))
+            star.append((0, n, False, 1 + 150 * family))
+    sets = spark.createDataFrame([(k, sorted(zlib.crc32(w.encode()) for w in s)) for k, s in rows],
+                                 "node long, shingles array<long>")
+    pairs = near_dedup._missed_by_stars(spark.createDataFrame(
+        star, "a long, b long, linked boolean, component long"), sets, 80)
+    of = {n: c for _, n, _, c in star}
+    want = {(x, y) for x, y in itertools.combinations(sorted(of), 2) if of[x] != of[y]
+            and 100 * len(set(rows[x][1]) & set(rows[y][1])) >= 80 * len(set(rows[x][1]) | set(rows[y][1]))}
+    got = {tuple(r) for r in pairs.collect()}
+    assert want <= got and all(of[x] != of[y] for x, y in got)
+
+
 def check_pieces(rows, texts, window=4096):
     """Exact round trip: every id in one piece, windows gapless, hashes equal."""
     tok = Tokenizer.from_file(WORD_BPE)
@@ -170,6 +211,9 @@ def test_packing_edges(spark, empty):
     check_pieces(out, texts)
     assert all(len(r["ids"]) == r["length"] for r in out)
     assert packing.pack(empty, WORD_BPE).count() == 0
+    narrow = packing.pack(df.withColumn("doc_id", F.col("doc_id").cast("int")), WORD_BPE)
+    check_pieces(narrow.collect(), texts)
+    assert narrow.schema["doc_id"].dataType.simpleString() == "int"
 
 
 def test_packing_deals_by_content(spark):
@@ -288,6 +332,12 @@ def test_html_parts(spark, empty):
                                    (4, "//h.org", "<p>plain &#233; text", 1), (4, "//h.org", "a<b", 1)],
                                   "page_id long, url string, html string, text long")
     paths = html_extract.winners(html_extract.votes(pages))
+    html_extract.BROADCAST_BYTES, limit = -1, html_extract.BROADCAST_BYTES  # the salted join gives the same rows
+    try:
+        salted = collections.Counter(map(tuple, html_extract.extract(pages, paths).collect()))
+    finally:
+        html_extract.BROADCAST_BYTES = limit
+    assert salted == collections.Counter(map(tuple, html_extract.extract(pages, paths).collect()))
     out = collections.defaultdict(list)
     for r in html_extract.extract(pages, paths).collect():
         out[r["page_id"]].append(r["text"])
@@ -337,6 +387,22 @@ def test_html_wrappers_of_the_article(page, want):
     assert html_text(f"<body>{page.format(BODY)}</body>") == want.format(BODY.strip())
 
 
+@pytest.mark.parametrize("broken", ["<![CDATA[" * 110_000, "<a b='" * 170_000, "<a b='" * 170_001 + ">",
+                                    "<div class=x>" * 40_000 + "text", "<!--" * 100_000, "<" * 300_000])
+def test_broken_pages_are_read_in_one_pass(broken):
+    began = time.process_time()
+    html_extract.text_of(html_extract.read_page(broken), "html>div.x")
+    assert time.process_time() - began < 4
+
+
+def test_inline_adverts_and_long_paths():
+    page = "<article class=a1><p>one <span class='ad'>AD</span> two <b id=top-ad-3>X</b><i class=added> three</i></p></article>"
+    read = html_extract.read_page(page)
+    assert html_extract.text_of(read, None) == "one two three"
+    assert html_extract.path_of(read, html_extract.best_container(read)[0]) == "html>article.a0"
+    assert html_extract.on_path(read, "html>article.a0") == {1} and not html_extract.on_path(read, "html>div")
+
+
 def test_html_whole_table(spark):
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect()}
     for r in QUERIES["op7_html_extraction"](spark, SF_SMALL).collect():
@@ -453,6 +519,16 @@ def test_pipeline_against_its_rules(spark):
     assert corpus_pipeline.run(spark, SF_SMALL).count() == left["packing"].count()
 
 
+def test_pipeline_dedup_loses_no_text(spark):
+    a, b, c = ("the first text is about one thing", "a second text that says something else",
+               "words that several rows hold again and again")
+    rows = [(1, a, "x"), (1, b, "x"), (None, c, "x"), (None, c, "y"), (5, c, "z"), (5, c, "a"), (None, a + " indeed", "x"),
+            (None, None, "x"), (2, "", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    left = sorted(tuple(r) for r in corpus_pipeline.dedup(spark, docs, SF_SMALL).fillna(-1).fillna("").collect())
+    assert left == sorted([(1, a, "x"), (1, b, "x"), (5, c, "a"), (-1, a + " indeed", "x"), (-1, "", "x"), (2, "", "x")])
+
+
 def test_pipeline_edges(spark, empty):
     table = spark.createDataFrame(
         [(*r, "s", 1) for r in EDGE], "doc_id long, text string, lang string, failures long, source string, n_chars long")
