@@ -31,6 +31,8 @@ and text columns are read.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -264,23 +266,30 @@ def _missed_by_stars(star: DataFrame, sets: DataFrame, threshold: int) -> DataFr
     # members of a family (many of one component at an element) are never paired with each other
     families = terms.groupBy("a", "e", "cls", "component").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= FAMILY) \
         .select("a", "e", "cls", "component", F.lit(True).alias("family"))
-    terms = staged(terms.join(families, ["a", "e", "cls", "component"], "left")
-                   .withColumn("family", F.coalesce("family", F.lit(False))), "elements")
+    families = staged(families, "families")
     near = F.explode(F.array(F.col("xk") - 1, F.col("xk"), F.col("xk") + 1)).alias("yk")
-    free, early = terms.where(~F.col("linked")), terms.where("early")
-    x, y = side(free, "x").select("*", near), side(early, "y")
-    one = x.where(~F.col("xf")).join(y, ["a", "e", "yk"]).where("xc != yc")
-    two = x.where("xf").join(y.where(~F.col("yf")), ["a", "e", "yk"])
-    # two families: their components meet first, then the members of each two
-    heads = x.where("xf").select("a", "e", "xk", "xc", "yk").distinct()
-    apart = heads.join(y.where("yf").select("a", "e", "yk", "yc").distinct(), ["a", "e", "yk"]).where("xc != yc")
-    three = side(free.where("family"), "x").join(apart, ["a", "e", "xk", "xc"]) \
-        .join(y.where("yf"), ["a", "e", "yk", "yc"])
+    if families.limit(1).count():
+        terms = staged(terms.join(families, ["a", "e", "cls", "component"], "left")
+                       .withColumn("family", F.coalesce("family", F.lit(False))), "elements")
+        free, early = terms.where(~F.col("linked")), terms.where("early")
+        x, y = side(free, "x").select("*", near), side(early, "y")
+        one = x.where(~F.col("xf")).join(y, ["a", "e", "yk"])
+        two = x.where("xf").join(y.where(~F.col("yf")), ["a", "e", "yk"])
+        # two families: their components meet first, then the members of each two
+        heads = x.where("xf").select("a", "e", "xk", "xc", "yk").distinct()
+        apart = heads.join(y.where("yf").select("a", "e", "yk", "yc").distinct(), ["a", "e", "yk"]).where("xc != yc")
+        three = side(free.where("family"), "x").join(apart, ["a", "e", "xk", "xc"]) \
+            .join(y.where("yf"), ["a", "e", "yk", "yc"])
+        met = [one, two, three]
+    else:
+        terms = terms.withColumn("family", F.lit(False))
+        met = [side(terms.where(~F.col("linked")), "x").select("*", near)
+               .join(side(terms.where("early"), "y"), ["a", "e", "yk"])]
     # at the first element they share, both must have as many left as they need to share
     need = (F.col("xs") + F.col("ys") - q * (F.col("xn") + F.col("yn"))) / 2 - tiny
     pairs = [p.where((F.col("xc") != F.col("yc")) & (F.col("yl") | F.col("xe")) & (F.least("xr", "yr") >= need))
-             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")) for p in (one, two, three)]
-    return pairs[0].unionByName(pairs[1]).unionByName(pairs[2]).distinct()
+             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")) for p in met]
+    return functools.reduce(DataFrame.unionByName, pairs).distinct()
 
 
 def linked_components(docs: DataFrame, sigs: DataFrame, cls: DataFrame, width: int, threshold: int,
@@ -327,8 +336,10 @@ def linked_components(docs: DataFrame, sigs: DataFrame, cls: DataFrame, width: i
     # stars whose members (the centre included) lie in several components; those the further stars
     # have joined meet no more
     labelled = staged(_relabelled(star.withColumn("component", F.col("b")), comp, "b", "component"), "star")
-    open_stars = labelled.groupBy("a").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
-        .where("lo != hi").select("a")
+    open_stars = staged(labelled.groupBy("a").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+                        .where("lo != hi").select("a"), "open-stars")
+    if not open_stars.limit(1).count():
+        return comp
     missed = _missed_by_stars(labelled.join(open_stars, "a", "left_semi"), sets, threshold)
     new = staged(_verified(missed, sets, threshold), "links")
     return components(found.unionByName(new)) if new.limit(1).count() else comp
