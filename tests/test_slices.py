@@ -83,6 +83,24 @@ def test_any_order_gives_one_log(spark, scratch, order):
     assert whole(spark, scratch) == plain_log(records)
 
 
+def test_a_session_with_another_state_store(spark, scratch):
+    keys = ["spark.sql.streaming.stateStore.providerClass",
+            "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"]
+    before = [spark.conf.get(k) for k in keys]
+    plain = ["org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider", "false"]
+    land(spark, some_records(), f"{scratch}/landing")
+    try:
+        for k, v in zip(keys, plain, strict=True):
+            spark.conf.set(k, v)
+        run(spark, f"{scratch}/landing", scratch, segments=3)
+        run(spark, f"{scratch}/landing", scratch, segments=3)  # started again from its checkpoint
+        assert [spark.conf.get(k) for k in keys] == plain
+        assert whole(spark, scratch) == plain_log(some_records())
+    finally:
+        for k, v in zip(keys, before, strict=True):
+            spark.conf.set(k, v)
+
+
 def test_a_hot_name_is_many_keys(spark, scratch):
     land(spark, some_records(), f"{scratch}/landing")
     run(spark, f"{scratch}/landing", scratch, segments=2, watermark="30 hours")
