@@ -5,10 +5,12 @@ import collections
 import functools
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from conftest import SF_CHECK, SF_SMALL
@@ -117,6 +119,32 @@ def test_parts_that_are_kept_stay_as_they_were():
     assert columns(known.of(texts)) == before
 
 
+def test_work_space_of_a_task_is_bounded():
+    class Rows:  # stands for the texts; hands back the function that runs in the tasks
+        def mapInArrow(self, run, schema):
+            return run
+
+    alignment.aligner(BYTE_BPE, PIECE_BPE).known.forget()
+    run = alignment.aligned(Rows(), BYTE_BPE, PIECE_BPE, "bigint", False)
+    rng = random.Random(3)
+
+    def batches(rows=100):
+        for at in range(0, 4000, rows):  # words of their own: 720,000 distinct parts
+            texts = [" ".join(f"q{rng.getrandbits(40):x}" for _ in range(180)) for _ in range(rows)]
+            ids = pa.array(range(at, at + rows))
+            yield pa.RecordBatch.from_arrays([ids, ids, pa.array(texts)], names=["row", "doc_id", "text"])
+
+    tracemalloc.start()
+    try:
+        got = [batch.column(0).drop_null().to_pylist() for batch in run(batches())]
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+        alignment.aligner(BYTE_BPE, PIECE_BPE).known.forget()
+    assert sorted(x for rows in got for x in rows) == list(range(4000))
+    assert most < 400 << 20
+
+
 def test_alignment_edges(spark):
     schema = "doc_id string, text string"
     assert alignment.align(spark.createDataFrame([], schema), BYTE_BPE, PIECE_BPE).count() == 0

@@ -47,9 +47,14 @@ from .common import blocks, bounded_batches, sliced, staged
 from .parts import CUT, byte_chars, byte_sizes, byte_tokenizer, cuts_at, in_calls
 
 BLANK = "▁"
-#: Aligned parts that a process holds; beyond that it keeps those met several times of late.
-KEPT_PARTS = 400_000
+#: Aligned parts that a process holds between blocks; beyond that it keeps those met several
+#: times of late.  Two Python workers share an executor with the JVM: with blocks of
+#: ``BLOCK_BYTES`` the work space of one stays at some hundred MB.
+KEPT_PARTS = 150_000
 OFTEN = 3
+BLOCK_BYTES = 2 << 20
+#: Distinct pairs whose counts a task adds up before it writes them.
+COUNTED_PAIRS = 1 << 19
 #: Distinct pairs that are broadcast (17 bytes each).
 BROADCAST_PAIRS = 1 << 21
 
@@ -97,6 +102,10 @@ class Aligner:
         self.a_sizes[list(self.a_bytes)] = [len(x) for x in self.a_bytes.values()]
         self.b_sizes = np.array([len(x) for x in self.b_bytes], np.int64)
         self.pair_numbers = len(self.a_sizes) * len(self.b_bytes)
+        # decimal ids with what follows them in a group: A's "," or "|", then B's "," or ";"
+        self.shown = np.array([f"{i}{sign}" for ids, signs in ((len(self.a_sizes), ",|"), (len(self.b_bytes), ",;"))
+                               for sign in signs for i in range(ids)], object)
+        self.shown_sizes = np.array([len(x) for x in self.shown.tolist()], np.int64)
         self.known = Known(self)
 
     def tokens(self, text: str):
@@ -153,22 +162,29 @@ class Known:
 
     def forget(self) -> None:
         self.number: dict[str, int] = {}
-        self.groups: list[str] = []            # the part's groups as text
         self.whole = np.zeros(0, bool)         # False: its decoded bytes differ
         self.sizes = np.zeros(0, np.int64)     # bytes
-        # ids and byte ends (in the part) of both, numbers of the linked pairs, byte ends of groups
-        self.flat = [np.zeros(0, np.int64) for _ in range(6)]
-        self.bounds = [np.zeros(1, np.int64) for _ in range(6)]
+        # ids and byte ends (in the part) of both, numbers of the linked pairs, byte ends of
+        # groups, the groups as ASCII text (each with a ";" behind it)
+        pairs = link_type(self.how.pair_numbers)
+        self.flat = [np.zeros(0, t) for t in ("i4", "i4", "i4", "i4", pairs, "i4", "u1")]
+        self.bounds = [np.zeros(1, np.int64) for _ in self.flat]
+
+    @property
+    def groups(self) -> list[str]:
+        """Each part's groups as text."""
+        bounds, text = self.bounds[6].tolist(), self.flat[6].tobytes().decode()
+        return [text[i:j - 1] if j > i else "" for i, j in pairwise(bounds)]
 
     def keep(self, often: np.ndarray) -> None:
         """Only the parts of these numbers (ascending), numbered anew."""
         names = np.array(list(self.number), object)[often]
-        flat = [_entries(self, i, often, True) for i in range(6)]
+        flat = [_entries(self, i, often, True) for i in range(len(self.flat))]
         bounds = [np.concatenate([[0], np.cumsum(np.diff(b)[often])]) for b in self.bounds]
-        groups, sizes, whole = [self.groups[i] for i in often.tolist()], self.sizes[often], self.whole[often]
+        sizes, whole = self.sizes[often], self.whole[often]
         self.forget()
         self.number = {p: i for i, p in enumerate(names.tolist())}
-        self.groups, self.sizes, self.whole, self.flat, self.bounds = groups, sizes, whole, flat, bounds
+        self.sizes, self.whole, self.flat, self.bounds = sizes, whole, flat, bounds
 
     def learn(self, parts: list[str]) -> None:
         fresh = []
@@ -184,15 +200,16 @@ class Known:
         for call, got in fresh:
             size = byte_sizes(call)
             stop = np.cumsum(size)
-            columns, cuts = _columns(got, stop, len(self.how.b_bytes)) if got is not None else (
-                [np.zeros(0, np.int64)] * 6, [np.zeros(len(call), np.int64)] * 6)
-            for i in range(6):
-                ends = columns[i]
+            columns, cuts = [np.zeros(0, np.int64)] * 7, [np.zeros(len(call), np.int64)] * 7
+            if got is not None:
+                columns, cuts = _columns(got, stop, len(self.how.b_bytes))
+                shown, ends = self._text(columns, cuts)
+                columns, cuts = [*columns, shown], [*cuts, ends]
+            for i, entries in enumerate(columns):
                 if i in (1, 3, 5):  # byte ends are those in the part
-                    ends = ends - np.repeat(stop - size, np.diff(cuts[i], prepend=0))
-                flat[i].append(ends)
+                    entries = entries - np.repeat(stop - size, np.diff(cuts[i], prepend=0))
+                flat[i].append(entries.astype(self.flat[i].dtype))
                 bounds[i].append(bounds[i][-1][-1] + cuts[i])
-            self.groups += self._text(columns, cuts) if got is not None else [""] * len(call)
             sizes.append(size)
             whole.append(np.full(len(call), got is not None))
             self.number.update(zip(call, range(len(self.number), len(self.number) + len(call)), strict=True))
@@ -200,21 +217,29 @@ class Known:
         self.bounds = [np.concatenate(b) for b in bounds]
         self.sizes, self.whole = np.concatenate(sizes), np.concatenate(whole)
 
-    @staticmethod
-    def _text(columns, cuts) -> list[str]:
+    def _text(self, columns, cuts) -> tuple[np.ndarray, np.ndarray]:
+        """The groups as ASCII text, and where each part's text ends in it."""
         a_ids, a_ends, b_ids, b_ends, _, common = columns
-        a, b = list(map(str, a_ids.tolist())), list(map(str, b_ids.tolist()))
-        a_at = [0, *np.searchsorted(a_ends, common, "right").tolist()]
-        b_at = [0, *np.searchsorted(b_ends, common, "right").tolist()]
-        groups = [f"{','.join(a[i:j])}|{','.join(b[k:m])}"
-                  for (i, j), (k, m) in zip(pairwise(a_at), pairwise(b_at), strict=True)]
-        return [";".join(groups[i:j]) for i, j in pairwise([0, *cuts[5].tolist()])]
+        n_a, n_b = len(self.how.a_sizes), len(self.how.b_bytes)
+        a_at, b_at = np.searchsorted(a_ends, common, "right"), np.searchsorted(b_ends, common, "right")
+        # a token's place: the tokens of the groups before, and for B those of A in its group
+        a_in, b_in = (np.repeat(np.arange(len(common)), np.diff(at, prepend=0)) for at in (a_at, b_at))
+        entries = np.empty(len(a_ids) + len(b_ids), np.int64)
+        a_place = np.arange(len(a_ids)) + np.concatenate([[0], b_at])[a_in]
+        b_place = np.arange(len(b_ids)) + a_at[b_in]
+        a_last, b_last = np.zeros(len(a_ids), bool), np.zeros(len(b_ids), bool)
+        a_last[a_at - 1], b_last[b_at - 1] = True, True
+        entries[a_place] = a_ids + n_a * a_last
+        entries[b_place] = 2 * n_a + b_ids + n_b * b_last
+        text = np.frombuffer("".join(self.how.shown[entries].tolist()).encode(), "u1")
+        sizes = np.concatenate([[0], np.cumsum(self.how.shown_sizes[entries])])
+        return text, sizes[np.concatenate([[0], a_at + b_at])[cuts[5]]]
 
     def of(self, texts: list[str | None]) -> list[np.ndarray]:
         """Numbers of each text's parts; none if it has no tokens."""
         split = [CUT.split(t) if t else [] for t in texts]
-        self.learn(sorted({p for parts in split for p in parts} - self.number.keys()))
-        found = [np.array([self.number[p] for p in parts], np.int64) for parts in split]
+        self.learn(sorted(set().union(*split) - self.number.keys()))
+        found = [np.fromiter(map(self.number.__getitem__, parts), np.int64, len(parts)) for parts in split]
         return [at if self.whole[at].all() else at[:0] for at in found]
 
     def counts(self) -> np.ndarray:
@@ -240,37 +265,46 @@ def aligned(texts: DataFrame, a_path: str, b_path: str, kind: str, spans: bool)
         how = aligner(a_path, b_path)
         known = how.known  # what earlier tasks of the process have aligned
         seen, id_type = np.zeros(len(known.number), np.int64), None
-        width = link_type(how.pair_numbers)
+        tally = [np.zeros(0, np.int64)] * 2  # pairs, and how often each was linked
+
+        def count() -> None:
+            """Adds the links of the parts seen to the tally."""
+            pairs = np.concatenate([tally[0], known.flat[4].astype(np.int64)])
+            n = np.concatenate([tally[1], np.repeat(seen, np.diff(known.bounds[4]))])
+            pairs, n = pairs[n > 0], n[n > 0]
+            pairs, inverse = np.unique(pairs, return_inverse=True)
+            tally[:] = pairs, np.bincount(inverse, n, len(pairs)).astype(np.int64)
 
         def counted() -> Iterator[pa.RecordBatch]:
-            pairs, inverse = np.unique(known.flat[4], return_inverse=True)
-            n = np.bincount(inverse, np.repeat(seen, np.diff(known.bounds[4])), len(pairs)).astype(np.int64)
             columns = [pa.nulls(1, t or id_type) for t in types]
-            columns[8:10] = [pa.array([x], pa.list_(pa.int64())) for x in (pairs[n > 0], n[n > 0])]
+            columns[8:10] = [pa.array([x], pa.list_(pa.int64())) for x in tally]
             yield pa.RecordBatch.from_arrays(columns, names=names)
+            tally[:] = [np.zeros(0, np.int64)] * 2
 
-        for block in blocks(batches):
+        for block in blocks(batches, BLOCK_BYTES):
             id_type = block.schema.field(1).type
             found = known.of(block.column(2).to_pylist())
             seen = np.concatenate([seen, np.zeros(len(known.number) - len(seen), np.int64)])
             seen += np.bincount(np.concatenate(found), minlength=len(seen))
             counts = known.counts()
             rows = np.array([counts[at].sum(axis=0) for at in found], np.int64).reshape(-1, 4)
-            groups = [hashlib.sha256(";".join([known.groups[i] for i in at.tolist()]).encode()).hexdigest()
-                      if len(at) else "" for at in found]
-            links = [_entries(known, 4, at).astype(width).tobytes() for at in found]
+            groups = [hashlib.sha256(_entries(known, 6, at)[:-1]).hexdigest() if len(at) else "" for at in found]
+            links = [_entries(known, 4, at).tobytes() for at in found]
             columns = [block.column(0), block.column(1), *(pa.array(rows[:, c]) for c in range(4)), pa.array(groups),
                        pa.array(links, pa.binary()), *[pa.nulls(len(found), pa.list_(pa.int64()))] * 2]
             if spans:
-                columns += [pa.array([_entries(known, i, at) for at in found], pa.list_(pa.int64()))
+                columns += [pa.array([_entries(known, i, at).astype(np.int64) for at in found], pa.list_(pa.int64()))
                             for i in (0, 1, 2, 3, 5)]
             yield pa.RecordBatch.from_arrays(columns, names=names)
             if len(known.number) > KEPT_PARTS:
-                yield from counted()
+                count()
+                if len(tally[0]) > COUNTED_PAIRS:
+                    yield from counted()
                 often = np.flatnonzero(seen >= OFTEN)
                 known.keep(often if len(often) <= KEPT_PARTS // 2 else often[:0])
                 seen = np.zeros(len(known.number), np.int64)
         if id_type is not None:
+            count()
             yield from counted()
 
     return texts.mapInArrow(run, f"row long, doc_id {kind}, " + ", ".join(f"{c} long" for c in COUNTS[:4])
