@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from topicscope.operators import leaderboard as lb
+from topicscope.plans import streams
 from topicscope.streaming import segment_log, slices
 from topicscope.streaming.source import stream_names
 from topicscope.streaming.trailing import open_sliding_hours, sliding_hour_counts
@@ -83,22 +84,44 @@ def test_any_order_gives_one_log(spark, scratch, order):
     assert whole(spark, scratch) == plain_log(records)
 
 
-def test_a_session_with_another_state_store(spark, scratch):
-    keys = ["spark.sql.streaming.stateStore.providerClass",
-            "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"]
-    before = [spark.conf.get(k) for k in keys]
-    plain = ["org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider", "false"]
+PLAIN_STORE = {"spark.sql.streaming.stateStore.providerClass":
+               "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider",
+               "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "false"}
+
+
+@pytest.fixture
+def plain_store(spark):
+    """The state store of a session that the package has not built."""
+    before = {k: spark.conf.get(k) for k in PLAIN_STORE}
+    for k, v in PLAIN_STORE.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_a_session_with_another_state_store(spark, scratch, plain_store):
     land(spark, some_records(), f"{scratch}/landing")
-    try:
-        for k, v in zip(keys, plain, strict=True):
-            spark.conf.set(k, v)
-        run(spark, f"{scratch}/landing", scratch, segments=3)
-        run(spark, f"{scratch}/landing", scratch, segments=3)  # started again from its checkpoint
-        assert [spark.conf.get(k) for k in keys] == plain
-        assert whole(spark, scratch) == plain_log(some_records())
-    finally:
-        for k, v in zip(keys, before, strict=True):
-            spark.conf.set(k, v)
+    run(spark, f"{scratch}/landing", scratch, segments=3)
+    run(spark, f"{scratch}/landing", scratch, segments=3)  # started again from its checkpoint
+    assert {k: spark.conf.get(k) for k in PLAIN_STORE} == PLAIN_STORE
+    assert whole(spark, scratch) == plain_log(some_records())
+
+
+def test_unordered_query_in_a_session_with_another_state_store(spark, scratch, plain_store):
+    ids = range(3000)
+    types = [None, "", "view", "view", "buy"]
+    events = spark.createDataFrame(
+        [(i, BEGIN + dt.timedelta(seconds=i * 7919 % 400_000), i % 97 if i % 5 else None, types[i % 7 % 5]) for i in ids],
+        "event_id long, ts timestamp, user_id long, event_type string")
+    events.write.parquet(f"{scratch}/in/events.parquet")
+    rows = streams.stream_trailing_unordered(spark, f"{scratch}/in").collect()
+    at = collections.Counter((types[i % 7 % 5], i * 7919 % 400_000) for i in ids if types[i % 7 % 5])
+    changes = [(n, t, k) for (n, t), k in at.items()] + [(n, t + 3600, -k) for (n, t), k in at.items()]
+    want = {(n, t, k, sum(x for m, u, x in changes if m == n and (u < t or (u == t and x >= k))))
+            for n, t, k in changes}
+    got = [(r["name"], round((r["ts"] - BEGIN.replace(tzinfo=None)).total_seconds()), r["delta"], r["count"]) for r in rows]
+    assert len(got) == len(want) and set(got) == want
 
 
 def test_a_hot_name_is_many_keys(spark, scratch):
