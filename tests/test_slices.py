@@ -124,6 +124,15 @@ def test_unordered_query_in_a_session_with_another_state_store(spark, scratch, p
     assert len(got) == len(want) and set(got) == want
 
 
+def test_unordered_query_counts_events_without_an_id(spark, scratch):
+    events = [(i if i % 3 else None, BEGIN + dt.timedelta(seconds=i * 7919 % 20_000), 1, "view") for i in range(200)]
+    spark.createDataFrame(events, "event_id long, ts timestamp, user_id long, event_type string") \
+        .write.parquet(f"{scratch}/in/events.parquet")
+    rows = streams.stream_trailing_unordered(spark, f"{scratch}/in").collect()
+    arrived = [(r["ts"], r["delta"]) for r in rows if r["delta"] > 0]
+    assert sorted(arrived) == sorted((t.replace(tzinfo=None), 1) for _, t, _, _ in events) and len(rows) == 400
+
+
 def test_a_hot_name_is_many_keys(spark, scratch):
     land(spark, some_records(), f"{scratch}/landing")
     run(spark, f"{scratch}/landing", scratch, segments=2, watermark="30 hours")
